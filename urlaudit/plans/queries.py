@@ -548,7 +548,7 @@ def stream_attempts(spark, sf_dir):
         "CASE event_type WHEN 'click' THEN './next' END AS location",
         "CASE event_type WHEN 'error' THEN 'java.net.SocketException' END AS exception_class",
     )
-    routed = jobs.route_observations(seen, AuditConfig(redirect_limit=2))
+    routed = jobs.route_observations(seen, AuditConfig(redirect_limit=2), expire=False)
     return _run_to_parquet(spark, routed, "stream-attempts")
 
 

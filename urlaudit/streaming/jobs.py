@@ -95,9 +95,13 @@ def emit_not_in_flight(events: DataFrame) -> DataFrame:
     )
 
 
-def route_observations(observations: DataFrame, conf: AuditConfig, mode: str = "compat") -> DataFrame:
+def route_observations(
+    observations: DataFrame, conf: AuditConfig, mode: str = "compat", expire: bool = True
+) -> DataFrame:
     """Route each observation of a URL by the attempt it answers, carried as state between them.
 
+    An attempt without an observation for an hour of processing time is given up. A run that stops
+    when the source is drained needs ``expire=False``: waiting for a timeout would keep it going.
     ``observations`` has ``url_id``, ``seq``, ``url``, ``status_code``, ``location`` and
     ``exception_class``. What an observation says by itself is computed here as columns.
     """
@@ -113,9 +117,10 @@ def route_observations(observations: DataFrame, conf: AuditConfig, mode: str = "
         F.when(redirects, target).alias("target"),
         F.lit(conf.redirect_limit).alias("redirect_limit"),
     )
-    return facts.groupBy("url_id").applyInPandasWithState(
-        state.route_in_order, state.ROUTED, state.ATTEMPT, "append", "ProcessingTimeTimeout"
+    rule, timeout = (
+        (state.route_or_expire, "ProcessingTimeTimeout") if expire else (state.route_in_order, "NoTimeout")
     )
+    return facts.groupBy("url_id").applyInPandasWithState(rule, state.ROUTED, state.ATTEMPT, "append", timeout)
 
 
 def count_throughput(checks: DataFrame, at: str = "at", late: str = "10 minutes") -> DataFrame:

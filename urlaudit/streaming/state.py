@@ -38,10 +38,17 @@ def release_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupSta
     yield rows.loc[emitted, ["at", "seq"]].assign(name=key[0])[["name", "at", "seq"]]
 
 
-def route_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+def route_or_expire(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+    """``route_in_order`` with attempts that are given up when no observation arrives in time."""
     if held.hasTimedOut:
         held.remove()
         return
+    yield from route_in_order(key, batches, held)
+    if held.exists:
+        held.setTimeoutDuration(ATTEMPT_TIMEOUT_MS)
+
+
+def route_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
     method, count = held.get if held.exists else ("HEAD", 0)
     out = []
     for row in _in_order(batches, ["seq"]).itertuples():
@@ -61,6 +68,5 @@ def route_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState
         held.remove()
     else:
         held.update((method, int(count)))
-        held.setTimeoutDuration(ATTEMPT_TIMEOUT_MS)
     columns = ["url_id", "seq", "url", "method", "redirect_count", "route", "next_url"]
     yield pd.DataFrame(out, columns=columns).astype({"redirect_count": "int32"})
