@@ -15,7 +15,7 @@ FETCHABLE_SCHEMES = "https?"
 
 HOST_PATTERN = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)"
 PATH_PATTERN = r"(?i)^[a-z][a-z0-9+.-]*://[^/?#]*([^#]*)"
-BAD_PORT_PATTERN = rf"(?i)^(?:{KNOWN_SCHEMES})://(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^:/?#]*):[^/?#]*[^0-9/?#]"
+BAD_PORT_PATTERN = rf"(?i)^(?:{KNOWN_SCHEMES})://(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^\[:/?#]*):[^/?#]*[^0-9/?#]"
 HANDLE_PATTERN = "hdl.handle.net/([^/]*)"
 
 # Characters a strict URI parser refuses, and host names it accepts as server names.

@@ -320,6 +320,20 @@ def _travel(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
     return _union([frontier, *arrived])
 
 
+def _walk(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
+    """The same, one redirect at a time. Only edges that start at the frontier are joined."""
+    edges, arrived = materialize(edges, "edges"), []
+    for _ in range(distance):
+        here = frontier.select("url", "method").distinct()
+        near = lookup_join(edges, here, ["url", "method"], "left_semi")
+        moved = materialize(_jump(frontier, near), "walk")
+        arrived.append(moved.filter("moved = 0").select(*FRONTIER))
+        frontier = moved.filter("moved > 0").select(*FRONTIER)
+        if frontier.isEmpty():
+            break
+    return _union([frontier, *arrived])
+
+
 def resolve(
     frontier: DataFrame,
     responses: DataFrame,
@@ -333,14 +347,16 @@ def resolve(
     """Final state of every frontier row; route ``status``, or ``unobserved`` where a response is missing.
 
     ``lifting`` settles all rows once, moves the redirected ones with log2(limit) joins and settles
-    them where they arrive. ``loop`` joins once per redirect; it is the better form for a frontier
-    much smaller than the responses, such as one poll. Both give the same rows.
+    them where they arrive. ``walk`` moves them one redirect at a time, the better form for a frontier
+    much smaller than the responses, such as one poll. ``loop`` settles every round and is the
+    definition the others are tested against. All give the same rows.
     """
     gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
     if method == "loop":
         return resolve_loop(frontier, responses, conf, mode, **gates)
-    if method != "lifting":
+    if method not in ("lifting", "walk"):
         raise ValueError(f"unknown method {method!r}")
+    move = _travel if method == "lifting" else _walk
     start = drop_blank(frontier.select(*FRONTIER))
     if robots_rules is not None:
         start = materialize(start, "start")  # the robots gate reads it twice
@@ -357,7 +373,7 @@ def resolve(
             outcomes.append(resolve_loop(walked, responses, conf, mode, **gates))
     if conf.redirect_limit > 0 and not moving.isEmpty():
         edges = redirect_edges(responses, conf, mode, **gates)
-        ended = _travel(moving, edges, conf.redirect_limit - 1)
+        ended = move(moving, edges, conf.redirect_limit - 1)
         outcomes.append(_finished(materialize(_settled(ended, responses, gates, conf, mode), "round")))
     return _union(outcomes)
 

@@ -28,7 +28,7 @@ class CycleTables:
 def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version: int) -> dict:
     """Write snapshot ``version`` of status, history and the latest checks; return the poll summary.
 
-    One poll is bounded, so its redirects are followed round by round.
+    One poll is bounded, so its redirects are walked step by step.
     """
     selected = selection.due_all(tables.url, tables.status, tables.url_context, as_of)
     if tables.in_flight is not None:
@@ -47,7 +47,7 @@ def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version:
         robots_rules=tables.robots_rules,
         login_pages=tables.login_pages,
         host_overrides=tables.host_overrides,
-        method="loop",
+        method="walk",
     )
     fresh, _ = status.known_urls(status.build_status(outcomes, as_of), tables.url)
     fresh = materialize(fresh, "fresh")

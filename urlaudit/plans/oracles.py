@@ -166,8 +166,8 @@ def resolution(starts: str, select: str, gates: str = "ungated", needs: tuple[st
              WHEN gate = 'login' THEN original_url || ' points to a login page, therefore has restricted access.'
              WHEN NOT observed THEN NULL
              WHEN over THEN 'Redirects exceeded {LIMIT} redirects for ' || original_url
-             WHEN cause_class = 'java.util.concurrent.TimeoutException' OR exception_message LIKE '% timed out%'
-                 THEN 'Socket timeout fetching'
+             WHEN cls IS NOT NULL AND (cause_class = 'java.util.concurrent.TimeoutException'
+                 OR exception_message LIKE '% timed out%') THEN 'Socket timeout fetching'
              WHEN cls = 'java.net.UnknownHostException' THEN 'Unknown host'
              WHEN cls = 'java.net.MalformedURLException' THEN 'Location Header in a redirect shouldn''t be null.'
              WHEN cls IS NOT NULL THEN coalesce(exception_message, cls)
@@ -316,7 +316,7 @@ ORACLES = {
         """SELECT category, status_code, count(*) AS n, min(redirect_count) AS min_rc, max(redirect_count) AS max_rc
            FROM done GROUP BY ALL""",
     ),
-    "resolved_by_rounds": resolution("poll_starts", _RESOLVED, needs=tuple(_ALL)),
+    "resolved_poll": resolution("poll_starts", _RESOLVED, needs=tuple(_ALL)),
     "resolved_with_gates": resolution("valid_starts", _RESOLVED, gates="robots_gated"),
     "unobserved": resolution(
         "valid_starts",

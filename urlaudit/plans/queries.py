@@ -225,11 +225,11 @@ def resolved_status_summary(spark, sf_dir):
 
 
 @query
-def resolved_by_rounds(spark, sf_dir):
-    """The round-by-round form on one poll, as a cycle runs it."""
+def resolved_poll(spark, sf_dir):
+    """One poll, followed step by step as a cycle does it."""
     due = selection.due_all(*_register(spark, sf_dir), tables.AS_OF)
     frontier, responses = selection.seed_frontier(due), tables.responses(spark, sf_dir)
-    found = resolve.resolve(frontier, responses, CONF, login_pages=tables.login_pages(spark), method="loop")
+    found = resolve.resolve(frontier, responses, CONF, login_pages=tables.login_pages(spark), method="walk")
     return found.select("url_id", "url", "method", "redirect_count", "category", "message")
 
 
