@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +28,19 @@ def build_session(app: str = "urlaudit", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="urlaudit-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; only a local session may fall back to its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="urlaudit-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
