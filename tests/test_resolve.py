@@ -126,19 +126,36 @@ def random_web(seed, n=120):
     return urls, rows
 
 
-@pytest.mark.parametrize("seed,limit", [(1, 5), (2, 15), (3, 0), (4, 1), (5, 8)])
-def test_all_forms_equal_the_simulation(spark, seed, limit):
+@pytest.mark.parametrize(
+    "seed,limit,method,broadcast",
+    [
+        (1, 5, "lifting", True),
+        (1, 5, "lifting", False),
+        (2, 3, "walk", False),
+        (2, 3, "loop", True),
+        (3, 0, "lifting", True),
+        (4, 1, "lifting", True),
+        (5, 8, "lifting", True),
+        (6, 15, "lifting", False),
+    ],
+)
+def test_every_form_equals_the_simulation(spark, seed, limit, method, broadcast):
     urls, rows = random_web(seed)
     login, blocked = [urls[5], urls[6], urls[0]], [u for u in urls if u.startswith("http://h3.org/p1")]
     conf = AuditConfig(redirect_limit=limit)
     rules = spark.createDataFrame([("h3.org", "disallow", "/p1", None)], schema.ROBOTS_RULES)
     seen = {(r[0], r[1]): r for r in rows}
     wanted = {i: simulate(u, seen, limit, login, blocked) for i, u in enumerate(urls)}
-    responses, gates = table(spark, rows), {"robots_rules": rules, "login_pages": login_table(spark, *login)}
-    for method in ("lifting", "walk", "loop") if seed < 3 else ("lifting", "walk"):
-        found = resolve.resolve(frontier_of(spark, urls), responses, conf, method=method, **gates).collect()
-        assert len(found) == len(urls)
-        assert {r.url_id: (r.category, r.url, r.method, r.redirect_count) for r in found} == wanted, method
+    gates = {"robots_rules": rules, "login_pages": login_table(spark, *login)}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if not broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = resolve.resolve(frontier_of(spark, urls), table(spark, rows), conf, method=method, **gates).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(found) == len(urls)
+    assert {r.url_id: (r.category, r.url, r.method, r.redirect_count) for r in found} == wanted
 
 
 def test_repeated_observations_collapse_and_the_newest_wins(spark):

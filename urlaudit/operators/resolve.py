@@ -13,7 +13,7 @@ from urlaudit.config import GET, HEAD, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, records, urls
 from urlaudit.operators.gates import category_of_gate, message_of_gate, with_gates
 from urlaudit.operators.selection import drop_blank
-from urlaudit.operators.skew import lookup_join
+from urlaudit.operators.skew import broadcasts, lookup_join
 from urlaudit.session import materialize
 
 FRONTIER = ["url_id", "original_url", "url", "method", "redirect_count"]
@@ -260,9 +260,14 @@ def redirect_edges(responses: DataFrame, conf: AuditConfig, mode: str = "compat"
     return gated.filter(F.col("gate").isNull()).select(*edges.columns)
 
 
-def _jump(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
+def _small_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """A left join to jumps whose size was checked."""
+    return left.join(F.broadcast(right), on, "left")
+
+
+def _jump(frontier: DataFrame, jumps: DataFrame, join=lookup_join) -> DataFrame:
     """Move each row along its jump; a row without one stays. ``moved`` tells how far it went."""
-    joined = lookup_join(frontier, jumps, ["url", "method"])
+    joined = join(frontier, jumps, ["url", "method"])
     return joined.select(
         "url_id",
         "original_url",
@@ -273,7 +278,7 @@ def _jump(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
     )
 
 
-def _double(jumps: DataFrame) -> DataFrame:
+def _double(jumps: DataFrame, join=lookup_join) -> DataFrame:
     """Jumps of twice the length: each jump continued by the jump that starts where it ends."""
     onward = jumps.select(
         F.col("url").alias("to_url"),
@@ -282,7 +287,7 @@ def _double(jumps: DataFrame) -> DataFrame:
         F.col("to_method").alias("end_method"),
         F.col("steps").alias("more"),
     )
-    return lookup_join(jumps, onward, ["to_url", "to_method"]).select(
+    return join(jumps, onward, ["to_url", "to_method"]).select(
         "url",
         "method",
         F.coalesce("end_url", "to_url").alias("to_url"),
@@ -291,7 +296,7 @@ def _double(jumps: DataFrame) -> DataFrame:
     )
 
 
-def _travel(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
+def _travel(frontier: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
     """Move every row up to ``distance`` redirects, stopping early where no edge leads on.
 
     Binary lifting: jumps of length 1, 2, 4, ... are applied for the bits of ``distance``. A row that
@@ -299,7 +304,6 @@ def _travel(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
     length any more, one last application finishes every row.
     """
     arrived, length, travelled = [], 1, 0
-    jumps = materialize(edges, "jumps")
     while travelled < distance:
         longest = jumps.agg(F.max("steps")).first()[0] or 0
         exhausted = longest < length
@@ -313,16 +317,27 @@ def _travel(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
             if exhausted:
                 break
         length *= 2
-        if length <= distance:
-            jumps = materialize(_double(jumps), "jumps")
-        else:
+        if length > distance:
             break
+        jumps = materialize(_double(jumps), "jumps")
     return _union([frontier, *arrived])
 
 
+def _travel_small(frontier: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
+    """The same in one job, for edges within Catalyst's broadcast limit; no jump table has more rows."""
+    length = 1
+    while length <= distance:
+        if distance & length:
+            frontier = _jump(frontier, jumps, _small_join).select(*FRONTIER)
+        length *= 2
+        if length <= distance:
+            jumps = _double(jumps, _small_join)
+    return materialize(frontier, "travel")
+
+
 def _walk(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
     """The same, one redirect at a time. Only edges that start at the frontier are joined."""
-    edges, arrived = materialize(edges, "edges"), []
+    arrived = []
     for _ in range(distance):
         here = frontier.select("url", "method").distinct()
         near = lookup_join(edges, here, ["url", "method"], "left_semi")
@@ -347,7 +362,7 @@ def resolve(
     """Final state of every frontier row; route ``status``, or ``unobserved`` where a response is missing.
 
     ``lifting`` settles all rows once, moves the redirected ones with log2(limit) joins and settles
-    them where they arrive. ``walk`` moves them one redirect at a time, the better form for a frontier
+    them where they arrive; a small table of redirects is broadcast. ``walk`` moves them one redirect at a time, the better form for a frontier
     much smaller than the responses, such as one poll. ``loop`` settles every round and is the
     definition the others are tested against. All give the same rows.
     """
@@ -356,7 +371,6 @@ def resolve(
         return resolve_loop(frontier, responses, conf, mode, **gates)
     if method not in ("lifting", "walk"):
         raise ValueError(f"unknown method {method!r}")
-    move = _travel if method == "lifting" else _walk
     start = drop_blank(frontier.select(*FRONTIER))
     if robots_rules is not None:
         start = materialize(start, "start")  # the robots gate reads it twice
@@ -372,7 +386,8 @@ def resolve(
         if not walked.isEmpty():
             outcomes.append(resolve_loop(walked, responses, conf, mode, **gates))
     if conf.redirect_limit > 0 and not moving.isEmpty():
-        edges = redirect_edges(responses, conf, mode, **gates)
+        edges = materialize(redirect_edges(responses, conf, mode, **gates), "edges")
+        move = _travel_small if broadcasts(edges) else _travel if method == "lifting" else _walk
         ended = move(moving, edges, conf.redirect_limit - 1)
         outcomes.append(_finished(materialize(_settled(ended, responses, gates, conf, mode), "round")))
     return _union(outcomes)

@@ -18,8 +18,15 @@ def as_timestamp(at) -> Column:
 
 def known_urls(rows: DataFrame, url: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of registered URLs, rows whose ``url_id`` is unknown)."""
-    ids = url.select(F.col("id").alias("url_id"))
-    return lookup_join(rows, ids, ["url_id"], "left_semi"), lookup_join(rows, ids, ["url_id"], "left_anti")
+    flagged = with_known(rows, url)
+    return flagged.filter("known").drop("known"), flagged.filter(~F.col("known")).drop("known")
+
+
+def with_known(rows: DataFrame, url: DataFrame) -> DataFrame:
+    """Add ``known``: the register has the row's ``url_id``."""
+    ids = url.select(F.col("id").alias("url_id"), F.lit(True).alias("_registered"))
+    joined = lookup_join(rows, ids, ["url_id"])
+    return joined.withColumn("known", F.coalesce("_registered", F.lit(False))).drop("_registered")
 
 
 def build_status(outcomes: DataFrame, checked_at) -> DataFrame:

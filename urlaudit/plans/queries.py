@@ -348,9 +348,7 @@ def unknown_urls(spark, sf_dir):
     """Checks of the log whose URL is not registered as valid."""
     log = tables.check_records(tables.checks(spark, sf_dir))
     valid = tables.url(spark, sf_dir).filter("valid")
-    known, unknown = status.known_urls(log, valid)
-    both = known.withColumn("known", F.lit(True)).unionByName(unknown.withColumn("known", F.lit(False)))
-    return both.groupBy("url_id", "known").agg(F.count("*").alias("checks"))
+    return status.with_known(log, valid).groupBy("url_id", "known").agg(F.count("*").alias("checks"))
 
 
 @query

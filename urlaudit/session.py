@@ -44,8 +44,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/urlaudit/{label}-{uuid.uuid4().hex}"
+    """A new, unused path. All paths of one application share a folder, which may go when it has ended."""
+    return f"{scratch_root(spark)}/urlaudit/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
