@@ -44,6 +44,7 @@ MSG_CRAWL_DELAY = "Crawl delay too long."
 MSG_MALFORMED = "java.net.MalformedURLException"
 MSG_TIMEOUT = "Socket timeout fetching"
 MSG_UNKNOWN_HOST = "Unknown host"
+MSG_PROTOCOL = ("the '", "'-protocol is not supported by the HostProtocolFactory")
 
 
 def category_of_exception(cls: Column) -> Column:
@@ -82,6 +83,5 @@ def message_of_login(original_url: Column) -> Column:
 
 
 def message_of_protocol(scheme: Column) -> Column:
-    return F.concat(
-        F.lit("the '"), F.lower(scheme), F.lit("'-protocol is not supported by the HostProtocolFactory")
-    )
+    before, after = MSG_PROTOCOL
+    return F.concat(F.lit(before), F.lower(scheme), F.lit(after))

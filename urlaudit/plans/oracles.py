@@ -321,7 +321,7 @@ ORACLES = {
     "unobserved": resolution(
         "valid_starts",
         "SELECT url_id, url, method, redirect_count FROM done WHERE route = 'unobserved'",
-        missing="method = 'GET' AND duration_ms % 3 = 0",
+        missing="method = 'GET' AND exception_class IS NOT NULL",
     ),
     "robots_gate": sql(
         ["ord", "url", "rules", "robots"],
@@ -477,7 +477,7 @@ ORACLES = {
                      ELSE r.since END
             FROM run r JOIN steps s ON s.u = r.u AND s.nr = r.nr + 1)
         SELECT CAST(u AS VARCHAR) AS name, seq FROM run WHERE emitted""",
-    "stream_repeated_polls": "SELECT DISTINCT concat('u', event_id % 300) AS name FROM events",
+    "stream_repeated_polls": "SELECT DISTINCT concat('u', user_id) AS name FROM events",
     "stream_attempts": """WITH RECURSIVE steps AS (
             SELECT user_id AS u, event_id AS seq, event_type AS e,
                 row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nr FROM events),
