@@ -47,17 +47,16 @@ def with_robots(df: DataFrame, robots_rules: DataFrame | None, url: str = "url")
     path = urls.path_and_query(corrected)
     parts = (
         keyed.filter("_lengths IS NOT NULL")
-        .select("_host", url, "_lengths")
-        .dropDuplicates([url])
         .select("_host", url, path.alias("_path"), F.explode("_lengths").alias("_length"))
         .filter(F.length("_path") >= F.col("_length"))
         .select("_host", url, F.expr("substring(_path, 1, _length)").alias("_prefix"))
     )
-    best = F.max(F.struct(F.length("_prefix"), "_allow"))
+    # Longest first, then allow, as one number: a hash aggregate, combined before the shuffle.
+    weight = F.length("_prefix") * 2 + F.col("_allow").cast("int")
     verdicts = (
         lookup_join(parts, rule_of, ["_host", "_prefix"], "inner")
         .groupBy(url)
-        .agg(best.getField("_allow").alias("robots_allowed"))
+        .agg((F.max(weight) % 2 == 1).alias("robots_allowed"))
         .filter(~F.col("robots_allowed"))
     )
     allowed = F.coalesce("robots_allowed", F.lit(True))
