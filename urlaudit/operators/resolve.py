@@ -13,7 +13,7 @@ from urlaudit.config import GET, HEAD, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, records, urls
 from urlaudit.operators.gates import category_of_gate, message_of_gate, with_gates
 from urlaudit.operators.selection import drop_blank
-from urlaudit.operators.skew import broadcasts, lookup_join
+from urlaudit.operators.skew import broadcasts, estimated_bytes, lookup_join
 from urlaudit.session import materialize
 
 FRONTIER = ["url_id", "original_url", "url", "method", "redirect_count"]
@@ -36,7 +36,8 @@ OUTCOME = [
 # Fields of an observation. The first ones decide the route; a node built from these alone picks the
 # same observation among repeated ones, because the greatest is chosen field by field.
 ROUTE_FIELDS = ["status_code", "location", "exception_class"]
-RECORD_FIELDS = ["cause_class", "exception_message", "content_length", "content_type", "duration_ms"]
+
+FAR_SMALLER = 10
 
 
 def response_nodes(responses: DataFrame, wanted: DataFrame | None = None, route_only: bool = False) -> DataFrame:
@@ -44,10 +45,11 @@ def response_nodes(responses: DataFrame, wanted: DataFrame | None = None, route_
 
     Repeated observations are collapsed before the shuffle; ``observed_at``, if the table has it,
     lets the newest win, otherwise the greatest does, so the result does not depend on row order.
-    With ``wanted`` only its URLs are read on; header names are expected in lower case.
+    A ``wanted`` table far smaller than the responses filters them first; beside a larger one that
+    would only shuffle it once more. Header names are expected in lower case.
     """
     seen = responses
-    if wanted is not None:
+    if wanted is not None and estimated_bytes(wanted) * FAR_SMALLER <= estimated_bytes(responses):
         seen = lookup_join(seen, wanted.select("url").distinct(), ["url"], "left_semi")
     fields = [F.col(name) for name in ROUTE_FIELDS]
     if not route_only:
