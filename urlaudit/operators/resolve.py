@@ -40,6 +40,10 @@ ROUTE_FIELDS = ["status_code", "location", "exception_class"]
 FAR_SMALLER = 10
 
 
+def far_smaller(wanted: DataFrame, responses: DataFrame) -> bool:
+    return estimated_bytes(wanted) * FAR_SMALLER <= estimated_bytes(responses)
+
+
 def response_nodes(responses: DataFrame, wanted: DataFrame | None = None, route_only: bool = False) -> DataFrame:
     """One row per URL with structs ``head`` and ``get``; NULL where that method was not observed.
 
@@ -49,7 +53,7 @@ def response_nodes(responses: DataFrame, wanted: DataFrame | None = None, route_
     would only shuffle it once more. Header names are expected in lower case.
     """
     seen = responses
-    if wanted is not None and estimated_bytes(wanted) * FAR_SMALLER <= estimated_bytes(responses):
+    if wanted is not None and far_smaller(wanted, responses):
         seen = lookup_join(seen, wanted.select("url").distinct(), ["url"], "left_semi")
     fields = [F.col(name) for name in ROUTE_FIELDS]
     if not route_only:
@@ -374,8 +378,8 @@ def resolve(
     if method not in ("lifting", "walk"):
         raise ValueError(f"unknown method {method!r}")
     start = drop_blank(frontier.select(*FRONTIER))
-    if robots_rules is not None:
-        start = materialize(start, "start")  # the robots gate reads it twice
+    if robots_rules is not None or far_smaller(start, responses):
+        start = materialize(start, "start")  # read more than once: by the robots gate, to filter responses
     first = materialize(_settled(start, responses, gates, conf, mode), "round")
     outcomes = [_finished(first)]
     moving = _advance(first)
