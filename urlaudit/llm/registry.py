@@ -7,6 +7,7 @@ from importlib import import_module
 #: Query, its module and its function. A module may hold ``ORACLE``, SQL with the same rows.
 PLACES = {
     "op4_quality_rules": ("quality", "quality_rules"),
+    "op9_byte_bpe": ("bpe", "byte_bpe"),
 }
 
 QUERIES = {name: getattr(import_module(f"urlaudit.llm.{module}"), function) for name, (module, function) in PLACES.items()}
