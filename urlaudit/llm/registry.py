@@ -6,8 +6,12 @@ from importlib import import_module
 
 #: Query, its module and its function. A module may hold ``ORACLE``, SQL with the same rows.
 PLACES = {
+    "op2_ngram_jaccard": ("jaccard", "ngram_jaccard"),
+    "op3_license_scan": ("licenses", "license_scan"),
     "op4_quality_rules": ("quality", "quality_rules"),
+    "op7_packing": ("packing", "packed_documents"),
     "op9_byte_bpe": ("bpe", "byte_bpe"),
+    "op10_embedding_near_duplicates": ("embeddings", "embedding_near_duplicates"),
 }
 
 QUERIES = {name: getattr(import_module(f"urlaudit.llm.{module}"), function) for name, (module, function) in PLACES.items()}
