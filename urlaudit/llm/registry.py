@@ -10,6 +10,7 @@ PLACES = {
     "op3_license_scan": ("licenses", "license_scan"),
     "op4_quality_rules": ("quality", "quality_rules"),
     "op7_packing": ("packing", "packed_documents"),
+    "op8_language_id": ("language", "language_id"),
     "op9_byte_bpe": ("bpe", "byte_bpe"),
     "op10_embedding_near_duplicates": ("embeddings", "embedding_near_duplicates"),
 }
