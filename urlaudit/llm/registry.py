@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query, its module and its function. A module may hold ``ORACLE``, SQL with the same rows.
 PLACES = {
+    "op1_suffix_dedup": ("repeats", "suffix_dedup"),
     "op2_ngram_jaccard": ("jaccard", "ngram_jaccard"),
     "op3_license_scan": ("licenses", "license_scan"),
     "op4_quality_rules": ("quality", "quality_rules"),
