@@ -11,6 +11,7 @@ PLACES = {
     "op3_license_scan": ("licenses", "license_scan"),
     "op4_quality_rules": ("quality", "quality_rules"),
     "op5_lm_scores": ("deleted", "lm_scores"),
+    "op6_html_extraction": ("html", "html_extraction"),
     "op7_packing": ("packing", "packed_documents"),
     "op8_language_id": ("language", "language_id"),
     "op9_byte_bpe": ("bpe", "byte_bpe"),
