@@ -1,11 +1,12 @@
 import itertools
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from urlaudit import schema
 from urlaudit.config import AuditConfig
-from urlaudit.operators import gates, politeness
+from urlaudit.operators import gates, politeness, resolve
 
 
 def test_longest_rule_wins_and_allow_wins_a_tie(spark):
@@ -17,17 +18,27 @@ def test_longest_rule_wins_and_allow_wins_a_tie(spark):
         ("h.org", "disallow", "/a/bc", None),
         ("k.org", "disallow", "/x?q", None),
         ("q.org", "allow", None, 3000),
+        ("e.org", "disallow", "", None),
+        ("w.org", "disallow", "/*.pdf$", None),
+        ("w.org", "disallow", "/a.b*c(", None),
+        ("w.org", "allow", "/keep*.pdf$", None),
     ]
     table = spark.createDataFrame(rules, schema.ROBOTS_RULES)
     urls = ["http://H.org/a/b", "http://h.org/a/bcd", "http://h.org", "http://h.org/a", "http://k.org/x?q=1", "http://k.org/x",
-            "http://none.org/", "http://q.org/"]
+            "http://none.org/", "http://q.org/", "http://e.org/a", "http://w.org/x/y.pdf", "http://w.org/x.pdf?d", "http://w.org/keep/it.pdf",
+            "http://w.org/a.bxxc(", "http://w.org/aXbxxc("]
     df = spark.createDataFrame([(u,) for u in urls + urls], "url string")
     found = {r.url: (r.robots_allowed, r.robots_delay_ms) for r in gates.with_robots(df, table).collect()}
 
     def brute(url):
         host, _, rest = url[len("http://"):].partition("/")
         mine = [r for r in rules if r[0] == host.lower()]
-        hits = [r for r in mine if r[2] and ("/" + rest).startswith(r[2])]
+
+        def matches(rule):
+            parts = [re.escape(part) for part in rule.removesuffix("$").split("*")]
+            return re.match(".*".join(parts) + (r"\Z" if rule.endswith("$") else ""), "/" + rest)
+
+        hits = [r for r in mine if r[2] and matches(r[2])]
         best = max(hits, key=lambda r: (len(r[2]), r[1] == "allow"), default=(None, "allow"))
         return best[1] == "allow", max((r[3] for r in mine if r[3]), default=None)
 
@@ -116,9 +127,14 @@ def test_gap_audit_uses_the_delay_of_the_host(spark):
 
 
 def test_schedule_adds_delay_except_after_asap(spark):
-    rows = [(1, "q", 10, False, 1000), (2, "q", 0, True, 1000), (3, "q", 30, False, 1000), (4, "q", 5, False, 1000), (5, "p", 1, False, 7)]
-    df = spark.createDataFrame(rows, "seq long, queue_key string, d long, asap boolean, delay_ms long")
-    planned = politeness.plan_schedule(df, F.col("d"), F.col("asap"))
-    assert {r.seq: r.start_offset_ms for r in planned.collect()} == {1: 0, 2: 1010, 3: 1010, 4: 2040, 5: 0}
+    rows = [(1, "q", 10, None, 1000, 1), (2, "q", 9, "robots", 1000, 1), (3, "q", 30, None, 1000, 1), (4, "q", 5, None, 1000, 1)]
+    rows += [(5, "p", 1, "crawl_delay", 7, 1), (6, "p", 1, "crawl_delay", 7, 1), (7, "w", 5, None, 7, 2), (8, "w", 5, None, 7, 2)]
+    df = spark.createDataFrame(rows, "seq long, queue_key string, d long, gate string, delay_ms long, queue_slots int")
+    planned = politeness.plan_schedule(df, F.col("d"))
+    assert {r.seq: r.start_offset_ms for r in planned.collect()} == {1: 0, 2: 1010, 3: 1010, 4: 2040, 5: 0, 6: 0, 7: None, 8: None}
+    kept, dropped = resolve.drop_queue_timeouts(planned, AuditConfig(queue_timeout_ms=1000))
+    assert sorted(r.seq for r in dropped.collect()) == [3, 4] and kept.count() == 6
     turns = politeness.interleave(df).select("turn", "queue_key", "seq").collect()
-    assert [tuple(r) for r in turns] == [(1, "p", 5), (1, "q", 1), (2, "q", 2), (3, "q", 3), (4, "q", 4)]
+    assert [tuple(r) for r in turns] == [
+        (1, "p", 5), (1, "q", 1), (1, "w", 7), (2, "p", 6), (2, "q", 2), (2, "w", 8), (3, "q", 3), (4, "q", 4)
+    ]

@@ -1,4 +1,4 @@
-"""Resolution against a plain simulation of the decision list, and the three forms against each other."""
+"""Resolution against a plain simulation of the decision list, and both forms against it."""
 
 import random
 
@@ -32,17 +32,17 @@ def login_table(spark, *pages):
 
 def test_redirect_codes_follow_with_head_and_count_one(spark):
     conf = AuditConfig(redirect_limit=15)
-    urls = [f"http://www.h{i}.com/page{i}" for i in range(5)]
-    rows = [response(u, "HEAD", code, "http://devnull.org") for u, code in zip(urls, conf.redirect_codes)]
+    urls = [f"http://site{i}.example.com/doc/{i}" for i in range(5)]
+    rows = [response(u, "HEAD", code, "http://elsewhere.example.net/") for u, code in zip(urls, conf.redirect_codes)]
     routed = resolve.route_attempt(frontier_of(spark, urls), table(spark, rows), conf).collect()
     assert {(r.route, r.next_url, r.next_method, r.next_count) for r in routed} == {
-        ("follow", "http://devnull.org", "HEAD", 1)
+        ("follow", "http://elsewhere.example.net/", "HEAD", 1)
     }
 
 
 def test_failed_head_is_repeated_with_get(spark):
     codes = [400, 401, 402, 403, 404, 500, 501, 502, 503]
-    urls = [f"http://www.h{i}.com/page{i}" for i in range(10)]
+    urls = [f"http://site{i}.example.com/doc/{i}" for i in range(10)]
     rows = [response(u, "HEAD", code) for u, code in zip(urls, codes)]
     rows.append(response(urls[9], "HEAD", exc="java.net.SocketException"))
     routed = resolve.route_attempt(frontier_of(spark, urls), table(spark, rows), AuditConfig())
@@ -54,19 +54,19 @@ def test_failed_head_is_repeated_with_get(spark):
 
 def test_categories_of_get_answers(spark):
     codes = [200, 304, 301, 302, 303, 307, 308, 405, 429, 401, 403]
-    urls = [f"http://www.h.com/page{i}" for i in range(len(codes))]
+    urls = [f"http://one.example.com/doc/{i}" for i in range(len(codes))]
     rows = [response(u, "GET", c) for u, c in zip(urls, codes)]
     found = resolve.resolve(frontier_of(spark, urls, "GET"), table(spark, rows), AuditConfig()).collect()
     counts = {}
     for r in found:
         counts[r.category] = counts.get(r.category, 0) + 1
     assert counts == {"Ok": 2, "Broken": 5, "Undetermined": 2, "Restricted_Access": 2}
-    lost = next(r for r in found if r.url.endswith("page2"))
+    lost = next(r for r in found if r.url.endswith("/2"))
     assert lost.message == "Location Header in a redirect shouldn't be null." and lost.status_code is None
 
 
 def test_a_hundred_urls_on_ten_hosts_all_get_a_status(spark):
-    urls = [f"http://www.h{i % 10}.com/page{i}" for i in range(100)]
+    urls = [f"http://site{i % 10}.example.com/doc/{i}" for i in range(100)]
     rows = [response(u, "HEAD", 200) for u in urls]
     found = resolve.resolve(frontier_of(spark, urls), table(spark, rows), AuditConfig()).collect()
     assert len(found) == 100 and {(r.route, r.category) for r in found} == {("status", "Ok")}
@@ -81,6 +81,53 @@ def test_timeout_is_repeated_then_broken(spark):
     assert found[patient].category == "Ok" and found[patient].content_length == 7
 
 
+def slow_web(spark):
+    """One page on each of three hosts that answers after 7 seconds."""
+    urls = [f"http://{host}.example.org/doc" for host in ("plain", "patient", "listed")]
+    rows = [(*response(u, m, 200)[:-1], 7000) for u in urls for m in ("HEAD", "GET")]
+    return urls, table(spark, rows)
+
+
+@pytest.mark.parametrize("method", ["walk", "lifting"])
+def test_an_answer_after_the_timeout_of_its_host_is_a_timeout(spark, method):
+    urls, responses = slow_web(spark)
+    overrides = spark.createDataFrame([("patient.example.org", None, 10_000)], schema.HOST_OVERRIDES)
+    conf = AuditConfig(timeout_ms=5000, host_timeouts=(("listed.example.org", 8000),))
+    found = {r.url: r for r in resolve.resolve(frontier_of(spark, urls), responses, conf, host_overrides=overrides, method=method).collect()}
+    late = found[urls[0]]
+    assert (late.category, late.message, late.method, late.duration_ms) == ("Broken", "Socket timeout fetching", "GET", None)
+    assert all((found[u].category, found[u].method, found[u].duration_ms) == ("Ok", "HEAD", 7000) for u in urls[1:])
+    unbound = resolve.resolve(frontier_of(spark, urls), responses, AuditConfig(timeout_ms=-1), method=method)
+    assert {r.category for r in unbound.collect()} == {"Ok"}
+
+
+def test_a_row_that_was_redirected_before_stops_at_the_limit(spark):
+    urls = [f"http://chain.example.org/{i}" for i in range(9)]
+    rows = [response(a, "HEAD", 301, b) for a, b in zip(urls, urls[1:])]
+    start = frontier_of(spark, urls[:1]).withColumn("redirect_count", F.lit(3))
+    for method in ("walk", "lifting"):
+        found = resolve.resolve(start, table(spark, rows), AuditConfig(redirect_limit=5), method=method).first()
+        assert (found.url, found.redirect_count, found.category) == (urls[2], 6, "Undetermined")
+
+
+def test_responses_are_grouped_once_and_a_walk_groups_only_what_it_reaches(spark, monkeypatch):
+    calls, group = [], resolve.response_nodes
+
+    def counted(responses, wanted=None, **more):
+        calls.append(wanted)
+        return group(responses, wanted, **more)
+
+    urls, rows = random_web(11)
+    monkeypatch.setattr(resolve, "response_nodes", counted)
+    resolve.resolve(frontier_of(spark, urls), table(spark, rows), AuditConfig(redirect_limit=5)).collect()
+    assert calls == [None]
+    calls.clear()
+    monkeypatch.setattr(resolve, "response_nodes", lambda responses, wanted=None, *more: calls.append(wanted) or group(responses, wanted, *more))
+    monkeypatch.setattr(resolve, "redirect_edges", None)
+    resolve.resolve(frontier_of(spark, urls), table(spark, rows), AuditConfig(redirect_limit=5), method="walk").collect()
+    assert calls and None not in calls
+
+
 def simulate(start, seen, limit, login, blocked):
     """One URL by the decision list, as plain control flow."""
     url, method, count = start, "HEAD", 0
@@ -132,7 +179,7 @@ def random_web(seed, n=120):
         (1, 5, "lifting", True),
         (1, 5, "lifting", False),
         (2, 3, "walk", False),
-        (2, 3, "loop", True),
+        (2, 3, "walk", True),
         (3, 0, "lifting", True),
         (4, 1, "lifting", True),
         (5, 8, "lifting", True),

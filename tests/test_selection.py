@@ -62,9 +62,9 @@ def test_never_checked_follows_not_in(spark, ids, wanted):
 
 def test_sql_source_must_return_id_and_name(spark):
     url = urls(spark, (1, "u1", "a", True, 1))
-    assert selection.select_sql(spark, "SELECT name, id, 1 AS x FROM url WHERE id = :i", {"i": 1}, url=url).collect() == [(1, "u1")]
+    assert selection.select_sql(spark, "SELECT name, id, 1 AS x FROM {url} WHERE id = :i", {"i": 1}, url=url).collect() == [(1, "u1")]
     with pytest.raises(ValueError, match="name"):
-        selection.select_sql(spark, "SELECT id FROM url", url=url)
+        selection.select_sql(spark, "SELECT id FROM {url}", url=url)
 
 
 def test_selection_plan_trims_before_the_shuffle_and_prunes(spark):

@@ -37,7 +37,7 @@ def test_late_rows_go_to_history_and_replays_change_nothing(spark, tmp_path):
 
 def test_history_split_is_complete(spark):
     log = rows_of(spark, *[(i % 4, f"2024-01-{1 + i:02d}", "Ok") for i in range(20)])
-    current, history = status.split_history(log, min_rows=3, small_bytes=0)
+    current, history = status.split_history(log)
     assert current.count() == 4 and history.count() == 16
     assert {str(r.checking_date)[:10] for r in current.collect()} == {f"2024-01-{d}" for d in (17, 18, 19, 20)}
 

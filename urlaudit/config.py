@@ -46,6 +46,11 @@ class AuditConfig:
     # (full-match pattern on the queue key, slots), first match wins
     queue_threads: tuple[tuple[str, int], ...] = field(default=())
     queue_timeout_ms: int = -1
+    # (host, milliseconds): settings of single hosts, used where no table of them is given
+    host_delays: tuple[tuple[str, int], ...] = field(default=())
+    host_timeouts: tuple[tuple[str, int], ...] = field(default=())
+    # exception classes that count as broken beside the standard ones
+    broken_exceptions: tuple[str, ...] = field(default=())
 
     def __post_init__(self) -> None:
         if self.queue_mode not in QUEUE_MODES:
@@ -71,6 +76,12 @@ class AuditConfig:
         def millis(key: str, default: float) -> int:
             return int(float(conf.get(key, default)) * 1000)
 
+        def by_host(key: str, scale: int) -> tuple[tuple[str, int], ...]:
+            value = conf.get(key) or {}
+            if not isinstance(value, Mapping):
+                raise ValueError(f"{key!r} must map hosts to numbers")
+            return tuple((str(host), int(float(number) * scale)) for host, number in value.items())
+
         max_delay = int(conf.get("fetcher.max.crawl.delay", 30))
         timeout = int(conf.get("fetcher.timeout.queue", -1))
         prefix = "fetcher.maxThreads."
@@ -90,4 +101,6 @@ class AuditConfig:
             threads_per_queue=int(conf.get("fetcher.threads.per.queue", 1)),
             queue_threads=tuple((k[len(prefix):], int(v)) for k, v in conf.items() if k.startswith(prefix)),
             queue_timeout_ms=timeout * 1000 if timeout >= 0 else -1,
+            host_delays=by_host("fetcher.server.delay.individual", 1000),
+            host_timeouts=by_host("http.timeout.individual", 1),
         )

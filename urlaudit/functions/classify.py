@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from urlaudit.config import BROKEN, OK, RESTRICTED, UNDETERMINED, AuditConfig
 
 # Exception classes whose URL counts as broken, subclasses spelled out because a
-# table has no class hierarchy. Every other class is Undetermined; the ones named for it are below.
+# table has no class hierarchy. Every other class is Undetermined.
 BROKEN_EXCEPTIONS = (
     "java.net.MalformedURLException",
     "java.lang.IllegalArgumentException",
@@ -25,18 +25,6 @@ BROKEN_EXCEPTIONS = (
     "java.net.NoRouteToHostException",
     "org.apache.http.ConnectionClosedException",
 )
-UNDETERMINED_EXCEPTIONS = (
-    "org.apache.http.client.RedirectException",
-    "org.apache.http.client.CircularRedirectException",
-    "javax.net.ssl.SSLException",
-    "javax.net.ssl.SSLHandshakeException",
-    "javax.net.ssl.SSLKeyException",
-    "javax.net.ssl.SSLPeerUnverifiedException",
-    "javax.net.ssl.SSLProtocolException",
-    "java.net.SocketException",
-    "java.net.BindException",
-    "java.net.PortUnreachableException",
-)
 
 # Messages stored with a status.
 MSG_ROBOTS = "Blocked by robots.txt"
@@ -47,8 +35,9 @@ MSG_UNKNOWN_HOST = "Unknown host"
 MSG_PROTOCOL = ("the '", "'-protocol is not supported by the HostProtocolFactory")
 
 
-def category_of_exception(cls: Column) -> Column:
-    return F.when(cls.isin(*BROKEN_EXCEPTIONS), BROKEN).when(cls.isNotNull(), UNDETERMINED)
+def category_of_exception(cls: Column, also_broken: tuple[str, ...] = ()) -> Column:
+    """``also_broken`` names further classes, such as subclasses a crawl has met."""
+    return F.when(cls.isin(*BROKEN_EXCEPTIONS, *also_broken), BROKEN).when(cls.isNotNull(), UNDETERMINED)
 
 
 def message_of_exception(cls: Column, cause: Column, message: Column) -> Column:

@@ -44,11 +44,11 @@ def method_label(head_flag: Column) -> Column:
 
 
 def redirect_count(text: Column) -> Column:
-    return F.coalesce(text.cast("int"), F.lit(0))
+    return F.coalesce(text.try_cast("int"), F.lit(0))
 
 
 def checking_date(text: Column) -> Column:
-    return F.to_timestamp_ntz(text)
+    return text.try_cast("timestamp_ntz")
 
 
 def first_value(metadata: Column, key: str) -> Column:
@@ -75,8 +75,3 @@ def merge_prefixed(metadata: Column, headers: Column, prefix: str = "") -> Colum
 def persisted(metadata: Column) -> Column:
     return F.map_filter(metadata, lambda k, _: k.isin(*PERSISTED_KEYS))
 
-
-def header(headers: Column, name: str) -> Column:
-    """Header value under ``name`` in any case; the smallest key decides if several differ in case only."""
-    hits = F.map_filter(headers, lambda k, _: F.lower(k) == name.lower())
-    return F.element_at(hits, F.array_min(F.map_keys(hits)))

@@ -74,10 +74,14 @@ def queue_key(url: Column, given: Column | None = None, found: Column | None = N
     return by_mode if given is None else F.when(given.rlike(r"\S"), F.lower(given)).otherwise(by_mode)
 
 
+def _without_query(url: Column) -> Column:
+    return F.substring_index(url, "?", 1)
+
+
 def _directory(url: Column) -> Column:
-    """Up to the last slash before the query, without it."""
-    base = F.substring_index(url, "?", 1)
-    return F.left(base, F.length(base) - F.length(F.substring_index(base, "/", -1)) - 1)
+    """Up to the last slash before the query, without it; NULL without any slash."""
+    base = _without_query(url)
+    return F.when(base.contains("/"), F.left(base, F.length(base) - F.length(F.substring_index(base, "/", -1)) - 1))
 
 
 def _is_strict_uri(url: Column) -> Column:
@@ -124,6 +128,12 @@ def location_error(url: Column, location: Column) -> Column:
     ).when(
         location.startswith("/") & ~_is_strict_uri(url),
         F.struct(F.lit("java.net.URISyntaxException").alias("class"), message.alias("message")),
+    ).when(
+        ~location.startswith("/") & ~(location.rlike("^(http|ftp).+$") & ~location.startswith(".")) & ~_without_query(url).contains("/"),
+        F.struct(
+            F.lit("java.lang.StringIndexOutOfBoundsException").alias("class"),
+            F.concat(F.lit("begin 0, end -1, length "), F.length(_without_query(url)).cast("string")).alias("message"),
+        ),
     )
 
 

@@ -7,60 +7,66 @@ from pyspark.sql import functions as F
 
 from urlaudit.config import BLOCKED, BROKEN, RESTRICTED, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, urls
-from urlaudit.operators.skew import lookup_join
+
+
+def _of_host(settings: tuple[tuple[str, int], ...], host: Column) -> Column:
+    """The setting of a host from the configuration, a literal in the plan; NULL without one."""
+    if not settings:
+        return F.lit(None).cast("long")
+    return F.create_map(*[F.lit(part) for pair in settings for part in pair])[host].cast("long")
 
 
 def with_overrides(df: DataFrame, host_overrides: DataFrame | None, conf: AuditConfig, url: str = "url") -> DataFrame:
-    """Add ``override_delay_ms`` (NULL without override) and ``effective_timeout_ms``; hosts match case as given."""
+    """Add ``override_delay_ms`` (NULL without override) and ``effective_timeout_ms``; hosts match case as given.
+
+    A table of overrides stands above the hosts named in the configuration."""
+    host = urls.host(F.col(url))
+    delay, timeout = _of_host(conf.host_delays, host), _of_host(conf.host_timeouts, host)
+    default = F.lit(conf.timeout_ms).cast("long")
     if host_overrides is None:
-        return df.withColumns(
-            {"override_delay_ms": F.lit(None).cast("long"), "effective_timeout_ms": F.lit(conf.timeout_ms).cast("long")}
-        )
+        return df.withColumns({"override_delay_ms": delay, "effective_timeout_ms": F.coalesce(timeout, default)})
     one_per_host = host_overrides.groupBy(F.col("host").alias("_host")).agg(
-        F.max("delay_ms").cast("long").alias("override_delay_ms"),
+        F.max("delay_ms").cast("long").alias("_delay_ms"),
         F.max("timeout_ms").cast("long").alias("_timeout_ms"),
     )
-    joined = lookup_join(df.withColumn("_host", urls.host(F.col(url))), one_per_host, ["_host"])
-    timeout = F.coalesce("_timeout_ms", F.lit(conf.timeout_ms).cast("long"))
-    return joined.withColumn("effective_timeout_ms", timeout).drop("_host", "_timeout_ms")
+    joined = df.withColumn("_host", host).join(one_per_host, ["_host"], "left")
+    return joined.withColumns(
+        {"override_delay_ms": F.coalesce("_delay_ms", delay), "effective_timeout_ms": F.coalesce("_timeout_ms", timeout, default)}
+    ).drop("_host", "_delay_ms", "_timeout_ms")
+
+
+def path_pattern(path: Column) -> Column:
+    """The regular expression of a rule's path with ``*`` (anything) or a final ``$`` (end of the path); NULL for a plain prefix."""
+    quoted = F.regexp_replace(F.regexp_replace(path, r"\$$", ""), r"([\\.\[\](){}+?^$|])", r"\\$1")
+    ends = F.when(path.endswith("$"), F.lit(r"\z")).otherwise(F.lit(""))
+    return F.when(path.contains("*") | path.endswith("$"), F.concat(F.lit("^"), F.replace(quoted, F.lit("*"), F.lit(".*")), ends))
 
 
 def with_robots(df: DataFrame, robots_rules: DataFrame | None, url: str = "url") -> DataFrame:
-    """Add ``robots_allowed`` and ``robots_delay_ms``. Longest matching prefix decides, allow wins a tie.
+    """Add ``robots_allowed`` and ``robots_delay_ms``. The longest matching path decides, allow wins a tie; an empty path matches
+    nothing, and ``*`` and a final ``$`` are wildcards.
 
-    Each URL of a host with rules is matched by equality against its own leading parts, one per rule
-    length that host uses. The number of rules of a host thus never multiplies with its URLs.
+    The rules of a host are one row, an array no longer than its robots.txt, so each URL joins once by host and looks for its rule
+    inside the row; rules and URLs of a host never multiply.
     """
     if robots_rules is None:
         return df.withColumns({"robots_allowed": F.lit(True), "robots_delay_ms": F.lit(None).cast("long")})
-    rules = robots_rules.withColumn("_host", F.lower("host"))
-    hosts = rules.groupBy("_host").agg(
-        F.collect_set(F.length("path_prefix")).alias("_lengths"),
+    prefix = F.col("path_prefix")
+    weight = (F.length(prefix) * 2 + (F.col("rule") == "allow").cast("int")).alias("weight")
+    rule = F.struct(prefix.alias("prefix"), path_pattern(prefix).alias("pattern"), weight)
+    hosts = robots_rules.groupBy(F.lower("host").alias("_host")).agg(
+        F.collect_set(F.when(prefix != "", rule)).alias("_rules"),
         F.max("crawl_delay_ms").cast("long").alias("robots_delay_ms"),
     )
-    rule_of = rules.groupBy("_host", F.col("path_prefix").alias("_prefix")).agg(
-        F.max(F.col("rule") == "allow").alias("_allow")
-    )
     corrected = urls.correct_url(F.col(url))
-    keyed = lookup_join(df.withColumn("_host", F.lower(urls.host(corrected))), hosts, ["_host"])
-
-    path = urls.path_and_query(corrected)
-    parts = (
-        keyed.filter("_lengths IS NOT NULL")
-        .select("_host", url, path.alias("_path"), F.explode("_lengths").alias("_length"))
-        .filter(F.length("_path") >= F.col("_length"))
-        .select("_host", url, F.expr("substring(_path, 1, _length)").alias("_prefix"))
-    )
-    # Longest first, then allow, as one number: a hash aggregate, combined before the shuffle.
-    weight = F.length("_prefix") * 2 + F.col("_allow").cast("int")
-    verdicts = (
-        lookup_join(parts, rule_of, ["_host", "_prefix"], "inner")
-        .groupBy(url)
-        .agg((F.max(weight) % 2 == 1).alias("robots_allowed"))
-        .filter(~F.col("robots_allowed"))
+    keyed = df.withColumn("_host", F.lower(urls.host(corrected))).join(hosts, ["_host"], "left")
+    keyed = keyed.withColumn("_path", F.when(F.size("_rules") > 0, urls.path_and_query(corrected)))
+    hits = F.filter(
+        "_rules",
+        lambda r: F.when(r["pattern"].isNull(), F.col("_path").startswith(r["prefix"])).otherwise(F.regexp_like(F.col("_path"), r["pattern"])),
     )
-    allowed = F.coalesce("robots_allowed", F.lit(True))
-    return lookup_join(keyed.drop("_host", "_lengths"), verdicts, [url]).withColumn("robots_allowed", allowed)
+    heaviest = F.array_max(F.transform(hits, lambda r: r["weight"]))
+    return keyed.withColumn("robots_allowed", F.coalesce(heaviest % 2 == 1, F.lit(True))).drop("_host", "_rules", "_path")
 
 
 def with_login(df: DataFrame, login_pages: DataFrame | None, url: str = "url") -> DataFrame:
@@ -68,7 +74,7 @@ def with_login(df: DataFrame, login_pages: DataFrame | None, url: str = "url") -
     if login_pages is None:
         return df.withColumn("is_login_page", F.lit(False))
     listed = login_pages.select(F.col("url").alias("_page"), F.lit(True).alias("_listed")).distinct()
-    joined = lookup_join(df.withColumn("_page", urls.correct_url(F.col(url))), listed, ["_page"])
+    joined = df.withColumn("_page", urls.correct_url(F.col(url))).join(listed, ["_page"], "left")
     return joined.withColumn("is_login_page", F.coalesce("_listed", F.lit(False))).drop("_page", "_listed")
 
 
@@ -180,17 +186,17 @@ def with_domain(df: DataFrame, public_suffixes: DataFrame, url: str = "url") ->
     listed = public_suffixes.select("suffix").distinct()
     longest = F.max(F.struct(F.length("suffix"), "_domain"))
     domains = (
-        lookup_join(tails, listed, ["suffix"], "left_semi")
+        tails.join(listed, ["suffix"], "left_semi")
         .groupBy("_host")
         .agg(longest.getField("_domain").alias("domain"))
     )
-    return lookup_join(hosted, domains, ["_host"]).drop("_host")
+    return hosted.join(domains, ["_host"], "left").drop("_host")
 
 
 def with_ip(df: DataFrame, host_ip: DataFrame, url: str = "url") -> DataFrame:
     """Add ``ip`` of the URL's host, NULL where it is not known."""
     known = host_ip.groupBy(F.lower("host").alias("_host")).agg(F.min("ip").alias("ip"))
-    return lookup_join(df.withColumn("_host", F.lower(urls.host(F.col(url)))), known, ["_host"]).drop("_host")
+    return df.withColumn("_host", F.lower(urls.host(F.col(url)))).join(known, ["_host"], "left").drop("_host")
 
 
 def with_queue_key(

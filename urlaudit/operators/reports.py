@@ -27,10 +27,10 @@ def queue_summary(frontier: DataFrame, in_progress: str = "in_progress") -> Data
     return frontier.groupBy("queue_key").agg((F.count("*") - busy).alias("size"), busy.alias("in_progress"))
 
 
-def queue_contents(frontier: DataFrame, seq: str = "seq", in_progress: str = "in_progress", **run) -> DataFrame:
+def queue_contents(frontier: DataFrame, seq: str = "seq", in_progress: str = "in_progress") -> DataFrame:
     """Every waiting URL with its position in its queue: the whole snapshot, as rows and not as lists."""
     waiting = frontier.filter(~F.col(in_progress)).select("queue_key", seq, "url")
-    return ordered_run(waiting, ["queue_key"], [F.asc(seq)], number="position", **run)
+    return ordered_run(waiting, ["queue_key"], [F.asc(seq)], number="position")
 
 
 def being_fetched(frontier: DataFrame, in_progress: str = "in_progress") -> DataFrame:

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from urlaudit.config import GET, HEAD, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, records, urls
-from urlaudit.operators.gates import category_of_gate, message_of_gate, with_gates
+from urlaudit.operators.gates import category_of_gate, message_of_gate, with_gates, with_overrides
 from urlaudit.operators.selection import drop_blank
-from urlaudit.operators.skew import broadcasts, estimated_bytes, lookup_join
 from urlaudit.session import materialize
 
 FRONTIER = ["url_id", "original_url", "url", "method", "redirect_count"]
@@ -33,37 +32,52 @@ OUTCOME = [
 ]
 
 
-# Fields of an observation. The first ones decide the route; a node built from these alone picks the
-# same observation among repeated ones, because the greatest is chosen field by field.
+# The fields of an observation that decide its route.
 ROUTE_FIELDS = ["status_code", "location", "exception_class"]
-
-FAR_SMALLER = 10
-
-
-def far_smaller(wanted: DataFrame, responses: DataFrame) -> bool:
-    return estimated_bytes(wanted) * FAR_SMALLER <= estimated_bytes(responses)
+# How an answer that comes after the host's timeout is seen.
+LATE_CLASS, LATE_MESSAGE = "java.net.SocketTimeoutException", "Read timed out"
+
+
+def with_timeouts(responses: DataFrame, conf: AuditConfig, host_overrides: DataFrame | None = None) -> DataFrame:
+    """Answers slower than the timeout of their host become socket timeouts, as the request would have been given up."""
+    if conf.timeout_ms < 0 and host_overrides is None:
+        return responses
+    timed = with_overrides(responses, host_overrides, conf)
+    bound = F.col("effective_timeout_ms")
+    late = F.coalesce(F.col("exception_class").isNull() & (bound >= 0) & (F.col("duration_ms") > bound), F.lit(False))
+    timed = timed.withColumn("_late", late).withColumns(
+        {
+            "status_code": F.when(~late, F.col("status_code")),
+            "location": F.when(~late, F.col("location")),
+            "exception_class": F.when(late, LATE_CLASS).otherwise(F.col("exception_class")),
+            "exception_message": F.when(late, LATE_MESSAGE).otherwise(F.col("exception_message")),
+        }
+    )
+    return timed.select(*responses.columns)
 
 
-def response_nodes(responses: DataFrame, wanted: DataFrame | None = None, route_only: bool = False) -> DataFrame:
+def response_nodes(
+    responses: DataFrame, wanted: DataFrame | None = None, conf: AuditConfig | None = None, host_overrides: DataFrame | None = None
+) -> DataFrame:
     """One row per URL with structs ``head`` and ``get``; NULL where that method was not observed.
 
     Repeated observations are collapsed before the shuffle; ``observed_at``, if the table has it,
     lets the newest win, otherwise the greatest does, so the result does not depend on row order.
-    A ``wanted`` table far smaller than the responses filters them first; beside a larger one that
-    would only shuffle it once more. Header names are expected in lower case.
+    With ``wanted``, only its URLs are grouped. Header names are expected in lower case.
     """
     seen = responses
-    if wanted is not None and far_smaller(wanted, responses):
-        seen = lookup_join(seen, wanted.select("url").distinct(), ["url"], "left_semi")
+    if wanted is not None:
+        seen = seen.join(wanted.select("url").distinct(), "url", "left_semi")
+    if conf is not None:
+        seen = with_timeouts(seen, conf, host_overrides)
     fields = [F.col(name) for name in ROUTE_FIELDS]
-    if not route_only:
-        fields += [
-            F.col("cause_class"),
-            F.col("exception_message"),
-            F.col("headers")["content-length"].alias("content_length"),
-            F.col("headers")["content-type"].alias("content_type"),
-            F.col("duration_ms"),
-        ]
+    fields += [
+        F.col("cause_class"),
+        F.col("exception_message"),
+        F.col("headers")["content-length"].alias("content_length"),
+        F.col("headers")["content-type"].alias("content_type"),
+        F.col("duration_ms"),
+    ]
     at = [F.col("observed_at")] if "observed_at" in responses.columns else []
     seen = seen.select("url", "method", F.struct(*at, *fields).alias("seen"))
     return seen.groupBy("url").agg(
@@ -126,7 +140,7 @@ def _with_record(df: DataFrame, seen: str, conf: AuditConfig) -> DataFrame:
     return staged.withColumns(
         {
             "category": F.when(over, UNDETERMINED)
-            .when(failed, classify.category_of_exception(F.col("_class")))
+            .when(failed, classify.category_of_exception(F.col("_class"), conf.broken_exceptions))
             .otherwise(F.col("_status")),
             "message": F.when(over, classify.message_of_limit(F.col("original_url"), conf)).otherwise(
                 F.coalesce("_raised", "_said")
@@ -142,14 +156,17 @@ def _with_record(df: DataFrame, seen: str, conf: AuditConfig) -> DataFrame:
 RECORD = ["category", "message", "status_code", "content_length", "content_type", "duration_ms"]
 
 
-def route_attempt(frontier: DataFrame, responses: DataFrame, conf: AuditConfig, mode: str = "compat") -> DataFrame:
+def route_attempt(
+    frontier: DataFrame, responses: DataFrame, conf: AuditConfig, mode: str = "compat", host_overrides: DataFrame | None = None
+) -> DataFrame:
     """One round of the decision list: each frontier row against the response to its method.
 
     Adds ``route`` (``unobserved``, ``follow``, ``retry_get`` or ``status``), the next attempt's
     ``next_url``, ``next_method`` and ``next_count``, and the columns of a finished attempt.
     """
     seen = F.when(F.col("method") == HEAD, F.col("head")).otherwise(F.col("get"))
-    joined = lookup_join(frontier, response_nodes(responses, frontier), ["url"]).withColumn("_a", seen)
+    nodes = response_nodes(responses, conf=conf, host_overrides=host_overrides)
+    joined = frontier.join(nodes, "url", "left").withColumn("_a", seen)
     routed = _with_record(_routed(joined, "_a", F.col("method"), conf, mode), "_a", conf)
     routed = routed.withColumnRenamed("_a_route", "route")
     goes, again, ends = (F.col("route") == r for r in ("follow", "retry_get", "status"))
@@ -180,10 +197,9 @@ def _decided(df: DataFrame, conf: AuditConfig, mode: str) -> DataFrame:
     return twice.withColumns({**last, "last_method": F.when(F.col("_retry"), GET).otherwise(F.col("method"))})
 
 
-def _settled(frontier: DataFrame, responses: DataFrame, gates: dict, conf: AuditConfig, mode: str) -> DataFrame:
+def _settled(frontier: DataFrame, nodes: DataFrame, gates: dict, conf: AuditConfig, mode: str) -> DataFrame:
     """Decide each frontier row: final, unobserved, or ``follow`` with ``next_url``."""
-    nodes = response_nodes(responses, frontier)
-    decided = _decided(lookup_join(with_gates(frontier, conf, **gates), nodes, ["url"]), conf, mode)
+    decided = _decided(with_gates(frontier, conf, **gates).join(nodes, "url", "left"), conf, mode)
     gate, gated, count = F.col("gate"), F.col("gate").isNotNull(), F.col("redirect_count")
     decided = decided.withColumn("route", F.when(gated, "status").otherwise(F.col("last_route")))
     recorded = _with_record(decided, "last", conf).withColumns(
@@ -224,12 +240,16 @@ def _finished(settled: DataFrame) -> DataFrame:
     return settled.filter(F.col("route") != "follow").select(*OUTCOME)
 
 
-def resolve_loop(frontier, responses, conf, mode: str = "compat", **gates) -> DataFrame:
-    """One settled round per redirect until nothing is left to follow. The readable definition."""
+def resolve_walk(frontier, responses, conf, mode: str = "compat", **gates) -> DataFrame:
+    """One settled round per redirect until nothing is left to follow. The readable definition.
+
+    A round groups only the responses of the URLs it has reached, so for a frontier far smaller than the responses it shuffles in
+    proportion to the frontier."""
     outcomes = []
-    current = drop_blank(frontier.select(*FRONTIER))
+    current = materialize(drop_blank(frontier.select(*FRONTIER)), "start")
     for _ in range(conf.redirect_limit + 1):
-        settled = materialize(_settled(current, responses, gates, conf, mode), "round")
+        nodes = response_nodes(responses, current, conf, gates.get("host_overrides"))
+        settled = materialize(_settled(current, nodes, gates, conf, mode), "round")
         outcomes.append(_finished(settled))
         current = _advance(settled)
         if current.isEmpty():
@@ -244,12 +264,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
-def redirect_edges(responses: DataFrame, conf: AuditConfig, mode: str = "compat", **gates) -> DataFrame:
+def redirect_edges(nodes: DataFrame, conf: AuditConfig, mode: str = "compat", **gates) -> DataFrame:
     """The redirect a state ``(url, method)`` takes, for states that take one and pass the gates.
 
     Far narrower than the responses: only redirecting states, only URLs and methods.
     """
-    nodes = response_nodes(responses, route_only=True)
     some = F.lit(False)
     for seen in ("head", "get"):
         some = some | F.coalesce(F.col(f"{seen}.status_code").isin(*conf.redirect_codes), F.lit(False))
@@ -266,25 +285,18 @@ def redirect_edges(responses: DataFrame, conf: AuditConfig, mode: str = "compat"
     return gated.filter(F.col("gate").isNull()).select(*edges.columns)
 
 
-def _small_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """A left join to jumps whose size was checked."""
-    return left.join(F.broadcast(right), on, "left")
-
-
-def _jump(frontier: DataFrame, jumps: DataFrame, join=lookup_join) -> DataFrame:
-    """Move each row along its jump; a row without one stays. ``moved`` tells how far it went."""
-    joined = join(frontier, jumps, ["url", "method"])
-    return joined.select(
+def _jump(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
+    """Move each row along its jump; a row without one stays."""
+    return frontier.join(jumps, ["url", "method"], "left").select(
         "url_id",
         "original_url",
         F.coalesce("to_url", "url").alias("url"),
         F.coalesce("to_method", "method").alias("method"),
         (F.col("redirect_count") + F.coalesce("steps", F.lit(0))).alias("redirect_count"),
-        F.coalesce("steps", F.lit(0)).alias("moved"),
     )
 
 
-def _double(jumps: DataFrame, join=lookup_join) -> DataFrame:
+def _double(jumps: DataFrame) -> DataFrame:
     """Jumps of twice the length: each jump continued by the jump that starts where it ends."""
     onward = jumps.select(
         F.col("url").alias("to_url"),
@@ -293,7 +305,7 @@ def _double(jumps: DataFrame, join=lookup_join) -> DataFrame:
         F.col("to_method").alias("end_method"),
         F.col("steps").alias("more"),
     )
-    return join(jumps, onward, ["to_url", "to_method"]).select(
+    return jumps.join(onward, ["to_url", "to_method"], "left").select(
         "url",
         "method",
         F.coalesce("end_url", "to_url").alias("to_url"),
@@ -305,54 +317,17 @@ def _double(jumps: DataFrame, join=lookup_join) -> DataFrame:
 def _travel(frontier: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
     """Move every row up to ``distance`` redirects, stopping early where no edge leads on.
 
-    Binary lifting: jumps of length 1, 2, 4, ... are applied for the bits of ``distance``. A row that
-    moved less than the full jump has arrived and takes no further part; when no jump has its full
-    length any more, one last application finishes every row.
+    Binary lifting: jumps of up to 1, 2, 4, ... redirects are applied for the bits of ``distance``. Each doubled table is written,
+    so no plan holds more than one join for each bit.
     """
-    arrived, length, travelled = [], 1, 0
-    while travelled < distance:
-        longest = jumps.agg(F.max("steps")).first()[0] or 0
-        exhausted = longest < length
-        if exhausted and travelled == length - 1:
-            break
-        if distance & length or exhausted:
-            moved = materialize(_jump(frontier, jumps), "travel")
-            arrived.append(moved.filter(F.col("moved") < length).select(*FRONTIER))
-            frontier = moved.filter(F.col("moved") == length).select(*FRONTIER)
-            travelled += length
-            if exhausted:
-                break
-        length *= 2
-        if length > distance:
-            break
-        jumps = materialize(_double(jumps), "jumps")
-    return _union([frontier, *arrived])
-
-
-def _travel_small(frontier: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
-    """The same in one job, for edges within Catalyst's broadcast limit; no jump table has more rows."""
     length = 1
     while length <= distance:
         if distance & length:
-            frontier = _jump(frontier, jumps, _small_join).select(*FRONTIER)
+            frontier = _jump(frontier, jumps)
         length *= 2
         if length <= distance:
-            jumps = _double(jumps, _small_join)
-    return materialize(frontier, "travel")
-
-
-def _walk(frontier: DataFrame, edges: DataFrame, distance: int) -> DataFrame:
-    """The same, one redirect at a time. Only edges that start at the frontier are joined."""
-    arrived = []
-    for _ in range(distance):
-        here = frontier.select("url", "method").distinct()
-        near = lookup_join(edges, here, ["url", "method"], "left_semi")
-        moved = materialize(_jump(frontier, near), "walk")
-        arrived.append(moved.filter("moved = 0").select(*FRONTIER))
-        frontier = moved.filter("moved > 0").select(*FRONTIER)
-        if frontier.isEmpty():
-            break
-    return _union([frontier, *arrived])
+            jumps = materialize(_double(jumps), "jumps")
+    return frontier
 
 
 def resolve(
@@ -367,35 +342,34 @@ def resolve(
 ) -> DataFrame:
     """Final state of every frontier row; route ``status``, or ``unobserved`` where a response is missing.
 
-    ``lifting`` settles all rows once, moves the redirected ones with log2(limit) joins and settles
-    them where they arrive; a small table of redirects is broadcast. ``walk`` moves them one redirect at a time, the better form for a frontier
-    much smaller than the responses, such as one poll. ``loop`` settles every round and is the
-    definition the others are tested against. All give the same rows.
+    ``lifting`` groups the responses once, moves every row by log2(limit) joins to where its redirects end, and settles it there
+    once. ``walk`` settles and moves one redirect at a time and groups only responses of URLs it reaches, the better form for a
+    frontier much smaller than the responses, such as one poll, and the definition the other is tested against.
     """
     gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
-    if method == "loop":
-        return resolve_loop(frontier, responses, conf, mode, **gates)
-    if method not in ("lifting", "walk"):
+    if method == "walk":
+        return resolve_walk(frontier, responses, conf, mode, **gates)
+    if method != "lifting":
         raise ValueError(f"unknown method {method!r}")
     start = drop_blank(frontier.select(*FRONTIER))
-    if robots_rules is not None or far_smaller(start, responses):
-        start = materialize(start, "start")  # read more than once: by the robots gate, to filter responses
-    first = materialize(_settled(start, responses, gates, conf, mode), "round")
-    outcomes = [_finished(first)]
-    moving = _advance(first)
-    # Jumps know no submitted URL, so a submitted login page, exempt from its own gate, is walked.
+    # Jumps know neither a submitted URL nor how far a row has come: a submitted login page, which its own gate spares, and
+    # rows that have been redirected before are walked.
+    special = F.col("redirect_count") > 0
     if login_pages is not None:
-        listed = login_pages.select(F.col("url").alias("_page")).distinct()
-        keyed = moving.withColumn("_page", urls.correct_url(F.col("original_url")))
-        walked = lookup_join(keyed, listed, ["_page"], "left_semi").select(*FRONTIER)
-        moving = lookup_join(keyed, listed, ["_page"], "left_anti").select(*FRONTIER)
-        if not walked.isEmpty():
-            outcomes.append(resolve_loop(walked, responses, conf, mode, **gates))
-    if conf.redirect_limit > 0 and not moving.isEmpty():
-        edges = materialize(redirect_edges(responses, conf, mode, **gates), "edges")
-        move = _travel_small if broadcasts(edges) else _travel if method == "lifting" else _walk
-        ended = move(moving, edges, conf.redirect_limit - 1)
-        outcomes.append(_finished(materialize(_settled(ended, responses, gates, conf, mode), "round")))
+        listed = login_pages.select(F.col("url").alias("_page"), F.lit(True).alias("_listed")).distinct()
+        start = start.withColumn("_page", urls.correct_url(F.col("original_url"))).join(listed, "_page", "left")
+        special = special | F.coalesce("_listed", F.lit(False))
+    start = materialize(start.withColumn("_special", special).select(*FRONTIER, "_special"), "start")
+    outcomes = []
+    walked = start.filter("_special").select(*FRONTIER)
+    if not walked.isEmpty():
+        outcomes.append(resolve_walk(walked, responses, conf, mode, **gates))
+    nodes = materialize(response_nodes(responses, conf=conf, host_overrides=host_overrides), "nodes")
+    ended = start.filter("NOT _special").select(*FRONTIER)
+    if conf.redirect_limit > 0:
+        edges = materialize(redirect_edges(nodes, conf, mode, **gates), "edges")
+        ended = _travel(ended, edges, conf.redirect_limit)
+    outcomes.append(_finished(materialize(_settled(ended, nodes, gates, conf, mode), "settled")))
     return _union(outcomes)
 
 
@@ -421,8 +395,11 @@ def split_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def drop_queue_timeouts(scheduled: DataFrame, conf: AuditConfig) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped) by planned wait; a dropped row leaves no status."""
+    """(kept, dropped) by planned wait; a dropped row leaves no status. A row whose wait is not known is kept, and so is one that a
+    gate answers before the wait is looked at."""
     if conf.queue_timeout_ms < 0:
-        return scheduled, scheduled.limit(0)
-    waited = F.col("start_offset_ms") > conf.queue_timeout_ms
+        return scheduled, scheduled.filter(F.lit(False))
+    waited = F.coalesce(F.col("start_offset_ms") > conf.queue_timeout_ms, F.lit(False))
+    if "gate" in scheduled.columns:
+        waited = waited & F.col("gate").isNull()
     return scheduled.filter(~waited), scheduled.filter(waited)

@@ -16,7 +16,8 @@ from urlaudit.config import (
     PREFIX_LIMIT,
 )
 from urlaudit.functions import urls
-from urlaudit.operators.skew import lookup_join, rank_within
+from urlaudit.operators.skew import rank_within
+from urlaudit.session import materialize
 
 
 def as_date(as_of: str | dt.date | Column) -> Column:
@@ -68,13 +69,21 @@ def due_handles(url, status, url_context, as_of, per_group=PREFIX_LIMIT, limit=H
 
 
 def due_all(url, status, url_context, as_of) -> DataFrame:
-    """Both polls; their groups are disjoint, so nothing is de-duplicated."""
-    return due_urls(url, status, url_context, as_of).unionByName(due_handles(url, status, url_context, as_of))
+    """Both polls from one pass over the candidates; their groups are disjoint, so nothing is de-duplicated.
+
+    One ranking keyed by branch and group cuts every group to its limit; what is left is written and each poll takes its own rows."""
+    candidates = due_candidates(url, status, url_context, as_of).filter(F.col("group_key").isNotNull())
+    handle = F.col("group_key") == HANDLE_GROUP
+    group = F.struct(handle.alias("handle"), F.when(handle, urls.handle_prefix(F.col("name"))).otherwise(F.col("group_key")).alias("of"))
+    ranked = rank_within(candidates, group, poll_order(), max(GROUP_LIMIT, PREFIX_LIMIT), unique="id")
+    ranked = materialize(ranked.filter(F.col("order_nr") <= F.when(handle, PREFIX_LIMIT).otherwise(GROUP_LIMIT)), "ranked")
+    polls = [ranked.filter(chosen).orderBy(*poll_order()).limit(limit) for chosen, limit in ((~handle, POLL_LIMIT), (handle, HANDLE_POLL_LIMIT))]
+    return polls[0].unionByName(polls[1])
 
 
 def exclude_in_flight(selected: DataFrame, in_flight: DataFrame) -> DataFrame:
     """Drop URLs, by name, that are still being checked."""
-    return lookup_join(selected, in_flight.select("name").distinct(), ["name"], "left_anti")
+    return selected.join(in_flight.select("name").distinct(), ["name"], "left_anti")
 
 
 def seed_frontier(selected: DataFrame) -> DataFrame:
@@ -118,10 +127,8 @@ def count_unchecked(url: DataFrame, status: DataFrame, url_context: DataFrame) -
 
 
 def select_sql(spark: SparkSession, sql: str, args: dict | None = None, **tables: DataFrame) -> DataFrame:
-    """Any SQL over the given tables as a source, as long as it returns ``id`` and ``name``."""
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    selected = spark.sql(sql, args=args or {})
+    """Any SQL as a source, as long as it returns ``id`` and ``name``; ``{name}`` stands for a given table, ``:name`` for an argument."""
+    selected = spark.sql(sql, args=args or {}, **tables)
     missing = {"id", "name"} - {column.lower() for column in selected.columns}
     if missing:
         raise ValueError(f"the selection must return id and name, missing: {sorted(missing)}")

@@ -1,4 +1,4 @@
-"""Joins and rankings that stay even when one key holds a large share of the rows."""
+"""Rankings that stay even when one group holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -7,65 +7,9 @@ from pyspark.sql import functions as F
 
 from urlaudit.session import materialize
 
-MAX_HOT_KEYS = 1000
-HOT_MIN_ROWS = 1_000_000
-SMALL_BYTES = 256 * 1024 * 1024
 RANK_SALTS = 64
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, the one its own broadcast decision uses."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcasts(df: DataFrame) -> bool:
-    """Whether Catalyst's size check lets it broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= estimated_bytes(df) <= limit
-
-
-def key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_MIN_ROWS) -> list[int]:
-    """Hashes of keys with at least ``min_rows`` and a thousandth of all rows.
-
-    One pass over the key columns with a mergeable sketch, so nothing is shuffled by key. At most
-    MAX_HOT_KEYS keys can hold such a share, which bounds the list. It only steers the physical
-    form of a job: a key that is missed or found without need changes no result.
-    """
-    sketch = F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {MAX_HOT_KEYS * 10})")
-    row = df.select(key_hash(keys).alias("h")).agg(sketch.alias("top"), F.count("*").alias("n")).first()
-    floor = max(min_rows, row["n"] // MAX_HOT_KEYS, 1)
-    return [item["item"] for item in row["top"] or [] if item["count"] >= floor]
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "left",
-    min_rows: int = HOT_MIN_ROWS,
-    small_bytes: int = SMALL_BYTES,
-) -> DataFrame:
-    """Join to a side that is unique on ``on``. ``how`` is left, inner, left_semi or left_anti.
-
-    A small right side is left to Catalyst's size-checked broadcast and a small left side cannot
-    be skewed badly. Otherwise hot keys of the left side are split off: at most MAX_HOT_KEYS right
-    rows match them, so these are broadcast, and all other rows join by shuffle.
-    """
-    if broadcasts(right) or estimated_bytes(left) <= small_bytes:
-        return left.join(right, on, how)
-    hot = hot_keys(left, on, min_rows)
-    if not hot:
-        return left.join(right, on, how)
-    is_hot = key_hash(on).isin(hot)
-    spread = left.filter(~is_hot).join(right.filter(~is_hot), on, how)
-    local = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), on, how)
-    return spread.unionByName(local)
-
-
 def rank_within(df: DataFrame, group: Column, order: list[Column], n: int, unique: str) -> DataFrame:
     """The first ``n`` rows of each group with their rank ``order_nr``.
 
@@ -88,27 +32,18 @@ def ordered_run(
     number: str | None = None,
     totals: dict[str, Column] | None = None,
     previous: dict[str, Column] | None = None,
-    min_rows: int = HOT_MIN_ROWS,
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Row number, running totals before the row, and values of the row before, per group in ``order``.
 
-    ``order`` must be total within a group. Ordinary groups use one window. Hot groups, and the
-    whole table when ``group`` is empty, are cut into ranges of the order that many tasks share.
+    ``order`` must be total within a group. The table is cut into contiguous ranges of (group, order), so a group that holds most of
+    the rows is shared by many tasks; each range is corrected by what came before it. The ranges are written once, because a range
+    partitioning computed twice may cut differently.
     """
     totals, previous = totals or {}, previous or {}
     inputs = {f"_in_{name}": column for name, column in {**totals, **previous}.items()}
     prepared = df.select("*", *[column.alias(name) for name, column in inputs.items()])
     outputs = [*df.columns, *([number] if number else []), *totals, *previous]
-    if not group:
-        return _ranged_run(prepared, group, order, number, list(totals), list(previous)).select(*outputs)
-    hot = [] if estimated_bytes(df) <= small_bytes else hot_keys(df, group, min_rows)
-    is_hot = key_hash(group).isin(hot)
-    plain = _window_run(prepared.filter(~is_hot) if hot else prepared, group, order, number, totals, previous)
-    if not hot:
-        return plain.select(*outputs)
-    ranged = _ranged_run(prepared.filter(is_hot), group, order, number, list(totals), list(previous))
-    return plain.select(*outputs).unionByName(ranged.select(*outputs))
+    return _ranged_run(prepared, group, order, number, list(totals), list(previous)).select(*outputs)
 
 
 def _window_run(df, group, order, number, totals, previous) -> DataFrame:
@@ -121,10 +56,6 @@ def _window_run(df, group, order, number, totals, previous) -> DataFrame:
 
 
 def _ranged_run(df, group, order, number, totals, previous) -> DataFrame:
-    """The same over contiguous ranges of (group, order), each corrected by what came before it.
-
-    The ranges are written once, because a range partitioning computed twice may cut differently.
-    """
     keys = [F.col(g) for g in group]
     ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     runs = materialize(ranged.withColumn("_seq", F.monotonically_increasing_id()), "ranges")

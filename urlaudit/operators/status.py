@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from urlaudit.config import CATEGORIES
 from urlaudit.functions import records
 from urlaudit.operators.selection import active_ids
-from urlaudit.operators.skew import lookup_join, ordered_run
+from urlaudit.operators.skew import ordered_run
 from urlaudit.schema import STATUS_COLUMNS
 
 
@@ -25,7 +25,7 @@ def known_urls(rows: DataFrame, url: DataFrame) -> tuple[DataFrame, DataFrame]:
 def with_known(rows: DataFrame, url: DataFrame) -> DataFrame:
     """Add ``known``: the register has the row's ``url_id``."""
     ids = url.select(F.col("id").alias("url_id"), F.lit(True).alias("_registered"))
-    joined = lookup_join(rows, ids, ["url_id"])
+    joined = rows.join(ids, ["url_id"], "left")
     return joined.withColumn("known", F.coalesce("_registered", F.lit(False))).drop("_registered")
 
 
@@ -49,7 +49,8 @@ def build_status(outcomes: DataFrame, checked_at) -> DataFrame:
 def status_from_metadata(stream: DataFrame, metadata: str = "metadata", fallback_date=None) -> DataFrame:
     """Status rows from ``map<string, array<string>>`` records, the shape checks have on a stream.
 
-    A date that is absent is replaced by ``fallback_date`` (default: now).
+    A date that is absent or unreadable is replaced by ``fallback_date`` (default: now). Unreadable numbers are NULL; a row without a
+    readable id belongs to no URL, see ``split_unreadable``.
     """
     md = F.col(metadata)
 
@@ -58,7 +59,7 @@ def status_from_metadata(stream: DataFrame, metadata: str = "metadata", fallback
 
     now = F.current_timestamp().cast("timestamp_ntz") if fallback_date is None else as_timestamp(fallback_date)
     return stream.select(
-        text("urlId").cast("long").alias("url_id"),
+        text("urlId").try_cast("long").alias("url_id"),
         text("fetch.category").alias("category"),
         records.truncate_message(text("fetch.message")).alias("message"),
         F.coalesce(records.checking_date(text("fetch.checkingDate")), now).alias("checking_date"),
@@ -71,6 +72,11 @@ def status_from_metadata(stream: DataFrame, metadata: str = "metadata", fallback
     )
 
 
+def split_unreadable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with an id, rows to set aside because theirs could not be read)."""
+    return rows.filter(F.col("url_id").isNotNull()), rows.filter(F.col("url_id").isNull())
+
+
 def outcome_metadata(outcomes: DataFrame, checked_at) -> DataFrame:
     """``(url, metadata)`` records of final outcomes: the persisted keys, absent where there is no value."""
     date = F.date_format(as_timestamp(checked_at), "yyyy-MM-dd'T'HH:mm:ss")
@@ -107,14 +113,14 @@ def latest_status(checks: DataFrame, seq: str | None = None) -> DataFrame:
     return checks.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def with_recency(checks: DataFrame, seq: str | None = None, **run) -> DataFrame:
-    """Add ``recency`` per URL: 1 is current, larger is history. ``run`` tunes the split of hot URLs."""
-    return ordered_run(checks, ["url_id"], newest_first(seq), number="recency", **run)
+def with_recency(checks: DataFrame, seq: str | None = None) -> DataFrame:
+    """Add ``recency`` per URL: 1 is current, larger is history."""
+    return ordered_run(checks, ["url_id"], newest_first(seq), number="recency")
 
 
-def split_history(checks: DataFrame, seq: str | None = None, **run) -> tuple[DataFrame, DataFrame]:
+def split_history(checks: DataFrame, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(current, history) of a log of checks."""
-    ranked = with_recency(checks, seq, **run)
+    ranked = with_recency(checks, seq)
     return ranked.filter("recency = 1").drop("recency"), ranked.filter("recency > 1").drop("recency")
 
 

@@ -28,7 +28,9 @@ class CycleTables:
 def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version: int) -> dict:
     """Write snapshot ``version`` of status, history and the latest checks; return the poll summary.
 
-    One poll is bounded, so its redirects are walked step by step.
+    One poll is bounded, so its redirects are walked step by step. URLs that wait too long in their queue and URLs without an
+    observed response are written beside the status, as tables ``timed_out`` and ``unobserved``. How long a request takes is not known
+    before it is made: a URL has waited too long only if the delays before it alone exceed the timeout.
     """
     selected = selection.due_all(tables.url, tables.status, tables.url_context, as_of)
     if tables.in_flight is not None:
@@ -38,8 +40,9 @@ def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version:
     if conf.queue_timeout_ms >= 0:
         queued = frontier.join(polled.select(F.col("id").alias("url_id"), "queue_key"), "url_id")
         paced = politeness.with_delay(queued, conf, tables.robots_rules, tables.host_overrides, given="queue_key")
-        planned = politeness.plan_schedule(paced, F.col("effective_timeout_ms"), ~F.col("robots_allowed"), "url_id")
-        frontier = resolve.drop_queue_timeouts(planned, conf)[0].select(*resolve.FRONTIER)
+        kept, dropped = resolve.drop_queue_timeouts(politeness.plan_schedule(paced, F.lit(0), "url_id"), conf)
+        dropped.select(*resolve.FRONTIER, "queue_key", "start_offset_ms").write.mode("overwrite").parquet(f"{root}/timed_out/version={version}")
+        frontier = kept.select(*resolve.FRONTIER)
     outcomes = resolve.resolve(
         frontier,
         tables.responses,
@@ -49,7 +52,9 @@ def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version:
         host_overrides=tables.host_overrides,
         method="walk",
     )
-    fresh, _ = status.known_urls(status.build_status(outcomes, as_of), tables.url)
+    final, unobserved = resolve.split_outcomes(outcomes)
+    unobserved.select(*resolve.FRONTIER).write.mode("overwrite").parquet(f"{root}/unobserved/version={version}")
+    fresh, _ = status.known_urls(status.build_status(final, as_of), tables.url)
     fresh = materialize(fresh, "fresh")
     sinks.write_status(tables.status, fresh, root, version)
     sinks.write_latest(fresh, f"{root}/latest/version={version}", seq="url_id")

@@ -86,9 +86,12 @@ CTES = {
     "rules": """SELECT concat('host', n, '.example.org') AS host, rule, prefix, delay FROM
         (SELECT DISTINCT b % 50 AS n FROM ord WHERE b % 5 <> 0) h JOIN (VALUES
             (1, 'disallow', '/page1', NULL), (1, 'allow', '/page11', NULL),
+            (4, 'disallow', '', NULL), (4, 'disallow', '/*7$', NULL), (4, 'allow', '/page*77', NULL),
             (2, 'allow', '/', 2000), (3, 'allow', '/', 40000)) v(d, rule, prefix, delay) ON h.n % 10 = v.d""",
     "robots": f"""SELECT u.id, u.name, coalesce(arg_max(rule, length(prefix) * 2 + CAST(rule = 'allow' AS INT))
-            FILTER (starts_with(substr(u.name, length('http://' || {_HOST.format(u='u.name')}) + 1), prefix)), 'allow')
+            FILTER (prefix <> '' AND CASE prefix WHEN '/*7$' THEN ends_with(u.name, '7')
+                WHEN '/page*77' THEN regexp_matches(u.name, '/page.*77')
+                ELSE starts_with(substr(u.name, length('http://' || {_HOST.format(u='u.name')}) + 1), prefix) END), 'allow')
             = 'allow' AS allowed,
         CAST(max(delay) AS BIGINT) AS delay
         FROM url u LEFT JOIN rules ON rules.host = {_HOST.format(u='u.name')} GROUP BY u.id, u.name""",
@@ -107,7 +110,8 @@ CTES = {
         CAST(CASE WHEN u.group_key = 'host1.example.org' THEN 10000 ELSE 5000 END AS BIGINT) AS effective_timeout_ms,
         CASE WHEN regexp_full_match(u.group_key, 'hdl\\..*') THEN 2 WHEN regexp_full_match(u.group_key, 'host1.*') THEN 3
             ELSE 1 END AS queue_slots FROM url u JOIN robots r USING (id) WHERE u.valid""",
-    "delayed": f"""SELECT *, CAST(CASE WHEN queue_slots > 1 THEN 250 WHEN override_delay_ms IS NOT NULL
+    "delayed": f"""SELECT *, CASE WHEN NOT allowed THEN 'robots'
+        WHEN override_delay_ms IS NULL AND robots_delay_ms > {ROBOTS_MAX_MS} THEN 'crawl_delay' END AS gate, CAST(CASE WHEN queue_slots > 1 THEN 250 WHEN override_delay_ms IS NOT NULL
         THEN override_delay_ms WHEN robots_delay_ms > {ROBOTS_MAX_MS} THEN 1000 WHEN robots_delay_ms > 0
         THEN robots_delay_ms ELSE 1000 END AS BIGINT) AS delay_ms FROM paced""",
     "snapshot": "SELECT id AS seq, name AS url, group_key AS queue_key, id % 97 = 0 AS in_progress FROM url",
@@ -126,7 +130,17 @@ def sql(names: list[str], body: str, **renamed: str) -> str:
     return f"WITH RECURSIVE {', '.join(parts)} {body}"
 
 
-def resolution(starts: str, select: str, gates: str = "ungated", needs: tuple[str, ...] = (), missing: str = "false") -> str:
+CTES["timed_responses"] = f"""SELECT url, method, CASE WHEN NOT late THEN status_code END AS status_code,
+        CASE WHEN NOT late THEN location END AS location, content_length, content_type, duration_ms,
+        CASE WHEN late THEN 'java.net.SocketTimeoutException' ELSE exception_class END AS exception_class, cause_class,
+        CASE WHEN late THEN 'Read timed out' ELSE exception_message END AS exception_message
+        FROM (SELECT *, exception_class IS NULL AND duration_ms > CASE {_HOST.format(u='url')}
+            WHEN 'hdl.handle.net' THEN 300 WHEN 'host7.example.org' THEN 100 ELSE 5000 END AS late FROM ({CTES['responses']}))"""
+
+
+def resolution(
+    starts: str, select: str, gates: str = "ungated", needs: tuple[str, ...] = (), missing: str = "false", responses: str = "responses"
+) -> str:
     """The whole resolution as a recursive walk, then ``select`` over its final states ``done``."""
     names = ["ord", "url", *needs, starts, "responses", "attempts", *(["rules", "robots"] if gates != "ungated" else []), gates]
     walk = f"""
@@ -179,7 +193,7 @@ def resolution(starts: str, select: str, gates: str = "ungated", needs: tuple[st
         CASE WHEN gate IS NULL AND cls IS NULL THEN content_type END AS content_type,
         CASE WHEN gate IS NULL AND cls IS NULL THEN duration_ms END AS duration_ms FROM named)
     """
-    return sql(names, walk + select)
+    return sql(names, walk + select, responses=responses)
 
 
 _RESOLVED = "SELECT url_id, url, method, redirect_count, category, message FROM done"
@@ -267,9 +281,10 @@ ORACLES = {
     ),
     "resolve_locations_rfc3986": sql(
         ["page_links"],
-        """SELECT page_id, nr, CASE WHEN starts_with(location, 'http') THEN location
-               ELSE regexp_extract(url, '^[a-z]+://[^/?#]*') || location END AS target
-           FROM page_links WHERE location LIKE '/%' OR location LIKE 'http%'""",
+        r"""SELECT page_id, nr, CASE WHEN starts_with(location, 'http') THEN location
+               WHEN starts_with(location, '/') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || location
+               ELSE regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*/)', 1) || regexp_replace(location, '^\./', '') END AS target
+           FROM page_links""",
     ),
     "categorize": sql(
         ["ord", "responses"],
@@ -323,6 +338,22 @@ ORACLES = {
         "SELECT url_id, url, method, redirect_count FROM done WHERE route = 'unobserved'",
         missing="method = 'GET' AND exception_class IS NOT NULL",
     ),
+    "host_timeouts": resolution("valid_starts", _RESOLVED, responses="timed_responses"),
+    "read_register": sql(_URLS, "SELECT id, name, group_key, priority, CAST(order_nr AS INT) AS order_nr FROM due_urls"),
+    "read_register_catalog": sql(
+        ["ord", "url", "status", "url_context"],
+        """SELECT id, name FROM url WHERE valid AND id NOT IN (SELECT url_id FROM status)
+           AND id IN (SELECT url_id FROM url_context WHERE active)""",
+    ),
+    "read_login_pages": sql(["ord", "responses"], "SELECT DISTINCT location AS url FROM responses WHERE starts_with(location, 'http')"),
+    "read_responses": sql(
+        ["ord", "responses"], "SELECT url, method, CAST(content_length AS VARCHAR) AS content_length, 2 AS headers FROM responses"
+    ),
+    "read_robots_rules": sql(
+        ["ord", "url", "rules", "robots"],
+        """SELECT r.id, allowed AS robots_allowed, delay AS robots_delay_ms,
+               CASE WHEN group_key = 'hdl.handle.net' THEN CAST(100 AS BIGINT) END AS override_delay_ms FROM robots r JOIN url USING (id)""",
+    ),
     "robots_gate": sql(
         ["ord", "url", "rules", "robots"],
         "SELECT id, allowed AS robots_allowed, delay AS robots_delay_ms FROM robots",
@@ -360,7 +391,7 @@ ORACLES = {
         CASE WHEN doc_id % 7 <> 0 THEN 12 END AS duration,
         CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id % 6 END AS INT) AS redirect_count,
         CASE WHEN doc_id % 3 = 0 THEN 'N/A' WHEN doc_id % 2 = 0 THEN 'HEAD' ELSE 'GET' END AS method
-        FROM (SELECT *, lang || '/' || substr(text, 1, 300) AS ct FROM documents)""",
+        FROM (SELECT *, lang || '/' || text AS ct FROM documents)""",
     "metadata_keys": resolution(
         "valid_starts",
         """, total AS (SELECT count(*) AS n, count(status_code) AS answered FROM done)
@@ -411,15 +442,15 @@ ORACLES = {
     ),
     "planned_schedule": sql(
         _PACED,
-        """SELECT url_id, queue_key, delay_ms, CAST(coalesce(sum(CASE WHEN allowed THEN duration_ms + delay_ms ELSE 0 END)
-               OVER (PARTITION BY queue_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
-               AS start_offset_ms FROM delayed""",
+        """SELECT url_id, queue_key, gate, delay_ms, CASE WHEN queue_slots = 1 THEN CAST(coalesce(
+               sum(CASE WHEN gate IS NULL THEN duration_ms + delay_ms ELSE 0 END) OVER (PARTITION BY queue_key
+               ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) END AS start_offset_ms FROM delayed""",
     ),
     "queue_timeout": sql(
         _PACED,
-        """SELECT queue_key, waited > 60000 AS dropped, count(*) AS urls FROM (SELECT queue_key,
-               coalesce(sum(duration_ms + CASE WHEN allowed THEN delay_ms ELSE 0 END) OVER (PARTITION BY queue_key
-               ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS waited FROM delayed)
+        """SELECT queue_key, queue_slots = 1 AND gate IS NULL AND waited > 60000 AS dropped, count(*) AS urls
+           FROM (SELECT *, coalesce(sum(CASE WHEN gate IS NULL THEN duration_ms + delay_ms ELSE 0 END) OVER (
+               PARTITION BY queue_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS waited FROM delayed)
            GROUP BY ALL""",
     ),
     "round_robin": sql(

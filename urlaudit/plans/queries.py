@@ -13,7 +13,7 @@ from urlaudit.functions import classify, records, urls
 from urlaudit.operators import gates, politeness, reports, resolve, selection, status
 from urlaudit.session import scratch_path
 from urlaudit.sources import projections as tables
-from urlaudit.sources import sinks
+from urlaudit.sources import readers, sinks
 from urlaudit.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,16 +67,19 @@ def never_checked(spark, sf_dir):
     return selection.never_checked(*_register(spark, sf_dir)).select("id", "name")
 
 
+#: A selection as an operator may write it: known dates beside the valid URLs that some active context uses.
 SELECT_SQL = """
-    SELECT u.id, u.name, s.checking_date FROM url u LEFT JOIN status s ON s.url_id = u.id
-    WHERE u.valid AND u.priority >= :least AND u.id IN (SELECT uc.url_id FROM url_context uc WHERE uc.active)
+    SELECT reg.id, reg.name, done.checking_date FROM {register} AS reg
+    LEFT OUTER JOIN {last_checks} AS done ON reg.id = done.url_id
+    WHERE EXISTS (SELECT 1 FROM {contexts} AS used WHERE used.url_id = reg.id AND used.active)
+      AND reg.priority >= :least AND reg.valid
 """
 
 
 @query
 def select_sql_source(spark, sf_dir):
     url, last, context = _register(spark, sf_dir)
-    return selection.select_sql(spark, SELECT_SQL, {"least": 4}, url=url, status=last, url_context=context)
+    return selection.select_sql(spark, SELECT_SQL, {"least": 4}, register=url, last_checks=last, contexts=context)
 
 
 @query
@@ -152,9 +155,8 @@ def resolve_locations(spark, sf_dir):
 
 @query
 def resolve_locations_rfc3986(spark, sf_dir):
-    rooted = tables.page_links(spark, sf_dir).filter("location LIKE '/%' OR location LIKE 'http%'")
     target = urls.resolve_location(F.col("url"), F.col("location"), "rfc3986")
-    return rooted.select("page_id", "nr", target.alias("target"))
+    return tables.page_links(spark, sf_dir).select("page_id", "nr", target.alias("target"))
 
 
 @query
@@ -254,6 +256,14 @@ def unobserved(spark, sf_dir):
     return resolve.split_outcomes(found)[1].select("url_id", "url", "method", "redirect_count")
 
 
+@query
+def host_timeouts(spark, sf_dir):
+    """What becomes of the register where two hosts are given less time than some of their answers took."""
+    frontier, responses = _valid_frontier(spark, sf_dir), tables.responses(spark, sf_dir)
+    found = resolve.resolve(frontier, responses, CONF, login_pages=tables.login_pages(spark), host_overrides=tables.short_timeouts(spark))
+    return found.select("url_id", "url", "method", "redirect_count", "category", "message")
+
+
 # Gates
 
 
@@ -309,7 +319,7 @@ def status_from_metadata(spark, sf_dir):
                 "fetch.message": F.col("text"),
                 "fetch.checkingDate": F.concat(F.lit("1999-01-01T00:00:0"), (F.col("doc_id") % 10).cast("string")),
                 "fetch.statusCode": F.when(F.col("doc_id") % 4 == 0, "abc").otherwise(F.lit("200")),
-                "fetch.contentType": F.concat_ws("/", F.col("lang"), F.substring("text", 1, 300)),
+                "fetch.contentType": F.concat_ws("/", "lang", "text"),
                 "fetch.byteLength": F.when(F.col("doc_id") % 5 == 0, "99999999999999999999").otherwise(
                     F.col("n_chars").cast("string")
                 ),
@@ -400,16 +410,14 @@ def effective_delays(spark, sf_dir):
 
 @query
 def planned_schedule(spark, sf_dir):
-    paced = _paced(spark, sf_dir)
-    asap = ~F.col("robots_allowed")
-    duration = F.when(asap, F.lit(0)).otherwise(F.col("duration_ms"))
-    return politeness.plan_schedule(paced, duration, asap).select("url_id", "queue_key", "delay_ms", "start_offset_ms")
+    planned = politeness.plan_schedule(_paced(spark, sf_dir), F.col("duration_ms"))
+    return planned.select("url_id", "queue_key", "gate", "delay_ms", "start_offset_ms")
 
 
 @query
 def queue_timeout(spark, sf_dir):
     paced = _paced(spark, sf_dir)
-    planned = politeness.plan_schedule(paced, F.col("duration_ms"), ~F.col("robots_allowed"))
+    planned = politeness.plan_schedule(paced, F.col("duration_ms"))
     kept, dropped = resolve.drop_queue_timeouts(planned, DELAY_CONF)
     both = kept.withColumn("dropped", F.lit(False)).unionByName(dropped.withColumn("dropped", F.lit(True)))
     return both.groupBy("queue_key", "dropped").agg(F.count("*").alias("urls"))
@@ -467,6 +475,57 @@ def poll_times(spark, sf_dir):
     return reports.poll_times(tables.checks(spark, sf_dir), "duration", "host").withColumn("avg_ms", F.round("avg_ms", 6))
 
 
+# Readers: projections written as files or catalog tables and read back
+
+
+@query
+def read_register(spark, sf_dir):
+    path = scratch_path(spark, "register")
+    for name, table in zip(("url", "status", "url_context"), (tables.url(spark, sf_dir), tables.full_status(spark, sf_dir), tables.url_context(spark, sf_dir))):
+        table.write.parquet(f"{path}/{name}")
+    due = selection.due_urls(*readers.read_register(spark, path), tables.AS_OF)
+    return due.select("id", "name", "group_key", "priority", "order_nr")
+
+
+@query
+def read_register_catalog(spark, sf_dir):
+    path = scratch_path(spark, "catalog")
+    schema_name = f"register_{path.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {schema_name} LOCATION '{path}'")
+    for name, table in zip(("url", "status", "url_context"), (tables.url(spark, sf_dir), tables.full_status(spark, sf_dir), tables.url_context(spark, sf_dir))):
+        table.write.saveAsTable(f"{schema_name}.{name}")
+    return selection.never_checked(*readers.read_register(spark, schema_name)).select("id", "name")
+
+
+@query
+def read_login_pages(spark, sf_dir):
+    """The targets of redirects as a list of pages, one a line."""
+    path = scratch_path(spark, "login-pages")
+    tables.responses(spark, sf_dir).filter("location LIKE 'http%'").select("location").write.text(path)
+    return readers.read_login_pages(spark, path)
+
+
+@query
+def read_responses(spark, sf_dir):
+    """Headers whose names differ in case, some of them twice."""
+    path = scratch_path(spark, "responses")
+    spelled = "map('Content-Length', '1', 'content-length', headers['content-length'], 'Content-Type', headers['content-type'])"
+    tables.responses(spark, sf_dir).withColumn("headers", F.expr(spelled)).write.parquet(path)
+    found = readers.read_responses(spark, path)
+    return found.select("url", "method", F.col("headers")["content-length"].alias("content_length"), F.size("headers").alias("headers"))
+
+
+@query
+def read_robots_rules(spark, sf_dir):
+    rules, overrides = scratch_path(spark, "robots"), scratch_path(spark, "overrides")
+    tables.robots_rules(spark, sf_dir).write.parquet(rules)
+    tables.host_overrides(spark).write.parquet(overrides)
+    register = tables.url(spark, sf_dir).selectExpr("id", "name AS url")
+    checked = gates.with_robots(register, readers.read_robots_rules(spark, rules))
+    checked = gates.with_overrides(checked, readers.read_host_overrides(spark, overrides), CONF)
+    return checked.select("id", "robots_allowed", "robots_delay_ms", "override_delay_ms")
+
+
 # Streams
 
 

@@ -121,6 +121,10 @@ def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = """CASE WHEN n % 10 = 1 THEN array(
                    named_struct('rule', 'disallow', 'path_prefix', '/page1', 'crawl_delay_ms', cast(NULL AS bigint)),
                    named_struct('rule', 'allow', 'path_prefix', '/page11', 'crawl_delay_ms', cast(NULL AS bigint)))
+               WHEN n % 10 = 4 THEN array(
+                   named_struct('rule', 'disallow', 'path_prefix', '', 'crawl_delay_ms', cast(NULL AS bigint)),
+                   named_struct('rule', 'disallow', 'path_prefix', '/*7$', 'crawl_delay_ms', cast(NULL AS bigint)),
+                   named_struct('rule', 'allow', 'path_prefix', '/page*77', 'crawl_delay_ms', cast(NULL AS bigint)))
                WHEN n % 10 IN (2, 3) THEN array(named_struct('rule', 'allow', 'path_prefix', '/',
                    'crawl_delay_ms', CASE WHEN n % 10 = 2 THEN 2000L ELSE 40000L END)) END"""
     return hosts.selectExpr("concat('host', n, '.example.org') AS host", f"inline({rules})")
@@ -197,6 +201,12 @@ def host_overrides(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "host string, delay_ms long, timeout_ms long")
 
 
+def short_timeouts(spark: SparkSession) -> DataFrame:
+    """Two hosts that are given less time than some of their answers took."""
+    rows = [("hdl.handle.net", None, 300), ("host7.example.org", None, 100)]
+    return spark.createDataFrame(rows, "host string, delay_ms long, timeout_ms long")
+
+
 def public_suffixes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("com",), ("org",), ("net",), ("co.uk",)], "suffix string")
 

@@ -43,11 +43,3 @@ def write_latest(checks: DataFrame, path: str, n: int = 100, seq: str | None = N
     """The newest ``n`` checks as one JSON file, newest first, replaced as a whole."""
     latest_n(checks, n, seq).coalesce(1).write.mode("overwrite").json(path)
 
-
-def append_obsolete(archived: DataFrame, path: str) -> None:
-    archived.write.mode("append").parquet(path)
-
-
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """A catalog table bucketed by ``key``: responses stored this way join by URL without moving."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
