@@ -39,6 +39,7 @@ HOT = 50_000
 TASK_CONTEXTS = 20_000
 BLOCK = 1 << 20  # bytes that are hashed together
 PIECE = 1 << 24  # a longer text is hashed in pieces that share LENGTH bytes
+NO_ID = -(2**63)  # stands for a null id where ids are ordered
 NONE = 256  # a column where a string has no byte
 
 
@@ -228,8 +229,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
     once = kinds.where("n = 1").select("anchor", "doc_id", "place", F.lit(1).alias("n")).join(shared, "anchor")
-    often = settled.join(shared.select("anchor"), "anchor", "left_semi").groupBy("anchor", "whole").agg(F.min(F.struct("doc_id", "place")).alias("one"))
-    often = often.select("anchor", "one.doc_id", "one.place", F.lit(2).alias("n")).join(shared, "anchor")
+    # One occurrence of each context that is settled; combined before the join, so that an anchor in a third of the documents
+    # brings one row for each of its contexts.
+    order = F.coalesce("doc_id", F.lit(NO_ID))
+    often = settled.groupBy("anchor", "whole").agg(F.min(order).alias("least"), F.min_by("place", order).alias("place"))
+    often = often.select("anchor", F.nullif("least", F.lit(NO_ID)).alias("doc_id"), "place", F.lit(2).alias("n")).join(shared, "anchor")
     open_ = materialize(once.unionByName(often), "open")
 
     wanted = open_.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
@@ -303,10 +307,16 @@ def without(text: bytes, runs: list[dict], length: int, whole_characters: bool)
     return b"".join(kept), [{"start": a, "end": b} for a, b in zip(begins, stops, strict=True)]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:
-    """``id``, ``n_bytes``, the bytes ``kept`` and the ``spans`` that were removed of each document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"))
-    runs = repeated_spans(rows, length, gram).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("tag", "start", "windows")).alias("runs"))
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, whole_characters: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``id``, ``n_bytes``, the bytes ``kept`` and the ``spans`` that were removed of each document, and its columns ``keep``.
+
+    ``whole_characters`` lets bytes stay whose character is only partly covered."""
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"), *[F.col(name).alias(f"_keep_{name}") for name in keep]
+    )
+    runs = repeated_spans(rows.select("doc_id", "bytes"), length, gram).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("tag", "start", "windows")).alias("runs"))
 
     def run(batches):
         for batch in batches:
@@ -314,12 +324,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out = [without(t, [r for r in found or () if r["tag"] == tag(t)], length, whole_characters) for t, found in zip(texts, batch.column(2).to_pylist(), strict=True)]
             spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([kept for kept, _ in out], pa.binary()), pa.array([s for _, s in out], spans)],
-                [id_col, "n_bytes", "kept", "spans"],
+                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([kept for kept, _ in out], pa.binary()), pa.array([s for _, s in out], spans), *batch.columns[3:]],
+                [id_col, "n_bytes", "kept", "spans", *keep],
             )
 
-    joined = rows.join(runs, rows["doc_id"].eqNullSafe(runs["_id"]), "left").select("doc_id", "bytes", "runs")
-    return joined.mapInArrow(run, f"`{id_col}` long, n_bytes long, kept binary, spans array<struct<start:bigint,end:bigint>>")
+    joined = rows.join(runs, rows["doc_id"].eqNullSafe(runs["_id"]), "left").select("doc_id", "bytes", "runs", *[f"_keep_{name}" for name in keep])
+    kinds = "".join(f", `{name}` {docs.schema[name].dataType.simpleString()}" for name in keep)
+    return joined.mapInArrow(run, f"`{id_col}` long, n_bytes long, kept binary, spans array<struct<start:bigint,end:bigint>>{kinds}")
 
 
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
