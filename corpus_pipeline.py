@@ -1,24 +1,66 @@
-"""The corpus pipeline: documents in, packed batches out. Each stage is written as Parquet and read again by the next."""
+"""The corpus pipeline: documents in, packed batches out. Each stage is written as Parquet and read again by the next.
+
+Stages before the last return the columns of ``documents`` and no others. Documents without an id leave at the near-duplicate
+stage, which tells documents apart by id; rows that repeat an id and its text are one document from there on. The repeat stage
+keeps every document, with the text that is left, cut at whole characters, and ``n_chars`` of that text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlaudit.llm import quality
+from urlaudit.llm import jaccard, language, packing, quality, repeats
 from urlaudit.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def as_rows(docs: DataFrame) -> DataFrame:
+    """Each document as one struct beside its text, so that a verdict on the text finds its row without a join."""
+    return docs.select(F.struct(*COLUMNS).alias("row"), "text")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the production policy of the quality rules keeps."""
-    kept = quality.apply_policy(quality.ledger(docs)).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return quality.apply_policy(quality.ledger(as_rows(docs), "row")).where("kept").select("row.*")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with enough confidence; models are learned from the documents of this stage."""
+    models = language.fit(language.sampled(docs))
+    return language.identify(as_rows(docs), models, "row").where("accepted").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id."""
+    kept = jaccard.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    left = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
+    repeated = left.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the long strings that occur more than once."""
+    left = repeats.remove_repeats(docs, keep=("lang", "source"), whole_characters=True)
+    text = F.col("kept").cast("string")
+    return left.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's place in the batches."""
+    return packing.pack(packing.lengths(docs))
 
 
-STAGES = [("quality_rules", quality_stage)]
-#: Language identification and the packing program cannot be written in SQL; tests/llm holds the stages against brute force.
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("ngram_jaccard", near_duplicates),
+    ("suffix_dedup", suffix_dedup),
+    ("packing", packed),
+]
+#: Language models, the Burrows-Wheeler order and the packing program cannot be written in SQL; tests/llm holds the stages against
+#: brute force.
 ORACLE_SQL = None
 
 

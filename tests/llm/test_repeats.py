@@ -1,0 +1,86 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as registry
+from tests.llm.conftest import ODD
+from urlaudit.llm import repeats
+
+
+def brute(rows, length):
+    texts = [(text or "").encode() for _, text in rows]
+    count = Counter(t[s : s + length] for t in texts for s in range(len(t) - length + 1))
+    out = []
+    for (doc_id, _), t in zip(rows, texts, strict=True):
+        gone = bytearray(len(t))
+        for s in range(len(t) - length + 1):
+            if count[t[s : s + length]] > 1:
+                gone[s : s + length] = b"\1" * length
+        runs = sum(1 for k in range(len(t)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out.append((doc_id, len(t), sum(gone), runs, bytes(x for x, g in zip(t, gone, strict=True) if not g)))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted([(row[0], row["n_bytes"], sum(s["end"] - s["start"] for s in row["spans"]), len(row["spans"]), bytes(row["kept"])) for row in df.collect()], key=repr)
+
+
+def collection(pick, alphabet, n):
+    shared = ["".join(pick.choices(alphabet, k=pick.randint(10, 90))) for _ in range(4)]
+    return [(k, "".join(pick.choice(shared) if pick.random() < 0.5 else "".join(pick.choices(alphabet, k=pick.randint(1, 40))) for _ in range(pick.randint(0, 6)))) for k in range(n)]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "a", "abcdefgh é漢"])
+@pytest.mark.parametrize("hot", [3, 50_000])
+def test_equal_to_brute_force(spark, monkeypatch, alphabet, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "TASK_CONTEXTS", 40)
+    rows = collection(random.Random(len(alphabet)), alphabet, 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(repeats.remove_repeats(df, length=30, gram=8)) == brute(rows, 30)
+
+
+def test_pieces_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE", 100)
+    monkeypatch.setattr(repeats, "BLOCK", 150)
+    rows = collection(random.Random(9), "abc", 40)
+    assert found(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=30, gram=8)) == brute(rows, 30)
+
+
+def test_columns_and_sorted_suffixes_agree():
+    """The common prefixes from the column-wise order find the windows that sorting all suffixes finds."""
+    pick = random.Random(7)
+    strings = [bytes(pick.choices(b"ab", k=26)) for _ in range(40)]
+    got = repeats.repeated_windows(strings, np.full(40, 6), 20, 8)
+    for column in range(7):
+        count = Counter(s[column : column + 20] for s in strings)
+        assert [bool(x) for x in got[:, 6 + column]] == [count[s[column : column + 20]] > 1 for s in strings] if 6 + column < got.shape[1] else True
+    assert got.shape == (40, 13)
+
+
+def test_odd_rows(odd, empty):
+    assert found(repeats.remove_repeats(odd)) == brute(ODD, 200)
+    assert repeats.remove_repeats(empty).count() == 0
+    kept = repeats.remove_repeats(odd, keep=("source",))
+    assert {row["source"] for row in kept.collect()} == {"src"}
+
+
+def test_rows_that_share_an_id(spark):
+    passage = "".join(random.Random(8).choices("abcdefghij ", k=300))
+    rows = [(1, passage + " end"), (1, "other start " + passage), (2, "nothing of it"), (None, passage)]
+    assert found(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows, 200)
+
+
+def test_whole_characters(spark):
+    passage = "漢" * 100
+    rows = [(1, "a" + passage + "é"), (2, "b" + passage + "è")]  # é and è share their first byte
+    out = {row["doc_id"]: bytes(row["kept"]).decode() for row in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), whole_characters=True).collect()}
+    assert out == {1: "aé", 2: "bè"}
+
+
+def test_query(spark, texts):
+    got = sorted(tuple(row) for row in registry.queries()["op1_suffix_dedup"](spark, "/root/testdata/sf0.001").collect())
+    assert got == [(*row[:4], hashlib.sha256(row[4]).hexdigest()) for row in sorted(brute(texts, 200))]
