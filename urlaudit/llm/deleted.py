@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,26 @@ def context_keys(own: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return before
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of their bytes; small ones take little room."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def asked(rows: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of the documents of a block, in an order that does not depend on how they arrive."""
     ids = rows.column("id").to_pylist()
@@ -97,8 +118,8 @@ def requests(shift: int):
             {
                 "block": pa.array([block] * len(pieces), pa.int64()),
                 "shard": pa.array([int(shard[a]) for a, _ in pieces], pa.int64()),
-                "keys": pa.array([keys[a:b].tobytes() for a, b in pieces], pa.binary()),
-                "counts": pa.array([counts[a:b].tobytes() for a, b in pieces], pa.binary()),
+                "keys": pa.array([packed_keys(keys[a:b]) for a, b in pieces], pa.binary()),
+                "counts": pa.array([packed(counts[a:b]) for a, b in pieces], pa.binary()),
             }
         )
 
@@ -109,8 +130,8 @@ def answers(rows: pa.Table) -> pa.Table:
     """The sums over all blocks, and over those of the held-out part, in the order each block asked; the row of block -1 has N, V,
     the held-out N and the number of training documents of the shard."""
     block = rows.column("block").to_numpy()
-    keys = [np.frombuffer(x, np.uint64) for x in rows.column("keys").to_pylist()]
-    counts = [np.frombuffer(x, np.int32) for x in rows.column("counts").to_pylist()]
+    keys = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
+    counts = [unpacked(x, np.int32) for x in rows.column("counts").to_pylist()]
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
     all_counts = np.concatenate(counts)
     total = np.bincount(at, all_counts, len(every)).astype(np.int64)
@@ -118,12 +139,12 @@ def answers(rows: pa.Table) -> pa.Table:
     cuts = np.cumsum([0] + [len(k) for k in keys])
     words = ((every & np.uint64(1)) == 0) & (every != START)
     sums = np.array([total[words].sum(), (total[words] > 0).sum(), held[words].sum(), total[every == START].sum()], np.int64)
-    held_answers = [held[at[a:b]].tobytes() if odd else b"" for a, b, odd in zip(cuts[:-1], cuts[1:], block % 2, strict=True)]
+    held_answers = [packed(held[at[a:b]]) if odd else b"" for a, b, odd in zip(cuts[:-1], cuts[1:], block % 2, strict=True)]
     return pa.table(
         {
             "block": pa.array([*block.tolist(), -1], pa.int64()),
             "shard": pa.array([*rows.column("shard").to_pylist(), -1], pa.int64()),
-            "total": pa.array([*(total[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)), sums.tobytes()], pa.binary()),
+            "total": pa.array([*(packed(total[at[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)), packed(sums)], pa.binary()),
             "held": pa.array([*held_answers, b""], pa.binary()),
         }
     )
@@ -136,7 +157,7 @@ def looked_up(rows: pa.Table, replies: pa.Table, part: str) -> tuple:
     keys = np.unique(np.concatenate([own, pair, [START]]))
     order = np.argsort(replies.column("shard").to_numpy(), kind="stable")
     parts = replies.column(part).to_pylist()
-    counts = np.concatenate([np.frombuffer(parts[k], np.int64) for k in order])
+    counts = np.concatenate([unpacked(parts[k], np.int64) for k in order])
     return ids, bounds, learns, *(counts[np.searchsorted(keys, wanted)] for wanted in (pair, context, own))
 
 
@@ -219,7 +240,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     sent = rows.groupBy("block").applyInArrow(requests(64 - bits), "block long, shard long, keys binary, counts binary")
     replies = materialize(sent.groupBy("shard").applyInArrow(answers, "block long, shard long, total binary, held binary"), "replies")
-    sums = [np.frombuffer(row["total"], np.int64) for row in replies.where("block = -1").select("total").toLocalIterator()]  # four numbers a shard
+    sums = [unpacked(row["total"], np.int64) for row in replies.where("block = -1").select("total").toLocalIterator()]  # four numbers a shard
     n, v, held_n, _ = (int(x) for x in sum(sums, np.zeros(4, np.int64)))
 
     by_block = lambda frame: frame.groupBy("block")
