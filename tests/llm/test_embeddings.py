@@ -38,10 +38,10 @@ def found(df):
     return sorted([tuple(row) for row in df.collect()], key=repr)
 
 
-@pytest.mark.parametrize("block", [4, 1024])
+@pytest.mark.parametrize("block", [4, 512])
 def test_groups_cut_into_blocks(spark, monkeypatch, block):
     monkeypatch.setattr(embeddings, "BLOCK", block)
-    monkeypatch.setattr(embeddings, "TASK_ROWS", 200 if block == 4 else 16_000)
+    monkeypatch.setattr(embeddings, "TASK_ROWS", 200 if block == 4 else 2_000)
     pick = np.random.default_rng(4)
     centre = pick.standard_normal(32)
     rows = [(k, (centre + 0.05 * pick.standard_normal(32)).tolist()) for k in range(40)]  # all alike

@@ -31,8 +31,9 @@ THRESHOLD = 0.95
 TABLES = 48
 PROJECTIONS = 16  # of each table
 WIDTH = 2.0  # of a step
-BLOCK = 1024  # classes of a bucket that are compared at once with as many others
-TASK_ROWS = 16_000
+STRIP = 128  # rows of a block whose cosines are held at once
+BLOCK = 512  # classes of a bucket that are compared at once with as many others
+TASK_ROWS = 2_000
 
 
 @cache
@@ -91,14 +92,16 @@ def compare(threshold: float):
                 if end - start < 2:
                     continue
                 at = order[start:end]
-                a, b = np.nonzero(np.triu(dense[at] @ dense[at].T >= threshold, 1))
-                a, b = at[a], at[b]
-                across = (i[a] == j[a]) | (block[a] != block[b])
-                a, b = a[across], b[across]
-                for cut in range(0, len(a), 1 << 17):
-                    x, y = a[cut : cut + (1 << 17)], b[cut : cut + (1 << 17)]
-                    first = (cells[x] == cells[y]).argmax(axis=1) == number[x]
-                    links.add(x[first], y[first])
+                for strip in range(0, len(at), STRIP):
+                    a, b = np.nonzero(dense[at[strip : strip + STRIP]] @ dense[at].T >= threshold)
+                    a, b = at[a[a + strip < b] + strip], at[b[a + strip < b]]
+                    across = (i[a] == j[a]) | (block[a] != block[b])
+                    a, b = a[across], b[across]
+                    first = np.empty(len(a), bool)
+                    for cut in range(0, len(a), 1 << 14):
+                        x, y = a[cut : cut + (1 << 14)], b[cut : cut + (1 << 14)]
+                        first[cut : cut + (1 << 14)] = (cells[x] == cells[y]).argmax(axis=1) == number[x]
+                    links.add(a[first], b[first])
         found = links.rows()
         return pa.table({"class_id": found[0], "links": found[1], "root": found[2]})
 
