@@ -55,7 +55,7 @@ def test_recall_and_depth():
 def test_equal_to_brute_force(spark, monkeypatch, block):
     """Chains of near copies, copies and others; with blocks of three a group is cut many times."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
-    monkeypatch.setattr(jaccard, "TASK_ROWS", 50 if block == 3 else 16_000)
+    monkeypatch.setattr(jaccard, "TASK_ROWS", 50 if block == 3 else 2_000)
     pick = np.random.default_rng(1)
     base = [f"w{k}" for k in pick.integers(0, 5000, 120)]
     rows = []

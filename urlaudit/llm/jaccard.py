@@ -34,8 +34,8 @@ DEPTH = 8  # minimum hashes of a full label
 TARGET = 0.9995  # probability that a pair at the threshold meets
 SLACK = 6.0  # standard deviations below the threshold at which signatures still let a pair pass
 BLOCK = 512  # classes of a group that are compared at once with as many others
-TASK_ROWS = 16_000
-TASK_BYTES = 32 << 20
+TASK_ROWS = 2_000
+TASK_BYTES = 4 << 20
 
 
 def recall(depth: int, tries: int, similarity: float) -> float:
