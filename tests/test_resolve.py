@@ -176,6 +176,8 @@ def random_web(seed, n=120):
 @pytest.mark.parametrize(
     "seed,limit,method,broadcast",
     [
+        (1, 5, "few", True),
+        (7, 15, "few", False),
         (1, 5, "lifting", True),
         (1, 5, "lifting", False),
         (2, 3, "walk", False),
@@ -198,7 +200,8 @@ def test_every_form_equals_the_simulation(spark, seed, limit, method, broadcast)
     if not broadcast:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        found = resolve.resolve(frontier_of(spark, urls), table(spark, rows), conf, method=method, **gates).collect()
+        how = {"few": True, "index": resolve.index_responses(table(spark, rows), conf, **gates)} if method == "few" else {"method": method}
+        found = resolve.resolve(frontier_of(spark, urls), table(spark, rows), conf, **how, **gates).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert len(found) == len(urls)

@@ -19,20 +19,38 @@ def rows_of(spark, *rows):
     )
 
 
+def contents(rows):
+    return {(r.url_id, str(r.checking_date)[:10], r.category) for r in rows.collect()}
+
+
 def test_late_rows_go_to_history_and_replays_change_nothing(spark, tmp_path):
     root = str(tmp_path)
-    current = rows_of(spark, (1, "2024-01-05", "Ok"), (2, "2024-01-05", "Ok"))
+    sinks.seed_status(rows_of(spark, (1, "2024-01-05", "Ok"), (2, "2024-01-05", "Ok"), *[(k, "2024-01-05", "Ok") for k in range(10, 40)]), root, buckets=4)
     fresh = rows_of(spark, (1, "2024-01-09", "Broken"), (2, "2024-01-01", "Broken"), (3, "2024-01-01", "Ok"))
-    for _ in range(2):  # the same version twice
-        sinks.write_status(current, fresh, root, 0)
-    first = sinks.read_status(spark, root, 0)
-    seen = {(r.url_id, str(r.checking_date)[:10], r.category) for r in first.collect()}
-    assert seen == {(1, "2024-01-09", "Broken"), (2, "2024-01-05", "Ok"), (3, "2024-01-01", "Ok")}
-    history = {(r.url_id, r.category) for r in sinks.read_history(spark, root).collect()}
-    assert history == {(1, "Ok"), (2, "Broken")}
-    sinks.write_status(first, fresh, root, 1)  # the same checks delivered again
-    assert sorted(map(tuple, sinks.read_status(spark, root, 1).collect()), key=repr) == sorted(map(tuple, first.collect()), key=repr)
-    assert spark.read.parquet(sinks.history_path(root, 1)).filter("category = 'Ok'").count() == 0
+    assert sinks.write_status(fresh, root, "s", 0) == 1
+    others = {(k, "2024-01-05", "Ok") for k in range(10, 40)}
+    wanted = {(1, "2024-01-09", "Broken"), (2, "2024-01-05", "Ok"), (3, "2024-01-01", "Ok")} | others
+    assert contents(sinks.read_status(spark, root)) == wanted
+    history = {(1, "2024-01-05", "Ok"), (2, "2024-01-01", "Broken")}
+    assert contents(sinks.read_history(spark, root)) == history
+    assert sinks.write_status(fresh, root, "s", 0) == 1  # the batch has been committed
+    assert sinks.write_status(fresh.filter("url_id <> 2"), root, "t", 0) == 2  # a new checkpoint; the same checks delivered again
+    assert contents(sinks.read_status(spark, root)) == wanted and contents(sinks.read_history(spark, root)) == history
+    sinks.write_status(rows_of(spark, (1, "2024-01-10", "Ok")), root, "t", 1)  # a second check of a URL
+    assert contents(sinks.read_status(spark, root)) == wanted - {(1, "2024-01-09", "Broken")} | {(1, "2024-01-10", "Ok")}
+    assert contents(sinks.read_history(spark, root)) == history | {(1, "2024-01-09", "Broken")}
+
+
+def test_only_touched_buckets_are_written_and_two_copies_kept(spark, tmp_path):
+    root = str(tmp_path)
+    sinks.seed_status(rows_of(spark, *[(k, "2024-01-05", "Ok") for k in range(200)]), root, buckets=8)
+    before = {p: p.stat().st_mtime_ns for p in Path(root).glob("status/*/*/*.parquet")}
+    for day in range(10, 16):
+        sinks.write_status(rows_of(spark, (7, f"2024-01-{day}", "Broken")), root)
+    after = list(Path(root).glob("status/*/*/*.parquet"))
+    assert len({p.parent for p in after}) == len({p.parent for p in before}) + 1
+    assert sum(p in before and p.stat().st_mtime_ns == before[p] for p in after) == len(before) - 1
+    assert sinks.read_status(spark, root).count() == 200 and sinks.read_history(spark, root).count() == 6
 
 
 def test_history_split_is_complete(spark):
@@ -104,8 +122,34 @@ def test_a_cycle_writes_status_history_and_latest(spark, tmp_path):
         in_flight=spark.createDataFrame([("http://b.org/3",)], "name string"),
     )
     conf = AuditConfig(queue_timeout_ms=600_000)
-    summary = cycle.run_cycle(tables, conf, "2024-02-01", str(tmp_path), 0)
+    summary = cycle.run_cycle(tables, conf, "2024-02-01", str(tmp_path))
     assert summary == {"hits": 2, "queues": 1}
-    found = {(r.url_id, r.category) for r in sinks.read_status(spark, str(tmp_path), 0).collect()}
+    found = {(r.url_id, r.category) for r in sinks.read_status(spark, str(tmp_path)).collect()}
     assert found == {(1, "Ok"), (2, "Broken")}
     assert [r.category for r in sinks.read_history(spark, str(tmp_path)).collect()] == ["Broken"]
+    again = cycle.CycleTables(**{**tables.__dict__, "status": sinks.read_status(spark, str(tmp_path)), "in_flight": None})
+    assert cycle.run_cycle(again, conf, "2024-02-01", str(tmp_path)) == {"hits": 1, "queues": 1}
+    lost = spark.read.parquet(f"{tmp_path}/unobserved/version=2").collect()
+    assert [(r.url_id, r.method) for r in lost] == [(3, "HEAD")]
+
+
+def test_a_cycle_writes_what_waits_too_long(spark, tmp_path):
+    rows = [(k, f"http://a.org/{k}", "a.org", True, 1) for k in range(6)]
+    url = spark.createDataFrame(rows, schema.URL)
+    context = spark.createDataFrame([(k, 1, None, True) for k in range(6)], schema.URL_CONTEXT)
+    responses = spark.createDataFrame([(u, "HEAD", 200, None, {}, None, None, None, 3) for _, u, *_ in rows], schema.RESPONSES)
+    tables = cycle.CycleTables(url=url, status=rows_of(spark, (99, "2024-01-01", "Ok")), url_context=context, responses=responses)
+    cycle.run_cycle(tables, AuditConfig(delay_ms=1000, queue_timeout_ms=3000), "2024-02-01", str(tmp_path))
+    dropped = spark.read.parquet(f"{tmp_path}/timed_out/version=1").collect()
+    assert sorted((r.url_id, r.start_offset_ms) for r in dropped) == [(4, 4000), (5, 5000)]
+    assert sorted(r.url_id for r in sinks.read_status(spark, str(tmp_path)).collect()) == [0, 1, 2, 3, 99]
+
+
+def test_unreadable_fields_do_not_stop_a_batch(spark):
+    texts = [("1", "x", "garbage"), ("2", "99999999999", ""), ("x", "3", "2024-01-05T10:00:00"), ("", None, None)]
+    df = spark.createDataFrame(texts, "u string, c string, d string")
+    md = F.create_map(F.lit("urlId"), F.array("u"), F.lit("fetch.redirectCount"), F.array("c"), F.lit("fetch.checkingDate"), F.array("d"))
+    rows = status.status_from_metadata(df.select(md.alias("metadata")), fallback_date="2000-01-01 00:00:00")
+    good, bad = status.split_unreadable(rows)
+    assert sorted((r.url_id, r.redirect_count, str(r.checking_date)[:10]) for r in good.collect()) == [(1, 0, "2000-01-01"), (2, 0, "2000-01-01")]
+    assert sorted((r.redirect_count, str(r.checking_date)[:10]) for r in bad.collect()) == [(0, "2000-01-01"), (3, "2024-01-05")]

@@ -24,7 +24,7 @@ def test_in_flight_is_released_by_done_and_by_time(spark, tmp_path):
     first = [("a", "select", at(0), 1), ("a", "select", at(30), 2), ("b", "select", at(0), 3)]
     second = [("a", "select", at(60), 4), ("b", "done", at(1), 5), ("b", "select", at(2), 6), ("a", "select", at(119), 7)]
     events = stream_of(spark, tmp_path, first, second, ddl="name string, kind string, at string, seq long")
-    emitted = jobs.emit_not_in_flight(events.withColumn("at", F.col("at").cast("timestamp")))
+    emitted = jobs.emit_not_in_flight(events.withColumn("at", F.col("at").cast("timestamp")), expire=False)
     assert sorted(r.seq for r in drain(spark, emitted, tmp_path).collect()) == [1, 3, 4, 6]
 
 

@@ -6,6 +6,8 @@ observation side by side, so a HEAD-to-GET retry never needs a join; only a redi
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -314,19 +316,41 @@ def _double(jumps: DataFrame) -> DataFrame:
     )
 
 
-def _travel(frontier: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
-    """Move every row up to ``distance`` redirects, stopping early where no edge leads on.
+@dataclass
+class ResponseIndex:
+    """Responses made ready for many polls: nodes, and jumps along redirects of up to 1, 2, 4, ... steps, as written tables."""
 
-    Binary lifting: jumps of up to 1, 2, 4, ... redirects are applied for the bits of ``distance``. Each doubled table is written,
-    so no plan holds more than one join for each bit.
-    """
-    length = 1
-    while length <= distance:
-        if distance & length:
-            frontier = _jump(frontier, jumps)
-        length *= 2
-        if length <= distance:
-            jumps = materialize(_double(jumps), "jumps")
+    nodes: DataFrame
+    jumps: list[DataFrame]
+
+
+def index_responses(
+    responses: DataFrame,
+    conf: AuditConfig,
+    robots_rules: DataFrame | None = None,
+    login_pages: DataFrame | None = None,
+    host_overrides: DataFrame | None = None,
+    mode: str = "compat",
+) -> ResponseIndex:
+    """Group the responses once and double the jumps up to the redirect limit. Each table is written, so no plan grows with the limit.
+
+    The index holds for the settings and gates it was built with; it may be kept until the responses change."""
+    gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
+    nodes = materialize(response_nodes(responses, conf=conf, host_overrides=host_overrides), "nodes")
+    jumps = [materialize(redirect_edges(nodes, conf, mode, **gates), "edges")] if conf.redirect_limit > 0 else []
+    while jumps and 2 ** len(jumps) <= conf.redirect_limit:
+        jumps.append(materialize(_double(jumps[-1]), "jumps"))
+    return ResponseIndex(nodes, jumps)
+
+
+def _travel(frontier: DataFrame, jumps: list[DataFrame], distance: int, few: bool) -> DataFrame:
+    """Move every row up to ``distance`` redirects, stopping early where no edge leads on: the jumps for the bits of ``distance``."""
+    for bit, table in enumerate(jumps):
+        if distance >> bit & 1:
+            if few:  # only jumps that start at the frontier take part, found without moving the others
+                frontier = materialize(frontier, "frontier")
+                table = table.join(frontier.select("url", "method").distinct(), ["url", "method"], "left_semi")
+            frontier = _jump(frontier, table)
     return frontier
 
 
@@ -339,12 +363,15 @@ def resolve(
     host_overrides: DataFrame | None = None,
     mode: str = "compat",
     method: str = "lifting",
+    index: ResponseIndex | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Final state of every frontier row; route ``status``, or ``unobserved`` where a response is missing.
 
     ``lifting`` groups the responses once, moves every row by log2(limit) joins to where its redirects end, and settles it there
-    once. ``walk`` settles and moves one redirect at a time and groups only responses of URLs it reaches, the better form for a
-    frontier much smaller than the responses, such as one poll, and the definition the other is tested against.
+    once. An ``index`` of the responses, kept from an earlier call, saves the grouping; with ``few``, for a frontier far smaller than
+    the responses such as a poll, the index is filtered by the frontier before each join, so that what moves is in proportion to the
+    poll. ``walk`` settles and moves one redirect at a time; it is the definition the other is tested against.
     """
     gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
     if method == "walk":
@@ -364,11 +391,13 @@ def resolve(
     walked = start.filter("_special").select(*FRONTIER)
     if not walked.isEmpty():
         outcomes.append(resolve_walk(walked, responses, conf, mode, **gates))
-    nodes = materialize(response_nodes(responses, conf=conf, host_overrides=host_overrides), "nodes")
-    ended = start.filter("NOT _special").select(*FRONTIER)
-    if conf.redirect_limit > 0:
-        edges = materialize(redirect_edges(nodes, conf, mode, **gates), "edges")
-        ended = _travel(ended, edges, conf.redirect_limit)
+    if index is None:
+        index = index_responses(responses, conf, mode=mode, **gates)
+    ended = _travel(start.filter("NOT _special").select(*FRONTIER), index.jumps, conf.redirect_limit, few)
+    nodes = index.nodes
+    if few:
+        ended = materialize(ended, "frontier")
+        nodes = nodes.join(ended.select("url").distinct(), "url", "left_semi")
     outcomes.append(_finished(materialize(_settled(ended, nodes, gates, conf, mode), "settled")))
     return _union(outcomes)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,15 +25,24 @@ class CycleTables:
     login_pages: DataFrame | None = None
     host_overrides: DataFrame | None = None
     in_flight: DataFrame | None = None
+    index: resolve.ResponseIndex | None = None
 
 
-def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version: int) -> dict:
-    """Write snapshot ``version`` of status, history and the latest checks; return the poll summary.
+def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str) -> dict:
+    """Write the next version of status, history and the latest checks; return the poll summary.
+
+    The status below ``root`` begins as ``tables.status`` if there is none yet; later polls select by the status they are given, which
+    is read from there.
 
     One poll is bounded, so its redirects are walked step by step. URLs that wait too long in their queue and URLs without an
     observed response are written beside the status, as tables ``timed_out`` and ``unobserved``. How long a request takes is not known
     before it is made: a URL has waited too long only if the delays before it alone exceed the timeout.
     """
+    spark = tables.url.sparkSession
+    manifest = sinks.last_manifest(spark, root)
+    if manifest is None:
+        sinks.seed_status(tables.status, root)
+    version = 1 if manifest is None else manifest["version"] + 1
     selected = selection.due_all(tables.url, tables.status, tables.url_context, as_of)
     if tables.in_flight is not None:
         selected = selection.exclude_in_flight(selected, tables.in_flight)
@@ -50,12 +61,32 @@ def run_cycle(tables: CycleTables, conf: AuditConfig, as_of, root: str, version:
         robots_rules=tables.robots_rules,
         login_pages=tables.login_pages,
         host_overrides=tables.host_overrides,
-        method="walk",
+        index=tables.index,
+        few=True,
     )
     final, unobserved = resolve.split_outcomes(outcomes)
     unobserved.select(*resolve.FRONTIER).write.mode("overwrite").parquet(f"{root}/unobserved/version={version}")
     fresh, _ = status.known_urls(status.build_status(final, as_of), tables.url)
     fresh = materialize(fresh, "fresh")
-    sinks.write_status(tables.status, fresh, root, version)
+    sinks.write_status(fresh, root)
     sinks.write_latest(fresh, f"{root}/latest/version={version}", seq="url_id")
     return reports.poll_summary(polled).first().asDict()
+
+
+def audit_poll(load: Callable[[], CycleTables], conf: AuditConfig, root: str, as_of: Callable[[], dt.date | str]) -> Callable[[int], None]:
+    """What a poller calls: a cycle over tables that are read anew, and once a day the number of unchecked URLs before it.
+
+    ``load`` is called for each poll. The count is a table ``unchecked`` with one row for each day."""
+
+    def poll(_: int) -> None:
+        tables, today = load(), as_of()
+        spark, path = tables.url.sparkSession, f"{root}/unchecked"
+        days = spark.read.schema("day DATE").parquet(path) if poll.reported else None
+        if days is None or days.filter(F.col("day") == F.lit(str(today)).cast("date")).isEmpty():
+            count = selection.count_unchecked(tables.url, tables.status, tables.url_context)
+            count.select(F.lit(str(today)).cast("date").alias("day"), "unchecked").coalesce(1).write.mode("append").parquet(path)
+            poll.reported = True
+        run_cycle(tables, conf, today, root)
+
+    poll.reported = False
+    return poll

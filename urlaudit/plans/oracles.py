@@ -529,8 +529,27 @@ ORACLES = {
         SELECT u AS url_id, seq, url, method, CAST(CASE WHEN route = 'follow' OR (e IN ('click', 'purchase') AND before >= 2)
                 THEN before + 1 ELSE before END AS INT) AS redirect_count, route,
             CASE route WHEN 'follow' THEN concat('http://h', u, '.example.org/p/next') WHEN 'retry_get' THEN url END
-                AS next_url FROM routed""",
-    "stream_throughput": """SELECT date_trunc('minute', ts) AS minute, count(*) AS checks FROM events
-        GROUP BY 1 HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE
-            <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE""",
+                AS next_url,
+            CASE WHEN route <> 'status' THEN NULL WHEN e IN ('click', 'purchase') AND before >= 2 THEN 'Undetermined'
+                WHEN e = 'view' THEN 'Ok' WHEN e = 'error' THEN 'Undetermined' ELSE 'Broken' END AS category,
+            CASE WHEN route <> 'status' THEN NULL
+                WHEN e IN ('click', 'purchase') AND before >= 2 THEN concat('Redirects exceeded 2 redirects for ', url)
+                WHEN e = 'view' THEN 'Ok' WHEN e = 'error' THEN 'java.net.SocketException'
+                WHEN e = 'purchase' THEN 'Location Header in a redirect shouldn''t be null.'
+                ELSE 'Broken, Status code: 404' END AS message FROM routed""",
+    "stream_throughput": "SELECT date_trunc('minute', ts) AS minute, count(*) AS checks FROM events GROUP BY 1",
+    "stream_cycle": resolution(
+        "poll_starts",
+        """SELECT coalesce(d.url_id, f.url_id) AS url_id, CASE WHEN d.url_id IS NULL THEN f.category ELSE d.category END AS category,
+               CASE WHEN d.url_id IS NULL THEN f.checking_date ELSE TIMESTAMP '1999-01-01' END AS checking_date,
+               CASE WHEN d.url_id IS NULL THEN f.status_code ELSE d.status_code END AS status_code,
+               CAST(coalesce(d.redirect_count, f.redirect_count) AS INT) AS redirect_count, coalesce(d.method, f.method) AS method
+           FROM done d FULL JOIN full_status f ON f.url_id = d.url_id""",
+        needs=(*_ALL, "full_status"),
+    ),
+    "daily_unchecked": sql(
+        ["ord", "url", "status", "url_context"],
+        """SELECT DATE '1999-01-01' AS day, count(*) AS unchecked FROM url WHERE valid AND id NOT IN (SELECT url_id FROM status)
+           AND id IN (SELECT url_id FROM url_context WHERE active)""",
+    ),
 }

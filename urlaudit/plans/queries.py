@@ -11,6 +11,7 @@ from urlaudit import schema
 from urlaudit.config import AuditConfig
 from urlaudit.functions import classify, records, urls
 from urlaudit.operators import gates, politeness, reports, resolve, selection, status
+from urlaudit.plans import cycle
 from urlaudit.session import scratch_path
 from urlaudit.sources import projections as tables
 from urlaudit.sources import readers, sinks
@@ -228,10 +229,10 @@ def resolved_status_summary(spark, sf_dir):
 
 @query
 def resolved_poll(spark, sf_dir):
-    """One poll, followed step by step as a cycle does it."""
+    """One poll against an index of the responses, as a cycle does it."""
     due = selection.due_all(*_register(spark, sf_dir), tables.AS_OF)
     frontier, responses = selection.seed_frontier(due), tables.responses(spark, sf_dir)
-    found = resolve.resolve(frontier, responses, CONF, login_pages=tables.login_pages(spark), method="walk")
+    found = resolve.resolve(frontier, responses, CONF, login_pages=tables.login_pages(spark), few=True)
     return found.select("url_id", "url", "method", "redirect_count", "category", "message")
 
 
@@ -544,10 +545,9 @@ def _check_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_status(spark, sf_dir):
     root = scratch_path(spark, "stream-status")
-    jobs.seed_status(spark.createDataFrame([], schema.STATUS), root)
-    jobs.run_available(jobs.record_checks(_check_stream(spark, sf_dir), root), f"{root}/checkpoint")
-    final = sinks.read_status(spark, root, jobs.last_version(spark, f"{root}/status"))
-    current = final.withColumn("is_current", F.lit(True))
+    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root, buckets=8)
+    jobs.run_available(jobs.record_checks(_check_stream(spark, sf_dir), root, "checks"), f"{root}/checkpoint")
+    current = sinks.read_status(spark, root).withColumn("is_current", F.lit(True))
     both = current.unionByName(sinks.read_history(spark, root).withColumn("is_current", F.lit(False)))
     return both.select("url_id", "category", "checking_date", "duration", "redirect_count", "is_current")
 
@@ -582,7 +582,7 @@ def stream_in_flight(spark, sf_dir):
         "at",
         "event_id AS seq",
     )
-    emitted = _run_to_parquet(spark, jobs.emit_not_in_flight(events), "stream-in-flight")
+    emitted = _run_to_parquet(spark, jobs.emit_not_in_flight(events, expire=False), "stream-in-flight")
     return emitted.select("name", "seq")
 
 
@@ -611,25 +611,61 @@ def stream_attempts(spark, sf_dir):
 
 @query
 def stream_throughput(spark, sf_dir):
-    counted = _run_to_parquet(spark, jobs.count_throughput(_event_stream(spark, sf_dir)), "stream-throughput")
-    return counted.select(F.col("minute").cast("timestamp_ntz").alias("minute"), "checks")
+    root = scratch_path(spark, "stream-throughput")
+    counted = jobs.count_throughput(_event_stream(spark, sf_dir))
+    jobs.run_available(jobs.record_throughput(counted, root), f"{root}-checkpoint")
+    return jobs.read_throughput(spark, root).select(F.col("minute").cast("timestamp_ntz").alias("minute"), "checks")
 
 
 @query
 def stream_resolved(spark, sf_dir):
     """The register arriving as a stream, resolved and recorded per batch."""
     root = scratch_path(spark, "stream-resolved")
-    jobs.seed_status(spark.createDataFrame([], schema.STATUS), root)
+    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root, buckets=8)
     landed = scratch_path(spark, "landed-register")
     tables.url(spark, sf_dir).filter("valid").repartition(2, "id").write.parquet(landed)
     selected = jobs.stream_table(spark, landed, schema.URL, files_per_trigger=1)
+    pages = jobs.Refreshed(lambda: tables.login_pages(spark))
     writer = jobs.resolve_selected(
         selected,
-        tables.responses(spark, sf_dir),
+        lambda: {"responses": tables.responses(spark, sf_dir), "login_pages": pages.get()},
         CONF,
         root,
-        tables.CHECKED_AT,
-        login_pages=tables.login_pages(spark),
+        checked_at=lambda _: tables.CHECKED_AT,
     )
     jobs.run_available(writer, f"{root}/checkpoint")
-    return sinks.read_status(spark, root, jobs.last_version(spark, f"{root}/status"))
+    return sinks.read_status(spark, root)
+
+
+def _polled(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """The folder after one tick of the poller."""
+    root = scratch_path(spark, label)
+    spark.range(1).write.parquet(f"{root}/ticks")
+
+    def load() -> cycle.CycleTables:
+        begun = sinks.last_manifest(spark, root) is not None
+        return cycle.CycleTables(
+            url=tables.url(spark, sf_dir),
+            status=sinks.read_status(spark, root) if begun else tables.full_status(spark, sf_dir),
+            url_context=tables.url_context(spark, sf_dir),
+            responses=tables.responses(spark, sf_dir),
+            login_pages=tables.login_pages(spark),
+        )
+
+    ticks = jobs.stream_table(spark, f"{root}/ticks", spark.range(0).schema)
+    poll = cycle.audit_poll(load, CONF, root, lambda: tables.AS_OF)
+    jobs.run_available(jobs.on_ticks(ticks, poll), f"{root}/checkpoint")
+    return root
+
+
+@query
+def stream_cycle(spark, sf_dir):
+    """The status after a poll that selects, resolves and records."""
+    root = _polled(spark, sf_dir, "stream-cycle")
+    return sinks.read_status(spark, root).select("url_id", "category", "checking_date", "status_code", "redirect_count", "method")
+
+
+@query
+def daily_unchecked(spark, sf_dir):
+    """The count the poller writes once a day, before it polls."""
+    return spark.read.parquet(f"{_polled(spark, sf_dir, 'daily-unchecked')}/unchecked")

@@ -2,44 +2,115 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from urlaudit import schema
 from urlaudit.operators.reports import latest_n
 from urlaudit.operators.status import apply_checks
 from urlaudit.session import materialize
 
+BUCKETS = 64
 
-def status_path(root: str, version: int) -> str:
-    return f"{root}/status/version={version}"
+# A status table is kept in buckets of URLs. Each bucket has two slots, of which a manifest names the one in use: a version writes the
+# buckets it touches into their other slots, then its manifest. So a version costs in proportion to the touched buckets, a reader of
+# the last version is not disturbed, and no more than two copies of a bucket are ever kept.
+MANIFEST = "version INT, slots ARRAY<INT>, source STRING, batch LONG"
+
+
+def bucket_of(url_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(url_id.cast("long")), F.lit(buckets)).cast("int")
 
 
 def history_path(root: str, version: int) -> str:
     return f"{root}/history/version={version}"
 
 
-def read_status(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.schema(schema.STATUS).parquet(status_path(root, version))
+def last_manifest(spark: SparkSession, root: str):
+    """The newest version's row, None where no status was written below ``root``."""
+    try:
+        rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.orderBy(F.desc("version")).first()
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All superseded rows of all versions."""
-    return spark.read.schema(schema.STATUS).parquet(f"{root}/history/version=*")
+def _write_manifest(spark: SparkSession, root: str, version: int, slots: list[int], source: str | None, batch: int | None) -> None:
+    row = spark.createDataFrame([(slots, source, batch)], "slots ARRAY<INT>, source STRING, batch LONG")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
+
+
+def _write_buckets(rows: DataFrame, root: str, slots: list[int]) -> None:
+    """Write each row into its bucket's slot; other buckets and slots stay as they are."""
+    bucket = bucket_of(F.col("url_id"), len(slots))
+    placed = rows.select(*schema.STATUS_COLUMNS, bucket.alias("bucket"))
+    placed = placed.withColumn("slot", F.array(*[F.lit(slot) for slot in slots])[F.col("bucket")])
+    writer = placed.repartition("bucket").write.partitionBy("slot", "bucket").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(f"{root}/status")
+
 
+def seed_status(status: DataFrame, root: str, buckets: int = BUCKETS) -> None:
+    """The first version, from any status table."""
+    _write_buckets(status, root, [0] * buckets)
+    _write_manifest(status.sparkSession, root, 0, [0] * buckets, None, None)
 
-def write_status(status: DataFrame, fresh: DataFrame, root: str, version: int) -> None:
-    """Write snapshot ``version`` with ``fresh`` applied, and the rows it superseded.
 
-    A version is a function of the one before and its batch, so writing it again is harmless.
-    """
-    applied = materialize(apply_checks(status, fresh), "applied")
-    columns = schema.STATUS_COLUMNS
-    applied.filter(~F.col("is_current")).select(*columns).write.mode("overwrite").parquet(history_path(root, version))
-    applied.filter("is_current").select(*columns).write.mode("overwrite").parquet(status_path(root, version))
+def _in_use(spark: SparkSession, root: str, slots: list[int]) -> DataFrame:
+    """Rows of the slots in use; the choice is on partition columns, so other slots are not read."""
+    layout = StructType([*schema.STATUS, StructField("slot", IntegerType()), StructField("bucket", IntegerType())])
+    chosen = F.array(*[F.lit(slot) for slot in slots])[F.col("bucket")]
+    try:
+        return spark.read.schema(layout).parquet(f"{root}/status").filter(F.col("slot") == chosen)
+    except AnalysisException as error:  # a status without any row has no files
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], layout)
+
+
+def read_status(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version."""
+    manifest = last_manifest(spark, root)
+    if manifest is None:
+        raise ValueError(f"no status below {root}")
+    return _in_use(spark, root, manifest["slots"]).select(*schema.STATUS_COLUMNS)
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """All superseded rows of all versions."""
+    return spark.read.schema(schema.STATUS).parquet(f"{root}/history").select(*schema.STATUS_COLUMNS)
+
+
+def write_status(fresh: DataFrame, root: str, source: str | None = None, batch: int | None = None) -> int:
+    """Apply ``fresh`` to the newest version and write what it superseded to the history; returns the new version.
+
+    Only URLs of ``fresh`` go through the comparison by date, all others of a touched bucket pass by an anti join. Versions count up
+    whatever the batch numbers of a stream do. A batch that ``source`` has committed already is left out, one that was broken off is
+    written again from the same predecessor."""
+    spark = fresh.sparkSession
+    manifest = last_manifest(spark, root)
+    if manifest is None:
+        raise ValueError(f"no status below {root}")
+    if source is not None and (manifest["source"], manifest["batch"]) == (source, batch):
+        return manifest["version"]
+    slots, version = list(manifest["slots"]), manifest["version"] + 1
+    fresh = materialize(fresh.select(*schema.STATUS_COLUMNS), "fresh")
+    bucket = bucket_of(F.col("url_id"), len(slots))
+    touched = [row["bucket"] for row in fresh.select(bucket.alias("bucket")).distinct().collect()]  # at most one a bucket
+    current = _in_use(spark, root, slots).filter(F.col("bucket").isin(touched)).select(*schema.STATUS_COLUMNS)
+    ids = fresh.select("url_id").distinct()
+    applied = materialize(apply_checks(current.join(ids, "url_id", "left_semi"), fresh), "applied")
+    untouched = current.join(ids, "url_id", "left_anti").select(*schema.STATUS_COLUMNS)
+    applied.filter(~F.col("is_current")).select(*schema.STATUS_COLUMNS).write.mode("overwrite").parquet(history_path(root, version))
+    slots = [1 - slot if k in set(touched) else slot for k, slot in enumerate(slots)]
+    _write_buckets(untouched.unionByName(applied.filter("is_current").select(*schema.STATUS_COLUMNS)), root, slots)
+    _write_manifest(spark, root, version, slots, source, batch)
+    return version
 
 
 def write_latest(checks: DataFrame, path: str, n: int = 100, seq: str | None = None) -> None:
     """The newest ``n`` checks as one JSON file, newest first, replaced as a whole."""
     latest_n(checks, n, seq).coalesce(1).write.mode("overwrite").json(path)
-

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Callable
 from typing import Any
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from urlaudit.config import AuditConfig
+from urlaudit.functions import classify
 from urlaudit.operators import resolve as resolving
 from urlaudit.operators.reports import latest_n
 from urlaudit.operators.selection import seed_frontier
@@ -20,9 +22,6 @@ from urlaudit.session import materialize
 from urlaudit.sources import sinks
 from urlaudit.streaming import state
 
-SEED_VERSION = -1
-
-
 def stream_table(
     spark: SparkSession, path: str, layout: StructType, files_per_trigger: int = 1000, glob: str | None = None
 ) -> DataFrame:
@@ -37,29 +36,23 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def record_checks(checks: DataFrame, root: str) -> DataStreamWriter:
-    """Upsert each batch of status rows: batch n turns snapshot n-1 into snapshot n.
+def record_checks(checks: DataFrame, root: str, source: str | None = None) -> DataStreamWriter:
+    """Upsert each batch of status rows into the newest version of the status below ``root``.
 
-    A batch that is delivered again rewrites the same version from the same predecessor.
-    """
+    ``source`` names the stream, for instance by its checkpoint: a batch it has committed is not written again. Without it such a
+    batch is applied again, which changes nothing, because the same check is stored once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        current = sinks.read_status(batch.sparkSession, root, batch_id - 1)
-        sinks.write_status(current, batch, root, batch_id)
+        sinks.write_status(batch, root, source, batch_id)
 
     return checks.writeStream.foreachBatch(write)
 
 
-def seed_status(status: DataFrame, root: str) -> None:
-    """The snapshot the first batch starts from."""
-    status.write.mode("overwrite").parquet(sinks.status_path(root, SEED_VERSION))
-
-
 def last_version(spark: SparkSession, folder: str) -> int:
-    """The newest version below ``folder`` that holds rows."""
+    """The newest version below ``folder`` that holds rows, -1 without any."""
     versions = spark.read.schema("version INT").parquet(folder)
     newest = versions.agg(F.max("version")).first()[0]
-    return SEED_VERSION if newest is None else newest
+    return -1 if newest is None else newest
 
 
 def keep_latest(checks: DataFrame, root: str, n: int = 100, seq: str | None = None) -> DataStreamWriter:
@@ -81,11 +74,18 @@ def drop_repeated_polls(polled: DataFrame, at: str = "at", within: str = "1 hour
     return polled.withWatermark(at, within).dropDuplicatesWithinWatermark(["name"])
 
 
-def emit_not_in_flight(events: DataFrame) -> DataFrame:
+def emit_not_in_flight(events: DataFrame, expire: bool = True) -> DataFrame:
     """Selections of URLs that are not in flight, released by ``done`` or an hour after emission.
 
-    ``events`` has ``name``, ``kind`` (``select`` or ``done``), ``at`` and a unique ``seq``.
+    ``events`` has ``name``, ``kind`` (``select`` or ``done``), ``at`` and a unique ``seq``. With ``expire`` the state of a URL ends
+    once the watermark, an hour behind the newest event, has passed its release. A run that stops when the source is drained
+    needs no watermark.
     """
+    if expire:
+        timed = events.withWatermark("at", "1 hour")
+        return timed.groupBy("name").applyInPandasWithState(
+            state.release_or_expire, state.EMITTED, state.IN_FLIGHT, "append", "EventTimeTimeout"
+        )
     return events.groupBy("name").applyInPandasWithState(
         state.release_in_order, state.EMITTED, state.IN_FLIGHT, "append", "NoTimeout"
     )
@@ -98,20 +98,33 @@ def route_observations(
 
     An attempt without an observation for an hour of processing time is given up. A run that stops
     when the source is drained needs ``expire=False``: waiting for a timeout would keep it going.
-    ``observations`` has ``url_id``, ``seq``, ``url``, ``status_code``, ``location`` and
-    ``exception_class``. What an observation says by itself is computed here as columns.
+    ``observations`` has ``url_id``, ``seq``, ``url``, ``status_code``, ``location`` and ``exception_class``, and may have
+    ``cause_class``, ``exception_message`` and ``original_url``. What an observation says by itself is computed here as columns, also
+    the category and message it ends with.
     """
+    given = lambda name, other: F.col(name) if name in observations.columns else other
+    nothing = F.lit(None).cast("string")
     answered = F.col("exception_class").isNull()
     redirects = F.coalesce(answered & F.col("status_code").isin(*conf.redirect_codes), F.lit(False))
-    target = resolving.urls.resolve_location(F.col("url"), F.col("location"), mode)
+    target = F.when(redirects, resolving.urls.resolve_location(F.col("url"), F.col("location"), mode))
+    fault = F.when(redirects & target.isNull(), resolving.urls.location_error(F.col("url"), F.col("location")))
+    raised = F.coalesce("exception_class", fault["class"])
+    text = F.coalesce(given("exception_message", nothing), fault["message"])
+    by_code = classify.category_of_status(F.col("status_code"), conf)
     facts = observations.select(
         "url_id",
         "seq",
         "url",
         redirects.alias("is_redirect"),
         F.coalesce(answered & F.col("status_code").isin(*conf.ok_codes), F.lit(False)).alias("is_ok"),
-        F.when(redirects, target).alias("target"),
+        target.alias("target"),
         F.lit(conf.redirect_limit).alias("redirect_limit"),
+        F.coalesce(classify.category_of_exception(raised, conf.broken_exceptions), by_code).alias("own_category"),
+        F.coalesce(
+            F.when(raised.isNotNull(), classify.message_of_exception(raised, given("cause_class", nothing), text)),
+            classify.message_of_status(by_code, F.col("status_code")),
+        ).alias("own_message"),
+        classify.message_of_limit(given("original_url", F.col("url")), conf).alias("over_message"),
     )
     rule, timeout = (
         (state.route_or_expire, "ProcessingTimeTimeout") if expire else (state.route_in_order, "NoTimeout")
@@ -120,20 +133,44 @@ def route_observations(
 
 
 def count_throughput(checks: DataFrame, at: str = "at", late: str = "10 minutes") -> DataFrame:
-    """Checks per minute; a minute is final once the watermark has passed it."""
+    """Checks per minute; the count of a minute grows until the watermark has passed it."""
     counted = checks.withWatermark(at, late).groupBy(F.window(at, "1 minute")).agg(F.count("*").alias("checks"))
     return counted.select(F.col("window.start").alias("minute"), "checks")
 
 
+def record_throughput(counted: DataFrame, root: str) -> DataStreamWriter:
+    """Write the minutes whose count has grown, batch by batch, also those the watermark has not passed when a run ends."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    return counted.writeStream.outputMode("update").foreachBatch(write)
+
+
+def read_throughput(spark: SparkSession, root: str) -> DataFrame:
+    """The count of every minute so far: the greatest one written, because counts only grow."""
+    return spark.read.schema("minute TIMESTAMP, checks LONG").parquet(root).groupBy("minute").agg(F.max("checks").alias("checks"))
+
+
 def resolve_selected(
-    selected: DataFrame, responses: DataFrame, conf: AuditConfig, root: str, checked_at, **options: Any
+    selected: DataFrame,
+    load: Callable[[], dict[str, DataFrame]],
+    conf: AuditConfig,
+    root: str,
+    checked_at: Callable[[int], Any] | None = None,
+    source: str | None = None,
+    **options: Any,
 ) -> DataStreamWriter:
-    """Resolve and record each batch of selected URLs; the feedback of redirects stays in the batch."""
+    """Resolve and record each batch of selected URLs; the feedback of redirects stays in the batch.
+
+    ``load`` returns ``responses`` and whatever else ``resolve`` takes as a table (``login_pages``, ``robots_rules``, ...). It is called
+    for each batch, so files that have come since are seen; what need not be read so often it can hold in a ``Refreshed``.
+    ``checked_at`` gives the date of a batch's checks, by default the time the batch begins."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        outcomes = resolving.resolve(seed_frontier(materialize(batch, "selected")), responses, conf, **options)
-        current = sinks.read_status(batch.sparkSession, root, batch_id - 1)
-        sinks.write_status(current, build_status(outcomes, checked_at), root, batch_id)
+        at = checked_at(batch_id) if checked_at else dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        outcomes = resolving.resolve(seed_frontier(materialize(batch, "selected")), conf=conf, **load(), **options)
+        sinks.write_status(build_status(outcomes, at), root, source, batch_id)
 
     return selected.writeStream.foreachBatch(write)
 
@@ -153,10 +190,14 @@ class Refreshed:
         return self._value
 
 
+def on_ticks(ticks: DataFrame, poll: Callable[[int], None]) -> DataStreamWriter:
+    """Call ``poll(batch_id)`` for every batch of any stream of ticks."""
+    return ticks.writeStream.foreachBatch(lambda _, batch_id: poll(batch_id))
+
+
 def start_polling(
     spark: SparkSession, poll: Callable[[int], None], checkpoint: str, every: str = "3 minutes"
 ) -> StreamingQuery:
     """Call ``poll(batch_id)`` every interval; it re-reads the register, so each poll sees its changes."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    writer = ticks.writeStream.foreachBatch(lambda _, batch_id: poll(batch_id))
-    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    return on_ticks(ticks, poll).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

@@ -7,12 +7,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql.streaming.state import GroupState
 
+from urlaudit.config import UNDETERMINED
+
 IN_FLIGHT_US = 3_600_000_000
 ATTEMPT_TIMEOUT_MS = 3_600_000
 
 EMITTED = "name string, at timestamp, seq long"
 IN_FLIGHT = "since_us long"
-ROUTED = "url_id long, seq long, url string, method string, redirect_count int, route string, next_url string"
+ROUTED = "url_id long, seq long, url string, method string, redirect_count int, route string, next_url string, category string, message string"
 ATTEMPT = "method string, redirect_count int"
 
 
@@ -38,6 +40,16 @@ def release_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupSta
     yield rows.loc[emitted, ["at", "seq"]].assign(name=key[0])[["name", "at", "seq"]]
 
 
+def release_or_expire(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+    """``release_in_order`` with a state that ends when its release lies behind the watermark."""
+    if held.hasTimedOut:
+        held.remove()
+        return
+    yield from release_in_order(key, batches, held)
+    if held.exists:
+        held.setTimeoutTimestamp(max((held.get[0] + IN_FLIGHT_US) // 1000, held.getCurrentWatermarkMs() + 1))
+
+
 def route_or_expire(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
     """``route_in_order`` with attempts that are given up when no observation arrives in time."""
     if held.hasTimedOut:
@@ -61,12 +73,14 @@ def route_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState
             route, method, next_url = "retry_get", "GET", row.url
         else:
             route = "status"
-        out.append((key[0], row.seq, row.url, used, count, route, next_url))
+        over = row.is_redirect and count > row.redirect_limit
+        category, message = (None, None) if route != "status" else (UNDETERMINED, row.over_message) if over else (row.own_category, row.own_message)
+        out.append((key[0], row.seq, row.url, used, count, route, next_url, category, message))
         if route == "status":
             method, count = "HEAD", 0
     if (method, count) == ("HEAD", 0):
         held.remove()
     else:
         held.update((method, int(count)))
-    columns = ["url_id", "seq", "url", "method", "redirect_count", "route", "next_url"]
+    columns = ["url_id", "seq", "url", "method", "redirect_count", "route", "next_url", "category", "message"]
     yield pd.DataFrame(out, columns=columns).astype({"redirect_count": "int32"})
