@@ -233,8 +233,14 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Language and text of the labelled training documents to learn from; at most ``size`` for each language."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("language"), F.col(text_col).alias("text")).where("id IS NOT NULL AND language IS NOT NULL")
     rows = rows.where(training(F.col("id"), *HELD_OUT))
-    place = F.row_number().over(Window.partitionBy("language").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.select("id", "language").dropDuplicates(["id"]).withColumn("place", place).where(F.col("place") <= size).select("id")
+    # Ids in order of their hash. Of a language with many documents only those with small hashes, about twice the sample, are ranked.
+    span = 1 << 30
+    rank = F.pmod(F.xxhash64("id"), F.lit(span))
+    labelled = rows.select("id", "language")
+    many = labelled.groupBy("language").agg(F.count("*").alias("documents"))
+    least = labelled.join(many, "language").where(rank * F.col("documents") <= F.lit(2 * size * span))
+    place = F.row_number().over(Window.partitionBy("language").orderBy(rank, "id"))
+    chosen = least.select("id", "language").dropDuplicates(["id"]).withColumn("place", place).where(F.col("place") <= size).select("id")
     # Of bounded size: ``size`` rows for each language.
     found = rows.join(F.broadcast(chosen), "id", "left_semi").where(F.length("text") <= LONGEST)
     return [(row["language"], row["text"]) for row in found.select("language", "text").collect()]
