@@ -26,7 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urlaudit.llm.common import table
@@ -52,6 +52,15 @@ def tag(text: bytes) -> int:
     return zlib.crc32(text) & 0xFFFF
 
 
+def tag_of_place() -> Column:
+    return F.col("place").bitwiseAND(0xFFFF).cast("int")
+
+
+def same_text() -> Column:
+    """Joins documents with what was found for their id and tag, which here comes from the same checksum."""
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.crc32("bytes").bitwiseAND(0xFFFF).cast("int") == F.col("_tag"))
+
+
 def running_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     up, down = _power_tables(len(data))
     total = np.empty(len(data) + 1, np.uint64)
@@ -236,8 +245,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     often = often.select("anchor", F.nullif("least", F.lit(NO_ID)).alias("doc_id"), "place", F.lit(2).alias("n")).join(shared, "anchor")
     open_ = materialize(once.unionByName(often), "open")
 
-    wanted = open_.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
-    strings = materialize(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select(docs["doc_id"], "bytes", "wanted").mapInArrow(cut_out(length), STRINGS), "strings")
+    # A list holds contexts of one text, or of the few under one id, or without one, whose tags are equal.
+    wanted = open_.groupBy(F.col("doc_id").alias("_id"), tag_of_place().alias("_tag")).agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
+    strings = materialize(docs.join(wanted, same_text(), "inner").select("doc_id", "bytes", "wanted").mapInArrow(cut_out(length), STRINGS), "strings")
     tasks = strings.where(F.col("contexts") <= HOT).count() // TASK_CONTEXTS + 1
     few = strings.where(F.col("contexts") <= HOT).withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)))
     runs = "doc_id long, tag int, start long, windows long"
@@ -248,7 +258,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     place = F.col("place")
     wholly = settled.select(
         "doc_id",
-        place.bitwiseAND(0xFFFF).cast("int").alias("tag"),
+        tag_of_place().alias("tag"),
         F.shiftright(place, 32).alias("start"),
         (F.shiftright(place, 24).bitwiseAND(255) + 1).alias("windows"),
     )
@@ -263,9 +273,7 @@ def cut_out(length: int):
 
     def run(batches):
         for batch in batches:
-            for doc_id, text, wanted in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                mine = tag(text)
-                rows = [w for w in wanted if w["place"] & 0xFFFF == mine]
+            for doc_id, text, rows in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 ends = [(w["place"] >> 32, (w["place"] >> 32) + ((w["place"] >> 24) & 255) + length) for w in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -316,19 +324,20 @@ def remove_repeats(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"), *[F.col(name).alias(f"_keep_{name}") for name in keep]
     )
-    runs = repeated_spans(rows.select("doc_id", "bytes"), length, gram).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("tag", "start", "windows")).alias("runs"))
+    runs = repeated_spans(rows.select("doc_id", "bytes"), length, gram)
+    runs = runs.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
 
     def run(batches):
         for batch in batches:
             texts = bytes_of(batch.column(1))
-            out = [without(t, [r for r in found or () if r["tag"] == tag(t)], length, whole_characters) for t, found in zip(texts, batch.column(2).to_pylist(), strict=True)]
+            out = [without(t, found or [], length, whole_characters) for t, found in zip(texts, batch.column(2).to_pylist(), strict=True)]
             spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([kept for kept, _ in out], pa.binary()), pa.array([s for _, s in out], spans), *batch.columns[3:]],
                 [id_col, "n_bytes", "kept", "spans", *keep],
             )
 
-    joined = rows.join(runs, rows["doc_id"].eqNullSafe(runs["_id"]), "left").select("doc_id", "bytes", "runs", *[f"_keep_{name}" for name in keep])
+    joined = rows.join(runs, same_text(), "left").select("doc_id", "bytes", "runs", *[f"_keep_{name}" for name in keep])
     kinds = "".join(f", `{name}` {docs.schema[name].dataType.simpleString()}" for name in keep)
     return joined.mapInArrow(run, f"`{id_col}` long, n_bytes long, kept binary, spans array<struct<start:bigint,end:bigint>>{kinds}")
 
