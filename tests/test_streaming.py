@@ -1,7 +1,10 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from urlaudit.config import AuditConfig
 from urlaudit.streaming import jobs
-from urlaudit.session import scratch_path
+from urlaudit.session import materialize, scratch_path, scratch_tables
 
 
 def stream_of(spark, tmp_path, *files, ddl):
@@ -49,3 +52,35 @@ def test_polling_calls_back(spark):
     finally:
         query.stop()
     assert seen[:2] == [0, 1]
+
+
+def test_scratch_tables_of_a_batch_are_removed(spark, tmp_path):
+    with scratch_tables(spark):
+        with scratch_tables(spark):
+            inner = materialize(spark.range(5), "a-b")
+            assert inner.count() == 5 and inner.inputFiles()
+        outer = materialize(spark.range(7), "c")
+        files = [Path(name.removeprefix("file:").replace("//", "")) for name in (*outer.inputFiles(),)]
+        assert outer.count() == 7 and all(f.exists() for f in files)
+    assert files and not any(f.exists() for f in files)
+    kept = materialize(spark.range(3), "d")
+    assert kept.count() == 3
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("scratch_")]
+
+
+def test_attempts_carry_category_and_message(spark, tmp_path):
+    ddl = "url_id long, seq long, url string, status_code int, location string, exception_class string, exception_message string, original_url string"
+    rows = [
+        (1, 1, "http://a.org/x", 302, "./y", None, None, "http://a.org/x"),
+        (1, 2, "http://a.org/y", 302, "./z", None, None, "http://a.org/x"),
+        (2, 3, "http://b.org/", None, None, "java.net.SocketTimeoutException", "Read timed out", "http://b.org/"),
+        (2, 4, "http://b.org/", 404, None, None, None, "http://b.org/"),
+    ]
+    routed = jobs.route_observations(stream_of(spark, tmp_path, rows, ddl=ddl), AuditConfig(redirect_limit=1), expire=False)
+    found = {r.seq: (r.route, r.category, r.message) for r in drain(spark, routed, tmp_path).collect()}
+    assert found == {
+        1: ("follow", None, None),
+        2: ("status", "Undetermined", "Redirects exceeded 1 redirects for http://a.org/x"),
+        3: ("retry_get", None, None),
+        4: ("status", "Broken", "Broken, Status code: 404"),
+    }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from urlaudit.config import AuditConfig
 from urlaudit.operators import gates, politeness, reports, resolve, selection, status
-from urlaudit.session import materialize
+from urlaudit.session import materialize, scratch_tables
 from urlaudit.sources import sinks
 
 
@@ -86,7 +86,8 @@ def audit_poll(load: Callable[[], CycleTables], conf: AuditConfig, root: str, as
             count = selection.count_unchecked(tables.url, tables.status, tables.url_context)
             count.select(F.lit(str(today)).cast("date").alias("day"), "unchecked").coalesce(1).write.mode("append").parquet(path)
             poll.reported = True
-        run_cycle(tables, conf, today, root)
+        with scratch_tables(spark):
+            run_cycle(tables, conf, today, root)
 
     poll.reported = False
     return poll

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +51,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/urlaudit/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside the block go with it; for jobs that run for ever. Results must be used inside."""
+    schema = f"scratch_{uuid.uuid4().hex}"
+    outer = getattr(_scopes, "schema", None)
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, 'scope')}'")
+    _scopes.schema = schema
+    try:
+        yield
+    finally:
+        _scopes.schema = outer
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage with a written table: survives executor loss, and gives Catalyst a true size."""
     spark = df.sparkSession
+    if schema := getattr(_scopes, "schema", None):
+        name = f"{schema}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
+        df.write.format("parquet").saveAsTable(name)
+        return spark.table(name)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -51,12 +51,6 @@ def read_responses(spark: SparkSession, location: str, fmt: str = "parquet") ->
     return lower_header_names(read_table(spark, location, schema.RESPONSES, fmt))
 
 
-def stream_responses(spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
-    """The same observations as a stream of files, a bounded number per trigger."""
-    reader = spark.readStream.schema(schema.RESPONSES).option("maxFilesPerTrigger", files_per_trigger)
-    return lower_header_names(reader.format(fmt).load(path))
-
-
 def read_robots_rules(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
     return read_table(spark, location, schema.ROBOTS_RULES, fmt)
 

@@ -18,7 +18,7 @@ from urlaudit.operators import resolve as resolving
 from urlaudit.operators.reports import latest_n
 from urlaudit.operators.selection import seed_frontier
 from urlaudit.operators.status import build_status
-from urlaudit.session import materialize
+from urlaudit.session import materialize, scratch_tables
 from urlaudit.sources import sinks
 from urlaudit.streaming import state
 
@@ -43,7 +43,8 @@ def record_checks(checks: DataFrame, root: str, source: str | None = None) -> Da
     batch is applied again, which changes nothing, because the same check is stored once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_status(batch, root, source, batch_id)
+        with scratch_tables(batch.sparkSession):
+            sinks.write_status(batch, root, source, batch_id)
 
     return checks.writeStream.foreachBatch(write)
 
@@ -169,8 +170,9 @@ def resolve_selected(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = checked_at(batch_id) if checked_at else dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        outcomes = resolving.resolve(seed_frontier(materialize(batch, "selected")), conf=conf, **load(), **options)
-        sinks.write_status(build_status(outcomes, at), root, source, batch_id)
+        with scratch_tables(batch.sparkSession):
+            outcomes = resolving.resolve(seed_frontier(materialize(batch, "selected")), conf=conf, **load(), **options)
+            sinks.write_status(build_status(outcomes, at), root, source, batch_id)
 
     return selected.writeStream.foreachBatch(write)
 
