@@ -63,27 +63,6 @@ def segments(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate([[0], np.flatnonzero(change) + 1, [len(order)]])
 
 
-def pairs_in(order: np.ndarray, bounds: np.ndarray, most: int = 1 << 18):
-    """All pairs of rows of each segment, as arrays of at most about ``most`` pairs."""
-    sizes = np.diff(bounds)
-    kept_a, kept_b, total = [], [], 0
-    for size in np.unique(sizes[sizes > 1]):
-        a, b = np.triu_indices(size, 1)
-        starts = bounds[:-1][sizes == size]
-        step = max(1, most // len(a))
-        for at in range(0, len(starts), step):
-            some = starts[at : at + step, None]
-            for cut in range(0, len(a), most):
-                kept_a.append(order[(some + a[None, cut : cut + most]).ravel()])
-                kept_b.append(order[(some + b[None, cut : cut + most]).ravel()])
-                total += len(kept_a[-1])
-                if total >= most:
-                    yield np.concatenate(kept_a), np.concatenate(kept_b)
-                    kept_a, kept_b, total = [], [], 0
-    if total:
-        yield np.concatenate(kept_a), np.concatenate(kept_b)
-
-
 class Links:
     """Links among the rows of one task: how many rows each has, and a forest that connects what links connect."""
 
