@@ -4,7 +4,7 @@ A page is read into leaf blocks: runs of text between tags that begin or end a b
 its ancestors' tags, roles and words of their classes and ids, and its text's length, links and punctuation. The field gives each
 block one of two labels, article or other, by these features and the label before it; Viterbi finds the best labels of a page.
 
-It is trained on labelled pages: at most ``SAMPLE`` pages of the table, those with the least hash of their id, whose blocks are
+It is trained on labelled pages: at most ``SAMPLE`` pages of the table, those with the least hashes, whose blocks are
 labelled by an article or main element without furniture inside; each is also dealt into another layout of ``LAYOUTS``, with the
 labels known, so that pages with other markup are seen too. Every page is then read and decoded whole where it is stored; only the
 weights, of fixed size, go to the tasks.
@@ -351,7 +351,11 @@ def training_pages(htmls: list[str]) -> list[tuple[list[Block], list[bool]]]:
 def sampled(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", size: int = SAMPLE) -> list[str]:
     """The html of at most ``size`` pages, a bounded sample to learn from."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.col("html").isNotNull() & (F.length("html") <= LONGEST))
-    return [row["html"] for row in rows.orderBy(F.xxhash64("id"), "id", "html").limit(size).collect()]
+    # Of a large table only rows with small hashes, about twice the sample, are ordered and sent.
+    span = 1 << 30
+    rank = F.pmod(F.xxhash64("id", "html"), F.lit(span))
+    least = rows.where(rank * F.lit(pages.count()) <= F.lit(2 * size * span))
+    return [row["html"] for row in least.orderBy(rank, "id", "html").limit(size).collect()]
 
 
 def main_text(html: str | None, field: Field) -> str:
