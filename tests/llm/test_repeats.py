@@ -74,6 +74,34 @@ def test_rows_that_share_an_id(spark):
     assert found(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows, 200)
 
 
+@pytest.mark.parametrize("doc_id", [None, 1])
+def test_texts_whose_checksums_agree(spark, doc_id):
+    """Different texts under one id, or without one, of equal 16 bits of their checksum; one shares a passage with another row."""
+    pick = random.Random(3)
+    passage, by_tag = "".join(pick.choices("abcdefghij ", k=300)), {}
+    first = passage + " first"
+    while True:
+        other = "".join(pick.choices("klmnopqrst ", k=700))
+        by_tag.setdefault(repeats.tag(other.encode()), other)
+        if repeats.tag(first.encode()) in by_tag:
+            break
+    rows = [(doc_id, first), (doc_id, by_tag[repeats.tag(first.encode())]), (2, "start " + passage)]
+    assert found(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows, 200)
+
+
+@pytest.mark.parametrize("hot", [1, 50_000])
+def test_runs_of_identical_rows_are_kept_once(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    passage = "".join(random.Random(4).choices("abcdefghij ", k=900))
+    rows = [(1, passage)] * 30 + [(None, passage[200:] + "x")] * 30 + [(2, "start " + passage[100:500])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(repeats.remove_repeats(df)) == brute(rows, 200)
+    spans = repeats.repeated_spans(df.select(repeats.F.xxhash64("doc_id", "text").alias("key"), df.text.cast("binary").alias("bytes")))
+    lists = {len(row["runs"]) for row in repeats.listed(spans).collect()}
+    one = repeats.repeated_spans(spark.createDataFrame([(k, (text or "").encode()) for k, (_, text) in enumerate(rows[:1] * 2)], "key long, bytes binary"))
+    assert max(lists) <= 900 and (hot == 1 or max(lists) <= one.count())
+
+
 def test_whole_characters(spark):
     passage = "漢" * 100
     rows = [(1, "a" + passage + "é"), (2, "b" + passage + "è")]  # é and è share their first byte

@@ -14,8 +14,11 @@ written once and read sequentially. Where a common prefix reaches ``LENGTH``, bo
 Work moves by anchor, so a passage that many documents share spreads over its anchors; equal contexts are combined before they
 move. Anchors with more than ``HOT`` different contexts are cut once more, by the hash of each window, which is exact and bounded.
 
+Rows are told apart by 80 bits: a hash of id and text, and a checksum of the text. Only rows that repeat an id and its text share
+them, and what goes from one of these goes from all; what was found for them is kept once.
+
 Texts are whole UTF-8 byte strings; a null one is empty. Matches never cross documents. Repeated rows are documents of their own,
-also if they share an id. Texts of less than ``LENGTH`` bytes lose nothing, an empty table gives an empty result. Columns other than
+also if they share an id or have none. Texts of less than ``LENGTH`` bytes lose nothing, an empty table gives an empty result. Columns other than
 ``id`` and ``text`` are ignored.
 """
 
@@ -39,7 +42,6 @@ HOT = 50_000
 TASK_CONTEXTS = 20_000
 BLOCK = 1 << 20  # bytes that are hashed together
 PIECE = 1 << 24  # a longer text is hashed in pieces that share LENGTH bytes
-NO_ID = -(2**63)  # stands for a null id where ids are ordered
 NONE = 256  # a column where a string has no byte
 
 
@@ -48,7 +50,7 @@ def bytes_of(column) -> list[bytes]:
 
 
 def tag(text: bytes) -> int:
-    """Sixteen bits that tell apart texts under one id."""
+    """Sixteen bits that tell apart texts under one key."""
     return zlib.crc32(text) & 0xFFFF
 
 
@@ -57,8 +59,8 @@ def tag_of_place() -> Column:
 
 
 def same_text() -> Column:
-    """Joins documents with what was found for their id and tag, which here comes from the same checksum."""
-    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.crc32("bytes").bitwiseAND(0xFFFF).cast("int") == F.col("_tag"))
+    """Joins documents with what was found for their key and tag, which here comes from the same checksum."""
+    return (F.col("key") == F.col("_key")) & (F.crc32("bytes").bitwiseAND(0xFFFF).cast("int") == F.col("_tag"))
 
 
 def running_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +132,7 @@ def packed(start, count, offset, text):
 
 
 def all_contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id``, ``place``, ``anchor`` and ``whole`` of each context of ``doc_id`` and ``bytes``."""
+    """``key``, ``place``, ``anchor`` and ``whole`` of each context of ``key`` and ``bytes``."""
 
     def run(batches):
         for batch in batches:
@@ -144,10 +146,10 @@ def all_contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     owner = number[a:b][text]
                     place = packed(start + at[a:b][text], count, offset, tags[owner])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(owner)), pa.array(place), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64))], ["doc_id", "place", "anchor", "whole"]
+                        [batch.column(0).take(pa.array(owner)), pa.array(place), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64))], ["key", "place", "anchor", "whole"]
                     )
 
-    return docs.select("doc_id", "bytes").mapInArrow(run, "doc_id long, place long, anchor long, whole long")
+    return docs.select("key", "bytes").mapInArrow(run, "key long, place long, anchor long, whole long")
 
 
 def column_file(strings: list[bytes], offsets: np.ndarray, length: int, gram: int):
@@ -200,7 +202,7 @@ def compared(length: int, gram: int):
         (row, begin), end = np.nonzero(edge == 1), np.nonzero(edge == -1)[1]
         start = (place[row] >> 32) + begin - (length - gram - offset[row])
         return pa.table(
-            {"doc_id": rows.column("doc_id").take(pa.array(row)), "tag": pa.array((place[row] & 0xFFFF).astype(np.int32)), "start": pa.array(start), "windows": pa.array((end - begin).astype(np.int64))}
+            {"key": rows.column("key").take(pa.array(row)), "tag": pa.array((place[row] & 0xFFFF).astype(np.int32)), "start": pa.array(start), "windows": pa.array((end - begin).astype(np.int64))}
         )
 
     return run
@@ -211,53 +213,52 @@ def single_windows(length: int, gram: int):
 
     def run(batches):
         for batch in batches:
-            doc_ids, places, anchors, strings = (batch.column(k) for k in range(4))
+            keys, places, anchors, strings = (batch.column(k) for k in range(4))
             for k, string in enumerate(bytes_of(strings)):
                 total, down = running_hash(np.frombuffer(string, np.uint8))
                 place, windows = places[k].as_py(), np.arange(len(string) - length + 1)
-                key = mix(between(total, down, windows, length) + np.uint64(anchors[k].as_py() % (1 << 64)) + (windows - ((place >> 16) & 255)).astype(np.uint64))
+                window = mix(between(total, down, windows, length) + np.uint64(anchors[k].as_py() % (1 << 64)) + (windows - ((place >> 16) & 255)).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([doc_ids[k].as_py()] * len(windows), pa.int64()),
+                        pa.array([keys[k].as_py()] * len(windows), pa.int64()),
                         pa.array([place & 0xFFFF] * len(windows), pa.int32()),
                         pa.array((place >> 32) + windows),
-                        pa.array(key.view(np.int64)),
+                        pa.array(window.view(np.int64)),
                     ],
-                    ["doc_id", "tag", "start", "key"],
+                    ["key", "tag", "start", "window"],
                 )
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Runs of repeated windows of ``doc_id`` and ``bytes``: ``doc_id``, ``tag`` of the text, ``start`` and number of ``windows``."""
+    """Runs of repeated windows of ``key`` and ``bytes``: ``key``, ``tag`` of the text, ``start`` and number of ``windows``."""
     found = materialize(all_contexts(docs, length, gram), "contexts")
-    kinds = found.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("place").alias("place"))
-    kinds = materialize(kinds, "kinds")  # doc_id and place are of one context where n is 1
+    kinds = found.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("place").alias("place"))
+    kinds = materialize(kinds, "kinds")  # key and place are of one context where n is 1
     settled = materialize(found.join(kinds.where("n > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi"), "settled")
 
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    once = kinds.where("n = 1").select("anchor", "doc_id", "place", F.lit(1).alias("n")).join(shared, "anchor")
+    once = kinds.where("n = 1").select("anchor", "key", "place", F.lit(1).alias("n")).join(shared, "anchor")
     # One occurrence of each context that is settled; combined before the join, so that an anchor in a third of the documents
     # brings one row for each of its contexts.
-    order = F.coalesce("doc_id", F.lit(NO_ID))
-    often = settled.groupBy("anchor", "whole").agg(F.min(order).alias("least"), F.min_by("place", order).alias("place"))
-    often = often.select("anchor", F.nullif("least", F.lit(NO_ID)).alias("doc_id"), "place", F.lit(2).alias("n")).join(shared, "anchor")
+    often = settled.groupBy("anchor", "whole").agg(F.min(F.struct("key", "place")).alias("least"))
+    often = often.select("anchor", "least.key", "least.place", F.lit(2).alias("n")).join(shared, "anchor")
     open_ = materialize(once.unionByName(often), "open")
 
-    # A list holds contexts of one text, or of the few under one id, or without one, whose tags are equal.
-    wanted = open_.groupBy(F.col("doc_id").alias("_id"), tag_of_place().alias("_tag")).agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
-    strings = materialize(docs.join(wanted, same_text(), "inner").select("doc_id", "bytes", "wanted").mapInArrow(cut_out(length), STRINGS), "strings")
+    # A list holds contexts of one text.
+    wanted = open_.groupBy(F.col("key").alias("_key"), tag_of_place().alias("_tag")).agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
+    strings = materialize(docs.join(wanted, same_text(), "inner").select("key", "bytes", "wanted").mapInArrow(cut_out(length), STRINGS), "strings")
     tasks = strings.where(F.col("contexts") <= HOT).count() // TASK_CONTEXTS + 1
     few = strings.where(F.col("contexts") <= HOT).withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)))
-    runs = "doc_id long, tag int, start long, windows long"
+    runs = "key long, tag int, start long, windows long"
     partly = few.groupBy("task").applyInArrow(compared(length, gram), runs)
-    many = strings.where(F.col("contexts") > HOT).select("doc_id", "place", "anchor", "string").mapInArrow(single_windows(length, gram), "doc_id long, tag int, start long, key long")
-    twice = many.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    partly = partly.unionByName(many.join(twice, "key", "left_semi").select("doc_id", "tag", "start", F.lit(1).cast("long").alias("windows")))
+    many = strings.where(F.col("contexts") > HOT).select("key", "place", "anchor", "string").mapInArrow(single_windows(length, gram), "key long, tag int, start long, window long")
+    twice = many.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
+    partly = partly.unionByName(many.join(twice, "window", "left_semi").select("key", "tag", "start", F.lit(1).cast("long").alias("windows")))
     place = F.col("place")
     wholly = settled.select(
-        "doc_id",
+        "key",
         tag_of_place().alias("tag"),
         F.shiftright(place, 32).alias("start"),
         (F.shiftright(place, 24).bitwiseAND(255) + 1).alias("windows"),
@@ -265,26 +266,35 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     return partly.unionByName(wholly)
 
 
-STRINGS = "doc_id long, place long, anchor long, n int, contexts long, string binary"
+def listed(spans: DataFrame) -> DataFrame:
+    """Runs of each key and tag, each run once, so that rows that repeat an id and its text do not add up."""
+    return spans.groupBy(F.col("key").alias("_key"), F.col("tag").alias("_tag")).agg(F.collect_set(F.struct("start", "windows")).alias("runs"))
+
+
+STRINGS = "key long, place long, anchor long, n int, contexts long, string binary"
 
 
 def cut_out(length: int):
-    """The strings of the contexts that are wanted of each document."""
+    """The strings of the contexts that are wanted of each document; of rows that repeat an id and its text, of one in a task."""
 
     def run(batches):
+        seen = set()
         for batch in batches:
-            for doc_id, text, rows in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            for key, text, rows in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                if (key, tag(text)) in seen:
+                    continue
+                seen.add((key, tag(text)))
                 ends = [(w["place"] >> 32, (w["place"] >> 32) + ((w["place"] >> 24) & 255) + length) for w in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([doc_id] * len(rows), pa.int64()),
+                        pa.array([key] * len(rows), pa.int64()),
                         pa.array([w["place"] for w in rows], pa.int64()),
                         pa.array([w["anchor"] for w in rows], pa.int64()),
                         pa.array([w["n"] for w in rows], pa.int32()),
                         pa.array([w["contexts"] for w in rows], pa.int64()),
                         pa.array([text[a:b] for a, b in ends], pa.binary()),
                     ],
-                    ["doc_id", "place", "anchor", "n", "contexts", "string"],
+                    ["key", "place", "anchor", "n", "contexts", "string"],
                 )
 
     return run
@@ -324,8 +334,8 @@ def remove_repeats(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"), *[F.col(name).alias(f"_keep_{name}") for name in keep]
     )
-    runs = repeated_spans(rows.select("doc_id", "bytes"), length, gram)
-    runs = runs.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "bytes"))
+    runs = listed(repeated_spans(rows.select("key", "bytes"), length, gram))
 
     def run(batches):
         for batch in batches:
