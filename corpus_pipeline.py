@@ -1,8 +1,7 @@
 """The corpus pipeline: documents in, packed batches out. Each stage is written as Parquet and read again by the next.
 
-Stages before the last return the columns of ``documents`` and no others. Documents without an id leave at the near-duplicate
-stage, which tells documents apart by id; rows that repeat an id and its text are one document from there on. The repeat stage
-keeps every document, with the text that is left, cut at whole characters, and ``n_chars`` of that text.
+Stages before the last return the columns of ``documents`` and no others. The near-duplicate stage tells rows apart by
+a number of its own, so rows without an id and texts that share one are documents like all others. The repeat stage keeps every document, with the text that is left, cut at whole characters, and ``n_chars`` of that text.
 """
 
 from __future__ import annotations
@@ -33,11 +32,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
-    kept = jaccard.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    left = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
-    repeated = left.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    """Of each group of near-duplicates the one row with the smallest id, or one without an id if none has any."""
+    rows = jaccard.numbered(docs.select(*COLUMNS), "row")
+    kept = jaccard.near_duplicates(rows, row_col="row").where("first").select("row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

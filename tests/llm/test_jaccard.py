@@ -84,6 +84,18 @@ def test_odd_rows(odd, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(None, a), (None, a + " more"), (None, b), (5, b + " more"), (5, c), (6, c + " more"), (7, a + " x " + b)]
+    df = jaccard.numbered(spark.createDataFrame(rows, "doc_id long, text string"), "row")
+    out = {row["row"]: row for row in jaccard.near_duplicates(df, row_col="row").collect()}
+    text = {row["row"]: row["text"] for row in df.collect()}
+    got = sorted((text[k], row["n_links"], row["component_id"]) for k, row in out.items() if row["doc_id"] != 7)
+    assert got == [(a, 1, None), (a + " more", 1, None), (b, 1, 5), (b + " more", 1, 5), (c, 1, 5), (c + " more", 1, 5)]
+    left = [text[k] for k, row in out.items() if row["first"]]
+    assert len(left) == 4 and {b + " more", c, a + " x " + b} <= set(left) and {a, a + " more"} & set(left)
+
+
 def test_common_counts_in_columns():
     pick = np.random.default_rng(2)
     sets = [np.unique(pick.integers(0, 300, n)).astype(np.uint64) for n in (0, 5, 100, 250, 250)]

@@ -81,6 +81,14 @@ def test_run_is_all_stages(spark, documents):
     assert 0 < out.count() <= documents.count()
 
 
+def test_rows_without_an_id_stay(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(None, a), (None, a), (None, b), (4, c), (4, b + " more"), (4, " ".join(f"d{k}" for k in range(60)))]
+    docs = spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], spark.read.parquet(f"{FOLDER}/documents.parquet").schema)
+    left = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, FOLDER)
+    assert sorted((row["doc_id"] or 0, row["text"]) for row in left.collect()) == sorted([(0, a), (4, c), (4, b + " more"), rows[5]])
+
+
 @pytest.mark.parametrize("part", ["odd", "empty"])
 def test_odd_documents(spark, odd, part):
     columns = spark.read.parquet(f"{FOLDER}/documents.parquet").schema

@@ -10,9 +10,12 @@ signatures are joined, and only texts in clusters are read again. Large prefix g
 blocks are a unit of work, so pairs are never gathered: tasks return the links of each class and a forest of links.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a text of fewer words than an n-gram has one n-gram of all its words.
-Defined cases: a null or empty text, or one without a word, links with nothing and is kept. Repeated rows are copies of each other
-and share their id; rows without an id are of no class, link with nothing and are not kept. Of a component the smallest id is kept.
-An empty table gives an empty result. Columns other than ``id`` and ``text`` are ignored.
+Rows are numbered once, in a written table, and classes are known by the least number of their rows; ids are only reported beside
+it, so rows without an id and different texts under one id are compared like all others.
+
+Defined cases: a null or empty text, or one without a word, links with nothing and is kept. Repeated rows are copies of each other.
+Of a component the rows with its smallest id are ``kept``; a row without an id is not, as in SQL. ``first`` is one row of each
+component, of the smallest id if any row has one. Classes and components without an id have none to report. An empty table gives an empty result. Columns other than ``id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -64,12 +67,17 @@ def signature(hashes: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
     return out.T
 
 
-def signed(docs: DataFrame, width: int, tries: int, depth: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``key`` of the word sequence, ``prefixes`` (one hash for each trie) and ``sketch`` (a byte of each minimum hash)."""
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a unique number each, written so that a number stays with its row."""
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
+def signed(docs: DataFrame, width: int, tries: int, depth: int) -> DataFrame:
+    """``row``, ``doc_id``, ``key`` of the word sequence, ``prefixes`` (one hash for each trie) and ``sketch`` (a byte of each minimum hash)."""
 
     def run(batches):
         for batch in batches:
-            texts = [value.as_buffer().to_pybytes() if value.is_valid else b"" for value in batch.column(1)]
+            texts = [value.as_buffer().to_pybytes() if value.is_valid else b"" for value in batch.column(2)]
             keys, prefixes, sketches = [], [], []
             for start, end in blocks(texts):
                 some = texts[start:end]
@@ -89,12 +97,12 @@ def signed(docs: DataFrame, width: int, tries: int, depth: int, id_col: str, tex
                     prefixes.append(label_row)
                     sketches.append(None if sketch_row is None else sketch_row.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["doc_id", "key", "prefixes", "sketch"],
+                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["row", "doc_id", "key", "prefixes", "sketch"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
-    return rows.mapInArrow(run, "doc_id long, key binary, prefixes array<long>, sketch binary")
+    rows = docs.select("row", "doc_id", F.col("text").cast("binary"))
+    return rows.mapInArrow(run, "row long, doc_id long, key binary, prefixes array<long>, sketch binary")
 
 
 def _columns(rows: pa.Table, *names: str) -> list[np.ndarray]:
@@ -190,17 +198,30 @@ def grams(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, threshold: float = THRESHOLD, tries: int = TRIES, depth: int = DEPTH, target: float = TARGET
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WORDS,
+    threshold: float = THRESHOLD,
+    tries: int = TRIES,
+    depth: int = DEPTH,
+    target: float = TARGET,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """Each row's ``id``, class, number of copies, links to other documents, component, and whether it is the one to keep."""
+    """Each row's ``id``, class, number of copies, links to other documents, component, and whether it is the one to keep.
+
+    With ``row_col``, the unique number of each row of a written table, also that column and ``first``."""
     depth = matched_depth(depth, tries, threshold, target)
     hashes = tries * depth
     least = int(hashes * (threshold - SLACK * (threshold * (1 - threshold) / hashes) ** 0.5))
 
-    marked = materialize(signed(docs, width, tries, depth, id_col, text_col), "signed")
-    sound = marked.where("key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = materialize(sound.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")), "classes")
-    first = sound.join(classes, "key").where("doc_id = class_id").dropDuplicates(["key"]).select("class_id", "n", "prefixes", "sketch")
+    texts = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")]
+    docs = docs.select(F.col(row_col).alias("row"), *texts) if row_col else numbered(docs.select(*texts), "row")
+    marked = materialize(signed(docs, width, tries, depth), "signed")
+    sound = marked.where("key IS NOT NULL")
+    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("head")  # of the smallest id, if any
+    classes = materialize(sound.groupBy("key").agg(F.min("row").alias("class_id"), least_row, F.count("*").alias("n")), "classes")
+    first = sound.join(classes, "key").where("row = class_id").select("class_id", "n", "prefixes", "sketch")
     first = materialize(first, "first")
 
     met = first.select("class_id", F.posexplode("prefixes").alias("trie", "prefix"))
@@ -212,9 +233,8 @@ def near_duplicates(
     clusters = components(near.where("class_id <> root"), "class_id", "root")
 
     members = clusters.select(F.col("id").alias("class_id"), F.col("component").alias("cluster")).join(first.select("class_id", "n"), "class_id")
-    texts = docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).alias("text"))
-    sets = members.join(texts, "class_id")
-    sets = materialize(grams(sets, width, ["class_id", "cluster", "n"]), "grams").dropDuplicates(["class_id"])
+    sets = members.join(docs.select(F.col("row").alias("class_id"), "text"), "class_id")
+    sets = materialize(grams(sets, width, ["class_id", "cluster", "n"]), "grams")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
     sets = blocks_of(sets.join(sizes, "cluster"), "size", "class_id", BLOCK)
     weight = sets.agg(F.sum(F.length("grams"))).first()[0] or 0
@@ -224,16 +244,19 @@ def near_duplicates(
 
     joined = components(found.where("class_id <> root"), "class_id", "root").withColumnRenamed("id", "class_id")
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
-    classes = classes.join(links, "class_id", "left").join(joined, "class_id", "left")
-    out = marked.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(classes, "key", "left")
-    component = F.coalesce("component", "class_id", "doc_id")
+    classes = classes.join(links, "class_id", "left").join(joined, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
+    heads = classes.groupBy("component").agg(F.min("head").alias("whole"))
+    classes = classes.join(heads, "component").select("key", "n", "links", F.col("head.doc_id").alias("class_id"), F.col("whole.doc_id").alias("component_id"), F.col("whole.row").alias("first"))
+    out = marked.select("row", "doc_id", "key").join(classes, "key", "left")
+    own = lambda name: F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col(name))
     return out.select(
+        *([F.col("row").alias(row_col), (F.coalesce("first", "row") == F.col("row")).alias("first")] if row_col else []),
         F.col("doc_id").alias(id_col),
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        own("class_id").alias("class_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("n_copies"),
         (F.coalesce("n", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        own("component_id").alias("component_id"),
+        F.coalesce(F.col("doc_id") == own("component_id"), F.lit(False)).alias("kept"),
     )
 
 
