@@ -82,3 +82,25 @@ def test_sample_is_bounded(documents):
     sample = language.sampled(documents, size=5)
     languages = [name for name, _ in sample]
     assert languages and max(map(languages.count, set(languages))) <= 5
+
+
+def test_language_with_only_long_documents(spark, documents, monkeypatch):
+    monkeypatch.setattr(language, "LONGEST", 2_000)
+    names = sorted(row[0] for row in documents.where("lang IS NOT NULL").select("lang").distinct().collect())
+    rare, some = names[0], documents.select("doc_id", "lang", "text").where("length(text) > 100").collect()
+    rows = [(r["doc_id"], r["lang"], r["text"] if r["lang"] != rare else r["text"] * (2_000 // len(r["text"]) + 1)) for r in some]
+    rows = [(i, lang, text) for i, lang, text in rows if (lang == rare) == (len(text) > 2_000)]
+    sample = language.sampled(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert max(len(text) for _, text in sample) == 2_000
+    models = language.fit(sample)
+    assert models.languages == sorted({lang for _, lang, _ in rows}) and rare in models.languages
+    short = [r["text"] for r in some if r["lang"] == rare and len(r["text"]) < 2_000]
+    assert sum(found[0] == rare for found in models.predict(short)) > 0.9 * len(short)
+
+
+def test_short_documents_come_first(spark, documents, monkeypatch):
+    monkeypatch.setattr(language, "LONGEST", 500)
+    rows = [(k, "en", ("short " if k % 10 == 0 else "long " * 200)) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert {text for _, text in language.sampled(df, size=10)} == {"short "}
+    assert len(language.sampled(df, size=100)) == 100

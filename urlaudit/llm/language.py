@@ -1,7 +1,8 @@
 """Language identification by interpolated Kneser-Ney models of characters, one for each language.
 
 Models are fitted on a bounded sample of labelled documents: at most ``SAMPLE`` for each language, those with the least hash of
-their id, and of these the texts of at most ``LONGEST`` characters, whole. Every fourth is kept out of the counts to calibrate. The
+their id among the texts of at most ``LONGEST`` characters, whole. Where a language has fewer of these, longer texts follow in the
+same order, with their first ``LONGEST`` characters; only fitting reads such passages, predictions read whole texts. Every fourth is kept out of the counts to calibrate. The
 models live in sorted arrays of hashed character n-grams that all languages share, with one row of log probabilities for each
 n-gram and one of back-off weights for each context; a lookup is a binary search. The language of least cross-entropy for each
 character wins. Its posterior, at a temperature that suits the calibration texts, is the score; a text is accepted if its score is
@@ -230,20 +231,21 @@ def calibrate(models: Models, held: dict[str, list[np.ndarray]]) -> None:
 
 
 def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = SAMPLE) -> list[tuple[str, str]]:
-    """Language and text of the labelled training documents to learn from; at most ``size`` for each language."""
+    """Language and text, or first ``LONGEST`` characters, of the labelled training documents to learn from; at most ``size`` for each
+    language, those of at most ``LONGEST`` characters first."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("language"), F.col(text_col).alias("text")).where("id IS NOT NULL AND language IS NOT NULL")
-    rows = rows.where(training(F.col("id"), *HELD_OUT))
-    # Ids in order of their hash. Of a language with many documents only those with small hashes, about twice the sample, are ranked.
+    rows = rows.where(training(F.col("id"), *HELD_OUT) & F.col("text").isNotNull())
+    # Ids in order of their hash. Of many documents of a language only those with small hashes, about twice the sample, are ranked.
     span = 1 << 30
     rank = F.pmod(F.xxhash64("id"), F.lit(span))
-    labelled = rows.select("id", "language")
-    many = labelled.groupBy("language").agg(F.count("*").alias("documents"))
-    least = labelled.join(many, "language").where(rank * F.col("documents") <= F.lit(2 * size * span))
-    place = F.row_number().over(Window.partitionBy("language").orderBy(rank, "id"))
-    chosen = least.select("id", "language").dropDuplicates(["id"]).withColumn("place", place).where(F.col("place") <= size).select("id")
+    labelled = rows.select("id", "language", (F.length("text") > LONGEST).alias("long"))
+    many = labelled.groupBy("language", "long").agg(F.count("*").alias("documents"))
+    least = labelled.join(many, ["language", "long"]).where(rank * F.col("documents") <= F.lit(2 * size * span))
+    place = F.row_number().over(Window.partitionBy("language").orderBy("long", rank, "id"))
+    chosen = least.select("id", "language", "long").dropDuplicates(["id"]).withColumn("place", place).where(F.col("place") <= size).select("id")
     # Of bounded size: ``size`` rows for each language.
-    found = rows.join(F.broadcast(chosen), "id", "left_semi").where(F.length("text") <= LONGEST)
-    return [(row["language"], row["text"]) for row in found.select("language", "text").collect()]
+    found = rows.join(F.broadcast(chosen), "id", "left_semi").select("language", F.substring("text", 1, LONGEST).alias("text"))
+    return [(row["language"], row["text"]) for row in found.collect()]
 
 
 def identify(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
