@@ -16,6 +16,7 @@ PLACES = {
     "op8_language_id": ("language", "language_id"),
     "op9_byte_bpe": ("bpe", "byte_bpe"),
     "op10_embedding_near_duplicates": ("embeddings", "embedding_near_duplicates"),
+    "op11_url_filter": ("reputation", "url_filter"),
     "op13_importance_resampling": ("resampling", "importance_resampling"),
 }
 
