@@ -17,6 +17,7 @@ PLACES = {
     "op9_byte_bpe": ("bpe", "byte_bpe"),
     "op10_embedding_near_duplicates": ("embeddings", "embedding_near_duplicates"),
     "op11_url_filter": ("reputation", "url_filter"),
+    "op12_token_alignment": ("alignment", "token_alignment"),
     "op13_importance_resampling": ("resampling", "importance_resampling"),
 }
 
