@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 
 import pytest
@@ -46,6 +47,43 @@ def test_longest_rule_wins_and_allow_wins_a_tie(spark):
     assert gates.with_robots(df, table).count() == len(urls) * 2
 
 
+def test_the_longest_of_many_prefixes_is_found(spark):
+    pick = random.Random(12)
+    letters = lambda: "".join(pick.choices("ab/é", k=pick.randint(0, 7)))
+    rules = {(f"h{pick.randint(0, 4)}.org", "/" + letters(), pick.choice(["allow", "disallow"])) for _ in range(3000)}
+    rules |= {("deep.org", "/" + "a" * k, "allow" if k % 2 else "disallow") for k in range(60)} | {("one.org", "/x", "disallow")}
+    many = {(f"big.org", f"/page{i}", "disallow" if i % 3 else "allow") for i in range(10_000)}
+    table = spark.createDataFrame([(h, r, p, None) for h, p, r in rules | many], schema.ROBOTS_RULES)
+    urls = {f"http://{pick.choice(['h0', 'h1', 'h2', 'h3', 'h4', 'h5'])}.org/" + letters() for _ in range(400)}
+    urls |= {"http://deep.org/" + "a" * k + end for k in (0, 5, 59, 80) for end in ("", "b")} | {"http://one.org/xy", "http://one.org/", "http://one.org/a", "http://one.org/z"}
+    urls |= {f"http://big.org/page{k}" for k in (0, 1, 7, 77, 9999, 10_000, 99_999, "", "x")} | {"http://big.org/"}
+    by_host = {}
+    for h, p, r in rules | many:
+        by_host.setdefault(h, []).append((p, r))
+
+    def brute(url):
+        host, _, rest = url.removeprefix("http://").partition("/")
+        hits = [(len(p), r == "allow") for p, r in by_host.get(host, []) if ("/" + rest).startswith(p)]
+        return max(hits)[1] if hits else True
+
+    found = gates.with_robots(spark.createDataFrame([(u,) for u in urls], "url string"), table).collect()
+    assert {r.url: r.robots_allowed for r in found} == {u: brute(u) for u in urls}
+
+
+def test_suffix_rules_with_wildcards_and_exceptions(spark):
+    rules = ["com", "uk", "co.uk", "jp", "*.kobe.jp", "!city.kobe.jp", "*.ck", "!www.ck", "Net"]
+    wanted = {
+        "com": None, "a.com": "a.com", "x.a.com": "a.com", "uk": None, "co.uk": None, "a.co.uk": "a.co.uk", "b.a.co.uk": "a.co.uk", "b.uk": "b.uk",
+        "kobe.jp": "kobe.jp", "c.kobe.jp": None, "b.c.kobe.jp": "b.c.kobe.jp", "a.b.c.kobe.jp": "b.c.kobe.jp", "city.kobe.jp": "city.kobe.jp", "www.city.kobe.jp": "city.kobe.jp",
+        "ck": None, "test.ck": None, "b.test.ck": "b.test.ck", "a.b.test.ck": "b.test.ck", "www.ck": "www.ck", "www.www.ck": "www.ck", "a.net": "a.net", "a.zz": None,
+    }
+    df = spark.createDataFrame([(f"http://{host.upper()}/x",) for host in wanted] * 2, "url string")
+    table = spark.createDataFrame([(rule,) for rule in rules], "suffix string")
+    found = gates.with_domain(df, table).collect()
+    assert len(found) == 2 * len(wanted)
+    assert {r.url.split("/")[2].lower(): r.domain for r in found} == wanted
+
+
 def delay_by_rule(robots, override, slots, conf):
     delay = conf.delay_ms
     if override is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urlaudit.config import BLOCKED, BROKEN, RESTRICTED, UNDETERMINED, AuditConfig
@@ -42,31 +42,75 @@ def path_pattern(path: Column) -> Column:
     return F.when(path.contains("*") | path.endswith("$"), F.concat(F.lit("^"), F.replace(quoted, F.lit("*"), F.lit(".*")), ends))
 
 
+def robots_index(robots_rules: DataFrame) -> DataFrame:
+    """The rules of a host as one row, no longer than its robots.txt.
+
+    ``_plain`` has the plain prefixes in order, each with its weight and the place of the longest other one that it begins with (-1
+    without any), ``_depth`` how many such steps there are at most. ``_patterns`` are the rules with wildcards."""
+    path = F.col("path_prefix")
+    weight = F.length(path) * 2 + (F.col("rule") == "allow").cast("int")
+    rules = robots_rules.select(F.lower("host").alias("_host"), path.alias("prefix"), path_pattern(path).alias("pattern"), weight.alias("weight"), "crawl_delay_ms")
+    plain = rules.where("prefix != '' AND pattern IS NULL").groupBy("_host", "prefix").agg(F.max("weight").alias("weight"))
+    placed = plain.withColumn("place", F.row_number().over(Window.partitionBy("_host").orderBy("prefix")) - 1)
+    begun = placed.where(F.length("prefix") > 1).select(
+        "_host", F.col("place").alias("_of"), F.explode(F.expr("transform(sequence(1, length(prefix) - 1), n -> substring(prefix, 1, n))")).alias("prefix")
+    )
+    above = begun.join(placed, ["_host", "prefix"]).groupBy("_host", "_of").agg(
+        F.max_by("place", F.length("prefix")).alias("parent"), F.count("*").cast("int").alias("steps")
+    )
+    linked = placed.join(above.withColumnRenamed("_of", "place"), ["_host", "place"], "left")
+    entry = F.struct("prefix", "weight", F.coalesce("parent", F.lit(-1)).alias("parent"))
+    arrays = linked.groupBy("_host").agg(
+        F.sort_array(F.collect_list(entry)).alias("_plain"), F.coalesce(F.max("steps"), F.lit(0)).alias("_depth")
+    )
+    # What stands before the first wildcard tells most patterns apart without a look at them.
+    begins = F.regexp_replace(F.substring_index("prefix", "*", 1), r"\$$", "")
+    pattern = F.when(F.col("pattern").isNotNull(), F.struct(begins.alias("begins"), "pattern", "weight"))
+    hosts = rules.groupBy("_host").agg(F.collect_set(pattern).alias("_patterns"), F.max("crawl_delay_ms").cast("long").alias("robots_delay_ms"))
+    return hosts.join(arrays, "_host", "left")
+
+
+def longest_prefix(path: Column, plain: Column, depth: Column) -> Column:
+    """The weight of the longest of the sorted prefixes that ``path`` begins with, NULL without one.
+
+    Binary search finds the last entry that is not greater than the path. Whatever the path begins with, that entry begins with too, so
+    the answer is the entry itself or one that its links lead to."""
+    mid = lambda s: F.shiftright(s["lo"] + s["hi"], 1)
+    not_greater = lambda s: F.get(plain, mid(s))["prefix"] <= path
+    halved = F.aggregate(
+        F.sequence(F.lit(0), F.ceil(F.log2(F.size(plain) + 1)).cast("int")),
+        F.struct(F.lit(0).alias("lo"), F.size(plain).alias("hi")),
+        lambda s, _: F.when(s["lo"] >= s["hi"], s)
+        .when(not_greater(s), F.struct((mid(s) + 1).alias("lo"), s["hi"].alias("hi")))
+        .otherwise(F.struct(s["lo"].alias("lo"), mid(s).alias("hi"))),
+        lambda s: s["lo"] - 1,
+    )
+    return F.aggregate(
+        F.sequence(F.lit(0), depth),
+        halved,
+        lambda at, _: F.when((at < 0) | path.startswith(F.get(plain, at)["prefix"]), at).otherwise(F.get(plain, at)["parent"]),
+        lambda at: F.when(at >= 0, F.get(plain, at)["weight"]),
+    )
+
+
 def with_robots(df: DataFrame, robots_rules: DataFrame | None, url: str = "url") -> DataFrame:
     """Add ``robots_allowed`` and ``robots_delay_ms``. The longest matching path decides, allow wins a tie; an empty path matches
     nothing, and ``*`` and a final ``$`` are wildcards.
 
-    The rules of a host are one row, an array no longer than its robots.txt, so each URL joins once by host and looks for its rule
-    inside the row; rules and URLs of a host never multiply.
+    Each URL joins once by host and looks for its rule inside the host's row; rules and URLs of a host never multiply. Plain prefixes are
+    found by binary search, so a host may have many; patterns are tried one by one where the path begins as they do.
     """
     if robots_rules is None:
         return df.withColumns({"robots_allowed": F.lit(True), "robots_delay_ms": F.lit(None).cast("long")})
-    prefix = F.col("path_prefix")
-    weight = (F.length(prefix) * 2 + (F.col("rule") == "allow").cast("int")).alias("weight")
-    rule = F.struct(prefix.alias("prefix"), path_pattern(prefix).alias("pattern"), weight)
-    hosts = robots_rules.groupBy(F.lower("host").alias("_host")).agg(
-        F.collect_set(F.when(prefix != "", rule)).alias("_rules"),
-        F.max("crawl_delay_ms").cast("long").alias("robots_delay_ms"),
-    )
     corrected = urls.correct_url(F.col(url))
-    keyed = df.withColumn("_host", F.lower(urls.host(corrected))).join(hosts, ["_host"], "left")
-    keyed = keyed.withColumn("_path", F.when(F.size("_rules") > 0, urls.path_and_query(corrected)))
-    hits = F.filter(
-        "_rules",
-        lambda r: F.when(r["pattern"].isNull(), F.col("_path").startswith(r["prefix"])).otherwise(F.regexp_like(F.col("_path"), r["pattern"])),
-    )
-    heaviest = F.array_max(F.transform(hits, lambda r: r["weight"]))
-    return keyed.withColumn("robots_allowed", F.coalesce(heaviest % 2 == 1, F.lit(True))).drop("_host", "_rules", "_path")
+    keyed = df.withColumn("_host", F.lower(urls.host(corrected))).join(robots_index(robots_rules), ["_host"], "left")
+    keyed = keyed.withColumn("_path", F.when(F.col("_plain").isNotNull() | (F.size("_patterns") > 0), urls.path_and_query(corrected)))
+    path = F.col("_path")
+    hits = F.filter("_patterns", lambda r: path.startswith(r["begins"]) & F.regexp_like(path, r["pattern"]))
+    by_pattern = F.array_max(F.transform(hits, lambda r: r["weight"]))
+    by_prefix = F.when(F.col("_plain").isNotNull(), longest_prefix(path, F.col("_plain"), F.col("_depth")))
+    keyed = keyed.withColumn("robots_allowed", F.coalesce(F.greatest(by_prefix, by_pattern) % 2 == 1, F.lit(True)))
+    return keyed.drop("_host", "_plain", "_depth", "_patterns", "_path")
 
 
 def with_login(df: DataFrame, login_pages: DataFrame | None, url: str = "url") -> DataFrame:
@@ -164,32 +208,32 @@ def message_of_gate(gate: Column, url: Column, original_url: Column) -> Column:
 
 
 def with_domain(df: DataFrame, public_suffixes: DataFrame, url: str = "url") -> DataFrame:
-    """Add ``domain``: the longest listed suffix of the host plus one label, NULL where none is listed.
+    """Add ``domain``: the public suffix of the host plus one label, NULL where no rule matches or the host is itself a suffix.
 
-    Matching runs on distinct hosts: every tail of a host is looked up by equality.
+    ``public_suffixes`` are rules: ``x`` is a suffix, ``*.x`` makes one of every label before ``x``, ``!y.x`` says that ``y.x`` is none. The
+    longest rule decides, but an exception goes before all. Matching runs on distinct hosts: every tail of a host is looked up by
+    equality, as each kind of rule would write it.
     """
     hosted = df.withColumn("_host", F.lower(urls.host(F.col(url))))
-    labels = F.split("_host", r"\.")
+    tail = "array_join(slice(_labels, {}, size(_labels)), '.')"
     tails = (
         hosted.select("_host")
         .filter("_host != ''")
         .distinct()
-        .select("_host", labels.alias("_labels"))
-        .filter("size(_labels) > 1")
-        .select("_host", "_labels", F.explode(F.sequence(F.lit(2), F.size("_labels"))).alias("_at"))
-        .select(
-            "_host",
-            F.expr("array_join(slice(_labels, _at, size(_labels)), '.')").alias("suffix"),
-            F.expr("array_join(slice(_labels, _at - 1, size(_labels)), '.')").alias("_domain"),
-        )
+        .select("_host", F.split("_host", r"\.").alias("_labels"))
+        .select("_host", "_labels", F.explode(F.sequence(F.lit(1), F.size("_labels"))).alias("_at"))
     )
-    listed = public_suffixes.select("suffix").distinct()
-    longest = F.max(F.struct(F.length("suffix"), "_domain"))
-    domains = (
-        tails.join(listed, ["suffix"], "left_semi")
-        .groupBy("_host")
-        .agg(longest.getField("_domain").alias("domain"))
+    own, rest = tail.format("_at"), tail.format("_at + 1")
+    before = f"CASE WHEN _at > 1 THEN {tail.format('_at - 1')} END"
+    kinds = (
+        f"named_struct('suffix', {own}, 'exception', false, 'domain', {before})",
+        f"named_struct('suffix', CASE WHEN _at < size(_labels) THEN concat('*.', {rest}) END, 'exception', false, 'domain', {before})",
+        f"named_struct('suffix', concat('!', {own}), 'exception', true, 'domain', {own})",
     )
+    written = tails.selectExpr("_host", "size(_labels) - _at AS _size", f"inline(array({', '.join(kinds)}))")
+    listed = public_suffixes.select(F.lower("suffix").alias("suffix")).distinct()
+    longest = F.max_by("domain", F.struct("exception", "_size"))
+    domains = written.join(listed, ["suffix"], "left_semi").groupBy("_host").agg(longest.alias("domain"))
     return hosted.join(domains, ["_host"], "left").drop("_host")
 
 

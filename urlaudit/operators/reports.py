@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from urlaudit.operators.skew import ordered_run
@@ -14,6 +14,13 @@ def poll_summary(selected: DataFrame, queue_key: str = "queue_key") -> DataFrame
     return selected.agg(F.count("*").alias("hits"), F.countDistinct(queue_key).alias("queues"))
 
 
+def observed_summary(selected: DataFrame, seen: Observation, queue_key: str = "queue_key") -> DataFrame:
+    """The poll itself; whoever writes it finds hits and distinct queues in ``seen`` without another pass.
+
+    The queues are gathered as a set, no longer than the poll, which its selection bounds."""
+    return selected.observe(seen, F.count(F.lit(1)).alias("hits"), F.size(F.collect_set(queue_key)).alias("queues"))
+
+
 def poll_times(polls: DataFrame, elapsed: str, *by: str) -> DataFrame:
     """Number, mean and maximum of the query times of a poll log."""
     return polls.groupBy(*by).agg(
@@ -44,11 +51,19 @@ def latest_n(checks: DataFrame, n: int = 100, seq: str | None = None) -> DataFra
 def throughput(checks: DataFrame, every: int = 100, at: str = "checking_date", tie: str = "check_id") -> DataFrame:
     """Elapsed ``elapsed_us`` between every ``every``-th check; NULL for the first mark.
 
-    Checks are numbered over ranges of their order. A mark is sent to its own number and to the next,
-    so marks meet their predecessor in one small grouping.
+    Checks are numbered over ranges of their order.
     """
-    numbered = ordered_run(checks.select(at, tie), [], [F.asc(at), F.asc(tie)], number="nr")
-    marks = numbered.filter(F.col("nr") % every == 0).select((F.col("nr") / every).cast("long").alias("mark"), at)
+    return elapsed_between(marks(checks, every, at, tie), at)
+
+
+def marks(checks: DataFrame, every: int = 100, at: str = "checking_date", tie: str = "check_id", before: int = 0) -> DataFrame:
+    """``mark`` and date of every ``every``-th check, where ``before`` checks have been counted already."""
+    numbered = ordered_run(checks.select(at, tie), [], [F.asc(at), F.asc(tie)], number="nr").withColumn("nr", F.col("nr") + before)
+    return numbered.filter(F.col("nr") % every == 0).select((F.col("nr") / every).cast("long").alias("mark"), at)
+
+
+def elapsed_between(marks: DataFrame, at: str = "checking_date") -> DataFrame:
+    """Elapsed ``elapsed_us`` since the mark before, NULL for the first; a mark is sent to its own number and to the next."""
     both = marks.select(
         at, F.posexplode(F.array(F.col("mark"), F.col("mark") + 1)).alias("is_previous", "mark")
     )

@@ -199,9 +199,9 @@ def _decided(df: DataFrame, conf: AuditConfig, mode: str) -> DataFrame:
     return twice.withColumns({**last, "last_method": F.when(F.col("_retry"), GET).otherwise(F.col("method"))})
 
 
-def _settled(frontier: DataFrame, nodes: DataFrame, gates: dict, conf: AuditConfig, mode: str) -> DataFrame:
-    """Decide each frontier row: final, unobserved, or ``follow`` with ``next_url``."""
-    decided = _decided(with_gates(frontier, conf, **gates).join(nodes, "url", "left"), conf, mode)
+def _settled(observed: DataFrame, gates: dict, conf: AuditConfig, mode: str) -> DataFrame:
+    """Decide each frontier row, given with its observations: final, unobserved, or ``follow`` with ``next_url``."""
+    decided = _decided(with_gates(observed, conf, **gates), conf, mode)
     gate, gated, count = F.col("gate"), F.col("gate").isNotNull(), F.col("redirect_count")
     decided = decided.withColumn("route", F.when(gated, "status").otherwise(F.col("last_route")))
     recorded = _with_record(decided, "last", conf).withColumns(
@@ -211,9 +211,9 @@ def _settled(frontier: DataFrame, nodes: DataFrame, gates: dict, conf: AuditConf
         }
     )
     final = F.col("route") == "status"
-    observed = {name: F.when(final & ~gated, F.col(name)) for name in RECORD}
-    observed["category"] = F.coalesce("_gate_category", observed["category"])
-    observed["message"] = F.coalesce("_gate_message", observed["message"])
+    found = {name: F.when(final & ~gated, F.col(name)) for name in RECORD}
+    found["category"] = F.coalesce("_gate_category", found["category"])
+    found["message"] = F.coalesce("_gate_message", found["message"])
     method = F.when(gate == "protocol", GET).when(gated, F.col("method")).otherwise(F.col("last_method"))
     return recorded.select(
         "url_id",
@@ -222,7 +222,7 @@ def _settled(frontier: DataFrame, nodes: DataFrame, gates: dict, conf: AuditConf
         method.alias("method"),
         F.when(~gated & F.col("last_over"), count + 1).otherwise(count).alias("redirect_count"),
         "route",
-        *[column.alias(name) for name, column in observed.items()],
+        *[column.alias(name) for name, column in found.items()],
         F.when(F.col("route") == "follow", F.col("last_target")).alias("next_url"),
     )
 
@@ -242,16 +242,19 @@ def _finished(settled: DataFrame) -> DataFrame:
     return settled.filter(F.col("route") != "follow").select(*OUTCOME)
 
 
-def resolve_walk(frontier, responses, conf, mode: str = "compat", **gates) -> DataFrame:
+def resolve_walk(frontier, responses, conf, mode: str = "compat", index=None, **gates) -> DataFrame:
     """One settled round per redirect until nothing is left to follow. The readable definition.
 
     A round groups only the responses of the URLs it has reached, so for a frontier far smaller than the responses it shuffles in
-    proportion to the frontier."""
+    proportion to the frontier. With an index it looks them up there and reads no responses."""
     outcomes = []
     current = materialize(drop_blank(frontier.select(*FRONTIER)), "start")
     for _ in range(conf.redirect_limit + 1):
-        nodes = response_nodes(responses, current, conf, gates.get("host_overrides"))
-        settled = materialize(_settled(current, nodes, gates, conf, mode), "round")
+        if index is None:
+            observed = current.join(response_nodes(responses, current, conf, gates.get("host_overrides")), "url", "left")
+        else:
+            observed = index.observed(current, few=True)
+        settled = materialize(_settled(observed, gates, conf, mode), "round")
         outcomes.append(_finished(settled))
         current = _advance(settled)
         if current.isEmpty():
@@ -266,16 +269,23 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
+def state_of(method: Column | str, url: Column | str) -> Column:
+    """A method and a URL as one value, the key of jumps."""
+    return F.concat(F.col(method) if isinstance(method, str) else method, F.lit(" "), F.col(url) if isinstance(url, str) else url)
+
+
 def redirect_edges(nodes: DataFrame, conf: AuditConfig, mode: str = "compat", **gates) -> DataFrame:
-    """The redirect a state ``(url, method)`` takes, for states that take one and pass the gates.
+    """The redirect a state, a method and a URL, takes: for states that take one and pass the gates.
 
     Far narrower than the responses: only redirecting states, only URLs and methods.
     """
     some = F.lit(False)
     for seen in ("head", "get"):
         some = some | F.coalesce(F.col(f"{seen}.status_code").isin(*conf.redirect_codes), F.lit(False))
+    # Of an observation only what decides the route is read.
+    routed = [F.when(F.col(seen).isNotNull(), F.struct(*[F.col(seen)[name].alias(name) for name in ROUTE_FIELDS])).alias(seen) for seen in ("head", "get")]
     states = nodes.filter(some).select(
-        "*", F.explode(F.array(F.lit(HEAD), F.lit(GET))).alias("method"), F.lit(0).alias("redirect_count")
+        "url", *routed, F.explode(F.array(F.lit(HEAD), F.lit(GET))).alias("method"), F.lit(0).alias("redirect_count")
     )
     edge = F.struct(
         "url", "method", F.col("last_target").alias("to_url"), F.col("last_method").alias("to_method"), F.lit(1).alias("steps")
@@ -284,12 +294,12 @@ def redirect_edges(nodes: DataFrame, conf: AuditConfig, mode: str = "compat", **
     follows = F.col("last_route") == "follow"
     edges = _decided(states, conf, mode).select(F.inline(F.when(follows, F.array(edge))))
     gated = with_gates(edges, conf, original_url=None, **gates)
-    return gated.filter(F.col("gate").isNull()).select(*edges.columns)
+    return gated.filter(F.col("gate").isNull()).select(state_of("method", "url").alias("state"), "to_url", "to_method", "steps")
 
 
-def _jump(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
+def jumped(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
     """Move each row along its jump; a row without one stays."""
-    return frontier.join(jumps, ["url", "method"], "left").select(
+    return frontier.withColumn("state", state_of("method", "url")).join(jumps, "state", "left").select(
         "url_id",
         "original_url",
         F.coalesce("to_url", "url").alias("url"),
@@ -298,24 +308,24 @@ def _jump(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
     )
 
 
-def _double(jumps: DataFrame) -> DataFrame:
-    """Jumps of twice the length: each jump continued by the jump that starts where it ends."""
-    onward = jumps.select(
-        F.col("url").alias("to_url"),
-        F.col("method").alias("to_method"),
-        F.col("to_url").alias("end_url"),
-        F.col("to_method").alias("end_method"),
-        F.col("steps").alias("more"),
+def doubled(jumps: DataFrame, onward: DataFrame) -> DataFrame:
+    """Each jump continued by the jump in ``onward`` that starts where it ends."""
+    next_jump = onward.select(
+        F.col("state").alias("to_state"), F.col("to_url").alias("end_url"), F.col("to_method").alias("end_method"), F.col("steps").alias("more")
     )
-    return jumps.join(onward, ["to_url", "to_method"], "left").select(
-        "url",
-        "method",
+    return jumps.withColumn("to_state", state_of("to_method", "to_url")).join(next_jump, "to_state", "left").select(
+        "state",
         F.coalesce("end_url", "to_url").alias("to_url"),
         F.coalesce("end_method", "to_method").alias("to_method"),
         (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
     )
 
 
+def levels_for(limit: int) -> int:
+    """How many tables of jumps of 1, 2, 4, ... redirects it takes to move up to ``limit``."""
+    return limit.bit_length()
+
+
 @dataclass
 class ResponseIndex:
     """Responses made ready for many polls: nodes, and jumps along redirects of up to 1, 2, 4, ... steps, as written tables."""
@@ -323,6 +333,20 @@ class ResponseIndex:
     nodes: DataFrame
     jumps: list[DataFrame]
 
+    def moved(self, frontier: DataFrame, level: int, few: bool) -> DataFrame:
+        """Each row moved along its jump of 2 to the ``level`` redirects. With ``few``, jumps that start elsewhere are left out by a
+        semi join with the small frontier, so that the table stays where it is."""
+        table = self.jumps[level]
+        if few:
+            states = frontier.select(state_of("method", "url").alias("state")).distinct()
+            table = table.join(states, "state", "left_semi")
+        return jumped(frontier, table)
+
+    def observed(self, frontier: DataFrame, few: bool) -> DataFrame:
+        """Add ``head`` and ``get`` of each row's URL."""
+        nodes = self.nodes.join(frontier.select("url").distinct(), "url", "left_semi") if few else self.nodes
+        return frontier.join(nodes, "url", "left")
+
 
 def index_responses(
     responses: DataFrame,
@@ -334,48 +358,47 @@ def index_responses(
 ) -> ResponseIndex:
     """Group the responses once and double the jumps up to the redirect limit. Each table is written, so no plan grows with the limit.
 
-    The index holds for the settings and gates it was built with; it may be kept until the responses change."""
+    The index holds for the settings and gates it was built with, and for these responses; ``sources.index`` keeps one up to date."""
     gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
     nodes = materialize(response_nodes(responses, conf=conf, host_overrides=host_overrides), "nodes")
     jumps = [materialize(redirect_edges(nodes, conf, mode, **gates), "edges")] if conf.redirect_limit > 0 else []
-    while jumps and 2 ** len(jumps) <= conf.redirect_limit:
-        jumps.append(materialize(_double(jumps[-1]), "jumps"))
+    while len(jumps) < levels_for(conf.redirect_limit):
+        jumps.append(materialize(doubled(jumps[-1], jumps[-1]), "jumps"))
     return ResponseIndex(nodes, jumps)
 
 
-def _travel(frontier: DataFrame, jumps: list[DataFrame], distance: int, few: bool) -> DataFrame:
+def _travel(frontier: DataFrame, index, distance: int, few: bool) -> DataFrame:
     """Move every row up to ``distance`` redirects, stopping early where no edge leads on: the jumps for the bits of ``distance``."""
-    for bit, table in enumerate(jumps):
-        if distance >> bit & 1:
-            if few:  # only jumps that start at the frontier take part, found without moving the others
-                frontier = materialize(frontier, "frontier")
-                table = table.join(frontier.select("url", "method").distinct(), ["url", "method"], "left_semi")
-            frontier = _jump(frontier, table)
-    return frontier
+    for level in range(levels_for(distance)):
+        if distance >> level & 1:
+            frontier = index.moved(materialize(frontier, "frontier") if few else frontier, level, few)
+    return materialize(frontier, "frontier") if few else frontier
 
 
 def resolve(
     frontier: DataFrame,
-    responses: DataFrame,
+    responses: DataFrame | None,
     conf: AuditConfig,
     robots_rules: DataFrame | None = None,
     login_pages: DataFrame | None = None,
     host_overrides: DataFrame | None = None,
     mode: str = "compat",
     method: str = "lifting",
-    index: ResponseIndex | None = None,
+    index=None,
     few: bool = False,
 ) -> DataFrame:
     """Final state of every frontier row; route ``status``, or ``unobserved`` where a response is missing.
 
     ``lifting`` groups the responses once, moves every row by log2(limit) joins to where its redirects end, and settles it there
-    once. An ``index`` of the responses, kept from an earlier call, saves the grouping; with ``few``, for a frontier far smaller than
+    once. An ``index`` of the responses, kept from an earlier call, takes their place; with ``few``, for a frontier far smaller than
     the responses such as a poll, the index is filtered by the frontier before each join, so that what moves is in proportion to the
     poll. ``walk`` settles and moves one redirect at a time; it is the definition the other is tested against.
+
+    The result is a plan over written tables; write it before it is used twice.
     """
     gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
     if method == "walk":
-        return resolve_walk(frontier, responses, conf, mode, **gates)
+        return resolve_walk(frontier, responses, conf, mode, index=index, **gates)
     if method != "lifting":
         raise ValueError(f"unknown method {method!r}")
     start = drop_blank(frontier.select(*FRONTIER))
@@ -390,15 +413,11 @@ def resolve(
     outcomes = []
     walked = start.filter("_special").select(*FRONTIER)
     if not walked.isEmpty():
-        outcomes.append(resolve_walk(walked, responses, conf, mode, **gates))
+        outcomes.append(resolve_walk(walked, responses, conf, mode, index=index, **gates))
     if index is None:
         index = index_responses(responses, conf, mode=mode, **gates)
-    ended = _travel(start.filter("NOT _special").select(*FRONTIER), index.jumps, conf.redirect_limit, few)
-    nodes = index.nodes
-    if few:
-        ended = materialize(ended, "frontier")
-        nodes = nodes.join(ended.select("url").distinct(), "url", "left_semi")
-    outcomes.append(_finished(materialize(_settled(ended, nodes, gates, conf, mode), "settled")))
+    ended = _travel(start.filter("NOT _special").select(*FRONTIER), index, conf.redirect_limit, few)
+    outcomes.append(_finished(_settled(index.observed(ended, few), gates, conf, mode)))
     return _union(outcomes)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 LIMIT = 15
 ROBOTS_MAX_MS = 30_000
 
@@ -87,7 +89,9 @@ CTES = {
         (SELECT DISTINCT b % 50 AS n FROM ord WHERE b % 5 <> 0) h JOIN (VALUES
             (1, 'disallow', '/page1', NULL), (1, 'allow', '/page11', NULL),
             (4, 'disallow', '', NULL), (4, 'disallow', '/*7$', NULL), (4, 'allow', '/page*77', NULL),
-            (2, 'allow', '/', 2000), (3, 'allow', '/', 40000)) v(d, rule, prefix, delay) ON h.n % 10 = v.d""",
+            (2, 'allow', '/', 2000), (3, 'allow', '/', 40000)) v(d, rule, prefix, delay) ON h.n % 10 = v.d
+        UNION ALL SELECT 'host7.example.org', CASE WHEN i % 3 = 0 THEN 'disallow' ELSE 'allow' END, '/page' || i, NULL
+        FROM range(10000) t(i) WHERE EXISTS (SELECT 1 FROM ord WHERE b % 50 = 7)""",
     "robots": f"""SELECT u.id, u.name, coalesce(arg_max(rule, length(prefix) * 2 + CAST(rule = 'allow' AS INT))
             FILTER (prefix <> '' AND CASE prefix WHEN '/*7$' THEN ends_with(u.name, '7')
                 WHEN '/page*77' THEN regexp_matches(u.name, '/page.*77')
@@ -117,6 +121,14 @@ CTES = {
     "snapshot": "SELECT id AS seq, name AS url, group_key AS queue_key, id % 97 = 0 AS in_progress FROM url",
 }
 
+# The second of two polls, an hour and more after the first: the URLs of the first have been checked on the day itself.
+_CHAIN = ["candidates", "ranked_urls", "due_urls", "prefixed", "ranked_handles", "due_handles", "due_all"]
+CTES["status_again"] = """SELECT url_id, checking_date FROM status WHERE url_id NOT IN (SELECT id FROM due_all)
+    UNION ALL SELECT id, TIMESTAMP '1999-01-01' FROM due_all"""
+for _name in _CHAIN:
+    CTES[f"{_name}_again"] = re.sub(rf"\b({'|'.join([*_CHAIN, 'status'])})\b", r"\1_again", CTES[_name])
+CTES["two_polls"] = "SELECT id, name FROM due_all UNION ALL SELECT id, name FROM due_all_again"
+
 _REGISTER = ["ord", "url", "status", "url_context", "candidates"]
 _URLS = [*_REGISTER, "ranked_urls", "due_urls"]
 _HANDLES = [*_REGISTER, "prefixed", "ranked_handles", "due_handles"]
@@ -255,8 +267,10 @@ ORACLES = {
     "queue_keys_by_domain": sql(
         ["ord", "odd_urls"],
         f"""SELECT CASE WHEN host = '' THEN lower(url)
+                WHEN regexp_matches(host, '(^|\\.)example\\.org$') THEN 'example.org'
+                WHEN regexp_matches(host, '[^.]+\\.[^.]+\\.(org|net)$') THEN regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1)
                 WHEN regexp_matches(host, '\\.co\\.uk$') THEN regexp_extract(host, '([^.]+\\.co\\.uk)$', 1)
-                WHEN regexp_matches(host, '\\.(com|org|net)$') THEN regexp_extract(host, '([^.]+\\.[^.]+)$', 1)
+                WHEN regexp_matches(host, '\\.com$') THEN regexp_extract(host, '([^.]+\\.[^.]+)$', 1)
                 ELSE host END AS queue_key, count(*) AS urls FROM {_HOSTS} GROUP BY 1""",
     ),
     "queue_keys_by_ip": sql(
@@ -382,6 +396,7 @@ ORACLES = {
     ),
     "status_rows": resolution("valid_starts", _STATUS_ROWS),
     "stream_resolved": resolution("valid_starts", _STATUS_ROWS),
+    "stream_late_responses": resolution("valid_starts", _STATUS_ROWS),
     "status_from_metadata": """SELECT doc_id AS url_id, CASE WHEN doc_id % 2 = 0 THEN 'Ok' ELSE 'Broken' END AS category,
         CASE WHEN length(text) < 1024 THEN text ELSE substr(text, 1, 1017) || '[...]' END AS message,
         TIMESTAMP '1999-01-01' + to_seconds(doc_id % 10) AS checking_date,
@@ -508,7 +523,14 @@ ORACLES = {
                      ELSE r.since END
             FROM run r JOIN steps s ON s.u = r.u AND s.nr = r.nr + 1)
         SELECT CAST(u AS VARCHAR) AS name, seq FROM run WHERE emitted""",
-    "stream_repeated_polls": "SELECT DISTINCT concat('u', user_id) AS name FROM events",
+    "stream_repeated_polls": """WITH RECURSIVE steps AS (
+            SELECT user_id AS u, event_id AS seq, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nr FROM events),
+        run(u, nr, seq, passed, since) AS (
+            SELECT u, nr, seq, true, ts FROM steps WHERE nr = 1
+            UNION ALL
+            SELECT s.u, s.nr, s.seq, s.ts - r.since >= INTERVAL 1 HOUR, CASE WHEN s.ts - r.since >= INTERVAL 1 HOUR THEN s.ts ELSE r.since END
+            FROM run r JOIN steps s ON s.u = r.u AND s.nr = r.nr + 1)
+        SELECT concat('u', u) AS name, seq FROM run WHERE passed""",
     "stream_attempts": """WITH RECURSIVE steps AS (
             SELECT user_id AS u, event_id AS seq, event_type AS e,
                 row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nr FROM events),
@@ -537,15 +559,22 @@ ORACLES = {
                 WHEN e = 'view' THEN 'Ok' WHEN e = 'error' THEN 'java.net.SocketException'
                 WHEN e = 'purchase' THEN 'Location Header in a redirect shouldn''t be null.'
                 ELSE 'Broken, Status code: 404' END AS message FROM routed""",
+    "stream_marks_per_100": sql(
+        ["checks"],
+        """SELECT nr // 100 AS mark, checking_date AS marked_at,
+               date_diff('microsecond', lag(checking_date) OVER (ORDER BY nr), checking_date) AS elapsed_us
+           FROM (SELECT *, row_number() OVER (ORDER BY checking_date, check_id) AS nr FROM checks) WHERE nr % 100 = 0""",
+    ),
     "stream_throughput": "SELECT date_trunc('minute', ts) AS minute, count(*) AS checks FROM events GROUP BY 1",
     "stream_cycle": resolution(
-        "poll_starts",
+        "two_polls",
         """SELECT coalesce(d.url_id, f.url_id) AS url_id, CASE WHEN d.url_id IS NULL THEN f.category ELSE d.category END AS category,
-               CASE WHEN d.url_id IS NULL THEN f.checking_date ELSE TIMESTAMP '1999-01-01' END AS checking_date,
+               CASE WHEN d.url_id IS NULL THEN f.checking_date WHEN d.url_id IN (SELECT id FROM due_all) THEN TIMESTAMP '1999-01-01'
+                    ELSE TIMESTAMP '1999-01-01 02:00:00' END AS checking_date,
                CASE WHEN d.url_id IS NULL THEN f.status_code ELSE d.status_code END AS status_code,
                CAST(coalesce(d.redirect_count, f.redirect_count) AS INT) AS redirect_count, coalesce(d.method, f.method) AS method
            FROM done d FULL JOIN full_status f ON f.url_id = d.url_id""",
-        needs=(*_ALL, "full_status"),
+        needs=(*_ALL, "full_status", "status_again", *[f"{name}_again" for name in _CHAIN]),
     ),
     "daily_unchecked": sql(
         ["ord", "url", "status", "url_context"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from urlaudit.config import AuditConfig
 from urlaudit.functions import classify, records, urls
 from urlaudit.operators import gates, politeness, reports, resolve, selection, status
 from urlaudit.plans import cycle
-from urlaudit.session import scratch_path
+from urlaudit.session import materialize, scratch_path, scratch_root
 from urlaudit.sources import projections as tables
 from urlaudit.sources import readers, sinks
+from urlaudit.sources.index import KeptIndex
 from urlaudit.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,12 +229,19 @@ def resolved_status_summary(spark, sf_dir):
     )
 
 
+def _kept_index(spark: SparkSession, sf_dir: str) -> KeptIndex:
+    """The index of a folder's responses, kept as long as the application: the first poll builds it, later ones find it."""
+    root = f"{scratch_root(spark)}/urlaudit/{spark.sparkContext.applicationId}/index-{sf_dir.strip('/').replace('/', '-')}"
+    index = KeptIndex(spark, root, CONF, login_pages=tables.login_pages(spark))
+    return index if index.exists() else index.build(tables.responses(spark, sf_dir))
+
+
 @query
 def resolved_poll(spark, sf_dir):
-    """One poll against an index of the responses, as a cycle does it."""
+    """One poll against the kept index of the responses, as a cycle does it."""
     due = selection.due_all(*_register(spark, sf_dir), tables.AS_OF)
-    frontier, responses = selection.seed_frontier(due), tables.responses(spark, sf_dir)
-    found = resolve.resolve(frontier, responses, CONF, login_pages=tables.login_pages(spark), few=True)
+    index = _kept_index(spark, sf_dir)
+    found = resolve.resolve(selection.seed_frontier(due), None, CONF, login_pages=tables.login_pages(spark), index=index, few=True)
     return found.select("url_id", "url", "method", "redirect_count", "category", "message")
 
 
@@ -545,8 +554,8 @@ def _check_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_status(spark, sf_dir):
     root = scratch_path(spark, "stream-status")
-    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root, buckets=8)
-    jobs.run_available(jobs.record_checks(_check_stream(spark, sf_dir), root, "checks"), f"{root}/checkpoint")
+    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root)
+    jobs.run_available(jobs.record_checks(_check_stream(spark, sf_dir), root), f"{root}-checkpoint")
     current = sinks.read_status(spark, root).withColumn("is_current", F.lit(True))
     both = current.unionByName(sinks.read_history(spark, root).withColumn("is_current", F.lit(False)))
     return both.select("url_id", "category", "checking_date", "duration", "redirect_count", "is_current")
@@ -554,11 +563,28 @@ def stream_status(spark, sf_dir):
 
 @query
 def stream_latest(spark, sf_dir):
+    """The latest checks after two starts, the second with a checkpoint of its own and other files."""
     root = scratch_path(spark, "stream-latest")
-    jobs.run_available(jobs.keep_latest(_check_stream(spark, sf_dir), root, 100, "check_id"), f"{root}-checkpoint")
-    versions = spark.read.parquet(root)
-    newest = jobs.last_version(spark, root)
-    return versions.filter(F.col("version") == newest).select("check_id", "url_id", "checking_date", "category")
+    checks = tables.check_records(tables.checks(spark, sf_dir))
+    for start in (0, 1):
+        landed = scratch_path(spark, "landed-checks")
+        checks.filter(F.col("check_id") % 2 == start).repartition(2, "check_id").write.parquet(landed)
+        stream = jobs.stream_table(spark, landed, checks.schema, files_per_trigger=1)
+        jobs.run_available(jobs.keep_latest(stream, root, 100, "check_id"), f"{root}-checkpoint-{start}")
+    return sinks.read_latest(spark, root, checks.schema).select("check_id", "url_id", "checking_date", "category")
+
+
+@query
+def stream_marks_per_100(spark, sf_dir):
+    """Every 100th check of a log that arrives file by file in the order of time, with the time since the mark before."""
+    root, landed = scratch_path(spark, "stream-marks"), scratch_path(spark, "landed-in-order")
+    log = tables.checks(spark, sf_dir).select("checking_date", "check_id")
+    ranges = materialize(log.repartitionByRange(4, "checking_date", "check_id").withColumn("part", F.spark_partition_id()), "ranges")
+    for part in range(4):
+        ranges.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(landed)
+    stream = jobs.stream_table(spark, landed, log.schema, files_per_trigger=1)
+    jobs.run_available(jobs.mark_checks(stream, root), f"{root}-checkpoint")
+    return jobs.read_marks(spark, root)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -582,15 +608,15 @@ def stream_in_flight(spark, sf_dir):
         "at",
         "event_id AS seq",
     )
-    emitted = _run_to_parquet(spark, jobs.emit_not_in_flight(events, expire=False), "stream-in-flight")
+    emitted = _run_to_parquet(spark, jobs.emit_not_in_flight(events), "stream-in-flight")
     return emitted.select("name", "seq")
 
 
 @query
 def stream_repeated_polls(spark, sf_dir):
-    polled = _event_stream(spark, sf_dir).selectExpr("concat('u', user_id) AS name", "at")
-    kept = _run_to_parquet(spark, jobs.drop_repeated_polls(polled, within="365 days"), "stream-polls")
-    return kept.select("name")
+    """Each user's URL once an hour."""
+    polled = _event_stream(spark, sf_dir).selectExpr("concat('u', user_id) AS name", "at", "event_id AS seq")
+    return _run_to_parquet(spark, jobs.drop_repeated_polls(polled), "stream-polls").select("name", "seq")
 
 
 @query
@@ -599,13 +625,14 @@ def stream_attempts(spark, sf_dir):
     seen = _event_stream(spark, sf_dir).selectExpr(
         "user_id AS url_id",
         "event_id AS seq",
+        "at",
         "concat('http://h', user_id, '.example.org/p/', event_id) AS url",
         """CASE event_type WHEN 'view' THEN 200 WHEN 'signup' THEN 404 WHEN 'click' THEN 302
            WHEN 'purchase' THEN 301 END AS status_code""",
         "CASE event_type WHEN 'click' THEN './next' END AS location",
         "CASE event_type WHEN 'error' THEN 'java.net.SocketException' END AS exception_class",
     )
-    routed = jobs.route_observations(seen, AuditConfig(redirect_limit=2), expire=False)
+    routed = jobs.route_observations(seen, AuditConfig(redirect_limit=2))
     return _run_to_parquet(spark, routed, "stream-attempts")
 
 
@@ -617,55 +644,87 @@ def stream_throughput(spark, sf_dir):
     return jobs.read_throughput(spark, root).select(F.col("minute").cast("timestamp_ntz").alias("minute"), "checks")
 
 
+def _landed_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = scratch_path(spark, "landed-register")
+    tables.url(spark, sf_dir).filter("valid").repartition(2, "id").write.parquet(landed)
+    return jobs.stream_table(spark, landed, schema.URL, files_per_trigger=1)
+
+
 @query
 def stream_resolved(spark, sf_dir):
-    """The register arriving as a stream, resolved and recorded per batch."""
+    """The register arriving as a stream, resolved against the kept index and recorded per batch."""
     root = scratch_path(spark, "stream-resolved")
-    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root, buckets=8)
-    landed = scratch_path(spark, "landed-register")
-    tables.url(spark, sf_dir).filter("valid").repartition(2, "id").write.parquet(landed)
-    selected = jobs.stream_table(spark, landed, schema.URL, files_per_trigger=1)
-    pages = jobs.Refreshed(lambda: tables.login_pages(spark))
+    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root)
+    index, pages = _kept_index(spark, sf_dir), jobs.Refreshed(lambda: tables.login_pages(spark))
     writer = jobs.resolve_selected(
-        selected,
-        lambda: {"responses": tables.responses(spark, sf_dir), "login_pages": pages.get()},
+        _landed_register(spark, sf_dir),
+        lambda: {"index": index, "login_pages": pages.get()},
         CONF,
         root,
         checked_at=lambda _: tables.CHECKED_AT,
     )
-    jobs.run_available(writer, f"{root}/checkpoint")
+    jobs.run_available(writer, f"{root}-checkpoint")
+    return sinks.read_status(spark, root)
+
+
+@query
+def stream_late_responses(spark, sf_dir):
+    """The register is selected when half of the responses are known. The others arrive as a stream and take up the attempts that
+    wait for them, so that every URL ends as if all had been there from the start."""
+    root = scratch_path(spark, "stream-late")
+    sinks.seed_status(spark.createDataFrame([], schema.STATUS), root)
+    pages = tables.login_pages(spark)
+    responses = tables.responses(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("url", "method"), F.lit(4)))
+    index = KeptIndex(spark, f"{root}/index", CONF, login_pages=pages).build(responses.filter("part < 2").drop("part"))
+    selected = _landed_register(spark, sf_dir)
+    tables_of = lambda: {"index": index, "login_pages": pages}
+    writer = jobs.resolve_selected(selected, tables_of, CONF, root, checked_at=lambda _: tables.CHECKED_AT)
+    jobs.run_available(writer, f"{root}-selected")
+    landed = scratch_path(spark, "landed-responses")
+    for part in (2, 3):
+        responses.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(landed)
+    stream = jobs.stream_table(spark, landed, schema.RESPONSES, files_per_trigger=1)
+    load = lambda: {"login_pages": pages}
+    writer = jobs.resolve_on_arrival(stream, index, CONF, root, load, checked_at=lambda _: tables.CHECKED_AT)
+    jobs.run_available(writer, f"{root}-responses")
     return sinks.read_status(spark, root)
 
 
-def _polled(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """The folder after one tick of the poller."""
+def _polled(spark: SparkSession, sf_dir: str, label: str, starts: tuple[int, ...]) -> str:
+    """The folder after a poller has run; each of its starts has so many ticks, two hours apart, and a checkpoint of its own."""
     root = scratch_path(spark, label)
-    spark.range(1).write.parquet(f"{root}/ticks")
+    index, hours = _kept_index(spark, sf_dir), iter(range(0, 24, 2))
 
     def load() -> cycle.CycleTables:
-        begun = sinks.last_manifest(spark, root) is not None
+        begun = sinks.has_status(spark, root)
         return cycle.CycleTables(
             url=tables.url(spark, sf_dir),
             status=sinks.read_status(spark, root) if begun else tables.full_status(spark, sf_dir),
             url_context=tables.url_context(spark, sf_dir),
-            responses=tables.responses(spark, sf_dir),
+            responses=None,
             login_pages=tables.login_pages(spark),
+            index=index,
         )
 
-    ticks = jobs.stream_table(spark, f"{root}/ticks", spark.range(0).schema)
-    poll = cycle.audit_poll(load, CONF, root, lambda: tables.AS_OF)
-    jobs.run_available(jobs.on_ticks(ticks, poll), f"{root}/checkpoint")
+    clock = lambda: dt.datetime.fromisoformat(tables.CHECKED_AT) + dt.timedelta(hours=next(hours))
+    for start, count in enumerate(starts):
+        folder = f"{root}-ticks-{start}"
+        for tick in range(count):
+            spark.range(tick, tick + 1).coalesce(1).write.mode("append").parquet(folder)
+        ticks = jobs.stream_table(spark, folder, spark.range(0).schema, files_per_trigger=1)
+        poll = cycle.audit_poll(load, CONF, root, lambda: tables.AS_OF, clock)
+        jobs.run_available(jobs.on_ticks(ticks, poll), f"{folder}-checkpoint")
     return root
 
 
 @query
 def stream_cycle(spark, sf_dir):
-    """The status after a poll that selects, resolves and records."""
-    root = _polled(spark, sf_dir, "stream-cycle")
+    """The status after two polls that select, resolve and record."""
+    root = _polled(spark, sf_dir, "stream-cycle", (2,))
     return sinks.read_status(spark, root).select("url_id", "category", "checking_date", "status_code", "redirect_count", "method")
 
 
 @query
 def daily_unchecked(spark, sf_dir):
-    """The count the poller writes once a day, before it polls."""
-    return spark.read.parquet(f"{_polled(spark, sf_dir, 'daily-unchecked')}/unchecked")
+    """The count the poller writes once a day, before it polls; on this day it is started twice."""
+    return cycle.read_unchecked(spark, _polled(spark, sf_dir, "daily-unchecked", (1, 1)))

@@ -125,6 +125,8 @@ def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                    named_struct('rule', 'disallow', 'path_prefix', '', 'crawl_delay_ms', cast(NULL AS bigint)),
                    named_struct('rule', 'disallow', 'path_prefix', '/*7$', 'crawl_delay_ms', cast(NULL AS bigint)),
                    named_struct('rule', 'allow', 'path_prefix', '/page*77', 'crawl_delay_ms', cast(NULL AS bigint)))
+               WHEN n = 7 THEN transform(sequence(0, 9999), i -> named_struct('rule', if(i % 3 = 0, 'disallow', 'allow'),
+                   'path_prefix', concat('/page', i), 'crawl_delay_ms', cast(NULL AS bigint)))
                WHEN n % 10 IN (2, 3) THEN array(named_struct('rule', 'allow', 'path_prefix', '/',
                    'crawl_delay_ms', CASE WHEN n % 10 = 2 THEN 2000L ELSE 40000L END)) END"""
     return hosts.selectExpr("concat('host', n, '.example.org') AS host", f"inline({rules})")
@@ -208,7 +210,9 @@ def short_timeouts(spark: SparkSession) -> DataFrame:
 
 
 def public_suffixes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("com",), ("org",), ("net",), ("co.uk",)], "suffix string")
+    """Rules of all kinds: plain ones, ``*.net`` and ``*.org`` with wildcards, ``!example.org`` as an exception."""
+    rules = ["com", "org", "*.org", "!example.org", "net", "*.net", "co.uk"]
+    return spark.createDataFrame([(rule,) for rule in rules], "suffix string")
 
 
 def host_ip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,114 +1,117 @@
-"""Snapshots and logs the audit writes."""
+"""Snapshots and logs the audit writes.
+
+The status is a kept table: a batch is appended, and what is current follows from the dates. All checks are a log besides, of which the
+history is the part that is not current. Both know a check by its URL and date, so a batch that is delivered again, after a failure, a
+restart or under a new checkpoint, changes nothing; and what a batch writes is its own size, whatever the size of the status.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from urlaudit import schema
 from urlaudit.operators.reports import latest_n
-from urlaudit.operators.status import apply_checks
 from urlaudit.session import materialize
+from urlaudit.sources import ledger
+from urlaudit.sources.kept import Kept
 
-BUCKETS = 64
+REST = [name for name in schema.STATUS_COLUMNS if name not in ("url_id", "checking_date")]
+LAST = StructType([schema.STATUS["checking_date"], *[schema.STATUS[name] for name in REST]])
 
-# A status table is kept in buckets of URLs. Each bucket has two slots, of which a manifest names the one in use: a version writes the
-# buckets it touches into their other slots, then its manifest. So a version costs in proportion to the touched buckets, a reader of
-# the last version is not disturbed, and no more than two copies of a bucket are ever kept.
-MANIFEST = "version INT, slots ARRAY<INT>, source STRING, batch LONG"
 
+def status_table(spark: SparkSession, root: str, buckets: int | None = None) -> Kept:
+    layout = StructType([StructField("url_id", LongType()), StructField("last", LAST)])
+    return Kept(spark, root, "status", "url_id", layout, buckets)
 
-def bucket_of(url_id: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(url_id.cast("long")), F.lit(buckets)).cast("int")
 
+def _as_kept(rows: DataFrame) -> DataFrame:
+    fields = [F.col(name).cast(schema.STATUS[name].dataType).alias(name) for name in ("checking_date", *REST)]
+    return rows.select(F.col("url_id").cast("long").alias("url_id"), F.struct(*fields).alias("last"))
 
-def history_path(root: str, version: int) -> str:
-    return f"{root}/history/version={version}"
 
+def _as_status(rows: DataFrame) -> DataFrame:
+    return rows.select("url_id", "last.*").select(*schema.STATUS_COLUMNS)
 
-def last_manifest(spark: SparkSession, root: str):
-    """The newest version's row, None where no status was written below ``root``."""
-    try:
-        rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return rows.orderBy(F.desc("version")).first()
 
+def _log_checks(rows: DataFrame, root: str, name: str) -> None:
+    rows.select(*schema.STATUS_COLUMNS).write.mode("overwrite").parquet(f"{root}/checks/part={name}")
 
-def _write_manifest(spark: SparkSession, root: str, version: int, slots: list[int], source: str | None, batch: int | None) -> None:
-    row = spark.createDataFrame([(slots, source, batch)], "slots ARRAY<INT>, source STRING, batch LONG")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
 
+def seed_status(status: DataFrame, root: str, buckets: int | None = None) -> None:
+    """The status to begin with, from any status table; of several rows of a URL the newest."""
+    rows = materialize(status.select(*schema.STATUS_COLUMNS).where("url_id IS NOT NULL"), "seed")
+    _log_checks(rows, root, "seed")
+    status_table(rows.sparkSession, root, buckets).seed(ledger.newest_of(_as_kept(rows), "url_id", "last"))
 
-def _write_buckets(rows: DataFrame, root: str, slots: list[int]) -> None:
-    """Write each row into its bucket's slot; other buckets and slots stay as they are."""
-    bucket = bucket_of(F.col("url_id"), len(slots))
-    placed = rows.select(*schema.STATUS_COLUMNS, bucket.alias("bucket"))
-    placed = placed.withColumn("slot", F.array(*[F.lit(slot) for slot in slots])[F.col("bucket")])
-    writer = placed.repartition("bucket").write.partitionBy("slot", "bucket").mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(f"{root}/status")
 
+def has_status(spark: SparkSession, root: str) -> bool:
+    return status_table(spark, root).exists()
 
-def seed_status(status: DataFrame, root: str, buckets: int = BUCKETS) -> None:
-    """The first version, from any status table."""
-    _write_buckets(status, root, [0] * buckets)
-    _write_manifest(status.sparkSession, root, 0, [0] * buckets, None, None)
 
+def read_status(spark: SparkSession, root: str) -> DataFrame:
+    """The newest check of every URL."""
+    return _as_status(status_table(spark, root).read())
 
-def _in_use(spark: SparkSession, root: str, slots: list[int]) -> DataFrame:
-    """Rows of the slots in use; the choice is on partition columns, so other slots are not read."""
-    layout = StructType([*schema.STATUS, StructField("slot", IntegerType()), StructField("bucket", IntegerType())])
-    chosen = F.array(*[F.lit(slot) for slot in slots])[F.col("bucket")]
-    try:
-        return spark.read.schema(layout).parquet(f"{root}/status").filter(F.col("slot") == chosen)
-    except AnalysisException as error:  # a status without any row has no files
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], layout)
 
+def read_status_of(spark: SparkSession, root: str, ids: DataFrame) -> DataFrame:
+    """The newest check of the given distinct ``url_id``; the rest of the status is not moved."""
+    return _as_status(status_table(spark, root).lookup(ids))
 
-def read_status(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version."""
-    manifest = last_manifest(spark, root)
-    if manifest is None:
-        raise ValueError(f"no status below {root}")
-    return _in_use(spark, root, manifest["slots"]).select(*schema.STATUS_COLUMNS)
+
+def read_checks(spark: SparkSession, root: str) -> DataFrame:
+    """Every check once, whatever the number of its deliveries."""
+    log = ledger.read_if_there(spark, f"{root}/checks/*", schema.STATUS)
+    if log is None:
+        return spark.createDataFrame([], schema.STATUS)
+    once = log.groupBy("url_id", "checking_date").agg(F.max(F.struct(*REST)).alias("_rest"))
+    return once.select("url_id", "checking_date", "_rest.*").select(*schema.STATUS_COLUMNS)
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All superseded rows of all versions."""
-    return spark.read.schema(schema.STATUS).parquet(f"{root}/history").select(*schema.STATUS_COLUMNS)
+    """All superseded checks: those that are not the newest of their URL."""
+    checks = read_checks(spark, root)
+    newest = checks.groupBy("url_id").agg(F.max("checking_date").alias("_newest"))
+    return checks.join(newest, "url_id").filter(F.col("checking_date") < F.col("_newest")).select(*schema.STATUS_COLUMNS)
 
 
-def write_status(fresh: DataFrame, root: str, source: str | None = None, batch: int | None = None) -> int:
-    """Apply ``fresh`` to the newest version and write what it superseded to the history; returns the new version.
+def write_status(fresh: DataFrame, root: str, name: str | None = None) -> None:
+    """Add checks. A late one never replaces a newer one; one that is there already is stored once. Rows without an id belong to no URL.
 
-    Only URLs of ``fresh`` go through the comparison by date, all others of a touched bucket pass by an anti join. Versions count up
-    whatever the batch numbers of a stream do. A batch that ``source`` has committed already is left out, one that was broken off is
-    written again from the same predecessor."""
-    spark = fresh.sparkSession
-    manifest = last_manifest(spark, root)
-    if manifest is None:
+    ``name`` names the batch, so that a second attempt takes the place of the first."""
+    spark, name = fresh.sparkSession, name or uuid.uuid4().hex
+    kept = status_table(spark, root)
+    if not kept.exists():
         raise ValueError(f"no status below {root}")
-    if source is not None and (manifest["source"], manifest["batch"]) == (source, batch):
-        return manifest["version"]
-    slots, version = list(manifest["slots"]), manifest["version"] + 1
-    fresh = materialize(fresh.select(*schema.STATUS_COLUMNS), "fresh")
-    bucket = bucket_of(F.col("url_id"), len(slots))
-    touched = [row["bucket"] for row in fresh.select(bucket.alias("bucket")).distinct().collect()]  # at most one a bucket
-    current = _in_use(spark, root, slots).filter(F.col("bucket").isin(touched)).select(*schema.STATUS_COLUMNS)
-    ids = fresh.select("url_id").distinct()
-    applied = materialize(apply_checks(current.join(ids, "url_id", "left_semi"), fresh), "applied")
-    untouched = current.join(ids, "url_id", "left_anti").select(*schema.STATUS_COLUMNS)
-    applied.filter(~F.col("is_current")).select(*schema.STATUS_COLUMNS).write.mode("overwrite").parquet(history_path(root, version))
-    slots = [1 - slot if k in set(touched) else slot for k, slot in enumerate(slots)]
-    _write_buckets(untouched.unionByName(applied.filter("is_current").select(*schema.STATUS_COLUMNS)), root, slots)
-    _write_manifest(spark, root, version, slots, source, batch)
-    return version
+    fresh = materialize(fresh.select(*schema.STATUS_COLUMNS).where("url_id IS NOT NULL"), "fresh")
+    _log_checks(fresh, root, name)
+    kept.add(_as_kept(fresh), name)
+    kept.fold_if_long()
+
+
+def keep_latest(checks: DataFrame, root: str, n: int = 100, seq: str | None = None) -> None:
+    """Bring the snapshot of the newest ``n`` checks up to date. A check that it holds already is not added again.
+
+    Two snapshots are kept, of which the ledger names the one in use, so a reader of it is not disturbed."""
+    spark = checks.sparkSession
+    before = _latest(spark, root, checks.schema)
+    merged = checks if before is None else checks.unionByName(before).dropDuplicates()
+    number = ledger.next_number(spark, root, "latest")
+    latest_n(merged, n, seq).write.mode("overwrite").parquet(f"{root}/latest/slot={number % 2}")
+    ledger.commit(spark, root, "latest", number)
+
+
+def _latest(spark: SparkSession, root: str, layout: StructType) -> DataFrame | None:
+    entry = ledger.last(spark, root, "latest")
+    return None if entry is None else spark.read.schema(layout).parquet(f"{root}/latest/slot={entry.number % 2}")
+
+
+def read_latest(spark: SparkSession, root: str, layout: StructType = schema.STATUS) -> DataFrame:
+    found = _latest(spark, root, layout)
+    return spark.createDataFrame([], layout) if found is None else found
 
 
 def write_latest(checks: DataFrame, path: str, n: int = 100, seq: str | None = None) -> None:

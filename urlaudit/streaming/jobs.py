@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 from collections.abc import Callable
 from typing import Any
@@ -10,18 +11,25 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from urlaudit.config import AuditConfig
 from urlaudit.functions import classify
+from urlaudit.operators import reports
 from urlaudit.operators import resolve as resolving
-from urlaudit.operators.reports import latest_n
 from urlaudit.operators.selection import seed_frontier
 from urlaudit.operators.status import build_status
 from urlaudit.session import materialize, scratch_tables
-from urlaudit.sources import sinks
+from urlaudit.sources import ledger, sinks
+from urlaudit.sources.index import KeptIndex
+from urlaudit.sources.kept import Kept
 from urlaudit.streaming import state
 
+
+def now_utc() -> dt.datetime:
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
 def stream_table(
     spark: SparkSession, path: str, layout: StructType, files_per_trigger: int = 1000, glob: str | None = None
 ) -> DataFrame:
@@ -36,69 +44,60 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def record_checks(checks: DataFrame, root: str, source: str | None = None) -> DataStreamWriter:
-    """Upsert each batch of status rows into the newest version of the status below ``root``.
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """A name for the output of a batch: a repeated batch has the same, a batch of another checkpoint another."""
+    return f"{ledger.stream_key(batch) or 'batch'}-{batch_id}"
 
-    ``source`` names the stream, for instance by its checkpoint: a batch it has committed is not written again. Without it such a
-    batch is applied again, which changes nothing, because the same check is stored once."""
+
+def record_checks(checks: DataFrame, root: str) -> DataStreamWriter:
+    """Add each batch of status rows to the status below ``root``.
+
+    A batch that is repeated takes the place of what its first attempt wrote, and checks that come again under a new checkpoint are
+    there already, so each is stored once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with scratch_tables(batch.sparkSession):
-            sinks.write_status(batch, root, source, batch_id)
+            sinks.write_status(batch, root, batch_name(batch, batch_id))
 
     return checks.writeStream.foreachBatch(write)
 
 
-def last_version(spark: SparkSession, folder: str) -> int:
-    """The newest version below ``folder`` that holds rows, -1 without any."""
-    versions = spark.read.schema("version INT").parquet(folder)
-    newest = versions.agg(F.max("version")).first()[0]
-    return -1 if newest is None else newest
-
-
 def keep_latest(checks: DataFrame, root: str, n: int = 100, seq: str | None = None) -> DataStreamWriter:
-    """The newest ``n`` checks so far as a snapshot per batch; start it with a 10-second trigger."""
-    layout = checks.schema
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        merged = batch
-        if batch_id > 0:
-            merged = batch.unionByName(spark.read.schema(layout).parquet(f"{root}/version={batch_id - 1}"))
-        latest_n(merged, n, seq).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+    """The newest ``n`` checks so far, brought up to date by each batch; start it with a 10-second trigger.
 
-    return checks.writeStream.foreachBatch(write)
+    The snapshot in use stands in the ledger, so a restart, a repeated batch and a new checkpoint go on from it."""
+    return checks.writeStream.foreachBatch(lambda batch, _: sinks.keep_latest(batch, root, n, seq))
 
 
-def drop_repeated_polls(polled: DataFrame, at: str = "at", within: str = "1 hour") -> DataFrame:
-    """Pass a URL once per ``within``: release by time only, with state bounded by the watermark."""
-    return polled.withWatermark(at, within).dropDuplicatesWithinWatermark(["name"])
+def drop_repeated_polls(polled: DataFrame, late: str = "1 hour") -> DataFrame:
+    """Pass a URL (``name``, ``at``, ``seq``) once an hour: release by time only."""
+    return emit_not_in_flight(polled.withColumn("kind", F.lit("select")), late)
 
 
-def emit_not_in_flight(events: DataFrame, expire: bool = True) -> DataFrame:
+def emit_not_in_flight(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """Selections of URLs that are not in flight, released by ``done`` or an hour after emission.
 
-    ``events`` has ``name``, ``kind`` (``select`` or ``done``), ``at`` and a unique ``seq``. With ``expire`` the state of a URL ends
-    once the watermark, an hour behind the newest event, has passed its release. A run that stops when the source is drained
-    needs no watermark.
-    """
-    if expire:
-        timed = events.withWatermark("at", "1 hour")
-        return timed.groupBy("name").applyInPandasWithState(
-            state.release_or_expire, state.EMITTED, state.IN_FLIGHT, "append", "EventTimeTimeout"
-        )
-    return events.groupBy("name").applyInPandasWithState(
-        state.release_in_order, state.EMITTED, state.IN_FLIGHT, "append", "NoTimeout"
-    )
+    ``events`` has ``name``, ``kind`` (``select`` or ``done``), ``at`` and a unique ``seq``; events more than ``late`` behind the newest
+    are dropped. The state of a URL ends by a timer once the watermark has passed its release."""
+    state.use_typed_state(events.sparkSession)
+    timed = events.withWatermark("at", late).withColumn("at_us", F.unix_micros("at"))
+    return timed.groupBy("name").transformWithState(state.InFlight(), state.EMITTED, "append", "EventTime")
 
 
-def route_observations(
-    observations: DataFrame, conf: AuditConfig, mode: str = "compat", expire: bool = True
-) -> DataFrame:
+def in_flight_now(emitted: DataFrame, done: DataFrame, now: Any) -> DataFrame:
+    """Names in flight at a time, for a poll to leave out: emitted within the hour, and not ``done`` (``name``, ``at``) since."""
+    moment = F.lit(str(now)).cast("timestamp")
+    recent = emitted.where((F.col("at") > moment - F.expr("INTERVAL 1 HOUR")) & (F.col("at") <= moment))
+    last = recent.groupBy("name").agg(F.max("at").alias("at"))
+    ended = done.where(F.col("at") <= moment).groupBy("name").agg(F.max("at").alias("_done"))
+    return last.join(ended, "name", "left").where(F.col("_done").isNull() | (F.col("_done") < F.col("at"))).select("name")
+
+
+def route_observations(observations: DataFrame, conf: AuditConfig, mode: str = "compat", late: str = "1 hour") -> DataFrame:
     """Route each observation of a URL by the attempt it answers, carried as state between them.
 
-    An attempt without an observation for an hour of processing time is given up. A run that stops
-    when the source is drained needs ``expire=False``: waiting for a timeout would keep it going.
+    An attempt without an observation for an hour is given up by a timer: by the observations' time ``at``, or, where they have none, by
+    the time of their batch.
     ``observations`` has ``url_id``, ``seq``, ``url``, ``status_code``, ``location`` and ``exception_class``, and may have
     ``cause_class``, ``exception_message`` and ``original_url``. What an observation says by itself is computed here as columns, also
     the category and message it ends with.
@@ -116,6 +115,7 @@ def route_observations(
         "url_id",
         "seq",
         "url",
+        given("at", F.current_timestamp()).alias("at"),
         redirects.alias("is_redirect"),
         F.coalesce(answered & F.col("status_code").isin(*conf.ok_codes), F.lit(False)).alias("is_ok"),
         target.alias("target"),
@@ -127,10 +127,9 @@ def route_observations(
         ).alias("own_message"),
         classify.message_of_limit(given("original_url", F.col("url")), conf).alias("over_message"),
     )
-    rule, timeout = (
-        (state.route_or_expire, "ProcessingTimeTimeout") if expire else (state.route_in_order, "NoTimeout")
-    )
-    return facts.groupBy("url_id").applyInPandasWithState(rule, state.ROUTED, state.ATTEMPT, "append", timeout)
+    state.use_typed_state(observations.sparkSession)
+    timed = facts.withWatermark("at", late).withColumn("at_ms", F.unix_millis("at"))
+    return timed.groupBy("url_id").transformWithState(state.Attempt(), state.ROUTED, "append", "EventTime")
 
 
 def count_throughput(checks: DataFrame, at: str = "at", late: str = "10 minutes") -> DataFrame:
@@ -140,43 +139,135 @@ def count_throughput(checks: DataFrame, at: str = "at", late: str = "10 minutes"
 
 
 def record_throughput(counted: DataFrame, root: str) -> DataStreamWriter:
-    """Write the minutes whose count has grown, batch by batch, also those the watermark has not passed when a run ends."""
+    """Write the minutes whose count has grown, batch by batch, also those the watermark has not passed when a run ends.
+
+    A checkpoint counts what it has read itself; its batches lie below its own name."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/run={ledger.stream_key(batch) or 'batch'}/batch={batch_id}")
 
     return counted.writeStream.outputMode("update").foreachBatch(write)
 
 
 def read_throughput(spark: SparkSession, root: str) -> DataFrame:
-    """The count of every minute so far: the greatest one written, because counts only grow."""
-    return spark.read.schema("minute TIMESTAMP, checks LONG").parquet(root).groupBy("minute").agg(F.max("checks").alias("checks"))
+    """The count of every minute so far: of each checkpoint the greatest one written, because counts only grow, and these added up."""
+    layout = "minute TIMESTAMP, checks LONG, run STRING, batch LONG"
+    each = spark.read.schema(layout).parquet(root).groupBy("run", "minute").agg(F.max("checks").alias("checks"))
+    return each.groupBy("minute").agg(F.sum("checks").alias("checks"))
+
+
+def mark_checks(checks: DataFrame, root: str, every: int = 100, at: str = "checking_date", tie: str = "check_id") -> DataStreamWriter:
+    """Every ``every``-th check of the stream: the running number of checks is carried from batch to batch in the ledger.
+
+    Checks of a batch are numbered by date, batches in the order they come. The entry of a batch is written after its marks and names the
+    batch, so a repeated batch begins where it began before; a new checkpoint counts on."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, batch_name(batch, batch_id)
+        entry = ledger.last(spark, root, "marks")
+        done = {} if entry is None else json.loads(entry.value)
+        if done.get("name") == name:
+            return
+        before = done.get("checks", 0)
+        with scratch_tables(spark):
+            rows = materialize(batch.select(at, tie), "checks")
+            reports.marks(rows, every, at, tie, before).write.mode("overwrite").parquet(f"{root}/marks/batch={name}")
+            after = {"name": name, "checks": before + rows.count()}
+        ledger.commit(spark, root, "marks", 0 if entry is None else entry.number + 1, json.dumps(after))
+
+    return checks.writeStream.foreachBatch(write)
+
+
+def read_marks(spark: SparkSession, root: str, at: str = "checking_date") -> DataFrame:
+    """The marks of all batches with the time since the mark before."""
+    return reports.elapsed_between(spark.read.schema(f"mark LONG, {at} TIMESTAMP_NTZ").parquet(f"{root}/marks/*"), at)
 
 
 def resolve_selected(
     selected: DataFrame,
-    load: Callable[[], dict[str, DataFrame]],
+    load: Callable[[], dict[str, Any]],
     conf: AuditConfig,
     root: str,
     checked_at: Callable[[int], Any] | None = None,
-    source: str | None = None,
     **options: Any,
 ) -> DataStreamWriter:
     """Resolve and record each batch of selected URLs; the feedback of redirects stays in the batch.
 
-    ``load`` returns ``responses`` and whatever else ``resolve`` takes as a table (``login_pages``, ``robots_rules``, ...). It is called
-    for each batch, so files that have come since are seen; what need not be read so often it can hold in a ``Refreshed``.
+    ``load`` returns whatever ``resolve`` takes as a table (``login_pages``, ``robots_rules``, ...) and an ``index``, or ``responses``
+    that are grouped anew for each batch. It is called for each batch, so what has come since is seen; what need not be read so often it
+    can hold in a ``Refreshed``. URLs whose answer has not been observed wait in the table of ``pending`` attempts.
     ``checked_at`` gives the date of a batch's checks, by default the time the batch begins."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        at = checked_at(batch_id) if checked_at else dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        at = checked_at(batch_id) if checked_at else now_utc()
         with scratch_tables(batch.sparkSession):
-            outcomes = resolving.resolve(seed_frontier(materialize(batch, "selected")), conf=conf, **load(), **options)
-            sinks.write_status(build_status(outcomes, at), root, source, batch_id)
+            frontier = seed_frontier(materialize(batch, "selected"))
+            tables = {"responses": None, **load()}
+            _settle(frontier, tables, conf, root, at, batch_name(batch, batch_id), options)
 
     return selected.writeStream.foreachBatch(write)
 
 
+def pending_attempts(spark: SparkSession, root: str) -> Kept:
+    """Attempts that wait for their response, by URL: the state that attempts carry between observations."""
+    fields = [StructField("version", LongType()), *[StructField(name, kind) for name, kind in ATTEMPT.items()]]
+    return Kept(spark, root, "pending", "url_id", StructType([StructField("url_id", LongType()), StructField("attempt", StructType(fields))]))
+
+
+ATTEMPT = {"original_url": StringType(), "url": StringType(), "method": StringType(), "redirect_count": IntegerType()}
+
+
+def read_pending(spark: SparkSession, root: str) -> DataFrame:
+    """The frontier of the waiting attempts."""
+    kept = pending_attempts(spark, root)
+    if not kept.exists():
+        return spark.createDataFrame([], StructType([StructField("url_id", LongType()), *[StructField(n, k) for n, k in ATTEMPT.items()]]))
+    return kept.read().select("url_id", *[F.col("attempt")[name].alias(name) for name in ATTEMPT]).where("url IS NOT NULL")
+
+
+def _settle(frontier: DataFrame, tables: dict, conf: AuditConfig, root: str, at: Any, name: str, options: dict) -> None:
+    """Resolve a frontier; record what is final, and keep what still waits, or waits no longer, as pending."""
+    spark = frontier.sparkSession
+    outcomes = materialize(resolving.resolve(frontier, conf=conf, **tables, **options), "outcomes")
+    final, waiting = resolving.split_outcomes(outcomes)
+    sinks.write_status(build_status(final, at), root, name)
+    kept = pending_attempts(spark, root)
+    if not kept.exists():
+        kept.seed(spark.createDataFrame([], kept.layout))
+    version = F.lit(ledger.next_number(spark, root, "attempts")).cast("long").alias("version")
+    nothing = [F.lit(None).cast(kind).alias(field) for field, kind in ATTEMPT.items()]
+    rows = waiting.select("url_id", F.struct(version, *[F.col(field).cast(kind).alias(field) for field, kind in ATTEMPT.items()]).alias("attempt"))
+    rows = rows.unionByName(final.select("url_id", F.struct(version, *nothing).alias("attempt")))
+    kept.add(rows, name)
+    kept.fold_if_long()
+    ledger.commit(spark, root, "attempts", ledger.next_number(spark, root, "attempts"), name)
+
+
+def resolve_on_arrival(
+    responses: DataFrame,
+    index: KeptIndex,
+    conf: AuditConfig,
+    root: str,
+    load: Callable[[], dict[str, Any]] = dict,
+    checked_at: Callable[[int], Any] | None = None,
+    **options: Any,
+) -> DataStreamWriter:
+    """Fold each batch of responses into the index, and take up the attempts that have waited for one of them where they stood."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at = checked_at(batch_id) if checked_at else now_utc()
+        with scratch_tables(batch.sparkSession):
+            come = materialize(batch, "responses")
+            index.update(come)
+            frontier = read_pending(batch.sparkSession, root).join(come.select("url").distinct(), "url", "left_semi")
+            frontier = materialize(frontier.select(*resolving.FRONTIER), "waiting")
+            if not frontier.isEmpty():
+                tables = {"responses": None, "index": index, **load()}
+                _settle(frontier, tables, conf, root, at, batch_name(batch, batch_id), {"few": True, **options})
+
+    return responses.writeStream.foreachBatch(write)
+
+
 class Refreshed:
     """A value loaded again once it is older than ``seconds``: login pages, a daily report."""
 
@@ -192,14 +283,15 @@ class Refreshed:
         return self._value
 
 
-def on_ticks(ticks: DataFrame, poll: Callable[[int], None]) -> DataStreamWriter:
+def on_ticks(ticks: DataFrame, poll: Callable[[int], Any]) -> DataStreamWriter:
     """Call ``poll(batch_id)`` for every batch of any stream of ticks."""
     return ticks.writeStream.foreachBatch(lambda _, batch_id: poll(batch_id))
 
 
 def start_polling(
-    spark: SparkSession, poll: Callable[[int], None], checkpoint: str, every: str = "3 minutes"
+    spark: SparkSession, poll: Callable[[int], Any], checkpoint: str, every: str = "1 minute"
 ) -> StreamingQuery:
-    """Call ``poll(batch_id)`` every interval; it re-reads the register, so each poll sees its changes."""
+    """Call ``poll(batch_id)`` every interval; it re-reads the register, so each poll sees its changes, and says itself whether a poll
+    is due between the least and the greatest interval (``plans.cycle.audit_poll``)."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return on_ticks(ticks, poll).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

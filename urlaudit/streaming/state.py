@@ -1,86 +1,108 @@
-"""State functions: small per-URL rules that need the order of events. Rows of one URL and one trigger."""
+"""State of a URL between events, kept by Spark's state store and ended by its timers.
+
+What an event says by itself is computed as columns before; here is only what depends on the event before. Events of one URL and one
+trigger are ordered in memory, ``maxFilesPerTrigger`` bounds them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql import Row, SparkSession
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from urlaudit.config import UNDETERMINED
+from urlaudit.config import GET, HEAD, UNDETERMINED
 
-IN_FLIGHT_US = 3_600_000_000
-ATTEMPT_TIMEOUT_MS = 3_600_000
+HOUR_MS = 3_600_000
+#: Fixed value: the state store that keeps typed state and timers.
+STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 EMITTED = "name string, at timestamp, seq long"
-IN_FLIGHT = "since_us long"
 ROUTED = "url_id long, seq long, url string, method string, redirect_count int, route string, next_url string, category string, message string"
-ATTEMPT = "method string, redirect_count int"
-
-
-def _in_order(batches: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    return pd.concat(list(batches), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
-
-
-def release_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    rows = _in_order(batches, ["at", "seq"])
-    since = held.get[0] if held.exists else None
-    emitted = []
-    micros = rows["at"].astype("datetime64[us]").astype("int64")
-    for index, (kind, at_us) in enumerate(zip(rows["kind"], micros)):
-        if kind == "done":
-            since = None
-        elif since is None or at_us - since >= IN_FLIGHT_US:
-            since = int(at_us)
-            emitted.append(index)
-    if since is None:
-        held.remove()
-    else:
-        held.update((since,))
-    yield rows.loc[emitted, ["at", "seq"]].assign(name=key[0])[["name", "at", "seq"]]
-
-
-def release_or_expire(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    """``release_in_order`` with a state that ends when its release lies behind the watermark."""
-    if held.hasTimedOut:
-        held.remove()
-        return
-    yield from release_in_order(key, batches, held)
-    if held.exists:
-        held.setTimeoutTimestamp(max((held.get[0] + IN_FLIGHT_US) // 1000, held.getCurrentWatermarkMs() + 1))
-
-
-def route_or_expire(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    """``route_in_order`` with attempts that are given up when no observation arrives in time."""
-    if held.hasTimedOut:
-        held.remove()
-        return
-    yield from route_in_order(key, batches, held)
-    if held.exists:
-        held.setTimeoutDuration(ATTEMPT_TIMEOUT_MS)
-
-
-def route_in_order(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    method, count = held.get if held.exists else ("HEAD", 0)
-    out = []
-    for row in _in_order(batches, ["seq"]).itertuples():
-        used, next_url = method, None
-        if row.is_redirect and count + 1 > row.redirect_limit:
-            route, count = "status", count + 1
-        elif row.is_redirect and row.target is not None:
-            route, count, next_url = "follow", count + 1, row.target
-        elif method == "HEAD" and not row.is_ok:
-            route, method, next_url = "retry_get", "GET", row.url
+
+
+def use_typed_state(spark: SparkSession) -> None:
+    """Streams that are started from now on can keep typed state."""
+    spark.conf.set(*STORE)
+
+
+class InFlight(StatefulProcessor):
+    """Passes a selection of a URL that is not in flight. A URL is in flight from there until it is done, or for an hour.
+
+    The state of a URL is the time of the selection that was passed. A timer ends it once the watermark has gone by its hour, whether
+    another event comes or not; an event that comes before is told by its own time."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.since = handle.getValueState("since", "at_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.since.get()
+        since = began = held[0] if held is not None else None
+        for event in sorted(rows, key=lambda row: (row.at, row.seq)):
+            at = event.at_us / 1000
+            if event.kind == "done":
+                since = None
+            elif since is None or at - since >= HOUR_MS:
+                since = at
+                yield Row(name=key[0], at=event.at, seq=event.seq)
+        if since is None:
+            self.since.clear()
+        elif since != began:
+            self.since.update((int(since),))
+            self.handle.registerTimer(max(int(since) + HOUR_MS, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.since.get()
+        if held is not None and held[0] + HOUR_MS <= expiredTimerInfo.getExpiryTimeInMs():
+            self.since.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class Attempt(StatefulProcessor):
+    """Routes each observation of a URL by the attempt it answers. An attempt is given up by a timer, once the watermark has gone an hour
+    beyond the last observation."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.attempt = handle.getValueState("attempt", "method string, redirect_count int, at_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.attempt.get()
+        method, count, last = held if held is not None else (HEAD, 0, 0)
+        for seen in sorted(rows, key=lambda row: row.seq):
+            last = max(last, seen.at_ms)
+            over = seen.is_redirect and count + 1 > seen.redirect_limit
+            used, ends, target = method, False, None
+            if over:
+                count, ends = count + 1, True
+            elif seen.is_redirect and seen.target is not None:
+                route, count, target = "follow", count + 1, seen.target
+            elif method == HEAD and not seen.is_ok:
+                route, method, target = "retry_get", GET, seen.url
+            else:
+                ends = True
+            said = (UNDETERMINED, seen.over_message) if over else (seen.own_category, seen.own_message)
+            yield Row(
+                url_id=key[0], seq=seen.seq, url=seen.url, method=used, redirect_count=count, route="status" if ends else route, next_url=target,
+                category=said[0] if ends else None, message=said[1] if ends else None,
+            )
+            if ends:
+                method, count = HEAD, 0
+        if (method, count) == (HEAD, 0):
+            self.attempt.clear()
         else:
-            route = "status"
-        over = row.is_redirect and count > row.redirect_limit
-        category, message = (None, None) if route != "status" else (UNDETERMINED, row.over_message) if over else (row.own_category, row.own_message)
-        out.append((key[0], row.seq, row.url, used, count, route, next_url, category, message))
-        if route == "status":
-            method, count = "HEAD", 0
-    if (method, count) == ("HEAD", 0):
-        held.remove()
-    else:
-        held.update((method, int(count)))
-    columns = ["url_id", "seq", "url", "method", "redirect_count", "route", "next_url", "category", "message"]
-    yield pd.DataFrame(out, columns=columns).astype({"redirect_count": "int32"})
+            self.attempt.update((method, count, last))
+            self.handle.registerTimer(max(last + HOUR_MS, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.attempt.get()
+        if held is not None and held[2] + HOUR_MS <= expiredTimerInfo.getExpiryTimeInMs():
+            self.attempt.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
