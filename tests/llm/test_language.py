@@ -5,7 +5,10 @@ import pytest
 
 import __spark_entry__ as registry
 from tests.llm.conftest import ODD
+from pyspark.sql import functions as F
+
 from urlaudit.llm import language
+from urlaudit.llm.common import training
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +107,32 @@ def test_short_documents_come_first(spark, documents, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert {text for _, text in language.sampled(df, size=10)} == {"short "}
     assert len(language.sampled(df, size=100)) == 100
+
+
+def test_sample_counts_different_rows(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    # Twenty ids, each of them a thousand times: in German with different texts, in French with the same, in Spanish once each.
+    rows = [(k % 20, "de", f"wort {letters[k % 26]}{letters[k // 26 % 26]} {k}") for k in range(20_000)]
+    rows += [(k % 20, "fr", f"mot {k % 20}") for k in range(20_000)] + [(100 + k, "es", f"palabra {k}") for k in range(30)] + [(3, "it", "una parola")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    for size in (1, 10, 600):
+        sample = language.sampled(df, size=size)
+        counts = {name: sum(lang == name for lang, _ in sample) for name in ("de", "fr", "es", "it")}
+        assert all(1 <= n <= size for n in counts.values()), counts
+        assert len(sample) == len(set(sample))
+    assert counts["de"] == 600
+    same = df.withColumn("doc_id", F.lit(None).cast("long"))
+    assert language.sampled(same) == [] and {name for name, _ in language.sampled(same, held_out=None)} == {"de", "fr", "es", "it"}
+
+
+def test_sample_is_bounded_in_characters(spark, monkeypatch):
+    monkeypatch.setattr(language, "CHARACTERS", 4_000)
+    rows = [(k, f"l{k % 40}", "x" * 90 + str(k)) for k in range(2_000)]
+    sample = language.sampled(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert {name for name, _ in sample} == {f"l{k}" for k in range(40)} and sum(len(text) for _, text in sample) <= 4_000
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    df = spark.createDataFrame([(None,), (1,)], "doc_id long")
+    marked = df.select(F.coalesce(~training(F.col("doc_id"), *language.HELD_OUT), F.lit(False)).alias("held_out"))
+    assert None not in [row["held_out"] for row in marked.collect()]

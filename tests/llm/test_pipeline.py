@@ -1,5 +1,6 @@
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tests.llm.test_jaccard import brute as links
@@ -61,7 +62,7 @@ def test_stages_equal_brute_force(spark, documents, texts):
 
     rows = [(i, t) for i, t in rows if not rejected(t)]
     assert step("quality_rules") == sorted(rows)
-    models = language.fit(language.sampled(docs))
+    models = language.fit(language.sampled(docs, held_out=None))
     rows = [(i, t) for (i, t), found in zip(rows, models.predict([t for _, t in rows]), strict=True) if found[2]]
     assert step("language_id") == sorted(rows)
     keep = {i for i, _, component in links(rows) if i == component}
@@ -89,6 +90,13 @@ def test_rows_without_an_id_stay(spark):
     assert sorted((row["doc_id"] or 0, row["text"]) for row in left.collect()) == sorted([(0, a), (4, c), (4, b + " more"), rows[5]])
 
 
+def test_one_id_for_all_rows_keeps_every_language(spark, documents):
+    docs = documents.where("lang IS NOT NULL AND length(text) > 300").withColumn("doc_id", F.lit(2).cast("long"))
+    before = {row["lang"]: row["n"] for row in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    after = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, FOLDER).groupBy("lang").agg(F.count("*").alias("n")).collect()
+    assert {row["lang"] for row in after} == set(before) and all(row["n"] > 0.9 * before[row["lang"]] for row in after)
+
+
 @pytest.mark.parametrize("part", ["odd", "empty"])
 def test_odd_documents(spark, odd, part):
     columns = spark.read.parquet(f"{FOLDER}/documents.parquet").schema

@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney models of characters, one for each language.
 
 Models are fitted on a bounded sample of labelled documents: at most ``SAMPLE`` for each language, those with the least hash of
-their id among the texts of at most ``LONGEST`` characters, whole. Where a language has fewer of these, longer texts follow in the
+id and text among the texts of at most ``LONGEST`` characters, whole, and at most ``CHARACTERS`` characters in all. Where a language has fewer of these, longer texts follow in the
 same order, with their first ``LONGEST`` characters; only fitting reads such passages, predictions read whole texts. Every fourth is kept out of the counts to calibrate. The
 models live in sorted arrays of hashed character n-grams that all languages share, with one row of log probabilities for each
 n-gram and one of back-off weights for each context; a lookup is a binary search. The language of least cross-entropy for each
@@ -12,8 +12,9 @@ Texts are read as lower-case letters with every run of other characters as one s
 stored; only the models, of bounded size, go to the tasks.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and not accepted, and so is every text if there is no
-labelled row to learn from. Ties go to the language that sorts first. Repeated rows have equal results, an empty table gives an
-empty one. Columns other than ``id`` and ``text``, and ``lang`` for the sample, are ignored; a prediction uses the text alone.
+labelled row to learn from. Ties go to the language that sorts first. Repeated rows have equal results and count once in the sample,
+rows that share an id are different rows if their texts differ; a row without an id is in no held-out part and is not learned from where
+there is one. An empty table gives an empty result. Columns other than ``id`` and ``text``, and ``lang`` for the sample, are ignored; a prediction uses the text alone.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from urlaudit.llm.common import table, training
 ORDER = 4
 SAMPLE = 600  # documents of a language to learn from
 LONGEST = 50_000  # characters of a document to learn from
+CHARACTERS = 16_000_000  # of the whole sample; each language has an equal share
 BLOCK = 1 << 19  # characters that are looked up together
 HELD_OUT = (4, 2)
 
@@ -230,22 +232,33 @@ def calibrate(models: Models, held: dict[str, list[np.ndarray]]) -> None:
     models.spread = float(max(1e-3, ((least - models.usual) * np.sqrt(length)).max()))
 
 
-def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = SAMPLE) -> list[tuple[str, str]]:
-    """Language and text, or first ``LONGEST`` characters, of the labelled training documents to learn from; at most ``size`` for each
-    language, those of at most ``LONGEST`` characters first."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("language"), F.col(text_col).alias("text")).where("id IS NOT NULL AND language IS NOT NULL")
-    rows = rows.where(training(F.col("id"), *HELD_OUT) & F.col("text").isNotNull())
-    # Ids in order of their hash. Of many documents of a language only those with small hashes, about twice the sample, are ranked.
+def sampled(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = SAMPLE, held_out: tuple[int, int] | None = HELD_OUT
+) -> list[tuple[str, str]]:
+    """Language and text, or first ``LONGEST`` characters, of the labelled training documents to learn from; without ``held_out`` all
+    documents are training documents.
+
+    Rows are told apart by a hash of id and text. Of each language at least one and at most ``size`` different ones are taken, those of at
+    most ``LONGEST`` characters first, and of all languages together no more than ``CHARACTERS`` characters."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("language"), F.col(text_col).alias("text")).where("language IS NOT NULL AND text IS NOT NULL")
+    if held_out is not None:
+        rows = rows.where(training(F.col("id"), *held_out))
+    rows = rows.withColumn("key", F.xxhash64("id", "text"))
+    # Rows in order of their hash. Of many of a language only those with small hashes, about twice the sample, are ranked.
     span = 1 << 30
-    rank = F.pmod(F.xxhash64("id"), F.lit(span))
-    labelled = rows.select("id", "language", (F.length("text") > LONGEST).alias("long"))
+    rank = F.pmod("key", F.lit(span))
+    labelled = rows.select("key", "language", F.length("text").alias("size"), (F.length("text") > LONGEST).alias("long")).distinct()
     many = labelled.groupBy("language", "long").agg(F.count("*").alias("documents"))
-    least = labelled.join(many, ["language", "long"]).where(rank * F.col("documents") <= F.lit(2 * size * span))
-    place = F.row_number().over(Window.partitionBy("language").orderBy("long", rank, "id"))
-    chosen = least.select("id", "language", "long").dropDuplicates(["id"]).withColumn("place", place).where(F.col("place") <= size).select("id")
-    # Of bounded size: ``size`` rows for each language.
-    found = rows.join(F.broadcast(chosen), "id", "left_semi").select("language", F.substring("text", 1, LONGEST).alias("text"))
-    return [(row["language"], row["text"]) for row in found.collect()]
+    least = labelled.join(many, ["language", "long"]).where(rank * F.col("documents") <= F.lit((2 * size + 40) * span))
+    languages = many.select("language").distinct().count()
+    share = CHARACTERS // max(1, languages)
+    by = Window.partitionBy("language").orderBy("long", rank, "key")
+    used = F.sum(F.least("size", F.lit(min(LONGEST, share)))).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    placed = least.withColumn("place", F.row_number().over(by)).withColumn("used", used)
+    chosen = placed.where((F.col("place") <= size) & ((F.col("place") == 1) | (F.col("used") <= share))).select("language", "key")
+    # Of bounded size: ``size`` rows for each language, and ``CHARACTERS`` in all. Equal rows are taken once.
+    found = rows.join(F.broadcast(chosen), ["language", "key"], "left_semi").select("language", "key", F.substring("text", 1, min(LONGEST, share)).alias("text"))
+    return [(row["language"], row["text"]) for row in found.dropDuplicates(["language", "key"]).collect()]
 
 
 def identify(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,4 +279,4 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query op8: the language of every document."""
     docs = table(spark, sf_dir, "documents")
     rows = identify(docs, fit(sampled(docs)))
-    return rows.select("doc_id", (~training(F.col("doc_id"), *HELD_OUT)).alias("held_out"), "lang_pred", "score", "accepted", "cross_entropy", "n_letters")
+    return rows.select("doc_id", F.coalesce(~training(F.col("doc_id"), *HELD_OUT), F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted", "cross_entropy", "n_letters")
