@@ -2,6 +2,11 @@
 
 Stages before the last return the columns of ``documents`` and no others. The near-duplicate stage tells rows apart by
 a number of its own, so rows without an id and texts that share one are documents like all others. The repeat stage keeps every document, with the text that is left, cut at whole characters, and ``n_chars`` of that text.
+
+Defined cases: a null or empty text has no words and is rejected by the first stage, and if a stage is given one, the language stage
+rejects it, the near-duplicate stage keeps it, the repeat stage keeps it empty, and packing gives it the length 1. Very long texts are
+worked on whole. Of ties and repeated rows the near-duplicate stage keeps one. An empty table gives an empty result at every stage.
+Columns other than those of ``documents`` are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,8 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence; models are learned from the documents of this stage."""
-    models = language.fit(language.sampled(docs))
+    """Documents whose language is told with enough confidence; models are learned from the documents of this stage, none is held out."""
+    models = language.fit(language.sampled(docs, held_out=None))
     return language.identify(as_rows(docs), models, "row").where("accepted").select("row.*")
 
 
