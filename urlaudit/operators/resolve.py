@@ -338,13 +338,13 @@ class ResponseIndex:
         semi join with the small frontier, so that the table stays where it is."""
         table = self.jumps[level]
         if few:
-            states = frontier.select(state_of("method", "url").alias("state")).distinct()
+            states = frontier.select(state_of("method", "url").alias("state"))
             table = table.join(states, "state", "left_semi")
         return jumped(frontier, table)
 
     def observed(self, frontier: DataFrame, few: bool) -> DataFrame:
         """Add ``head`` and ``get`` of each row's URL."""
-        nodes = self.nodes.join(frontier.select("url").distinct(), "url", "left_semi") if few else self.nodes
+        nodes = self.nodes.join(frontier.select("url"), "url", "left_semi") if few else self.nodes
         return frontier.join(nodes, "url", "left")
 
 
@@ -393,8 +393,6 @@ def resolve(
     once. An ``index`` of the responses, kept from an earlier call, takes their place; with ``few``, for a frontier far smaller than
     the responses such as a poll, the index is filtered by the frontier before each join, so that what moves is in proportion to the
     poll. ``walk`` settles and moves one redirect at a time; it is the definition the other is tested against.
-
-    The result is a plan over written tables; write it before it is used twice.
     """
     gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
     if method == "walk":
@@ -417,7 +415,8 @@ def resolve(
     if index is None:
         index = index_responses(responses, conf, mode=mode, **gates)
     ended = _travel(start.filter("NOT _special").select(*FRONTIER), index, conf.redirect_limit, few)
-    outcomes.append(_finished(_settled(index.observed(ended, few), gates, conf, mode)))
+    # Written, so that what follows is not compiled together with the decision.
+    outcomes.append(_finished(materialize(_settled(index.observed(ended, few), gates, conf, mode), "settled")))
     return _union(outcomes)
 
 

@@ -92,7 +92,7 @@ class KeptIndex:
                 through = through.join(moved.select(F.col("state").alias("to_state")), "to_state", "left_semi")
                 states = materialize(moved.unionByName(through.select("state")).distinct(), "states")
                 half = materialize(_open(below.lookup(states)), "half")
-                ends = half.select(state_of("to_method", "to_url").alias("state")).distinct()
+                ends = half.select(state_of("to_method", "to_url").alias("state"))
                 moved = self._changed(level, states, doubled(half, _open(below.lookup(ends))), version)
         ledger.commit(self.spark, self.root, "index", version, entry.value)
         for kept in (nodes, *self.levels):
@@ -115,7 +115,7 @@ class KeptIndex:
     def moved(self, frontier: DataFrame, level: int, few: bool) -> DataFrame:
         kept = self.levels[level]
         if few:
-            states = frontier.select(state_of("method", "url").alias("state")).distinct()
+            states = frontier.select(state_of("method", "url").alias("state"))
             return jumped(frontier, _open(kept.lookup(states)))
         # The frontier is shuffled to the buckets; the jumps stay.
         rows = kept.attach(frontier.withColumn("state", state_of("method", "url")))
@@ -131,5 +131,5 @@ class KeptIndex:
     def observed(self, frontier: DataFrame, few: bool) -> DataFrame:
         nodes = self._nodes()
         if few:
-            return frontier.join(nodes.lookup(frontier.select("url").distinct()), "url", "left")
+            return frontier.join(nodes.lookup(frontier.select("url")), "url", "left")
         return nodes.attach(frontier)

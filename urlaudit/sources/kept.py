@@ -7,7 +7,8 @@ broadcasts by its size, or they are shuffled to the base's buckets. Now and then
 written beside the old one and committed in the ledger. A log is bounded by ``FOLD_ROWS``, so a lookup reads a bounded log, and rewriting
 the base is spread over that many rows.
 
-One process writes a table at a time; readers of the base before the last fold are not disturbed.
+One process writes a table at a time; another that reads it opens it anew for each poll. Readers of the base before the last fold are
+not disturbed.
 """
 
 from __future__ import annotations
@@ -32,17 +33,18 @@ class Kept:
         self.spark, self.root, self.name, self.key, self.layout = spark, root.rstrip("/"), name, key, layout
         self.values = [field for field in layout.fieldNames() if field != key]
         self.buckets = buckets
+        self._in_use: ledger.Entry | None = None
         self.schema = f"kept_{hashlib.sha256(self.root.encode()).hexdigest()[:16]}"
 
     def exists(self) -> bool:
         return ledger.last(self.spark, self.root, self.name) is not None
 
     def _entry(self) -> ledger.Entry:
-        """The generation in use, and its number of buckets."""
-        entry = ledger.last(self.spark, self.root, self.name)
-        if entry is None:
+        """The generation in use, and its number of buckets, as the ledger said when the table was opened."""
+        self._in_use = self._in_use or ledger.last(self.spark, self.root, self.name)
+        if self._in_use is None:
             raise ValueError(f"no table {self.name} below {self.root}")
-        return entry
+        return self._in_use
 
     def _path(self, generation: int) -> str:
         return f"{self.root}/{self.name}/base-{generation}"
@@ -66,10 +68,11 @@ class Kept:
         placed = rows.repartition(buckets, self.key).write.format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
         placed.mode("overwrite").option("path", self._path(generation)).saveAsTable(self._table(generation))
         ledger.commit(self.spark, self.root, self.name, generation, str(buckets))
+        self._in_use = ledger.Entry(generation, str(buckets))
 
-    def base(self, entry: ledger.Entry | None = None) -> DataFrame:
+    def base(self) -> DataFrame:
         """The bucketed table; a session that has not written it learns of it by its files."""
-        entry = entry or self._entry()
+        entry = self._entry()
         table = self._table(entry.number)
         if not self.spark.catalog.tableExists(table):
             columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in self.layout)
@@ -80,9 +83,12 @@ class Kept:
             )
         return self.spark.table(table)
 
-    def log(self, entry: ledger.Entry | None = None) -> DataFrame:
+    def _log(self, entry: ledger.Entry) -> DataFrame | None:
+        return ledger.read_if_there(self.spark, f"{self._log_path(entry.number)}/*", self.layout)
+
+    def log(self) -> DataFrame:
         """What has come since the last fold, as it came."""
-        rows = ledger.read_if_there(self.spark, f"{self._log_path((entry or self._entry()).number)}/*", self.layout)
+        rows = self._log(self._entry())
         return self.spark.createDataFrame([], self.layout) if rows is None else rows
 
     def add(self, rows: DataFrame, name: str | None = None) -> None:
@@ -95,22 +101,26 @@ class Kept:
 
     def read(self) -> DataFrame:
         """The whole table; the base stays where it is and meets the log by its buckets."""
-        entry = self._entry()
-        log = self._newest(self.log(entry))
-        both = self.base(entry).alias("base").join(log.alias("log"), self.key, "full_outer")
+        base, log = self.base(), self._log(self._entry())
+        if log is None:
+            return base.select(*self.layout.fieldNames())
+        both = base.alias("base").join(self._newest(log).alias("log"), self.key, "full_outer")
         return both.select(self.key, *[_greater(F.col(f"base.{v}"), F.col(f"log.{v}")).alias(v) for v in self.values])
 
     def lookup(self, keys: DataFrame, *values: str) -> DataFrame:
-        """The rows of the given distinct keys, only those that are there; of all value columns or those named."""
-        entry, columns = self._entry(), [self.key, *(values or self.values)]
-        found = [rows.select(*columns).join(keys.select(self.key), self.key, "left_semi") for rows in (self.base(entry), self.log(entry))]
-        return ledger.newest_of(found[0].unionByName(found[1]), self.key, *columns[1:])
+        """The rows of the given keys, only those that are there; of all value columns or those named."""
+        columns, log = [self.key, *(values or self.values)], self._log(self._entry())
+        of_keys = lambda rows: rows.select(*columns).join(keys.select(self.key), self.key, "left_semi")
+        found = of_keys(self.base())
+        return found if log is None else ledger.newest_of(found.unionByName(of_keys(log)), self.key, *columns[1:])
 
     def attach(self, rows: DataFrame) -> DataFrame:
         """Add the value columns to rows that have the key; the rows are shuffled to the buckets, the base is not."""
-        entry = self._entry()
-        log = self._newest(self.log(entry)).select(self.key, *[F.col(v).alias(f"_log_{v}") for v in self.values])
-        both = rows.join(self.base(entry), self.key, "left").join(log, self.key, "left")
+        both, log = rows.join(self.base(), self.key, "left"), self._log(self._entry())
+        if log is None:
+            return both.select(*rows.columns, *self.values)
+        log = self._newest(log).select(self.key, *[F.col(v).alias(f"_log_{v}") for v in self.values])
+        both = both.join(log, self.key, "left")
         return both.select(*rows.columns, *[_greater(F.col(v), F.col(f"_log_{v}")).alias(v) for v in self.values])
 
     def fold(self) -> None:

@@ -228,7 +228,7 @@ def read_pending(spark: SparkSession, root: str) -> DataFrame:
 def _settle(frontier: DataFrame, tables: dict, conf: AuditConfig, root: str, at: Any, name: str, options: dict) -> None:
     """Resolve a frontier; record what is final, and keep what still waits, or waits no longer, as pending."""
     spark = frontier.sparkSession
-    outcomes = materialize(resolving.resolve(frontier, conf=conf, **tables, **options), "outcomes")
+    outcomes = resolving.resolve(frontier, conf=conf, **tables, **options)
     final, waiting = resolving.split_outcomes(outcomes)
     sinks.write_status(build_status(final, at), root, name)
     kept = pending_attempts(spark, root)
