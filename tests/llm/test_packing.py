@@ -19,7 +19,7 @@ def test_bounds_are_optimal():
         counts = [pick.randint(1, 9) for _ in lengths]
         buckets = pick.randint(1, 5)
         choices = (c for r in range(1, buckets + 1) for c in itertools.combinations(lengths, r) if c[-1] == lengths[-1])
-        found = packing.optimal_bounds(np.array(lengths), np.array(counts), np.array(lengths) * np.array(counts), buckets)
+        found = packing.optimal_bounds(lengths, counts, buckets)
         assert len(found) <= buckets
         assert padding(found, lengths, counts) == min(padding(c, lengths, counts) for c in choices)
 
@@ -51,12 +51,37 @@ def test_batches(spark, shard_rows, monkeypatch):
     assert sum(row["padding"] for row in rows) == best
 
 
-def test_histogram_cells_hold_their_lengths(spark):
-    lengths = [*range(1, 600), 1023, 1024, 1025, 10**6, 10**12]
-    rows = spark.createDataFrame([(n,) for n in lengths], "n long").selectExpr("n").withColumn("cell", packing.cell(packing.F.col("n"))).collect()
-    for row in rows:
-        assert row["n"] <= row["cell"] < row["n"] * (1 + 1 / 64) + 1
-    assert packing.histogram(spark.createDataFrame([(n,) for n in lengths], "n_tokens long")).count() < len(lengths)
+def test_bounds_are_optimal_for_long_lengths():
+    """Against the plain dynamic program over all lengths, far beyond a few hundred tokens."""
+    pick = random.Random(5)
+    for size, longest in ((120, 1_000), (150, 20_000), (90, 10**9)):
+        lengths = sorted(pick.sample(range(1, longest), size))
+        counts = [pick.choice([1, 1, 2, 50, 1000]) for _ in lengths]
+        for buckets in (1, 2, 7, 16, 200):
+            found = packing.optimal_bounds(lengths, counts, buckets)
+            assert len(found) <= buckets and found[-1] == lengths[-1]
+            assert padding(found, lengths, counts) == least_padding(lengths, counts, buckets)
+
+
+def least_padding(lengths, counts, buckets):
+    n, t = np.concatenate([[0], np.cumsum(counts)]).astype(object), np.concatenate([[0], np.cumsum(np.array(lengths, object) * np.array(counts, object))])
+    best = [0] + [None] * len(lengths)
+    least = None
+    for _ in range(min(buckets, len(lengths))):
+        best = [None] + [
+            min((best[i] + lengths[j - 1] * (n[j] - n[i]) - (t[j] - t[i]) for i in range(j) if best[i] is not None), default=None) for j in range(1, len(lengths) + 1)
+        ]
+        if best[-1] is not None:
+            least = best[-1] if least is None else min(least, best[-1])
+    return least
+
+
+def test_rows_of_one_id_and_length_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 100)
+    rows = spark.createDataFrame([(None, 5)] * 2_000 + [(1, 9)] * 500, "doc_id long, n_tokens long")
+    found = packing.pack(rows, buckets=2, budget=64).collect()
+    check(found, 64)
+    assert len(found) == 2_500
 
 
 def test_odd_rows(odd, empty):

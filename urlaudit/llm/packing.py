@@ -1,6 +1,8 @@
 """Packing by optimal length buckets: the bucket bounds that need the least padding, then batches of a token budget in each bucket.
 
-A histogram of all lengths, in cells whose number has a fixed bound, goes to a dynamic program over bucket bounds. Each document
+The exact histogram of all lengths goes to a dynamic program over bucket bounds: different lengths are at most the square root of twice
+the number of tokens, as the lengths of that many documents add up to no less. Bounds with the least padding are the lower envelope of
+lines, one for each place of the bound before, so a bucket costs one pass over the histogram, in whole numbers. Each document
 then joins the bucket of the least bound that holds it, and gets a place in it: rows are numbered inside small shards of a
 bucket, and a running total over the shards makes the numbers of a bucket dense, so a bucket with most of the rows is numbered by
 many tasks. A batch holds as many documents as fit its budget when padded to the bound; a longer document is a batch of its own.
@@ -11,8 +13,7 @@ tie may swap places. An empty table gives an empty result. Columns other than ``
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from urlaudit.llm.common import table, words
@@ -21,7 +22,6 @@ from urlaudit.session import materialize
 BUCKETS = 16
 BUDGET = 16_384  # tokens of a batch, padding included
 SHARD_ROWS = 20_000
-EXACT = 256  # lengths up to it have a cell of their own; each doubling beyond has EXACT / 2 cells
 
 
 def lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -29,63 +29,78 @@ def lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col), (F.size(words(text)) + 1).cast("long").alias("n_tokens"))
 
 
-def cell(length: Column) -> Column:
-    """The greatest length of the histogram cell: at most 256 + 128 * 55 cells for any table of long lengths."""
-    doublings = F.greatest(F.lit(0), F.floor(F.log2(length.cast("double") / EXACT)) + 1).cast("int")
-    step = F.pow(F.lit(2.0), doublings).cast("long")
-    return F.when(length <= EXACT, length).otherwise(F.ceil(length / step) * step)
+def optimal_bounds(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
+    """Bounds of at most ``buckets`` buckets with the least padding, for different lengths in order with their number of documents.
 
-
-def optimal_bounds(longest: np.ndarray, count: np.ndarray, total: np.ndarray, buckets: int) -> list[int]:
-    """Bounds of at most ``buckets`` buckets with the least padding. Cells are in order of length; each has its longest length,
-    its number of documents and their total length."""
-    cells = len(longest)
+    The padding up to length j with the last bound before it at i is ``best[i] + longest[j] * (n[j] - n[i]) - (t[j] - t[i])``: a line in
+    ``longest[j]`` for each i, with slope ``-n[i]``. Slopes fall as i grows and longest lengths rise, so the lines of the envelope are
+    kept in a list and each is passed once."""
+    cells = len(lengths)
     if not cells:
         return []
-    n, t = np.concatenate([[0], np.cumsum(count)]).astype(float), np.concatenate([[0], np.cumsum(total)]).astype(float)
-    best, back = np.full(cells + 1, np.inf), []
-    best[0] = 0
+    n, t = [0], [0]
+    for length, count in zip(lengths, counts, strict=True):
+        n.append(n[-1] + count)
+        t.append(t[-1] + length * count)
+    best: list[int | None] = [0] + [None] * cells
+    back: list[list[int]] = []
     for _ in range(min(buckets, cells)):
-        new, came = np.full(cells + 1, np.inf), np.zeros(cells + 1, int)
+        new: list[int | None] = [None] * (cells + 1)
+        came = [0] * (cells + 1)
+        lines: list[tuple[int, int, int]] = []  # slope, height at 0, place of the bound before
+        first = 0
         for j in range(1, cells + 1):
-            cost = best[:j] + longest[j - 1] * (n[j] - n[:j]) - (t[j] - t[:j])
-            came[j] = int(cost.argmin())
-            new[j] = cost[came[j]]
+            if best[j - 1] is not None:
+                slope, height = -n[j - 1], best[j - 1] + t[j - 1]
+                while len(lines) - first >= 2:
+                    (m1, b1, _), (m2, b2, _) = lines[-2], lines[-1]
+                    # The middle line is nowhere the lowest.
+                    if (height - b1) * (m1 - m2) <= (b2 - b1) * (m1 - slope):
+                        lines.pop()
+                    else:
+                        break
+                lines.append((slope, height, j - 1))
+            if first >= len(lines):
+                continue
+            x = lengths[j - 1]
+            while len(lines) - first >= 2 and lines[first + 1][0] * x + lines[first + 1][1] < lines[first][0] * x + lines[first][1]:
+                first += 1
+            slope, height, came[j] = lines[first]
+            new[j] = slope * x + height + x * n[j] - t[j]
         back.append(came)
-        if new[cells] >= best[cells]:  # another bucket does not help
+        if best[cells] is not None and new[cells] is not None and new[cells] >= best[cells]:  # another bucket does not help
             back.pop()
             break
-        best = new
-        best[0] = np.inf
+        best = [None, *new[1:]]
     bounds, j = [], cells
     for came in reversed(back):
-        bounds.append(int(longest[j - 1]))
+        bounds.append(lengths[j - 1])
         j = came[j]
     return bounds[::-1]
 
 
 def histogram(rows: DataFrame, length_col: str = "n_tokens") -> DataFrame:
-    length = F.col(length_col)
-    return rows.groupBy(cell(length).alias("cell")).agg(F.max(length).alias("longest"), F.count("*").alias("n"), F.sum(length).alias("total"))
+    return rows.groupBy(F.col(length_col).cast("long").alias("length")).agg(F.count("*").alias("n"))
 
 
 def pack(rows: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """Bucket, batch and slot of each row of ``id`` and ``length``."""
-    rows = materialize(rows.select(id_col, length_col), "lengths")
-    cells = sorted(histogram(rows, length_col).collect())  # of bounded size
-    longest, count, total = (np.array([row[name] for row in cells], dtype=np.int64) for name in ("longest", "n", "total"))
-    bounds = optimal_bounds(longest, count, total, buckets)
-    shards = max(1, int(count.sum()) // SHARD_ROWS)
+    # Rows are numbered once, so that those of equal id and length are spread over the shards as well.
+    rows = materialize(rows.select(id_col, length_col, F.monotonically_increasing_id().alias("_row")), "lengths")
+    cells = sorted((row["length"], row["n"]) for row in histogram(rows, length_col).collect())  # at most the root of twice the tokens
+    bounds = optimal_bounds([length for length, _ in cells], [n for _, n in cells], buckets)
+    shards = max(1, sum(n for _, n in cells) // SHARD_ROWS)
 
     length, bucket, bound = F.col(length_col), F.lit(len(bounds)), F.lit(None).cast("long")
     for number in reversed(range(len(bounds))):
         bucket = F.when(length <= bounds[number], F.lit(number)).otherwise(bucket)
         bound = F.when(length <= bounds[number], F.lit(bounds[number]).cast("long")).otherwise(bound)
-    placed = rows.select(id_col, length_col, bucket.cast("int").alias("bucket"), bound.alias("padded_to"), F.pmod(F.xxhash64(id_col, length_col), F.lit(shards)).cast("int").alias("_shard"))
+    shard = F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("int").alias("_shard")
+    placed = rows.select(id_col, length_col, "_row", bucket.cast("int").alias("bucket"), bound.alias("padded_to"), shard)
     sizes = placed.groupBy("bucket", "_shard").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("bucket").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("bucket", "_shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("bucket", "_shard").orderBy(length_col, id_col)
+    inside = Window.partitionBy("bucket", "_shard").orderBy(length_col, id_col, "_row")
     numbered = placed.withColumn("_rank", F.row_number().over(inside) - 1).join(sizes, ["bucket", "_shard"])
     rank = F.col("_before") + F.col("_rank")
     fit = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.col("padded_to")))
