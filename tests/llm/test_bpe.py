@@ -43,15 +43,36 @@ def test_joining_any_two_halves(library):
         assert codec.join(codec.merge(data[:cut]), codec.merge(data[cut:])) == codec.merge(data)
 
 
-def test_heap_and_list_merge_alike():
+def test_heap_and_list_merge_alike(monkeypatch):
     codec, data = bpe.codec(PATH), b"internationalisation" * 10
-    short = bpe.LEAF
-    try:
-        bpe.LEAF = 10_000
-        by_list = codec.merge(data)
-    finally:
-        bpe.LEAF = short
-    assert codec.merge(data) == by_list
+    by_heap = codec.merge(data)
+    monkeypatch.setattr(bpe, "SHORT", 10_000)
+    assert codec.merge(data) == by_heap
+
+
+@pytest.mark.parametrize("leaf, block", [(1, 1), (1, 7), (2, 50), (3, 10**6), (13, 40)])
+def test_any_leaves_and_blocks_equal_the_library(library, monkeypatch, leaf, block):
+    monkeypatch.setattr(bpe, "LEAF_TEXT", leaf)
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    monkeypatch.setattr(bpe, "LEAF", 1)
+    codec, pick = bpe.Codec(bpe.codec(PATH).ranks, public_tokenizers.PATTERN), random.Random(7)
+    parts = ["'", "'s", "'re", "r", "e", "ll", "'ll", " ", "  ", "\n", "\t ", "a", "Word", "12", "3", "--", ".", "é", "漢", "😀", "\u3000", "x" * 30, " the", "'d", "'t"]
+    for length in [0, 1, 2, 5, 20, 200]:
+        for _ in range(30):
+            text = "".join(pick.choices(parts, k=length))
+            assert codec.encode(text) == library.encode_ordinary(text), repr(text)
+
+
+def test_texts_are_joined_in_a_tree(texts, monkeypatch):
+    codec = bpe.Codec(bpe.codec(PATH).ranks, public_tokenizers.PATTERN)
+    joins, pieces = [], []
+    plain, inner = codec.join_pieces, codec.join
+    monkeypatch.setattr(codec, "join_pieces", lambda *a: joins.append(1) or plain(*a))
+    monkeypatch.setattr(codec, "join", lambda *a: pieces.append(1) or inner(*a))
+    for _, text in texts:
+        codec.encode(text or "")
+    leaves = sum(max(1, -(-len(text or "") // bpe.LEAF_TEXT)) for _, text in texts)
+    assert len(joins) >= leaves - len(texts) > 500 and pieces
 
 
 def test_very_long_piece_and_blocks(library):

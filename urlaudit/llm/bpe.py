@@ -1,9 +1,14 @@
-"""Byte-level BPE as a monoid: lists of tokens of neighbouring byte strings are joined in a tree.
+"""Byte-level BPE as a monoid: encodings of neighbouring strings are joined in a tree.
 
-A list of tokens is the encoding of its bytes exactly when every two neighbours are the encoding of their joined bytes: a merge
-across a boundary would also happen between the two alone. So two encodings join by encoding anew a window around the boundary
-and widening it until both of its outer neighbours agree with it; nothing beyond can change. Long pieces are cut into halves down
-to leaves and joined upwards, decoding concatenates up a tree of equal shape.
+A text is cut into halves down to leaves of ``LEAF_TEXT`` characters. A leaf is split into pieces by the pattern as if it stood alone, and two
+neighbours are joined by splitting anew a window around their boundary: pieces on the left that end within ``LOOK`` characters of it might
+have gone on, and the window grows to the right until one of its pieces ends where one of the right side begins. From there the same text
+lies ahead, so nothing beyond can change.
+
+A piece is encoded the same way. A list of tokens is the encoding of its bytes exactly when every two neighbours are the encoding of their
+joined bytes: a merge across a boundary would also happen between the two alone. So two encodings join by encoding anew a window around the
+boundary and widening it until both of its outer neighbours agree with it. Pieces of more than ``LEAF`` bytes are cut into halves and joined
+upwards, decoding concatenates up a tree of equal shape.
 
 Rows are encoded where they are read, without a shuffle. The vocabulary has a fixed size and is read from its file by each worker;
 a bounded table of recent pieces saves repeated work and does not change results.
@@ -19,7 +24,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, islice, pairwise
+from itertools import chain, pairwise
 
 import public_tokenizers
 import pyarrow as pa
@@ -30,9 +35,12 @@ from pyspark.sql import functions as F
 from urlaudit.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAF = 48  # bytes that are merged directly
+LEAF = 16  # bytes of a piece that are merged directly
+LEAF_TEXT = 256  # characters that are split directly
+LOOK = 2  # characters behind a piece that the pattern looks at: "'" may become "'re"
+SHORT = 48  # bytes of a piece that is remembered
 RECENT = 300_000  # pieces whose tokens a worker remembers
-BLOCK = 200_000  # pieces of a text that are held at once
+BLOCK = 1 << 20  # characters of a text whose pieces are held at once; tokens that are decoded at once
 
 
 class Codec:
@@ -47,7 +55,7 @@ class Codec:
         class Recent(dict):
             def __missing__(self, piece: str) -> list[int]:
                 ids = codec.encode_bytes(piece.encode())
-                if len(piece) <= LEAF:
+                if len(piece) <= SHORT:
                     if len(self) >= RECENT:
                         self.clear()
                     self[piece] = ids
@@ -60,7 +68,7 @@ class Codec:
         n, ranks = len(data), self.ranks
         if n < 2:
             return [ranks[data]] if n else []
-        if n <= LEAF:
+        if n <= SHORT:
             none, find = len(ranks), ranks.get
             cuts = list(range(n + 1))
             pairs = [find(data[i : i + 2], none) for i in range(n - 1)]
@@ -134,11 +142,42 @@ class Codec:
         whole = self.ranks.get(piece)
         return [whole] if whole is not None else self.tree(piece)
 
+    def join_pieces(self, text: str, left: list[str], middle: int, right: list[str], end: int) -> list[str]:
+        """Pieces of a stretch of the text up to ``end``, from those of its parts up to and from ``middle``."""
+        at = middle
+        while left and at > middle - LOOK:
+            at -= len(left.pop())
+        skipped, start = 0, middle
+        while at < end:
+            while start < at:
+                start += len(right[skipped])
+                skipped += 1
+            if start == at:
+                break
+            left.append(self.pieces.match(text, at, end).group())
+            at += len(left[-1])
+        left += right[skipped:] if at < end else []
+        return left
+
+    def split(self, text: str, start: int, end: int) -> list[str]:
+        """Pieces of a stretch of the text as if it stood alone."""
+        if end - start <= LEAF_TEXT:
+            return self.pieces.findall(text, start, end)
+        middle = (start + end) // 2
+        return self.join_pieces(text, self.split(text, start, middle), middle, self.split(text, middle, end), end)
+
     def blocks(self, text: str) -> Iterator[list[int]]:
-        """Tokens of a text, in blocks of many pieces."""
-        matches = (m.group() for m in self.pieces.finditer(text)) if len(text) > 4 * BLOCK else iter(self.pieces.findall(text))
-        while pieces := list(islice(matches, BLOCK)):
-            yield list(chain.from_iterable(map(self.recent.__getitem__, pieces)))
+        """Tokens of a text, in blocks of bounded length; what may still go on at the end of a block is left to the next."""
+        start, size = 0, BLOCK
+        while start < len(text):
+            end = min(start + size, len(text))
+            pieces, last = self.split(text, start, end), end
+            while pieces and end < len(text) and last > end - LOOK:
+                last -= len(pieces.pop())
+            size = BLOCK if pieces else 2 * size  # one piece longer than a block
+            if pieces:
+                yield list(chain.from_iterable(map(self.recent.__getitem__, pieces)))
+                start = last
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.blocks(text)))
