@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -81,3 +82,35 @@ def test_odd_rows(spark, field):
     out = sorted((row["page_id"] or 0, row["text"]) for row in html.extract(df, field).collect())
     assert out == [(0, ""), (1, TEXT), (1, TEXT), (2, ""), (3, ("A long sentence of words. " * 20_000).strip())]
     assert html.extract(df.where("false"), field).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<div>" * 60_000 + "text", "<div>x " * 60_000, "<b> " * 60_000 + "<div>y", "<div>" * 30_000 + "</b></p></section>" * 30_000, "<b>" + "<div>" * 30_000 + "</b>z" * 30_000, "<div><section>x" * 40_000])
+def test_a_megabyte_of_open_tags_takes_seconds(field, page):
+    started = time.process_time()
+    html.main_text(page, field)
+    assert time.process_time() - started < 8
+
+
+def test_paths_keep_what_their_features_say():
+    blocks = html.leaf_blocks('<div class="nav"><article><div class="nav">a</div><p>b</p></article><div><div><div>c</div></div></div></div>')
+    assert [b.path for b in blocks] == [("div nav", "article", "div nav"), ("div nav", "article", "p"), ("div nav", "div")]
+    assert html.labelled(blocks) == [False, True, False]
+
+
+def test_pages_without_article_elements_have_a_text():
+    body = "This is paragraph {} of the story, it has quite some words, and it ends as sentences do."
+    pages = [
+        f'<html><body><div class="menu"><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></div><div id="content"><h1>Title {k}</h1>'
+        + "".join(f"<p>{body.format(j)}</p>" for j in range(6)) + f'</div><div class="footer">© {k} Somebody</div></body></html>'
+        for k in range(50)
+    ]
+    field = html.fit(html.training_pages(pages))
+    found = [html.main_text(page, field) for page in pages]
+    wanted = "\n".join(body.format(j) for j in range(6))
+    assert all(wanted in text and "Home" not in text and "©" not in text for text in found)
+
+
+def test_a_field_is_learned_from_any_table(field):
+    for pages in ([], ["", "<p>"], ["<nav>a</nav>"]):
+        own = html.fit(html.training_pages(pages))
+        assert html.main_text("<html><body><article><h1>A title</h1><p>" + "Some words of a story, and more of them. " * 5 + "</p></article><footer>x</footer></body></html>", own)

@@ -19,6 +19,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
@@ -76,35 +77,51 @@ def element(tag: str, attributes: str) -> str:
 
 
 def leaf_blocks(html: str | None) -> list[Block]:
-    """The leaf blocks of a page in order; text is decoded, and its white space turned into single spaces."""
+    """The leaf blocks of a page in order; text is decoded, and its white space turned into single spaces.
+
+    Each open element knows the path down to it, so a block's path costs nothing more, and each tag is looked at once when it is closed: the
+    work grows with the page, however deep its elements are nested. An element that is on the path already, before the article or inside
+    it, is not named twice there."""
     html = html or ""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, tuple[str, ...], str]] = []  # tag, path without repetition, the element of the block
+    open_tags: Counter = Counter()
+    unseen: set[str] = set()
     held: list[str] = []
-    links, path = 0, ()
-    unseen = 0
+    started, links, path = False, 0, ()
 
     def add(raw: str) -> None:
-        nonlocal links, path
-        if unseen or not raw:
+        nonlocal started, links, path
+        if not raw or unseen:
             return
         if raw.isspace():
             held.append(" ")
             return
-        if not any(part != " " for part in held):
-            path = tuple(e for tag, e in stack if tag not in INLINE)
+        if not started and stack:
+            _, names, leaf = stack[-1]
+            path = names if not leaf or names[-1] == leaf else (*names, leaf)
+        elif not started:
+            path = ()
+        started = True
         held.append(raw)
-        if any(tag == "a" for tag, _ in stack):
+        if open_tags["a"]:
             links += len(raw)
 
     def flush() -> None:
-        nonlocal links
+        nonlocal started, links
         if held:
             text = " ".join(unescape("".join(held)).split())
             if text:
                 out.append(Block(path, text, links))
             held.clear()
-            links = 0
+            started, links = False, 0
+
+    def close(depth: int) -> None:
+        for tag, *_ in stack[depth:]:
+            open_tags[tag] -= 1
+            if tag in UNSEEN and not open_tags[tag]:
+                unseen.discard(tag)
+        del stack[depth:]
 
     at = 0
     while match := _TAG.search(html, at):
@@ -120,10 +137,12 @@ def leaf_blocks(html: str | None) -> list[Block]:
         if block:
             flush()
         if match[1]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None and (block or all(t in INLINE for t, _ in stack[depth:])):
-                unseen -= sum(t in UNSEEN for t, _ in stack[depth:])
-                del stack[depth:]
+            if open_tags[tag]:
+                depth = len(stack) - 1
+                while stack[depth][0] != tag and (block or stack[depth][0] in INLINE):
+                    depth -= 1
+                if stack[depth][0] == tag:
+                    close(depth)
             continue
         if tag in ("script", "style"):  # their content has no tags
             end = re.compile(rf"</{tag}", re.I).search(html, at)
@@ -134,20 +153,38 @@ def leaf_blocks(html: str | None) -> list[Block]:
             ended = ENDS.get(tag, set()) | {"p"}
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in ended:
-                    unseen -= sum(t in UNSEEN for t, _ in stack[k:])
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] not in INLINE:
                     break
         if tag not in VOID and not match[3].endswith("/>"):
-            stack.append((tag, element(tag, match[3])))
-            unseen += tag in UNSEEN
+            names, leaf = stack[-1][1:] if stack else ((), "")
+            if block:
+                leaf = element(tag, match[3])
+                names = _named(names, leaf)
+            stack.append((tag, names, leaf))
+            open_tags[tag] += 1
+            if tag in UNSEEN:
+                unseen.add(tag)
     else:
         add(html[at:])
     flush()
     return out
 
 
+def is_article(e: str) -> bool:
+    tag, *words = e.split()
+    return tag in ARTICLE or "main" in words
+
+
+def _named(names: tuple[str, ...], leaf: str) -> tuple[str, ...]:
+    """A path and an element below it. What stands before the first article element and what stands from it on are kept apart."""
+    if leaf not in names:
+        return (*names, leaf)
+    inside = next((k for k, e in enumerate(names) if is_article(e)), None)
+    return names if inside is None or leaf in names[inside:] else (*names, leaf)
+
+
 @lru_cache(200_000)
 def _number(feature: str) -> int:
     return zlib.crc32(feature.encode()) % FEATURES
@@ -270,12 +307,20 @@ def labelled(blocks: list[Block]) -> list[bool] | None:
     """Labels by markup: blocks in an article or main element that are in no furniture inside it. None if a page has neither."""
     out, any_article = [], False
     for block in blocks:
-        at = next((k for k, e in enumerate(block.path) if e.split()[0] in ARTICLE or "main" in e.split()[1:]), None)
+        at = next((k for k, e in enumerate(block.path) if is_article(e)), None)
         any_article |= at is not None
         out.append(at is not None and not any(not FURNITURE.isdisjoint(e.split()) for e in block.path[at:]))
     return out if any_article else None
 
 
+FEW = 56  # labelled pages to learn from, at least
+LONG_BLOCK = 12  # words of a block that is taken for an article's where no markup says so
+#: Text for the layouts of a table without any.
+PLAIN = [
+    "The river rose in the night, and by the morning the lower fields were under water as far as the mill.",
+    "Nobody had seen the like of it for thirty years. People carried what they could to the church on the hill, and waited there.",
+    "In the afternoon the rain stopped; a wind came up from the west, and the first roofs of the village could be seen again.",
+]
 #: Layouts to deal labelled blocks into: what stands around an article, the article's own elements, what stands inside it.
 LAYOUTS = [
     ("header nav footer", "main", "aside"),
@@ -335,16 +380,28 @@ def dealt(article: list[str], other: list[str], layout: tuple[str, str, str], pi
 
 
 def training_pages(htmls: list[str]) -> list[tuple[list[Block], list[bool]]]:
+    """Labelled pages to learn from, never none.
+
+    A page with an article or main element is taken as it is, and dealt into another layout. Where such pages are too few, the other pages
+    give texts for all layouts, their blocks of many words as articles; and where there is no text, plain words do."""
     pick, out = random.Random(30_011), []
+    unmarked: list[list[Block]] = []
     for k, html in enumerate(htmls):
         blocks = leaf_blocks(html)
         labels = labelled(blocks)
         if labels is None:
+            unmarked.append(blocks)
             continue
         out.append((blocks, labels))
         article, other = [b.text for b, own in zip(blocks, labels, strict=True) if own], [b.text for b, own in zip(blocks, labels, strict=True) if not own]
         if article:
             out.append(dealt(article, other, LAYOUTS[k % len(LAYOUTS)], pick))
+    if len(out) < FEW:
+        texts = [([b.text for b in blocks if b.text.count(" ") >= LONG_BLOCK], [b.text for b in blocks if b.text.count(" ") < LONG_BLOCK]) for blocks in unmarked]
+        texts = [(article, other) for article, other in texts if article] or [(PLAIN, [])]
+        for k in range(FEW - len(out)):
+            article, other = texts[k % len(texts)]
+            out.append(dealt(article, other, LAYOUTS[k % len(LAYOUTS)], pick))
     return out
 
 
