@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tests.llm.conftest import ODD
@@ -93,3 +94,22 @@ def test_expectation_maximisation_finds_the_mixture():
 def test_the_model_beats_the_base_on_held_out_documents(spark):
     rows = [row for row in registry.queries()["op5_lm_scores"](spark, "/root/testdata/sf0.001").collect() if row["held_out"]]
     assert rows and sum(row["score"] for row in rows) > sum(row["base_score"] for row in rows)
+
+
+def test_blocks_are_bounded_whatever_the_ids(spark):
+    rows = [(None, f"text {k}") for k in range(6_000)] + [(7, f"word {k}") for k in range(6_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [row["count"] for row in deleted.dealt(df, "doc_id", "text", 12).groupBy("block").count().collect()]
+    assert max(sizes) < 1_700 and sum(sizes) == 12_000
+    parts = {row["id"]: row["n"] for row in deleted.dealt(df, "doc_id", "text", 12).where("block % 2 = 1").groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert None not in parts and (parts == {} or 500 < parts[7] < 1_000)
+
+
+def test_long_texts_make_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(deleted, "BLOCK_BYTES", 20_000)
+    rows = [(k, "some words of a text " * 300) for k in range(40)] + [(None, "some words"), (None, "some words"), (40, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    many = {row["doc_id"]: row["score"] for row in deleted.score(df).where("doc_id IS NOT NULL").collect()}
+    monkeypatch.setattr(deleted, "BLOCK_BYTES", 1 << 30)
+    one = deleted.score(df).where("doc_id IS NOT NULL").collect()
+    assert len(one) == 41 and all(row["base_score"] is not None for row in one) and len(many) == 41

@@ -5,7 +5,7 @@ how often the predecessor was seen, in buckets of doublings, and are learned by
 eight training documents is the held-out part, and for it the estimates come from the counts without it. Scores use the counts of
 all training documents.
 
-Documents are dealt to blocks by a hash of their id. A block asks for the counts of its distinct words and pairs, as sorted arrays
+Documents are dealt to blocks by a hash of their id and text, so many that a block is bounded in rows and in bytes. A block asks for the counts of its distinct words and pairs, as sorted arrays
 of hashes cut at fixed bounds into shards, and says how often its own training documents have them; a shard adds up what all blocks
 say and answers each in its order. So each block of documents meets the counts it needs and nothing else, no word is gathered row by
 row, frequent words meet once for each block, and blocks and shards are of bounded size while their number grows with the table.
@@ -13,7 +13,8 @@ Words are known by 64-bit hashes.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, followed by one end mark that is counted as a word. Defined cases: a null or
 empty text has the end mark alone; without a training row all counts are 0, V is 0 and words are as likely as the uniform
-estimate says; repeated rows count and are scored each; rows without an id are no training rows. An empty table gives an empty
+estimate says; repeated rows count and are scored each; rows without an id are no training rows. A very long text is a block
+by itself, give or take a few others. An empty table gives an empty
 result. Columns other than ``id`` and ``text`` are ignored.
 """
 
@@ -33,7 +34,8 @@ from urlaudit.session import materialize
 
 HELD_OUT = (7, 2)
 FOLDS = 8  # one of so many training documents is held out for the weights
-BLOCK_ROWS = 2000
+BLOCK_ROWS = 2000  # documents of a block, or
+BLOCK_BYTES = 6 << 20  # bytes of text, whichever makes more blocks
 SHARD_KEYS = 1_500_000
 USUAL_KEYS = 300  # distinct words and pairs a document asks for, to choose the number of shards
 CELLS = 8  # of a decade, in the table the weights are learned from
@@ -227,16 +229,23 @@ def scored(weights: np.ndarray, n: int, v: int):
 NAMES = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
 
 
+def dealt(docs: DataFrame, id_col: str, text_col: str, n_blocks: int) -> DataFrame:
+    """The documents with their block; odd blocks are the held-out part. Blocks and parts are dealt by a hash of id and text, so rows that
+    share an id, or have none, are spread like all others; only rows equal in both share a block."""
+    id_, text = F.col(id_col).cast("long"), F.col(text_col).cast("binary")
+    learns = F.coalesce(training(id_, *HELD_OUT), F.lit(False))
+    fold = F.when(learns & (F.pmod(F.xxhash64(F.lit("fold"), id_, text), F.lit(FOLDS)) == 0), F.lit(1)).otherwise(F.lit(0))
+    block = F.pmod(F.xxhash64(F.lit("block"), id_, text), F.lit(n_blocks)) * 2 + fold
+    return docs.select(id_.alias("id"), text.alias("text"), learns.alias("learns"), block.alias("block"))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of each document."""
-    id_ = F.col(id_col).cast("long")
-    learns = F.coalesce(training(id_, *HELD_OUT), F.lit(False))
-    n_docs = docs.count()
-    n_blocks = n_docs // BLOCK_ROWS + 1
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("bytes")).first()
+    n_docs = size["n"]
+    n_blocks = max(n_docs // BLOCK_ROWS, size["bytes"] // BLOCK_BYTES) + 1
     bits = max(0, math.ceil(math.log2(max(1, n_docs * USUAL_KEYS / SHARD_KEYS))))
-    fold = F.when(learns & (F.pmod(F.xxhash64(F.lit("fold"), id_), F.lit(FOLDS)) == 0), F.lit(1)).otherwise(F.lit(0))
-    block = F.pmod(F.xxhash64(F.lit("block"), id_), F.lit(n_blocks)) * 2 + fold
-    rows = docs.select(id_.alias("id"), F.col(text_col).cast("binary").alias("text"), learns.alias("learns"), block.alias("block"))
+    rows = dealt(docs, id_col, text_col, n_blocks)
 
     sent = rows.groupBy("block").applyInArrow(requests(64 - bits), "block long, shard long, keys binary, counts binary")
     replies = materialize(sent.groupBy("shard").applyInArrow(answers, "block long, shard long, total binary, held binary"), "replies")
