@@ -104,10 +104,11 @@ def test_an_answer_after_the_timeout_of_its_host_is_a_timeout(spark, method):
 def test_a_row_that_was_redirected_before_stops_at_the_limit(spark):
     urls = [f"http://chain.example.org/{i}" for i in range(9)]
     rows = [response(a, "HEAD", 301, b) for a, b in zip(urls, urls[1:])]
-    start = frontier_of(spark, urls[:1]).withColumn("redirect_count", F.lit(3))
+    starts = [frontier_of(spark, urls[:1]).withColumn("redirect_count", F.lit(n)) for n in (0, 3, 5, 6)]
+    start = starts[0].unionByName(starts[1]).unionByName(starts[2]).unionByName(starts[3])
     for method in ("walk", "lifting"):
-        found = resolve.resolve(start, table(spark, rows), AuditConfig(redirect_limit=5), method=method).first()
-        assert (found.url, found.redirect_count, found.category) == (urls[2], 6, "Undetermined")
+        found = resolve.resolve(start, table(spark, rows), AuditConfig(redirect_limit=5), method=method).collect()
+        assert sorted((r.url, r.redirect_count, r.category) for r in found) == [(urls[k], n, "Undetermined") for k, n in ((0, 6), (0, 7), (2, 6), (5, 6))]
 
 
 def test_responses_are_grouped_once_and_a_walk_groups_only_what_it_reaches(spark, monkeypatch):

@@ -298,14 +298,14 @@ def redirect_edges(nodes: DataFrame, conf: AuditConfig, mode: str = "compat", **
 
 
 def jumped(frontier: DataFrame, jumps: DataFrame) -> DataFrame:
-    """Move each row along its jump; a row without one stays."""
-    return frontier.withColumn("state", state_of("method", "url")).join(jumps, "state", "left").select(
-        "url_id",
-        "original_url",
-        F.coalesce("to_url", "url").alias("url"),
-        F.coalesce("to_method", "method").alias("method"),
-        (F.col("redirect_count") + F.coalesce("steps", F.lit(0))).alias("redirect_count"),
-    )
+    """Move each row along its jump; a row without one stays. Further columns of the frontier are kept."""
+    joined = frontier.withColumn("state", state_of("method", "url")).join(jumps, "state", "left")
+    after = {
+        "url": F.coalesce("to_url", "url").alias("url"),
+        "method": F.coalesce("to_method", "method").alias("method"),
+        "redirect_count": (F.col("redirect_count") + F.coalesce("steps", F.lit(0))).alias("redirect_count"),
+    }
+    return joined.select(*[after.get(name, F.col(name)) for name in frontier.columns])
 
 
 def doubled(jumps: DataFrame, onward: DataFrame) -> DataFrame:
@@ -367,14 +367,24 @@ def index_responses(
     return ResponseIndex(nodes, jumps)
 
 
-def _travel(frontier: DataFrame, index, distance: int, few: bool) -> DataFrame:
-    """Move every row up to ``distance`` redirects, stopping early where no edge leads on: the jumps for the bits of ``distance``."""
-    for level in range(levels_for(distance)):
-        if distance >> level & 1:
+def _travel(frontier: DataFrame, index, limit: int, few: bool) -> DataFrame:
+    """Move every new row up to ``limit`` redirects, stopping early where no edge leads on: the jumps for the bits of the limit."""
+    for level in range(levels_for(limit)):
+        if limit >> level & 1:
             frontier = index.moved(materialize(frontier, "frontier") if few else frontier, level, few)
     return materialize(frontier, "frontier") if few else frontier
 
 
+def _travel_on(frontier: DataFrame, index, limit: int, few: bool) -> DataFrame:
+    """The same for rows that have been redirected before: each takes the jumps for the bits of the redirects it has left."""
+    frontier = frontier.withColumn("_left", F.greatest(F.lit(limit) - F.col("redirect_count"), F.lit(0)))
+    for level in range(levels_for(limit)):
+        frontier = materialize(frontier, "frontier")
+        goes = F.col("_left").bitwiseAND(F.lit(1 << level)) != 0
+        frontier = index.moved(frontier.filter(goes), level, few).unionByName(frontier.filter(~goes))
+    return materialize(frontier.drop("_left"), "frontier")
+
+
 def resolve(
     frontier: DataFrame,
     responses: DataFrame | None,
@@ -400,21 +410,24 @@ def resolve(
     if method != "lifting":
         raise ValueError(f"unknown method {method!r}")
     start = drop_blank(frontier.select(*FRONTIER))
-    # Jumps know neither a submitted URL nor how far a row has come: a submitted login page, which its own gate spares, and
-    # rows that have been redirected before are walked.
-    special = F.col("redirect_count") > 0
+    # Jumps do not know the submitted URL: a submitted login page, which its own gate spares, is walked.
+    listed = F.lit(False)
     if login_pages is not None:
-        listed = login_pages.select(F.col("url").alias("_page"), F.lit(True).alias("_listed")).distinct()
-        start = start.withColumn("_page", urls.correct_url(F.col("original_url"))).join(listed, "_page", "left")
-        special = special | F.coalesce("_listed", F.lit(False))
-    start = materialize(start.withColumn("_special", special).select(*FRONTIER, "_special"), "start")
+        pages = login_pages.select(F.col("url").alias("_page"), F.lit(True).alias("_listed")).distinct()
+        start = start.withColumn("_page", urls.correct_url(F.col("original_url"))).join(pages, "_page", "left")
+        listed = F.coalesce("_listed", F.lit(False))
+    kind = F.when(listed, "listed").when(F.col("redirect_count") > 0, "before").otherwise("new")
+    start = materialize(start.withColumn("_kind", kind).select(*FRONTIER, "_kind"), "start")
+    kinds = {row["_kind"] for row in start.select("_kind").distinct().collect()}  # three at most
+    of_kind = lambda name: start.filter(F.col("_kind") == name).select(*FRONTIER)
     outcomes = []
-    walked = start.filter("_special").select(*FRONTIER)
-    if not walked.isEmpty():
-        outcomes.append(resolve_walk(walked, responses, conf, mode, index=index, **gates))
+    if "listed" in kinds:
+        outcomes.append(resolve_walk(of_kind("listed"), responses, conf, mode, index=index, **gates))
     if index is None:
         index = index_responses(responses, conf, mode=mode, **gates)
-    ended = _travel(start.filter("NOT _special").select(*FRONTIER), index, conf.redirect_limit, few)
+    ended = _travel(of_kind("new"), index, conf.redirect_limit, few)
+    if "before" in kinds:
+        ended = ended.unionByName(_travel_on(of_kind("before"), index, conf.redirect_limit, few))
     # Written, so that what follows is not compiled together with the decision.
     outcomes.append(_finished(materialize(_settled(index.observed(ended, few), gates, conf, mode), "settled")))
     return _union(outcomes)

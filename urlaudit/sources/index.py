@@ -120,13 +120,12 @@ class KeptIndex:
         # The frontier is shuffled to the buckets; the jumps stay.
         rows = kept.attach(frontier.withColumn("state", state_of("method", "url")))
         there = F.col("hop")["to_url"].isNotNull()
-        return rows.select(
-            "url_id",
-            "original_url",
-            F.when(there, F.col("hop")["to_url"]).otherwise(F.col("url")).alias("url"),
-            F.when(there, F.col("hop")["to_method"]).otherwise(F.col("method")).alias("method"),
-            (F.col("redirect_count") + F.when(there, F.col("hop")["steps"]).otherwise(0)).alias("redirect_count"),
-        )
+        after = {
+            "url": F.when(there, F.col("hop")["to_url"]).otherwise(F.col("url")).alias("url"),
+            "method": F.when(there, F.col("hop")["to_method"]).otherwise(F.col("method")).alias("method"),
+            "redirect_count": (F.col("redirect_count") + F.when(there, F.col("hop")["steps"]).otherwise(0)).alias("redirect_count"),
+        }
+        return rows.select(*[after.get(name, F.col(name)) for name in frontier.columns])
 
     def observed(self, frontier: DataFrame, few: bool) -> DataFrame:
         nodes = self._nodes()
