@@ -644,9 +644,9 @@ def stream_throughput(spark, sf_dir):
     return jobs.read_throughput(spark, root).select(F.col("minute").cast("timestamp_ntz").alias("minute"), "checks")
 
 
-def _landed_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_register(spark: SparkSession, sf_dir: str, files: int = 2) -> DataFrame:
     landed = scratch_path(spark, "landed-register")
-    tables.url(spark, sf_dir).filter("valid").repartition(2, "id").write.parquet(landed)
+    tables.url(spark, sf_dir).filter("valid").repartition(files, "id").write.parquet(landed)
     return jobs.stream_table(spark, landed, schema.URL, files_per_trigger=1)
 
 
@@ -676,7 +676,7 @@ def stream_late_responses(spark, sf_dir):
     pages = tables.login_pages(spark)
     responses = tables.responses(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("url", "method"), F.lit(4)))
     index = KeptIndex(spark, f"{root}/index", CONF, login_pages=pages).build(responses.filter("part < 2").drop("part"))
-    selected = _landed_register(spark, sf_dir)
+    selected = _landed_register(spark, sf_dir, files=1)
     tables_of = lambda: {"index": index, "login_pages": pages}
     writer = jobs.resolve_selected(selected, tables_of, CONF, root, checked_at=lambda _: tables.CHECKED_AT)
     jobs.run_available(writer, f"{root}-selected")
