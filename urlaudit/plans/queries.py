@@ -355,12 +355,11 @@ def metadata_keys(spark, sf_dir):
     md = status.outcome_metadata(_outcomes(spark, sf_dir), tables.CHECKED_AT)
     headers = F.create_map(F.lit("server"), F.array(F.lit("x")), F.lit("urlId"), F.array(F.lit("y")))
     merged = records.merge_prefixed(F.col("metadata"), headers, "header.")
-    both = md.select("metadata", merged.alias("merged"))
-    keys = both.select(
-        F.explode(F.map_keys("merged")).alias("key"), records.persisted(F.col("merged")).alias("persisted")
-    )
-    kept = F.count_if(F.map_contains_key("persisted", F.col("key")))
-    return keys.groupBy("key").agg(F.count("*").alias("n"), kept.alias("persisted"))
+    both = md.select(merged.alias("merged"))
+    # Both maps are built once for a record and only a flag goes with a key, not the persisted map.
+    flags = F.map_zip_with("merged", records.persisted(F.col("merged")), lambda _, __, kept: kept.isNotNull())
+    keys = both.select(F.explode(flags).alias("key", "kept"))
+    return keys.groupBy("key").agg(F.count("*").alias("n"), F.count_if("kept").alias("persisted"))
 
 
 @query
