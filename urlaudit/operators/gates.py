@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from urlaudit.config import BLOCKED, BROKEN, RESTRICTED, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, urls
+from urlaudit.session import materialize
 
 
 def _of_host(settings: tuple[tuple[str, int], ...], host: Column) -> Column:
@@ -16,6 +17,28 @@ def _of_host(settings: tuple[tuple[str, int], ...], host: Column) -> Column:
     return F.create_map(*[F.lit(part) for pair in settings for part in pair])[host].cast("long")
 
 
+def overrides_index(host_overrides: DataFrame) -> DataFrame:
+    """The overrides of a host as one row; rows that have this form already stay as they are."""
+    if "_delay_ms" in host_overrides.columns:
+        return host_overrides
+    return host_overrides.groupBy(F.col("host").alias("_host")).agg(
+        F.max("delay_ms").cast("long").alias("_delay_ms"),
+        F.max("timeout_ms").cast("long").alias("_timeout_ms"),
+    )
+
+
+def prepared_gates(robots_rules: DataFrame | None = None, login_pages: DataFrame | None = None, host_overrides: DataFrame | None = None) -> dict[str, DataFrame | None]:
+    """The tables of the gates as they are joined, written once.
+
+    A table without a true size is joined by shuffling the URLs, and each join would index the rules again; a written one is broadcast if
+    it is small."""
+    return {
+        "robots_rules": None if robots_rules is None else materialize(robots_index(robots_rules), "robots"),
+        "login_pages": None if login_pages is None else materialize(login_pages.select("url").distinct(), "login"),
+        "host_overrides": None if host_overrides is None else materialize(overrides_index(host_overrides), "overrides"),
+    }
+
+
 def with_overrides(df: DataFrame, host_overrides: DataFrame | None, conf: AuditConfig, url: str = "url") -> DataFrame:
     """Add ``override_delay_ms`` (NULL without override) and ``effective_timeout_ms``; hosts match case as given.
 
@@ -25,10 +48,7 @@ def with_overrides(df: DataFrame, host_overrides: DataFrame | None, conf: AuditC
     default = F.lit(conf.timeout_ms).cast("long")
     if host_overrides is None:
         return df.withColumns({"override_delay_ms": delay, "effective_timeout_ms": F.coalesce(timeout, default)})
-    one_per_host = host_overrides.groupBy(F.col("host").alias("_host")).agg(
-        F.max("delay_ms").cast("long").alias("_delay_ms"),
-        F.max("timeout_ms").cast("long").alias("_timeout_ms"),
-    )
+    one_per_host = overrides_index(host_overrides)
     joined = df.withColumn("_host", host).join(one_per_host, ["_host"], "left")
     return joined.withColumns(
         {"override_delay_ms": F.coalesce("_delay_ms", delay), "effective_timeout_ms": F.coalesce("_timeout_ms", timeout, default)}
@@ -46,7 +66,10 @@ def robots_index(robots_rules: DataFrame) -> DataFrame:
     """The rules of a host as one row, no longer than its robots.txt.
 
     ``_plain`` has the plain prefixes in order, each with its weight and the place of the longest other one that it begins with (-1
-    without any), ``_depth`` how many such steps there are at most. ``_patterns`` are the rules with wildcards."""
+    without any), ``_depth`` how many such steps there are at most. ``_patterns`` are the rules with wildcards. Rows that have this form
+    already stay as they are."""
+    if "_plain" in robots_rules.columns:
+        return robots_rules
     path = F.col("path_prefix")
     weight = F.length(path) * 2 + (F.col("rule") == "allow").cast("int")
     rules = robots_rules.select(F.lower("host").alias("_host"), path.alias("prefix"), path_pattern(path).alias("pattern"), weight.alias("weight"), "crawl_delay_ms")

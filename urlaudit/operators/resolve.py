@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from urlaudit.config import GET, HEAD, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, records, urls
-from urlaudit.operators.gates import category_of_gate, message_of_gate, with_gates, with_overrides
+from urlaudit.operators.gates import category_of_gate, message_of_gate, prepared_gates, with_gates, with_overrides
 from urlaudit.operators.selection import drop_blank
-from urlaudit.session import materialize
+from urlaudit.session import materialize, sized_in_memory
 
 FRONTIER = ["url_id", "original_url", "url", "method", "redirect_count"]
 OUTCOME = [
@@ -404,7 +404,12 @@ def resolve(
     the responses such as a poll, the index is filtered by the frontier before each join, so that what moves is in proportion to the
     poll. ``walk`` settles and moves one redirect at a time; it is the definition the other is tested against.
     """
-    gates = {"robots_rules": robots_rules, "login_pages": login_pages, "host_overrides": host_overrides}
+    with sized_in_memory(frontier.sparkSession):
+        return _resolved(frontier, responses, conf, robots_rules, login_pages, host_overrides, mode, method, index, few)
+
+
+def _resolved(frontier, responses, conf, robots_rules, login_pages, host_overrides, mode, method, index, few) -> DataFrame:
+    gates = prepared_gates(robots_rules, login_pages, host_overrides)
     if method == "walk":
         return resolve_walk(frontier, responses, conf, mode, index=index, **gates)
     if method != "lifting":
@@ -413,7 +418,7 @@ def resolve(
     # Jumps do not know the submitted URL: a submitted login page, which its own gate spares, is walked.
     listed = F.lit(False)
     if login_pages is not None:
-        pages = login_pages.select(F.col("url").alias("_page"), F.lit(True).alias("_listed")).distinct()
+        pages = gates["login_pages"].select(F.col("url").alias("_page"), F.lit(True).alias("_listed")).distinct()
         start = start.withColumn("_page", urls.correct_url(F.col("original_url"))).join(pages, "_page", "left")
         listed = F.coalesce("_listed", F.lit(False))
     kind = F.when(listed, "listed").when(F.col("redirect_count") > 0, "before").otherwise("new")

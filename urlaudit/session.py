@@ -68,6 +68,26 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         spark.sql(f"DROP DATABASE {schema} CASCADE")
 
 
+#: By how much rows in memory may exceed the compressed files they are read from, and the setting that says so.
+SIZE_FACTOR, SIZE_SETTING = "20.0", "spark.sql.sources.fileCompressionFactor"
+
+
+@contextmanager
+def sized_in_memory(*sessions: SparkSession) -> Iterator[None]:
+    """Inside the block Spark sizes a written table by what its rows take in memory, not by its compressed files, before it broadcasts it.
+
+    Columns of URLs compress so well that millions of them pass for a small table, and the driver has to hold them. Plans must be run
+    inside; with adaptive execution a table that proves small is still broadcast."""
+    before = [(spark, spark.conf.get(SIZE_SETTING)) for spark in sessions]
+    for spark in sessions:
+        spark.conf.set(SIZE_SETTING, SIZE_FACTOR)
+    try:
+        yield
+    finally:
+        for spark, value in reversed(before):
+            spark.conf.set(SIZE_SETTING, value)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage with a written table: survives executor loss, and gives Catalyst a true size."""
     spark = df.sparkSession
