@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from urlaudit.config import GET, HEAD, AuditConfig
+from urlaudit.operators.gates import prepared_gates
 from urlaudit.operators.resolve import doubled, jumped, levels_for, redirect_edges, response_nodes, state_of
-from urlaudit.session import materialize
+from urlaudit.session import materialize, sized_in_memory
 from urlaudit.sources import ledger
 from urlaudit.sources.kept import Kept
 
@@ -49,22 +50,29 @@ class KeptIndex:
     def exists(self) -> bool:
         return ledger.last(self.spark, self.root, "index") is not None
 
-    def _grouped(self, responses: DataFrame) -> DataFrame:
-        return response_nodes(responses, conf=self.conf, host_overrides=self.gates.get("host_overrides"))
+    def _grouped(self, responses: DataFrame, gates: dict[str, DataFrame | None]) -> DataFrame:
+        return response_nodes(responses, conf=self.conf, host_overrides=gates["host_overrides"])
 
-    def _edges(self, nodes: DataFrame) -> DataFrame:
-        return redirect_edges(nodes, self.conf, self.mode, **self.gates)
+    def _edges(self, nodes: DataFrame, gates: dict[str, DataFrame | None]) -> DataFrame:
+        return redirect_edges(nodes, self.conf, self.mode, **gates)
 
     def build(self, responses: DataFrame) -> KeptIndex:
-        """Group all responses and double all jumps, once."""
-        grouped = self._grouped(responses)
-        nodes = self._nodes(grouped.schema)
-        nodes.seed(grouped)
-        jumps: DataFrame | None = None
-        for kept in self.levels:
-            jumps = materialize(self._edges(nodes.base()) if jumps is None else doubled(jumps, jumps), "jumps")
-            kept.seed(jumps.select("state", F.struct(F.lit(0).cast("long").alias("version"), *TO).alias("hop")))
-        ledger.commit(self.spark, self.root, "index", 0, grouped.schema.json())
+        """Group all responses and double all jumps, once.
+
+        Each table is written once, from the buckets of the one before: jumps stay where they begin, and only where they end is shuffled."""
+        with sized_in_memory(*{self.spark, responses.sparkSession}):
+            gates = prepared_gates(**self.gates)
+            grouped = self._grouped(responses, gates)
+            nodes = self._nodes(grouped.schema)
+            urls = responses.agg(F.approx_count_distinct("url")).head()[0]
+            nodes.seed(grouped, urls)
+            if self.levels:
+                jumps = materialize(self._edges(nodes.base(), gates), "jumps")
+                number = jumps.count()
+                for kept in self.levels:
+                    kept.seed(jumps.select("state", F.struct(F.lit(0).cast("long").alias("version"), *TO).alias("hop")), number)
+                    jumps = doubled(_open(kept.base()), _open(kept.base()))
+            ledger.commit(self.spark, self.root, "index", 0, grouped.schema.json())
         return self
 
     def update(self, responses: DataFrame) -> int:
@@ -74,13 +82,17 @@ class KeptIndex:
         if not self.exists():
             self.build(responses)
             return 0
+        with sized_in_memory(*{self.spark, responses.sparkSession}):
+            return self._update(responses)
+
+    def _update(self, responses: DataFrame) -> int:
         entry = ledger.last(self.spark, self.root, "index")
-        version, nodes = entry.number + 1, self._nodes()
-        fresh = materialize(self._grouped(responses).select(*nodes.layout.fieldNames()), "fresh")
+        version, nodes, gates = entry.number + 1, self._nodes(), prepared_gates(**self.gates)
+        fresh = materialize(self._grouped(responses, gates).select(*nodes.layout.fieldNames()), "fresh")
         nodes.add(fresh, str(version))
         changed = 0
         if self.levels:
-            now = self._edges(nodes.lookup(fresh.select("url")))
+            now = self._edges(nodes.lookup(fresh.select("url")), gates)
             states = fresh.select(F.explode(F.array(*[state_of(F.lit(m), F.col("url")) for m in (HEAD, GET)])).alias("state"))
             moved = self._changed(0, states, now, version)
             changed = moved.count()

@@ -55,13 +55,16 @@ class Kept:
     def _table(self, generation: int) -> str:
         return f"{self.schema}.{self.name}_{generation}"
 
-    def seed(self, rows: DataFrame) -> None:
-        """The first base, one row for each key."""
-        self._write_base(rows, 0)
-
-    def _write_base(self, rows: DataFrame, generation: int) -> None:
-        rows = materialize(rows.select(*self.layout.fieldNames()), self.name)
-        buckets = self.buckets or max(LEAST_BUCKETS, rows.count() // BUCKET_ROWS + 1)
+    def seed(self, rows: DataFrame, number: int | None = None) -> None:
+        """The first base, one row for each key; ``number`` is about how many there are, if that is known."""
+        self._write_base(rows, 0, number)
+
+    def _write_base(self, rows: DataFrame, generation: int, number: int | None) -> None:
+        rows = rows.select(*self.layout.fieldNames())
+        if number is None:
+            rows = materialize(rows, self.name)
+            number = rows.count()
+        buckets = self.buckets or max(LEAST_BUCKETS, number // BUCKET_ROWS + 1)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.schema}")
         self.spark.sql(f"DROP TABLE IF EXISTS {self._table(generation)}")
         # Partitioned as the buckets are, each bucket is one sorted file.
@@ -126,7 +129,7 @@ class Kept:
     def fold(self) -> None:
         """Write base and log as a new base. The files before the last fold go."""
         generation = self._entry().number
-        self._write_base(self.read(), generation + 1)
+        self._write_base(self.read(), generation + 1, self.base().count() + self.log().count())
         nothing = self.spark.createDataFrame([], self.layout)
         if generation > 0:
             nothing.write.mode("overwrite").parquet(self._path(generation - 1))

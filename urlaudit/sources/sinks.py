@@ -15,7 +15,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from urlaudit import schema
 from urlaudit.operators.reports import latest_n
-from urlaudit.session import materialize
 from urlaudit.sources import ledger
 from urlaudit.sources.kept import Kept
 
@@ -37,15 +36,17 @@ def _as_status(rows: DataFrame) -> DataFrame:
     return rows.select("url_id", "last.*").select(*schema.STATUS_COLUMNS)
 
 
-def _log_checks(rows: DataFrame, root: str, name: str) -> None:
-    rows.select(*schema.STATUS_COLUMNS).write.mode("overwrite").parquet(f"{root}/checks/part={name}")
+def _log_checks(rows: DataFrame, root: str, name: str) -> DataFrame:
+    """Write the rows that have an id to the log of checks; returns them as they were written."""
+    path, rows = f"{root}/checks/part={name}", rows.select(*schema.STATUS_COLUMNS).where("url_id IS NOT NULL")
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def seed_status(status: DataFrame, root: str, buckets: int | None = None) -> None:
     """The status to begin with, from any status table; of several rows of a URL the newest."""
-    rows = materialize(status.select(*schema.STATUS_COLUMNS).where("url_id IS NOT NULL"), "seed")
-    _log_checks(rows, root, "seed")
-    status_table(rows.sparkSession, root, buckets).seed(ledger.newest_of(_as_kept(rows), "url_id", "last"))
+    rows = _log_checks(status, root, "seed")
+    status_table(rows.sparkSession, root, buckets).seed(ledger.newest_of(_as_kept(rows), "url_id", "last"), rows.count())
 
 
 def has_status(spark: SparkSession, root: str) -> bool:
@@ -86,9 +87,7 @@ def write_status(fresh: DataFrame, root: str, name: str | None = None) -> None:
     kept = status_table(spark, root)
     if not kept.exists():
         raise ValueError(f"no status below {root}")
-    fresh = materialize(fresh.select(*schema.STATUS_COLUMNS).where("url_id IS NOT NULL"), "fresh")
-    _log_checks(fresh, root, name)
-    kept.add(_as_kept(fresh), name)
+    kept.add(_as_kept(_log_checks(fresh, root, name)), name)
     kept.fold_if_long()
 
 
