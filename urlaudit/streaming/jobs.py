@@ -19,7 +19,7 @@ from urlaudit.operators import reports
 from urlaudit.operators import resolve as resolving
 from urlaudit.operators.selection import seed_frontier
 from urlaudit.operators.status import build_status
-from urlaudit.session import materialize, scratch_tables
+from urlaudit.session import materialize, scratch_tables, sized_in_memory
 from urlaudit.sources import ledger, sinks
 from urlaudit.sources.index import KeptIndex
 from urlaudit.sources.kept import Kept
@@ -200,7 +200,7 @@ def resolve_selected(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = checked_at(batch_id) if checked_at else now_utc()
-        with scratch_tables(batch.sparkSession):
+        with scratch_tables(batch.sparkSession), sized_in_memory(batch.sparkSession):
             frontier = seed_frontier(materialize(batch, "selected"))
             tables = {"responses": None, **load()}
             _settle(frontier, tables, conf, root, at, batch_name(batch, batch_id), options)
@@ -237,8 +237,11 @@ def _settle(frontier: DataFrame, tables: dict, conf: AuditConfig, root: str, at:
     version = F.lit(ledger.next_number(spark, root, "attempts")).cast("long").alias("version")
     nothing = [F.lit(None).cast(kind).alias(field) for field, kind in ATTEMPT.items()]
     rows = waiting.select("url_id", F.struct(version, *[F.col(field).cast(kind).alias(field) for field, kind in ATTEMPT.items()]).alias("attempt"))
-    rows = rows.unionByName(final.select("url_id", F.struct(version, *nothing).alias("attempt")))
-    kept.add(rows, name)
+    # Only an attempt that has waited needs a row to say that it waits no longer. A second attempt at a batch finds what the first has
+    # left, so the rows are written before they take its place.
+    ended = final.join(kept.read().select("url_id"), "url_id", "left_semi")
+    rows = rows.unionByName(ended.select("url_id", F.struct(version, *nothing).alias("attempt")))
+    kept.add(materialize(rows, "attempts"), name)
     kept.fold_if_long()
     ledger.commit(spark, root, "attempts", ledger.next_number(spark, root, "attempts"), name)
 
@@ -256,7 +259,7 @@ def resolve_on_arrival(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = checked_at(batch_id) if checked_at else now_utc()
-        with scratch_tables(batch.sparkSession):
+        with scratch_tables(batch.sparkSession), sized_in_memory(batch.sparkSession):
             come = materialize(batch, "responses")
             index.update(come)
             frontier = read_pending(batch.sparkSession, root).join(come.select("url").distinct(), "url", "left_semi")
