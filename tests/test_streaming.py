@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from urlaudit import schema
 from urlaudit.config import AuditConfig
 from urlaudit.operators import reports, selection
 from urlaudit.sources import ledger, sinks
-from urlaudit.streaming import jobs
+from urlaudit.streaming import jobs, state
 from urlaudit.session import materialize, scratch_path, scratch_tables
 
 
@@ -131,6 +132,26 @@ def test_an_attempt_is_given_up_after_an_hour(spark, tmp_path):
     assert [found[k] for k in (1, 2, 3)] == [("HEAD", "retry_get")] * 3
 
 
+def test_an_observation_reaches_the_state_in_four_columns_and_leaves_it_in_lists(spark, tmp_path):
+    ddl = "url_id long, seq long, at timestamp, url string, status_code int, location string, exception_class string"
+    routed = jobs.route_observations(jobs.stream_table(spark, str(tmp_path), spark.createDataFrame([], ddl).schema), AuditConfig())
+    plan = routed._jdf.queryExecution().analyzed().toString()
+    assert len(re.search(r"transformWithStateUDF\(([^)]*)\)", plan)[1].split(",")) == 4
+    assert plan.index("TransformWithState") < plan.index("to_json") < plan.index("RepartitionByExpression [url_id")
+
+    class Held:
+        get, clear, update, registerTimer = lambda _: None, lambda _: None, lambda *_: None, lambda *_: None
+        getValueState = lambda held, *_: held
+
+    n = 2 * state.CHUNK + 1
+    attempt, when = state.Attempt(15), dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    attempt.init(Held())
+    rows = [(7, seq, when, f'{state.OK}{{"url":"u{seq}"}}') for seq in range(n, 0, -1)]
+    out = list(attempt.handleInputRows((7,), iter(rows), None))
+    assert [len(row.seq) for row in out] == [state.CHUNK, state.CHUNK, 1]
+    assert [x for row in out for x in row.facts] == [row[3] for row in reversed(rows)] and {x for row in out for x in row.route} == {"status"}
+
+
 def check_rows(spark, *rows):
     """Status rows with a number, from (check_id, url_id, date)."""
     df = spark.createDataFrame(rows, "check_id long, url_id long, d string").withColumn("checking_date", F.col("d").cast("timestamp_ntz"))

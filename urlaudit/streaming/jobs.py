@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from urlaudit.config import AuditConfig
+from urlaudit.config import UNDETERMINED, AuditConfig
 from urlaudit.functions import classify
 from urlaudit.operators import reports
 from urlaudit.operators import resolve as resolving
@@ -102,6 +102,8 @@ def route_observations(observations: DataFrame, conf: AuditConfig, mode: str = "
     ``cause_class``, ``exception_message`` and ``original_url``. What an observation says by itself is computed here as columns, also
     the category and message it ends with.
     """
+    # A large file may be read by one task; what is computed of its rows is spread first.
+    observations = observations.repartition("url_id")
     given = lambda name, other: F.col(name) if name in observations.columns else other
     nothing = F.lit(None).cast("string")
     answered = F.col("exception_class").isNull()
@@ -111,25 +113,41 @@ def route_observations(observations: DataFrame, conf: AuditConfig, mode: str = "
     raised = F.coalesce("exception_class", fault["class"])
     text = F.coalesce(given("exception_message", nothing), fault["message"])
     by_code = classify.category_of_status(F.col("status_code"), conf)
-    facts = observations.select(
+    ok = F.coalesce(answered & F.col("status_code").isin(*conf.ok_codes), F.lit(False))
+    kind = redirects.cast("int") * state.REDIRECT + F.coalesce(target.isNotNull(), F.lit(False)).cast("int") * state.TARGET + ok.cast("int") * state.OK
+    message = F.coalesce(
+        F.when(raised.isNotNull(), classify.message_of_exception(raised, given("cause_class", nothing), text)),
+        classify.message_of_status(by_code, F.col("status_code")),
+    )
+    facts = F.struct(
+        F.col("url").cast("string").alias("url"),
+        target.alias("target"),
+        F.coalesce(classify.category_of_exception(raised, conf.broken_exceptions), by_code).alias("category"),
+        message.alias("message"),
+        classify.message_of_limit(given("original_url", F.col("url")), conf).alias("over"),
+    )
+    seen = observations.select(
         "url_id",
         "seq",
-        "url",
         given("at", F.current_timestamp()).alias("at"),
-        redirects.alias("is_redirect"),
-        F.coalesce(answered & F.col("status_code").isin(*conf.ok_codes), F.lit(False)).alias("is_ok"),
-        target.alias("target"),
-        F.lit(conf.redirect_limit).alias("redirect_limit"),
-        F.coalesce(classify.category_of_exception(raised, conf.broken_exceptions), by_code).alias("own_category"),
-        F.coalesce(
-            F.when(raised.isNotNull(), classify.message_of_exception(raised, given("cause_class", nothing), text)),
-            classify.message_of_status(by_code, F.col("status_code")),
-        ).alias("own_message"),
-        classify.message_of_limit(given("original_url", F.col("url")), conf).alias("over_message"),
+        F.concat(kind.cast("string"), F.to_json(facts)).alias("facts"),
     )
     state.use_typed_state(observations.sparkSession)
-    timed = facts.withWatermark("at", late).withColumn("at_ms", F.unix_millis("at"))
-    return timed.groupBy("url_id").transformWithState(state.Attempt(), state.ROUTED, "append", "EventTime")
+    steps = seen.withWatermark("at", late).groupBy("url_id").transformWithState(state.Attempt(conf.redirect_limit), state.STEPS, "append", "EventTime")
+    each = steps.select("url_id", F.inline(F.arrays_zip("seq", "method", "redirect_count", "route", "facts")))
+    each = each.withColumn("facts", F.from_json(F.substr("facts", F.lit(2)), "url string, target string, category string, message string, over string"))
+    over, ends = F.col("route") == state.OVER, F.col("route").isin(state.OVER, "status")
+    return each.select(
+        "url_id",
+        "seq",
+        F.col("facts.url").alias("url"),
+        "method",
+        "redirect_count",
+        F.when(ends, F.lit("status")).otherwise(F.col("route")).alias("route"),
+        F.when(F.col("route") == "follow", F.col("facts.target")).when(F.col("route") == "retry_get", F.col("facts.url")).alias("next_url"),
+        F.when(over, F.lit(UNDETERMINED)).when(ends, F.col("facts.category")).alias("category"),
+        F.when(over, F.col("facts.over")).when(ends, F.col("facts.message")).alias("message"),
+    )
 
 
 def count_throughput(checks: DataFrame, at: str = "at", late: str = "10 minutes") -> DataFrame:

@@ -6,19 +6,26 @@ trigger are ordered in memory, ``maxFilesPerTrigger`` bounds them.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from urlaudit.config import GET, HEAD, UNDETERMINED
+from urlaudit.config import GET, HEAD
 
 HOUR_MS = 3_600_000
 #: Fixed value: the state store that keeps typed state and timers.
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 EMITTED = "name string, at timestamp, seq long"
-ROUTED = "url_id long, seq long, url string, method string, redirect_count int, route string, next_url string, category string, message string"
+#: What is said of the observations of a URL, as lists side by side, so that a URL costs one row however many it has.
+STEPS = "url_id long, seq array<long>, method array<string>, redirect_count array<int>, route array<string>, facts array<string>"
+CHUNK = 1000  # observations in one such row
+#: What an observation is by itself, as far as the attempt depends on it, and the route of a redirect beyond the limit.
+REDIRECT, TARGET, OK, OVER = 1, 2, 4, "over"
+EPOCH, MILLISECOND = dt.datetime(1970, 1, 1, tzinfo=dt.UTC), dt.timedelta(milliseconds=1)
 
 
 def use_typed_state(spark: SparkSession) -> None:
@@ -64,7 +71,13 @@ class InFlight(StatefulProcessor):
 
 class Attempt(StatefulProcessor):
     """Routes each observation of a URL by the attempt it answers. An attempt is given up by a timer, once the watermark has gone an hour
-    beyond the last observation."""
+    beyond the last observation.
+
+    Every column of every row is turned into a Python value by itself, so an observation comes in four: URL, number, time and
+    ``facts``, a digit of what it is and then a text that is handed on as it is."""
+
+    def __init__(self, redirect_limit: int):
+        self.redirect_limit = redirect_limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -73,30 +86,33 @@ class Attempt(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.attempt.get()
         method, count, last = held if held is not None else (HEAD, 0, 0)
-        for seen in sorted(rows, key=lambda row: row.seq):
-            last = max(last, seen.at_ms)
-            over = seen.is_redirect and count + 1 > seen.redirect_limit
-            used, ends, target = method, False, None
-            if over:
-                count, ends = count + 1, True
-            elif seen.is_redirect and seen.target is not None:
-                route, count, target = "follow", count + 1, seen.target
-            elif method == HEAD and not seen.is_ok:
-                route, method, target = "retry_get", GET, seen.url
-            else:
-                ends = True
-            said = (UNDETERMINED, seen.over_message) if over else (seen.own_category, seen.own_message)
-            yield Row(
-                url_id=key[0], seq=seen.seq, url=seen.url, method=used, redirect_count=count, route="status" if ends else route, next_url=target,
-                category=said[0] if ends else None, message=said[1] if ends else None,
-            )
-            if ends:
-                method, count = HEAD, 0
-        if (method, count) == (HEAD, 0):
-            self.attempt.clear()
-        else:
+        rows = sorted(rows, key=itemgetter(1))
+        last = max(last, (max(row[2] for row in rows) - EPOCH) // MILLISECOND)
+        for start in range(0, len(rows), CHUNK):
+            _, seqs, _, facts = zip(*rows[start : start + CHUNK], strict=True)
+            methods, counts, routes = [], [], []
+            for fact in facts:
+                kind, used = int(fact[0]), method
+                if kind & REDIRECT and count + 1 > self.redirect_limit:
+                    route, count = OVER, count + 1
+                elif kind & TARGET:
+                    route, count = "follow", count + 1
+                elif method == HEAD and not kind & OK:
+                    route, method = "retry_get", GET
+                else:
+                    route = "status"
+                methods.append(used)
+                counts.append(count)
+                routes.append(route)
+                if route in (OVER, "status"):
+                    method, count = HEAD, 0
+            # Lists, unlike tuples, would be copied value by value.
+            yield Row(url_id=key[0], seq=seqs, method=tuple(methods), redirect_count=tuple(counts), route=tuple(routes), facts=facts)
+        if (method, count) != (HEAD, 0):
             self.attempt.update((method, count, last))
             self.handle.registerTimer(max(last + HOUR_MS, timerValues.getCurrentWatermarkInMs() + 1))
+        elif held is not None:
+            self.attempt.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = self.attempt.get()
