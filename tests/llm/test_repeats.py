@@ -1,12 +1,14 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 import __spark_entry__ as registry
 from tests.llm.conftest import ODD
+from urlaudit import session
 from urlaudit.llm import repeats
 
 
@@ -102,6 +104,21 @@ def test_runs_of_identical_rows_are_kept_once(spark, monkeypatch, hot):
     assert max(lists) <= 900 and (hot == 1 or max(lists) <= one.count())
 
 
+def test_tables_and_shuffles_go_once_they_are_read(spark):
+    """Of the tables only those stay that the result reads, and of what is shuffled for them nothing."""
+    folder = Path(session.scratch_root(spark))
+    files = lambda: {p.parent for p in folder.rglob("*.parquet")}
+    shuffles = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    passage = "".join(random.Random(4).choices("abcdefghij ", k=900))
+    rows = [(1, passage + "x"), (2, passage[200:] + "y"), (3, "start " + passage[100:500])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    old, some = files(), shuffles()
+    result = repeats.remove_repeats(df)
+    assert shuffles() <= some + 1  # of the count of the strings
+    assert sorted(p.name.split("-")[0] for p in files() - old) == ["settled", "strings"]
+    assert found(result) == brute(rows, 200)
+
+
 def test_whole_characters(spark):
     passage = "漢" * 100
     rows = [(1, "a" + passage + "é"), (2, "b" + passage + "è")]  # é and è share their first byte

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from urlaudit.llm.common import table
 from urlaudit.llm.components import Links, blocks_of, components, segments
 from urlaudit.llm.hashing import blocks, digests, mix, shingles, word_hashes
-from urlaudit.session import materialize
+from urlaudit.session import materialize, scratch_tables
 
 WORDS = 5  # of an n-gram
 THRESHOLD = 0.8
@@ -221,26 +221,27 @@ def near_duplicates(
     sound = marked.where("key IS NOT NULL")
     least_row = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("head")  # of the smallest id, if any
     classes = materialize(sound.groupBy("key").agg(F.min("row").alias("class_id"), least_row, F.count("*").alias("n")), "classes")
-    first = sound.join(classes, "key").where("row = class_id").select("class_id", "n", "prefixes", "sketch")
-    first = materialize(first, "first")
-
-    met = first.select("class_id", F.posexplode("prefixes").alias("trie", "prefix"))
-    sizes = met.groupBy("trie", "prefix").agg(F.count("*").alias("size")).where("size > 1")
-    met = materialize(blocks_of(met.join(sizes, ["trie", "prefix"]), "size", "class_id", BLOCK).drop("size"), "met")
-    tasks = met.count() // TASK_ROWS + 1
-    met = met.join(first.select("class_id", "sketch"), "class_id").withColumn("task", F.pmod(F.xxhash64("trie", "prefix", "i", "j"), F.lit(tasks)))
-    near = materialize(met.groupBy("task").applyInArrow(alike(least), "class_id long, root long"), "near")
-    clusters = components(near.where("class_id <> root"), "class_id", "root")
-
-    members = clusters.select(F.col("id").alias("class_id"), F.col("component").alias("cluster")).join(first.select("class_id", "n"), "class_id")
-    sets = members.join(docs.select(F.col("row").alias("class_id"), "text"), "class_id")
-    sets = materialize(grams(sets, width, ["class_id", "cluster", "n"]), "grams")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
-    sets = blocks_of(sets.join(sizes, "cluster"), "size", "class_id", BLOCK)
-    weight = sets.agg(F.sum(F.length("grams"))).first()[0] or 0
-    tasks = weight // TASK_BYTES + 1
-    sets = sets.withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)))
-    found = materialize(sets.groupBy("task").applyInArrow(verified(threshold), "class_id long, links long, root long"), "found")
+    with scratch_tables(docs.sparkSession) as lasting:
+        first = sound.join(classes, "key").where("row = class_id").select("class_id", "n", "prefixes", "sketch")
+        first = materialize(first, "first")
+
+        met = first.select("class_id", F.posexplode("prefixes").alias("trie", "prefix"))
+        sizes = met.groupBy("trie", "prefix").agg(F.count("*").alias("size")).where("size > 1")
+        met = materialize(blocks_of(met.join(sizes, ["trie", "prefix"]), "size", "class_id", BLOCK).drop("size"), "met")
+        tasks = met.count() // TASK_ROWS + 1
+        met = met.join(first.select("class_id", "sketch"), "class_id").withColumn("task", F.pmod(F.xxhash64("trie", "prefix", "i", "j"), F.lit(tasks)))
+        near = materialize(met.groupBy("task").applyInArrow(alike(least), "class_id long, root long"), "near")
+        clusters = components(near.where("class_id <> root"), "class_id", "root")
+
+        members = clusters.select(F.col("id").alias("class_id"), F.col("component").alias("cluster")).join(first.select("class_id", "n"), "class_id")
+        sets = members.join(docs.select(F.col("row").alias("class_id"), "text"), "class_id")
+        sets = materialize(grams(sets, width, ["class_id", "cluster", "n"]), "grams")
+        sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
+        sets = blocks_of(sets.join(sizes, "cluster"), "size", "class_id", BLOCK)
+        weight = sets.agg(F.sum(F.length("grams"))).first()[0] or 0
+        tasks = weight // TASK_BYTES + 1
+        sets = sets.withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)))
+        found = lasting(sets.groupBy("task").applyInArrow(verified(threshold), "class_id long, links long, root long"), "found")
 
     joined = components(found.where("class_id <> root"), "class_id", "root").withColumnRenamed("id", "class_id")
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))

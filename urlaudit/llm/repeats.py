@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from urlaudit.llm.common import table
 from urlaudit.llm.hashing import _power_tables, blocks, mix
-from urlaudit.session import materialize
+from urlaudit.session import materialize, scratch_tables
 
 LENGTH = 200
 GRAM = 32
@@ -233,22 +233,24 @@ def single_windows(length: int, gram: int):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Runs of repeated windows of ``key`` and ``bytes``: ``key``, ``tag`` of the text, ``start`` and number of ``windows``."""
-    found = materialize(all_contexts(docs, length, gram), "contexts")
-    kinds = found.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("place").alias("place"))
-    kinds = materialize(kinds, "kinds")  # key and place are of one context where n is 1
-    settled = materialize(found.join(kinds.where("n > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi"), "settled")
-
-    shared = kinds.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    once = kinds.where("n = 1").select("anchor", "key", "place", F.lit(1).alias("n")).join(shared, "anchor")
-    # One occurrence of each context that is settled; combined before the join, so that an anchor in a third of the documents
-    # brings one row for each of its contexts.
-    often = settled.groupBy("anchor", "whole").agg(F.min(F.struct("key", "place")).alias("least"))
-    often = often.select("anchor", "least.key", "least.place", F.lit(2).alias("n")).join(shared, "anchor")
-    open_ = materialize(once.unionByName(often), "open")
-
-    # A list holds contexts of one text.
-    wanted = open_.groupBy(F.col("key").alias("_key"), tag_of_place().alias("_tag")).agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
-    strings = materialize(docs.join(wanted, same_text(), "inner").select("key", "bytes", "wanted").mapInArrow(cut_out(length), STRINGS), "strings")
+    with scratch_tables(docs.sparkSession) as lasting:
+        with scratch_tables(docs.sparkSession) as wider:
+            found = materialize(all_contexts(docs, length, gram), "contexts")
+            kinds = found.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("place").alias("place"))
+            kinds = materialize(kinds, "kinds")  # key and place are of one context where n is 1
+            settled = lasting(found.join(kinds.where("n > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi"), "settled")
+
+            shared = kinds.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
+            once = kinds.where("n = 1").select("anchor", "key", "place", F.lit(1).alias("n")).join(shared, "anchor")
+            # One occurrence of each context that is settled; combined before the join, so that an anchor in a third of the documents
+            # brings one row for each of its contexts.
+            often = settled.groupBy("anchor", "whole").agg(F.min(F.struct("key", "place")).alias("least"))
+            often = often.select("anchor", "least.key", "least.place", F.lit(2).alias("n")).join(shared, "anchor")
+            open_ = wider(once.unionByName(often), "open")
+
+        # A list holds contexts of one text.
+        wanted = open_.groupBy(F.col("key").alias("_key"), tag_of_place().alias("_tag")).agg(F.collect_list(F.struct("anchor", "place", "n", "contexts")).alias("wanted"))
+        strings = lasting(docs.join(wanted, same_text(), "inner").select("key", "bytes", "wanted").mapInArrow(cut_out(length), STRINGS), "strings")
     tasks = strings.where(F.col("contexts") <= HOT).count() // TASK_CONTEXTS + 1
     few = strings.where(F.col("contexts") <= HOT).withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)))
     runs = "key long, tag int, start long, windows long"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache
 
@@ -55,14 +55,15 @@ _scopes = threading.local()
 
 
 @contextmanager
-def scratch_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``materialize`` writes inside the block go with it; for jobs that run for ever. Results must be used inside."""
+def scratch_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that ``materialize`` writes inside the block go with it; for jobs that run for ever, and tables that are read for the next one
+    only. Results must be used inside, or be written by the function that the block is given, which writes where the block stands."""
     schema = f"scratch_{uuid.uuid4().hex}"
     outer = getattr(_scopes, "schema", None)
     spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, 'scope')}'")
     _scopes.schema = schema
     try:
-        yield
+        yield lambda df, label: _written(df, label, outer)
     finally:
         _scopes.schema = outer
         spark.sql(f"DROP DATABASE {schema} CASCADE")
@@ -88,13 +89,26 @@ def sized_in_memory(*sessions: SparkSession) -> Iterator[None]:
             spark.conf.set(SIZE_SETTING, value)
 
 
+#: Fixed value: the setting by which the shuffle files of a query go when it has ended, not when the driver collects its garbage.
+SHUFFLE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage with a written table: survives executor loss, and gives Catalyst a true size."""
+    """Cut lineage with a written table: survives executor loss, and gives Catalyst a true size. What was shuffled for it goes."""
+    return _written(df, label, getattr(_scopes, "schema", None))
+
+
+def _written(df: DataFrame, label: str, schema: str | None) -> DataFrame:
     spark = df.sparkSession
-    if schema := getattr(_scopes, "schema", None):
-        name = f"{schema}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
-        df.write.format("parquet").saveAsTable(name)
-        return spark.table(name)
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_SETTING)
+    spark.conf.set(SHUFFLE_SETTING, "true")
+    try:
+        if schema:
+            name = f"{schema}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
+            df.write.format("parquet").saveAsTable(name)
+            return spark.table(name)
+        path = scratch_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_SETTING, before)
