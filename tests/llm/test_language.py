@@ -32,6 +32,29 @@ def test_together_and_alone(models, texts):
     assert models.entropies(some) == pytest.approx(np.concatenate([models.entropies([s]) for s in some]), rel=1e-5)
 
 
+def test_texts_are_read_a_block_at_a_time(models, monkeypatch):
+    """A batch of long texts is never in memory as letters as a whole."""
+    monkeypatch.setattr(language, "BLOCK", 1_000)
+    taken = []
+    rows = models.predict(taken.append(k) or f"the text number {k} of many " * 20 for k in range(50))
+    assert next(rows)[0] != "und"
+    assert len(taken) <= 3
+    assert len(list(rows)) == 49 and len(taken) == 50
+
+
+def test_a_long_text_is_looked_up_in_parts(models, monkeypatch):
+    text = " ".join(f"the {chr(97 + k % 26)}ld house {chr(97 + k * 7 % 26)} stands près de la forêt" for k in range(400))
+    whole = list(models.predict([text, "a short one", text]))
+    sizes, costs = [], language.Models.costs
+    monkeypatch.setattr(language.Models, "costs", lambda self, points: sizes.append(len(points)) or costs(self, points))
+    monkeypatch.setattr(language, "BLOCK", 1_000)
+    parts = list(models.predict([text, "a short one", text]))
+    assert max(sizes) <= 1_000 + language.ORDER - 1
+    assert [row[:3:2] + row[4:] for row in parts] == [row[:3:2] + row[4:] for row in whole]
+    assert [row[3] for row in parts] == pytest.approx([row[3] for row in whole], rel=1e-12)
+    assert [row[1] for row in parts] == pytest.approx([row[1] for row in whole], abs=1e-9)
+
+
 def test_lookup_equals_plain_recursion(models):
     points = language.letters("Thé straßen of the ñandú 漢")
     own, before = language.grams(points), language.contexts(points)

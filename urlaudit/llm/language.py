@@ -19,7 +19,7 @@ there is one. An empty table gives an empty result. Columns other than ``id`` an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cache
 
@@ -34,7 +34,7 @@ ORDER = 4
 SAMPLE = 600  # documents of a language to learn from
 LONGEST = 50_000  # characters of a document to learn from
 CHARACTERS = 16_000_000  # of the whole sample; each language has an equal share
-BLOCK = 1 << 19  # characters that are looked up together
+BLOCK = 1 << 19  # characters that are looked up together, of one long text or of several
 HELD_OUT = (4, 2)
 
 _POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(ORDER)]
@@ -118,6 +118,11 @@ class Models:
 
     def entropies(self, texts: list[np.ndarray]) -> np.ndarray:
         """Cross-entropy for each character of texts, none of them empty, in each language."""
+        if len(texts) == 1 and len(texts[0]) > BLOCK:
+            # A long text by itself: its parts share the ORDER - 1 characters that are context of the next part.
+            own = len(texts[0]) - (ORDER - 1)
+            total = sum(self.costs(texts[0][at : at + BLOCK + ORDER - 1]).sum(axis=0, dtype=np.float64) for at in range(0, own, BLOCK))
+            return (total / own)[None, :]
         joined = np.concatenate(texts)
         sizes = np.array([len(t) for t in texts])
         costs = self.costs(joined)
@@ -138,26 +143,29 @@ class Models:
     def limit(self, length: np.ndarray) -> np.ndarray:
         return self.usual + 0.5 + 2 * self.spread / np.sqrt(length)
 
-    def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float, bool, float | None, int]]:
-        """Language, score, acceptance, cross-entropy and length of each text."""
-        start = 0
-        read = [letters(text) for text in texts]
-        while start < len(read):
-            end, size = start, 0
-            while end < len(read) and (end == start or size + len(read[end]) <= BLOCK):
-                size += len(read[end])
-                end += 1
-            some = [r for r in read[start:end] if len(r)]
-            rows = iter(())
-            if some and self.languages:
-                entropy, length = self.entropies(some), np.array([len(r) - (ORDER - 1) for r in some])
-                best = entropy.argmin(axis=1)
-                least, score = entropy.min(axis=1), self.posterior(entropy, length).max(axis=1)
-                accepted = (score >= 0.5) & (least <= self.limit(length))
-                rows = zip((self.languages[k] for k in best), score.tolist(), accepted.tolist(), least.tolist(), length.tolist(), strict=True)
-            for r in read[start:end]:
-                yield next(rows) if len(r) and self.languages else ("und", 0.0, False, None, max(0, len(r) - (ORDER - 1)))
-            start = end
+    def predict(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float, bool, float | None, int]]:
+        """Language, score, acceptance, cross-entropy and length of each text. Texts are read a block at a time."""
+        some, size = [], 0
+        for text in texts:
+            read = letters(text)
+            if some and size + len(read) > BLOCK:
+                yield from self._judged(some)
+                some, size = [], 0
+            some.append(read)
+            size += len(read)
+        yield from self._judged(some)
+
+    def _judged(self, read: list[np.ndarray]) -> Iterator[tuple[str, float, bool, float | None, int]]:
+        some = [r for r in read if len(r)]
+        rows = iter(())
+        if some and self.languages:
+            entropy, length = self.entropies(some), np.array([len(r) - (ORDER - 1) for r in some])
+            best = entropy.argmin(axis=1)
+            least, score = entropy.min(axis=1), self.posterior(entropy, length).max(axis=1)
+            accepted = (score >= 0.5) & (least <= self.limit(length))
+            rows = zip((self.languages[k] for k in best), score.tolist(), accepted.tolist(), least.tolist(), length.tolist(), strict=True)
+        for r in read:
+            yield next(rows) if len(r) and self.languages else ("und", 0.0, False, None, max(0, len(r) - (ORDER - 1)))
 
 
 def kneser_ney(texts: list[np.ndarray]) -> list[dict[str, np.ndarray]]:
@@ -269,7 +277,7 @@ def identify(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col:
 
     def run(batches):
         for batch in batches:
-            found = list(zip(*models.predict(batch.column(1).to_pylist()), strict=True)) or [()] * len(names)
+            found = list(zip(*models.predict(value.as_py() for value in batch.column(1)), strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(values, kind) for values, kind in zip(found, types, strict=True))], [id_col, *names])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, accepted boolean, cross_entropy double, n_letters long")
