@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import compare
@@ -45,6 +46,32 @@ def found(df):
     return [(row["doc_id"], row["n_links"], row["component_id"]) for row in df.collect()]
 
 
+def test_texts_are_copied_a_block_at_a_time(monkeypatch):
+    """Of a batch of long texts no more than a block is copied at once, and the rows are those of ``blocks``."""
+    monkeypatch.setattr(hashing, "BLOCK", 1_000)
+    texts = [b"", None, b"one", b"x" * 3_000, *[b"two words " * 30] * 20, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], ["row", "text"])
+    found = list(hashing.read_in_blocks(batch, 1))
+    assert [row for rows, _ in found for row in rows.column(0).to_pylist()] == list(range(len(texts)))
+    assert [text for _, some in found for text in some] == [text or b"" for text in texts]
+    assert [len(some) for _, some in found] == [end - start for start, end in hashing.blocks([t or b"" for t in texts], 1_000)]
+    assert all(rows.num_rows == len(some) and (len(some) == 1 or sum(map(len, some)) <= 1_000) for rows, some in found)
+    assert list(hashing.read_in_blocks(batch.slice(0, 0), 1)) == []
+
+
+def test_signatures_of_blocks(spark):
+    """Classes, prefixes and sketches do not depend on how rows are cut into blocks or batches."""
+    docs = jaccard.numbered(spark.createDataFrame(ODD, "doc_id long, text string").coalesce(1), "row")
+    every = [jaccard.signed(docs, 5, 4, 3).orderBy("row").collect()]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        every.append(jaccard.signed(docs, 5, 4, 3).orderBy("row").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert every[0] == every[1] and len(every[0]) == len(ODD)
+    assert [row["key"] is None for row in every[0]] == [not words(row["text"]) for row in docs.orderBy("row").collect()]
+
+
 def test_recall_and_depth():
     assert jaccard.matched_depth(8, 24, 0.8, 0.9995) == 5
     assert jaccard.recall(5, 24, 0.8) > 0.9995 > jaccard.recall(6, 24, 0.8)

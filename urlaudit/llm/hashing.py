@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -51,6 +52,22 @@ def blocks(texts: list[bytes], most: int = BLOCK) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def read_in_blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The rows of a batch with the texts of a binary column, null as empty, in the ranges of ``blocks``; texts are copied as they
+    are read, and never those of the whole batch."""
+    start = size = 0
+    some: list[bytes] = []
+    for value in batch.column(column):
+        text = value.as_buffer().to_pybytes() if value.is_valid else b""
+        if size and size + len(text) > BLOCK:
+            yield batch.slice(start, len(some)), some
+            start, size, some = start + len(some), 0, []
+        some.append(text)
+        size += len(text) + 1
+    if some:
+        yield batch.slice(start, len(some)), some
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of the texts with A-Z in lower case, and where each text's words begin (one
     more entry than texts)."""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from urlaudit.llm.common import table
 from urlaudit.llm.components import Links, blocks_of, components, segments
-from urlaudit.llm.hashing import blocks, digests, mix, shingles, word_hashes
+from urlaudit.llm.hashing import digests, mix, read_in_blocks, shingles, word_hashes
 from urlaudit.session import materialize, scratch_tables
 
 WORDS = 5  # of an n-gram
@@ -76,28 +76,20 @@ def signed(docs: DataFrame, width: int, tries: int, depth: int) -> DataFrame:
     """``row``, ``doc_id``, ``key`` of the word sequence, ``prefixes`` (one hash for each trie) and ``sketch`` (a byte of each minimum hash)."""
 
     def run(batches):
-        for batch in batches:
-            texts = [value.as_buffer().to_pybytes() if value.is_valid else b"" for value in batch.column(2)]
-            keys, prefixes, sketches = [], [], []
-            for start, end in blocks(texts):
-                some = texts[start:end]
-                keys += digests(*word_hashes(some))
-                hashes, bounds = shingles(some, width)
-                have = np.flatnonzero(np.diff(bounds))
-                if len(have):
-                    least = signature(hashes, np.append(bounds[have], bounds[-1]), tries * depth)
-                    label = np.zeros((len(have), tries), np.uint64)
-                    for level in range(depth):
-                        label = mix(label + least[:, level::depth].astype(np.uint64) + np.uint64(1))
-                    rows = dict(zip(have.tolist(), zip(label.view(np.int64), least.astype(np.uint8), strict=True), strict=True))
-                else:
-                    rows = {}
-                for at in range(len(some)):
-                    label_row, sketch_row = rows.get(at, (None, None))
-                    prefixes.append(label_row)
-                    sketches.append(None if sketch_row is None else sketch_row.tobytes())
+        for rows, some in (found for batch in batches for found in read_in_blocks(batch, 2)):
+            keys = digests(*word_hashes(some))
+            hashes, bounds = shingles(some, width)
+            have = np.flatnonzero(np.diff(bounds))
+            prefixes, sketches = [None] * len(some), [None] * len(some)
+            if len(have):
+                least = signature(hashes, np.append(bounds[have], bounds[-1]), tries * depth)
+                label = np.zeros((len(have), tries), np.uint64)
+                for level in range(depth):
+                    label = mix(label + least[:, level::depth].astype(np.uint64) + np.uint64(1))
+                for at, label_row, sketch_row in zip(have.tolist(), label.view(np.int64), least.astype(np.uint8), strict=True):
+                    prefixes[at], sketches[at] = label_row, sketch_row.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                [rows.column(0), rows.column(1), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
                 ["row", "doc_id", "key", "prefixes", "sketch"],
             )
 
@@ -185,13 +177,10 @@ def grams(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
     """The sorted set of n-gram hashes of each text, as bytes, beside the columns ``keep``."""
 
     def run(batches):
-        for batch in batches:
-            texts = [value.as_buffer().to_pybytes() if value.is_valid else b"" for value in batch.column(batch.num_columns - 1)]
-            out = []
-            for start, end in blocks(texts):
-                hashes, bounds = shingles(texts[start:end], width)
-                out += [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*keep, "grams"])
+        for some, texts in (found for batch in batches for found in read_in_blocks(batch, batch.num_columns - 1)):
+            hashes, bounds = shingles(texts, width)
+            out = [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(out, pa.binary())], [*keep, "grams"])
 
     kinds = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in keep)
     return rows.select(*keep, F.col("text").cast("binary")).mapInArrow(run, f"{kinds}, grams binary")
