@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tests.test_resolve import frontier_of, login_table, random_web, simulate, table
+from tests.test_resolve import frontier_of, login_table, random_web, response, simulate, table
 from urlaudit import schema
 from urlaudit.config import AuditConfig
 from urlaudit.operators import resolve
+from urlaudit.sources import index as indexes
 from urlaudit.sources.index import KeptIndex
 from urlaudit.sources.kept import Kept
 
@@ -131,3 +132,52 @@ def test_only_what_has_come_is_grouped_and_only_what_changes_is_doubled(spark, t
     assert index._nodes().log().count() == 2
     found = resolve.resolve(frontier_of(spark, ["http://h7.org/10", "http://new.org/"]), None, conf, index=index, few=True).collect()
     assert {r.original_url: (r.url, r.redirect_count) for r in found} == {"http://h7.org/10": ("http://h9.org/4", 8), "http://new.org/": ("http://h8.org/9", 8)}
+
+
+def links(index):
+    """The jumps of each level, without their versions."""
+    return [{r.state: (r.hop.to_url, r.hop.to_method, r.hop.steps) for r in kept.read().collect() if r.hop.to_url} for kept in index.levels]
+
+
+def updated(spark, path, monkeypatch, share):
+    """An index after an update that adds and ends redirects, how many these were, and an index of the same responses built at once."""
+    monkeypatch.setattr(indexes, "REMAKE_SHARE", share)
+    _, rows = random_web(31)
+    conf = AuditConfig(redirect_limit=5)
+    at = lambda part, hour: table(spark, part).withColumn("observed_at", F.lit(f"2024-01-01 {hour:02d}:00:00").cast("timestamp"))
+    first, more = at(rows[:150], 1), at([*rows[150:], *[(r[0], r[1], 200, None, *r[4:]) for r in rows[:20]]], 2)
+    index = KeptIndex(spark, f"{path}/index", conf, buckets=4).build(first)
+    changed = index.update(more)
+    return index, changed, KeptIndex(spark, f"{path}/whole", conf, buckets=4).build(first.unionByName(more))
+
+
+def test_a_large_update_makes_the_jumps_anew(spark, tmp_path, monkeypatch):
+    index, changed, whole = updated(spark, tmp_path / "anew", monkeypatch, indexes.REMAKE_SHARE)
+    assert [kept.log().count() for kept in (index._nodes(), *index.levels)] == [0] * (1 + len(index.levels))
+    assert links(index) == links(whole)
+    little, by_little, same = updated(spark, tmp_path / "little", monkeypatch, 0)
+    assert all(kept.log().count() for kept in (little._nodes(), *little.levels))
+    assert links(little) == links(same) == links(whole) and by_little == changed > 0
+
+
+def test_jumps_made_anew_in_part_are_made_anew_by_the_next_update(spark, tmp_path, monkeypatch):
+    index, _, _ = updated(spark, tmp_path, monkeypatch, 10**9)
+    broken, replace = [], Kept.replace
+
+    def breaks(kept, rows, number):
+        if kept.name == "jumps_1" and not broken:
+            broken.append(kept.name)
+            raise OSError("no space")
+        replace(kept, rows, number)
+
+    monkeypatch.setattr(Kept, "replace", breaks)
+    rows = [response(f"http://h{i % 7}.org/p{i}", "HEAD", 301, f"http://h{(i + 1) % 7}.org/p{i + 1}") for i in range(60)]
+    more = table(spark, rows).withColumn("observed_at", F.lit("2024-01-02").cast("timestamp"))
+    with pytest.raises(OSError):
+        index.update(more)
+    monkeypatch.setattr(indexes, "REMAKE_SHARE", 0)
+    index = KeptIndex(spark, index.root, index.conf, buckets=4)
+    index.update(more)
+    levels = links(index)
+    assert broken and levels[0]["HEAD http://h0.org/p0"] == ("http://h1.org/p1", "HEAD", 1)
+    assert levels[2]["HEAD http://h0.org/p0"] == ("http://h4.org/p4", "HEAD", 4)

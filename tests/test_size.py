@@ -13,6 +13,7 @@ from urlaudit.plans.queries import QUERIES
 from urlaudit.session import SIZE_FACTOR, SIZE_SETTING, materialize, sized_in_memory
 from urlaudit.sources import index as indexes
 from urlaudit.sources import kept as kept_tables
+from urlaudit.sources import projections as tables
 from urlaudit.sources import sinks
 from urlaudit.sources.index import KeptIndex
 from urlaudit.streaming import jobs
@@ -87,3 +88,44 @@ def test_only_an_attempt_that_waited_is_said_to_wait_no_longer(spark, tmp_path):
     sinks.seed_status(spark.createDataFrame([], schema.STATUS), other)
     jobs._settle(frontier, {"responses": table(spark, ROWS)}, CONF, other, "2024-01-01 00:00:00", "one", {})
     assert jobs.pending_attempts(spark, other).log().count() == 0
+
+
+def test_late_responses_land_in_files_by_their_size(spark, tmp_path, monkeypatch):
+    orders = spark.range(160).selectExpr("id AS o_orderkey", "'3-MEDIUM' AS o_orderpriority", "timestamp_ntz'1998-01-01' AS o_orderdate")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    counts, paths, streamed = [], [], jobs.stream_table
+    files = lambda path: [str(f) for f in Path(path.removeprefix("file:")).glob("*.parquet")]
+    monkeypatch.setattr(jobs, "stream_table", lambda spark, path, *given, **named: paths.append(path) or streamed(spark, path, *given, **named))
+    monkeypatch.setattr(jobs, "run_available", lambda *_: counts.append((len(files(paths[-1])), spark.read.parquet(*files(paths[-1])).count())))
+    monkeypatch.setattr(KeptIndex, "build", lambda index, _: index)
+    monkeypatch.setattr(sinks, "seed_status", lambda *_: None)
+    monkeypatch.setattr(sinks, "read_status", lambda *_: None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        QUERIES["stream_late_responses"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (register, urls), (some, first), (all_, both) = counts
+    assert register > 1 and some > 1 and all_ >= some + 2 and urls == 150
+    parts = tables.responses(spark, str(tmp_path)).groupBy(F.pmod(F.xxhash64("url", "method"), F.lit(4)).alias("part")).count()
+    parts = {r.part: r["count"] for r in parts.collect()}
+    assert (first, both) == (parts[2], parts[2] + parts[3])
+
+
+def test_many_waiting_attempts_are_not_looked_up_as_few(spark, tmp_path, monkeypatch):
+    root, conf = str(tmp_path / "out"), AuditConfig(redirect_limit=0)
+    index = KeptIndex(spark, str(tmp_path / "index"), conf, buckets=2).build(table(spark, ROWS[:1]))
+    frontier = frontier_of(spark, ["http://a.org/2", "http://a.org/3"])
+    monkeypatch.setattr(jobs, "read_pending", lambda *_: frontier)
+    settled = []
+    monkeypatch.setattr(jobs, "_settle", lambda rows, *given: settled.append((rows.count(), given[-1]["few"])))
+    table(spark, ROWS[1:]).write.parquet(str(tmp_path / "come"))
+    stream = jobs.stream_table(spark, str(tmp_path / "come"), schema.RESPONSES)
+    jobs.run_available(jobs.resolve_on_arrival(stream, index, conf, root), str(tmp_path / "checkpoint"))
+    assert settled == [(1, False)]
+
+
+def test_few_is_measured_against_the_index(spark, tmp_path):
+    rows = [response(f"http://a.org/{i}", "HEAD", 200) for i in range(50)]
+    index = KeptIndex(spark, str(tmp_path), CONF, buckets=2).build(table(spark, rows))
+    assert index.is_few(6) and not index.is_few(7)

@@ -643,10 +643,12 @@ def stream_throughput(spark, sf_dir):
     return jobs.read_throughput(spark, root).select(F.col("minute").cast("timestamp_ntz").alias("minute"), "checks")
 
 
-def _landed_register(spark: SparkSession, sf_dir: str, files: int = 2) -> DataFrame:
+def _landed_register(spark: SparkSession, sf_dir: str, files: int | None = 2) -> DataFrame:
+    """The valid register as a stream: so many files, each a batch, or one batch of as many files as its size asks for."""
     landed = scratch_path(spark, "landed-register")
-    tables.url(spark, sf_dir).filter("valid").repartition(files, "id").write.parquet(landed)
-    return jobs.stream_table(spark, landed, schema.URL, files_per_trigger=1)
+    valid = tables.url(spark, sf_dir).filter("valid")
+    (valid.repartition(files, "id") if files else valid.repartition("id")).write.parquet(landed)
+    return jobs.stream_table(spark, landed, schema.URL, **({"files_per_trigger": 1} if files else {}))
 
 
 @query
@@ -675,17 +677,17 @@ def stream_late_responses(spark, sf_dir):
     pages = tables.login_pages(spark)
     responses = tables.responses(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("url", "method"), F.lit(4)))
     index = KeptIndex(spark, f"{root}/index", CONF, login_pages=pages).build(responses.filter("part < 2").drop("part"))
-    selected = _landed_register(spark, sf_dir, files=1)
+    selected = _landed_register(spark, sf_dir, files=None)
     tables_of = lambda: {"index": index, "login_pages": pages}
     writer = jobs.resolve_selected(selected, tables_of, CONF, root, checked_at=lambda _: tables.CHECKED_AT)
     jobs.run_available(writer, f"{root}-selected")
     landed = scratch_path(spark, "landed-responses")
-    for part in (2, 3):
-        responses.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(landed)
-    stream = jobs.stream_table(spark, landed, schema.RESPONSES, files_per_trigger=1)
     load = lambda: {"login_pages": pages}
-    writer = jobs.resolve_on_arrival(stream, index, CONF, root, load, checked_at=lambda _: tables.CHECKED_AT)
-    jobs.run_available(writer, f"{root}-responses")
+    for part in (2, 3):  # each is a batch, of as many files as its size asks for
+        responses.filter(F.col("part") == part).drop("part").repartition("url").write.mode("append").parquet(landed)
+        stream = jobs.stream_table(spark, landed, schema.RESPONSES)
+        writer = jobs.resolve_on_arrival(stream, index, CONF, root, load, checked_at=lambda _: tables.CHECKED_AT)
+        jobs.run_available(writer, f"{root}-responses")
     return sinks.read_status(spark, root)
 
 

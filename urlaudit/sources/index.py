@@ -3,11 +3,14 @@
 New responses are grouped by themselves and added to the nodes. A redirect that changes changes the jumps that pass through it, and no
 others: those that start there, and those whose first half ends there; they are found level by level and only they are doubled again.
 The second kind is found by a semi join of the level's jumps with the changed states, a scan of narrow rows that stay where they are.
+What has come is looked up again and again on that way, so responses of more than one URL in ``REMAKE_SHARE`` are folded into the nodes at
+once, and all jumps are made anew as in the beginning: one join a level.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ HOP = StructType(
 )
 JUMPS = StructType([StructField("state", StringType()), StructField("hop", HOP)])
 TO = ["to_url", "to_method", "steps"]
+REMAKE_SHARE = 8  # an update of at least one node in so many makes all jumps anew
+FEW_SHARE = 8  # a frontier of less than one row for so many nodes is few
 
 
 def _open(jumps: DataFrame) -> DataFrame:
@@ -66,15 +71,24 @@ class KeptIndex:
             nodes = self._nodes(grouped.schema)
             urls = responses.agg(F.approx_count_distinct("url")).head()[0]
             nodes.seed(grouped, urls)
-            if self.levels:
-                jumps = materialize(self._edges(nodes.base(), gates), "jumps")
-                number = jumps.count()
-                for kept in self.levels:
-                    kept.seed(jumps.select("state", F.struct(F.lit(0).cast("long").alias("version"), *TO).alias("hop")), number)
-                    jumps = doubled(_open(kept.base()), _open(kept.base()))
+            self._write_jumps(nodes, gates, 0, Kept.seed)
             ledger.commit(self.spark, self.root, "index", 0, grouped.schema.json())
         return self
 
+    def _write_jumps(self, nodes: Kept, gates: dict[str, DataFrame | None], version: int, write: Callable[[Kept, DataFrame, int], None]) -> None:
+        """The jumps of all levels, from the base of the nodes."""
+        if not self.levels:
+            return
+        jumps = materialize(self._edges(nodes.base(), gates), "jumps")
+        number = jumps.count()
+        for kept in self.levels:
+            write(kept, jumps.select("state", F.struct(F.lit(version).cast("long").alias("version"), *TO).alias("hop")), number)
+            jumps = doubled(_open(kept.base()), _open(kept.base()))
+
+    def is_few(self, rows: int) -> bool:
+        """Whether a frontier of so many rows is far smaller than the index, so that looking its keys up first is less work."""
+        return rows * FEW_SHARE < self._nodes().base().count()
+
     def update(self, responses: DataFrame) -> int:
         """Fold in responses that have come since; returns how many states redirect otherwise than before.
 
@@ -90,6 +104,12 @@ class KeptIndex:
         version, nodes, gates = entry.number + 1, self._nodes(), prepared_gates(**self.gates)
         fresh = materialize(self._grouped(responses, gates).select(*nodes.layout.fieldNames()), "fresh")
         nodes.add(fresh, str(version))
+        # What a broken-off attempt has made anew in part is made anew as a whole, also by a smaller update.
+        if ledger.is_committed(self.spark, self.root, "remade", version) or fresh.count() * REMAKE_SHARE >= nodes.base().count():
+            ledger.commit(self.spark, self.root, "remade", version)
+            changed = self._remake(nodes, gates, version)
+            ledger.commit(self.spark, self.root, "index", version, entry.value)
+            return changed
         changed = 0
         if self.levels:
             now = self._edges(nodes.lookup(fresh.select("url")), gates)
@@ -111,6 +131,16 @@ class KeptIndex:
             kept.fold_if_long()
         return changed
 
+    def _remake(self, nodes: Kept, gates: dict[str, DataFrame | None], version: int) -> int:
+        """Fold the nodes and make all jumps anew; returns how many states redirect otherwise than before."""
+        nodes.fold()
+        if not self.levels:
+            return 0
+        before = _open(self.levels[0].read()).select("state", F.struct(*TO).alias("_before"))
+        self._write_jumps(nodes, gates, version, Kept.replace)
+        both = _open(self.levels[0].base()).select("state", F.struct(*TO).alias("_now")).join(before, "state", "full_outer")
+        return both.filter(~F.col("_now").eqNullSafe(F.col("_before"))).count()
+
     def _changed(self, level: int, states: DataFrame, now: DataFrame, version: int) -> DataFrame:
         """Add what the jumps of the given states are now, where they differ from before; returns these states."""
         kept = self.levels[level]

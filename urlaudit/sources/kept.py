@@ -128,8 +128,12 @@ class Kept:
 
     def fold(self) -> None:
         """Write base and log as a new base. The files before the last fold go."""
+        self.replace(self.read(), self.base().count() + self.log().count())
+
+    def replace(self, rows: DataFrame, number: int) -> None:
+        """Write rows, one for each key, as a new base that takes the place of base and log, as a fold does."""
         generation = self._entry().number
-        self._write_base(self.read(), generation + 1, self.base().count() + self.log().count())
+        self._write_base(rows, generation + 1, number)
         nothing = self.spark.createDataFrame([], self.layout)
         if generation > 0:
             nothing.write.mode("overwrite").parquet(self._path(generation - 1))

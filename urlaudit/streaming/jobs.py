@@ -282,9 +282,9 @@ def resolve_on_arrival(
             index.update(come)
             frontier = read_pending(batch.sparkSession, root).join(come.select("url").distinct(), "url", "left_semi")
             frontier = materialize(frontier.select(*resolving.FRONTIER), "waiting")
-            if not frontier.isEmpty():
+            if rows := frontier.count():
                 tables = {"responses": None, "index": index, **load()}
-                _settle(frontier, tables, conf, root, at, batch_name(batch, batch_id), {"few": True, **options})
+                _settle(frontier, tables, conf, root, at, batch_name(batch, batch_id), {"few": index.is_few(rows), **options})
 
     return responses.writeStream.foreachBatch(write)
 
