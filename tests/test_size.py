@@ -10,7 +10,7 @@ from urlaudit import schema
 from urlaudit.config import AuditConfig
 from urlaudit.operators import gates, resolve
 from urlaudit.plans.queries import QUERIES
-from urlaudit.session import SIZE_FACTOR, SIZE_SETTING, materialize, sized_in_memory
+from urlaudit.session import CODE_LIMIT, CODE_SETTING, SIZE_FACTOR, SIZE_SETTING, materialize, sized_in_memory
 from urlaudit.sources import index as indexes
 from urlaudit.sources import kept as kept_tables
 from urlaudit.sources import projections as tables
@@ -129,3 +129,17 @@ def test_few_is_measured_against_the_index(spark, tmp_path):
     rows = [response(f"http://a.org/{i}", "HEAD", 200) for i in range(50)]
     index = KeptIndex(spark, str(tmp_path), CONF, buckets=2).build(table(spark, rows))
     assert index.is_few(6) and not index.is_few(7)
+
+
+def test_the_decision_is_compiled_in_any_session(spark, tmp_path, monkeypatch):
+    seen, before = [], spark.conf.get(CODE_SETTING)
+    spark.conf.set(CODE_SETTING, "65535")  # as Spark has it
+    settled, edges = resolve._settled, indexes.redirect_edges
+    monkeypatch.setattr(resolve, "_settled", lambda *given: seen.append(spark.conf.get(CODE_SETTING)) or settled(*given))
+    monkeypatch.setattr(indexes, "redirect_edges", lambda *given, **named: seen.append(spark.conf.get(CODE_SETTING)) or edges(*given, **named))
+    try:
+        index = KeptIndex(spark, str(tmp_path), CONF, buckets=2).build(table(spark, ROWS))
+        resolve.resolve(frontier_of(spark, ["http://a.org/1"]), None, CONF, index=index)
+        assert seen == [CODE_LIMIT] * 2 and spark.conf.get(CODE_SETTING) == "65535"
+    finally:
+        spark.conf.set(CODE_SETTING, before)

@@ -15,7 +15,7 @@ from urlaudit.config import GET, HEAD, UNDETERMINED, AuditConfig
 from urlaudit.functions import classify, records, urls
 from urlaudit.operators.gates import category_of_gate, message_of_gate, prepared_gates, with_gates, with_overrides
 from urlaudit.operators.selection import drop_blank
-from urlaudit.session import materialize, sized_in_memory
+from urlaudit.session import materialize, sized_in_memory, split_for_hotspot
 
 FRONTIER = ["url_id", "original_url", "url", "method", "redirect_count"]
 OUTCOME = [
@@ -404,7 +404,7 @@ def resolve(
     the responses such as a poll, the index is filtered by the frontier before each join, so that what moves is in proportion to the
     poll. ``walk`` settles and moves one redirect at a time; it is the definition the other is tested against.
     """
-    with sized_in_memory(frontier.sparkSession):
+    with sized_in_memory(frontier.sparkSession), split_for_hotspot(frontier.sparkSession):
         return _resolved(frontier, responses, conf, robots_rules, login_pages, host_overrides, mode, method, index, few)
 
 

@@ -79,14 +79,33 @@ def sized_in_memory(*sessions: SparkSession) -> Iterator[None]:
 
     Columns of URLs compress so well that millions of them pass for a small table, and the driver has to hold them. Plans must be run
     inside; with adaptive execution a table that proves small is still broadcast."""
-    before = [(spark, spark.conf.get(SIZE_SETTING)) for spark in sessions]
+    with _setting(SIZE_SETTING, SIZE_FACTOR, sessions):
+        yield
+
+
+#: HotSpot never compiles a method beyond 8000 bytes, and the setting by which code that would exceed it is split.
+CODE_LIMIT, CODE_SETTING = "8000", "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def split_for_hotspot(*sessions: SparkSession) -> Iterator[None]:
+    """Inside the block no generated method is so long that it is interpreted, also in a session that ``build_session`` has not made.
+
+    The decision on an attempt, fused with the join before it, is such a method. Plans must be run inside."""
+    with _setting(CODE_SETTING, CODE_LIMIT, sessions):
+        yield
+
+
+@contextmanager
+def _setting(name: str, value: str, sessions: tuple[SparkSession, ...]) -> Iterator[None]:
+    before = [(spark, spark.conf.get(name)) for spark in sessions]
     for spark in sessions:
-        spark.conf.set(SIZE_SETTING, SIZE_FACTOR)
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        for spark, value in reversed(before):
-            spark.conf.set(SIZE_SETTING, value)
+        for spark, old in reversed(before):
+            spark.conf.set(name, old)
 
 
 #: Fixed value: the setting by which the shuffle files of a query go when it has ended, not when the driver collects its garbage.

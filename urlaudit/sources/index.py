@@ -19,7 +19,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from urlaudit.config import GET, HEAD, AuditConfig
 from urlaudit.operators.gates import prepared_gates
 from urlaudit.operators.resolve import doubled, jumped, levels_for, redirect_edges, response_nodes, state_of
-from urlaudit.session import materialize, sized_in_memory
+from urlaudit.session import materialize, sized_in_memory, split_for_hotspot
 from urlaudit.sources import ledger
 from urlaudit.sources.kept import Kept
 
@@ -65,7 +65,7 @@ class KeptIndex:
         """Group all responses and double all jumps, once.
 
         Each table is written once, from the buckets of the one before: jumps stay where they begin, and only where they end is shuffled."""
-        with sized_in_memory(*{self.spark, responses.sparkSession}):
+        with sized_in_memory(*(sessions := {self.spark, responses.sparkSession})), split_for_hotspot(*sessions):
             gates = prepared_gates(**self.gates)
             grouped = self._grouped(responses, gates)
             nodes = self._nodes(grouped.schema)
@@ -96,7 +96,7 @@ class KeptIndex:
         if not self.exists():
             self.build(responses)
             return 0
-        with sized_in_memory(*{self.spark, responses.sparkSession}):
+        with sized_in_memory(*(sessions := {self.spark, responses.sparkSession})), split_for_hotspot(*sessions):
             return self._update(responses)
 
     def _update(self, responses: DataFrame) -> int:
